@@ -1,0 +1,10 @@
+"""wickline: one-minute OHLCV candles on Spark.
+
+Bronze (append-only raw candles) -> silver (one candle per series and
+minute) -> gold (5m/15m/30m/1h rollups) plus gap and completeness
+reports. Every operator is a plain ``DataFrame -> DataFrame`` function
+built from Spark SQL built-ins, usable in batch and, where Spark allows,
+in Structured Streaming.
+"""
+
+__version__ = "0.1.0"

@@ -1,0 +1,12 @@
+"""Column-level helpers (pure ``Column -> Column`` built-ins)."""
+
+from .symbols import normalize_symbol, symbol_from_path
+from .time import (bucket_start, hour_of, hour_partition, minute_aligned,
+                   partition_key, partition_key_to_ts, partition_name,
+                   to_iso, interval_label)
+
+__all__ = [
+    "bucket_start", "hour_of", "hour_partition", "minute_aligned", "partition_key",
+    "partition_key_to_ts", "partition_name", "to_iso", "interval_label",
+    "normalize_symbol", "symbol_from_path",
+]

@@ -1,0 +1,137 @@
+"""Missing minutes: WS gaps, REST gap fill, gap reports, backfill plan.
+
+No operator here joins a per-minute spine against the fact. Present
+minutes are first aggregated per (series, hour) - a bounded set of at
+most 60 minute-aligned timestamps, or just their count - and only that
+small per-hour result meets the (series x hours) spine. The spine is
+generated on executors from the series rows with ``sequence``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.time import hours, micros, minute_aligned, minutes, partition_key
+from ..sources.tables import read_window, ts_lit
+
+
+
+def _hour_floor(v) -> Column:
+    return F.date_trunc("hour", ts_lit(v))
+
+
+def series_hours(series: DataFrame, window_start, window_end) -> DataFrame:
+    """(exchange, symbol, hour) for every series and every hour touching ``[ws, we)``."""
+    first = _hour_floor(window_start)
+    last = F.date_trunc("hour", ts_lit(window_end) - micros(1))
+    return series.select("exchange", "symbol",
+                         F.explode(F.sequence(first, last, hours(1))).alias("hour"))
+
+
+def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """Minutes in ``[ws, we)`` with no one-minute WS row, per series.
+
+    ``series`` = (exchange, symbol) to check. WS rows are those with
+    ``source = exchange || '_ws'`` and ``interval_seconds = 60``.
+    Result: (exchange, symbol, interval_start).
+    """
+    ws, we = ts_lit(window_start), ts_lit(window_end)
+    rows = read_window(bronze, ws, we).where(
+        (F.col("source") == F.concat("exchange", F.lit("_ws")))
+        & (F.col("interval_seconds") == 60) & minute_aligned("interval_start"))
+    present = (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
+                   .agg(F.collect_set("interval_start").alias("present")))
+    spine = series_hours(series, ws, we)
+    expected = F.sequence(F.greatest("hour", ws),
+                          F.least(F.col("hour") + minutes(59), we - minutes(1)), minutes(1))
+    missing = F.array_except(expected, F.coalesce("present", F.array().cast("array<timestamp>")))
+    return (spine.join(present, ["exchange", "symbol", "hour"], "left")
+                 .select("exchange", "symbol", F.explode(missing).alias("interval_start")))
+
+
+def rest_gap_fill(rest: DataFrame, gaps: DataFrame) -> DataFrame:
+    """REST rows whose minute is a WS gap (left semi join); others are not appended."""
+    return rest.join(gaps.select("exchange", "symbol", "interval_start"),
+                     ["exchange", "symbol", "interval_start"], "left_semi")
+
+
+def gap_fill_check(bronze: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Per series: WS-missing minutes and how many of them bronze now holds.
+
+    ``filled_minutes`` = distinct gap minutes with any bronze row (any
+    source), as the reference counts it.
+    """
+    k = ["exchange", "symbol", "interval_start"]
+    g = gaps.select(*k)
+    filled = (bronze.select(*k).join(g, k, "left_semi")
+                    .groupBy("exchange", "symbol")
+                    .agg(F.count_distinct("interval_start").alias("filled_minutes")))
+    missing = g.groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("ws_missing"))
+    return (missing.join(filled, ["exchange", "symbol"], "left")
+                   .select("exchange", "symbol", "ws_missing",
+                           F.coalesce("filled_minutes", F.lit(0)).cast("long").alias("filled_minutes")))
+
+
+def present_minutes(fact: DataFrame, window_start=None, window_end=None) -> DataFrame:
+    """(exchange, symbol, hour, present): distinct minute-aligned rows per series-hour."""
+    rows = read_window(fact, window_start, window_end).where(minute_aligned("interval_start"))
+    return (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
+                .agg(F.count_distinct("interval_start").alias("present")))
+
+
+def gap_report(silver: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """Missing minutes per (exchange, symbol, hour) over whole hours of the window.
+
+    The window is widened to whole hours (``date_trunc``); pass completed
+    hours only (see ``lookback_window``). Every series in ``series`` is
+    checked for every hour, so a silent series-hour reports 60. Only rows
+    with ``missing_minutes > 0``, newest hour first.
+    """
+    ws = _hour_floor(window_start)
+    we = _hour_floor(window_end)
+    present = present_minutes(silver, ws, we)
+    return (series_hours(series, ws, we)
+            .join(present, ["exchange", "symbol", "hour"], "left")
+            .select("exchange", "symbol", "hour",
+                    (F.lit(60) - F.coalesce("present", F.lit(0))).cast("long").alias("missing_minutes"))
+            .where("missing_minutes > 0")
+            .orderBy(F.desc("hour"), "exchange", "symbol"))
+
+
+def gap_report_weighted(silver: DataFrame, window_start) -> DataFrame:
+    """The reference's gap count, kept for comparison.
+
+    It builds the 60 expected minutes once per silver **row** at or after
+    ``window_start``, so a series-hour with ``n`` rows and ``p`` present
+    minutes reports ``n * (60 - p)``; minutes of the first hour before
+    ``window_start`` count as missing and silent series-hours are never
+    reported. Computed from per-hour counts, without the spine join.
+    """
+    rows = read_window(silver, window_start, None)
+    per_hour = (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
+                    .agg(F.count(F.lit(1)).alias("n"),
+                         F.count_distinct(F.when(minute_aligned("interval_start"),
+                                                 F.col("interval_start"))).alias("present")))
+    return (per_hour.select("exchange", "symbol", "hour",
+                            (F.col("n") * (F.lit(60) - F.col("present"))).cast("long").alias("missing_minutes"))
+                    .where("missing_minutes > 0")
+                    .orderBy(F.desc("hour"), "exchange", "symbol"))
+
+
+def lookback_window(as_of, hours: int = 12) -> tuple[Column, Column]:
+    """Whole completed hours ``[trunc(as_of) - hours, trunc(as_of))``."""
+    end = _hour_floor(as_of)
+    return end - F.make_dt_interval(hours=F.lit(hours)), end
+
+
+def backfill_plan(gaps: DataFrame, run_log: DataFrame | None = None) -> DataFrame:
+    """Distinct partition keys (``yyyy-MM-dd-HH:00``) to re-run, ascending.
+
+    Keys already in ``run_log`` (column ``partition_key``) are dropped so
+    each key is requested once.
+    """
+    keys = gaps.select(partition_key("hour").alias("partition_key")).distinct()
+    if run_log is not None:
+        keys = keys.join(run_log.select("partition_key"), "partition_key", "left_anti")
+    return keys.orderBy("partition_key")

@@ -1,0 +1,46 @@
+"""Inputs of the registered queries, all derived from the supplied tables.
+
+Every query starts from the whole ``events`` table (see
+``sources.events``); windows are the data's own bounds, taken with
+scalar subqueries so they stay inside the plan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.time import hours
+from ..operators.dedup import dedup_latest
+from ..operators.silver import to_silver
+from ..sources.events import bronze_from_events, read_events
+from ..sources.pairs import pair_dimension
+
+
+def bronze(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: bool = False) -> DataFrame:
+    ev = read_events(spark, sf_dir)
+    return bronze_from_events(ev, grain, pairs=pair_dimension(spark) if by_pair else None)
+
+
+def silver(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: bool = False,
+           source_suffix: str | None = None) -> DataFrame:
+    b = bronze(spark, sf_dir, grain, by_pair)
+    if source_suffix:
+        b = b.where(F.col("source").endswith(source_suffix))
+    return to_silver(dedup_latest(b))
+
+
+def series_of(df: DataFrame) -> DataFrame:
+    return df.select("exchange", "symbol").distinct()
+
+
+def hour_bounds(df: DataFrame, col: str = "interval_start") -> tuple[Column, Column]:
+    """``[first hour, last hour + 1h)`` of ``df`` as scalar-subquery columns."""
+    lo = df.select(F.date_trunc("hour", F.min(col))).scalar()
+    hi = df.select(F.date_trunc("hour", F.max(col))).scalar() + hours(1)
+    return lo, hi
+
+
+def round_cols(df: DataFrame, cols, scale: int = 6) -> DataFrame:
+    """Round double sums whose last bits depend on addition order."""
+    return df.select(*[F.round(c, scale).alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -1,0 +1 @@
+"""Scans: supplied tables, landing JSON, REST payloads, candle messages."""
