@@ -66,3 +66,97 @@ def bronze_from_events(events: DataFrame, grain: str = "minute",
         F.concat(exchange, F.when(via_rest, F.lit("_rest")).otherwise(F.lit("_ws"))).alias("source"),
         F.col("ts").alias("ingestion_ts"),
     )
+
+
+# --------------------------------------------------------------------------
+# Exchange feeds derived from ``events`` (message and REST payload forms)
+# --------------------------------------------------------------------------
+#
+# Binance WS (even user_id): one kline message per event, symbol
+#   upper(event_type) || 'USDT'; k.x false when event_id % 4 = 0; no k at
+#   all when event_id % 17 = 0; no q when event_id % 5 = 0.
+# Kraken WS (odd user_id): one ohlc message per event, symbol
+#   upper(event_type) || '/USD'; type 'update' when event_id % 4 = 0 else
+#   'snapshot'; a second candle (next minute, prices + 1, 2 trades) when
+#   event_id % 7 = 0; first candle without vwap when event_id % 11 = 0,
+#   with "vwap": null when event_id % 13 = 0; an extra heartbeat when
+#   event_id % 10 = 1 and an extra status message when event_id % 10 = 3.
+# REST: one response per event with the event's minute, both exchanges.
+
+
+def _k() -> F.Column:
+    return F.get_json_object("props", "$.k").cast("long")
+
+
+def binance_messages(events: DataFrame) -> DataFrame:
+    """Raw Binance kline messages ``(symbol, interval_minutes, msg)``."""
+    ev = events.where(F.col("user_id") % 2 == 0)
+    minute = F.date_trunc("minute", "ts")
+    t = F.unix_millis(minute)
+    px = F.col("value").cast("string")
+    k = F.named_struct(
+        F.lit("t"), t, F.lit("T"), t + 59_999, F.lit("x"), F.col("event_id") % 4 != 0,
+        F.lit("o"), px, F.lit("h"), px, F.lit("l"), px, F.lit("c"), px,
+        F.lit("v"), _k().cast("string"),
+        F.lit("q"), F.when(F.col("event_id") % 5 != 0, (F.col("value") * _k()).cast("string")),
+        F.lit("n"), F.lit(1))
+    msg = F.to_json(F.struct(F.unix_millis("ts").alias("E"),
+                             F.when(F.col("event_id") % 17 != 0, k).alias("k")))
+    return ev.select(F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
+                     F.lit(1).alias("interval_minutes"), msg.alias("msg"))
+
+
+def _iso(c) -> F.Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def kraken_messages(events: DataFrame) -> DataFrame:
+    """Raw Kraken messages ``(symbol, interval_minutes, received_ts, msg)``."""
+    ev = events.where(F.col("user_id") % 2 == 1)
+    eid = F.col("event_id")
+    minute = F.date_trunc("minute", "ts")
+    one = F.make_dt_interval(mins=F.lit(1))
+
+    def candle(start, price, trades, vwap):
+        return F.struct(_iso(start).alias("interval_begin"), _iso(start + one).alias("timestamp"),
+                        price.alias("open"), price.alias("high"), price.alias("low"),
+                        price.alias("close"), _k().cast("double").alias("volume"),
+                        vwap.alias("vwap"), F.lit(trades).alias("trades"))
+
+    vwap = F.when((eid % 13 != 0) & (eid % 11 != 0), F.col("value"))
+    first = F.to_json(candle(minute, F.col("value"), 1, vwap), {"ignoreNullFields": "false"})
+    first = F.when(eid % 11 == 0, F.regexp_replace(first, r',"vwap":null', "")).otherwise(first)
+    second = F.to_json(candle(minute + one, F.col("value") + 1, 2, F.col("value") + 1))
+    data = F.when(eid % 7 == 0, F.concat(F.lit("["), first, F.lit(","), second, F.lit("]"))) \
+            .otherwise(F.concat(F.lit("["), first, F.lit("]")))
+    ohlc = F.concat(F.lit('{"channel":"ohlc","type":"'),
+                    F.when(eid % 4 == 0, F.lit("update")).otherwise(F.lit("snapshot")),
+                    F.lit('","timestamp":"'), _iso("ts"), F.lit('","data":'), data, F.lit("}"))
+    extra = (F.when(eid % 10 == 1, F.lit('{"channel":"heartbeat"}'))
+              .when(eid % 10 == 3, F.lit('{"channel":"status","data":[{"system":"online"}]}')))
+    msgs = F.filter(F.array(ohlc, extra), lambda m: m.isNotNull())
+    return ev.select(F.concat(F.upper("event_type"), F.lit("/USD")).alias("symbol"),
+                     F.lit(1).alias("interval_minutes"), F.col("ts").alias("received_ts"),
+                     F.explode(msgs).alias("msg"))
+
+
+def rest_responses(events: DataFrame) -> DataFrame:
+    """Landed REST responses ``(exchange, pair, fetched_ts, body)``, one per event."""
+    minute = F.date_trunc("minute", "ts")
+    t = F.unix_millis(minute)
+    px = F.col("value").cast("string")
+    k = _k()
+    binance = F.format_string('[[%d,"%s","%s","%s","%s","%s",%d,"%s",%d]]',
+                              t, px, px, px, px, k.cast("double").cast("string"), t + 59_999,
+                              (F.col("value") * k).cast("string"), F.lit(1))
+    pair_key = F.concat(F.lit("X"), F.upper("event_type"), F.lit("ZUSD"))
+    kraken = F.format_string('{"error":[],"result":{"%s":[[%d,"%s","%s","%s","%s","%s","%s",%d]],"last":%d}}',
+                             pair_key, F.unix_seconds(minute), px, px, px, px, px,
+                             k.cast("double").cast("string"), F.lit(1), F.unix_seconds(minute) + 60)
+    is_b = F.col("user_id") % 2 == 0
+    return events.select(
+        exchange_of_user().alias("exchange"),
+        F.when(is_b, F.concat(F.upper("event_type"), F.lit("USDT")))
+         .otherwise(F.concat(F.upper("event_type"), F.lit("/USD"))).alias("pair"),
+        F.col("ts").alias("fetched_ts"),
+        F.when(is_b, binance).otherwise(kraken).alias("body"))

@@ -1,0 +1,55 @@
+"""Hive-partitioned JSON landing zone (write and windowed scan).
+
+Layout: ``exchange=/symbol=/interval_minutes=/year=/month=/day=/hour=``,
+keyed on the hour of ``event_ts``; ``/`` in a symbol becomes ``-``.
+Timestamps are written with microseconds so a round trip is lossless.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..schemas import LANDING_READ
+from .messages import ENVELOPE_COLS
+
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+PATH_COLS = ("exchange", "symbol", "interval_minutes", "year", "month", "day", "hour")
+
+
+def landing_frame(env: DataFrame) -> DataFrame:
+    """Envelopes plus the path columns (zero-padded text, UTC hour of ``event_ts``)."""
+    t = F.col("event_ts")
+    return env.select(
+        *[c for c in ENVELOPE_COLS if c != "symbol"],
+        F.regexp_replace("symbol", "/", "-").alias("symbol"),
+        F.date_format(t, "yyyy").alias("year"), F.date_format(t, "MM").alias("month"),
+        F.date_format(t, "dd").alias("day"), F.date_format(t, "HH").alias("hour"))
+
+
+def write_landing(env: DataFrame, root: str, max_records_per_file: int = 500_000) -> None:
+    """Append envelopes under ``root`` in the landing layout (unique part names).
+
+    Rows are clustered by their path before writing so each task writes
+    one file per landing prefix it owns.
+    """
+    (landing_frame(env).repartition(*PATH_COLS)
+        .write.mode("append").option("timestampFormat", TS_FORMAT)
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(*PATH_COLS).json(root))
+
+
+def read_landing(spark: SparkSession, root: str, hours=None) -> DataFrame:
+    """Envelopes landed under ``root``; ``hours`` (datetimes) prunes to those prefixes.
+
+    The path values replace the body's exchange, symbol and
+    interval_minutes, so a landed ``BTC/USD`` reads back as ``BTC-USD``.
+    The hour filter is stated on partition columns only, so it appears in
+    ``PartitionFilters`` and unlisted prefixes are never opened.
+    """
+    df = (spark.read.schema(LANDING_READ).option("timestampFormat", TS_FORMAT)
+          .option("basePath", root).json(root))
+    if hours is not None:
+        keys = sorted({h.strftime("%Y-%m-%d-%H") for h in hours})
+        df = df.where(F.concat_ws("-", "year", "month", "day", "hour").isin(keys))
+    return df.select(*ENVELOPE_COLS)
