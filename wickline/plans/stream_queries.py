@@ -1,0 +1,83 @@
+"""Registered streaming queries: run with ``availableNow``, return the sink's rows.
+
+Sources and sinks live in fresh folders under the shared checkpoint
+location. Oracles describe what the stream has emitted when it stops:
+for watermarked stages, only keys/windows already behind the watermark
+(``max(interval_start) - 2 hours``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.dedup import dedup_latest
+from ..operators.silver import to_silver
+from ..schemas import BRONZE_COLS, GOLD_COLS, SILVER_COLS
+from ..session import shared_dir
+from ..sources.events import (binance_messages, bronze_from_events, kraken_messages,
+                              read_events)
+from ..streaming.streams import (run_available_now, stream_bronze, stream_rollup,
+                                 stream_silver, stream_silver_merge)
+from .inputs import round_cols
+from .parse_queries import WS_BRONZE_SQL
+from .registry import B_HOUR, S_MIN, _w, dedup_sql, gold_sql, merge_sql, register
+
+
+def events_stream(spark, sf_dir, max_files_per_trigger=None):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@register("stream_bronze", _w(WS_BRONZE_SQL))
+def q_stream_bronze(spark, d):
+    """Raw message files (derived from events) -> stream -> bronze Parquet sink."""
+    ev = read_events(spark, d)
+    feed = shared_dir(spark, "feed")
+    raw = (binance_messages(ev).select(F.lit("binance").alias("exchange"), "symbol", "interval_minutes",
+                                       F.lit(None).cast("timestamp").alias("received_ts"), "msg")
+           .unionByName(kraken_messages(ev).select(F.lit("kraken").alias("exchange"), "symbol",
+                                                   "interval_minutes", "received_ts", "msg")))
+    raw.write.json(feed)
+    out, chk = shared_dir(spark, "bronze"), shared_dir(spark, "chk")
+    run_available_now(stream_bronze(spark, feed, out, chk))
+    return spark.read.parquet(out).select(*BRONZE_COLS)
+
+
+CLOSED = "(SELECT max(interval_start) - INTERVAL 2 HOUR FROM ({s}) m)"
+
+
+@register("stream_silver", _w(f"""
+    SELECT * FROM ({S_MIN}) s WHERE interval_start <= {CLOSED.format(s=S_MIN)}"""))
+def q_stream_silver(spark, d):
+    out, chk = shared_dir(spark, "silver"), shared_dir(spark, "chk")
+    run_available_now(stream_silver(bronze_from_events(events_stream(spark, d)), out, chk))
+    return spark.read.parquet(out).select(*SILVER_COLS)
+
+
+@register("stream_rollup", _w(f"""
+    SELECT * FROM ({gold_sql(S_MIN, 5)}) g WHERE interval_end <= {CLOSED.format(s=S_MIN)}"""))
+def q_stream_rollup(spark, d):
+    out, chk = shared_dir(spark, "gold5m"), shared_dir(spark, "chk")
+    run_available_now(stream_rollup(bronze_from_events(events_stream(spark, d)), out, 5, chk))
+    return round_cols(spark.read.parquet(out).select(*GOLD_COLS), {"quote_volume"})
+
+
+@register("stream_silver_merge", merge_sql())
+def q_stream_silver_merge(spark, d):
+    """Seed silver with the REST rows, then merge the event stream in several micro-batches."""
+    ev = read_events(spark, d)
+    staged = shared_dir(spark, "events")
+    ev.repartitionByRange(4, "ts").write.parquet(staged)   # four files -> four micro-batches
+    silver_path, chk = shared_dir(spark, "silver"), shared_dir(spark, "chk")
+    from ..sources.tables import write_hours
+    seed = to_silver(dedup_latest(bronze_from_events(ev, "hour").where(F.col("source").endswith("_rest"))))
+    write_hours(seed, silver_path)
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(staged))
+    run_available_now(stream_silver_merge(spark, bronze_from_events(stream, "hour"), silver_path, chk))
+    return spark.read.parquet(silver_path).select(*SILVER_COLS)
+
+
+__all__ = ["events_stream", "B_HOUR", "dedup_sql"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +74,20 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(path)
+
+
+def read_hours(spark: SparkSession, path: str, hour_values, schema) -> DataFrame:
+    """Read only the listed ``hour=`` partitions of a table (missing ones are skipped).
+
+    Builds one brace glob ``hour={a,b,...}`` so the file index lists just
+    those directories instead of the whole table; ``basePath`` keeps the
+    ``hour`` column. Returns an empty frame when none exist yet.
+    """
+    hour_values = sorted(set(hour_values))
+    if not hour_values:
+        return spark.createDataFrame([], schema)
+    glob = f"{path.rstrip('/')}/{PARTITION_COL}={{{','.join(hour_values)}}}"
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(glob)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)

@@ -1,0 +1,140 @@
+"""Streaming stages built from the batch operators.
+
+* ``stream_landing``: raw message files -> envelopes -> landing JSON sink.
+* ``stream_bronze``: raw message (or landing) files -> bronze Parquet sink
+  (file sink: exactly-once through its metadata log).
+* ``stream_silver``: bronze stream -> final one-minute candles. Dedup is
+  the batch ``dedup_latest`` aggregate under a 2-hour watermark on
+  ``interval_start``: in append mode each key is emitted once, after its
+  minute falls behind the watermark, so partial candle updates are
+  superseded by the latest one and never emitted.
+* ``stream_rollup``: final candles -> ``rollup`` windows, append mode;
+  a window is emitted once ``window.end <= watermark`` and rows later
+  than the watermark are dropped.
+* ``stream_silver_merge``: bronze stream -> ``foreachBatch`` merge into
+  the partitioned silver table (idempotent; replayed batches are harmless).
+
+All sinks keep their state and progress under ``checkpoint`` (a folder
+in the shared checkpoint location), so a restarted query resumes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.dedup import dedup_latest
+from ..operators.load import to_bronze
+from ..operators.rollup import rollup
+from ..operators.silver import merge_silver, to_silver
+from ..schemas import LANDING_READ, SILVER
+from ..sources.landing import PATH_COLS, TS_FORMAT, landing_frame
+from ..sources.messages import ENVELOPE_COLS, envelope_binance, envelope_kraken
+from ..sources.tables import PARTITION_COL, read_hours, with_hour_partition
+
+LATENESS = "2 hours"
+SILVER_PARTITIONED = T.StructType([*SILVER.fields, T.StructField(PARTITION_COL, T.StringType())])
+
+RAW_FEED = "exchange string, symbol string, interval_minutes int, received_ts timestamp, msg string"
+
+
+def run_available_now(query: StreamingQuery) -> StreamingQuery:
+    """Wait for an ``availableNow`` query and surface its failure."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return query
+
+
+def read_raw_feed(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of raw messages: JSON lines ``{exchange, symbol, interval_minutes, received_ts, msg}``."""
+    r = spark.readStream.schema(RAW_FEED)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(src)
+
+
+def feed_envelopes(raw: DataFrame) -> DataFrame:
+    """Envelopes of both exchanges from one raw feed stream (or frame)."""
+    b = envelope_binance(raw.where(F.col("exchange") == "binance"))
+    k = envelope_kraken(raw.where(F.col("exchange") == "kraken"))
+    return b.unionByName(k)
+
+
+def stream_landing(spark: SparkSession, src: str, landing_root: str, checkpoint: str,
+                   trigger_seconds: int | None = None) -> StreamingQuery:
+    """Raw feed files -> Hive-partitioned landing JSON (the feed's writer).
+
+    ``trigger_seconds`` gives the reference's 30-second flush cadence;
+    ``None`` processes what is there and stops (``availableNow``).
+    """
+    env = landing_frame(feed_envelopes(read_raw_feed(spark, src)))
+    w = (env.writeStream.format("json").option("path", landing_root)
+         .option("checkpointLocation", checkpoint).option("timestampFormat", TS_FORMAT)
+         .partitionBy(*PATH_COLS).outputMode("append"))
+    w = w.trigger(processingTime=f"{trigger_seconds} seconds") if trigger_seconds else w.trigger(availableNow=True)
+    return w.start()
+
+
+def stream_bronze(spark: SparkSession, src: str, bronze_path: str, checkpoint: str,
+                  from_landing: bool = False) -> StreamingQuery:
+    """Raw feed (or landing) files -> bronze Parquet, partitioned by hour."""
+    if from_landing:
+        env = (spark.readStream.schema(LANDING_READ).option("timestampFormat", TS_FORMAT)
+               .json(src).select(*ENVELOPE_COLS))
+    else:
+        env = feed_envelopes(read_raw_feed(spark, src))
+    out = with_hour_partition(to_bronze(env))
+    return (out.writeStream.format("parquet").option("path", bronze_path)
+            .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL)
+            .outputMode("append").trigger(availableNow=True).start())
+
+
+def final_candles(bronze_stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Latest row per silver key, emitted once the key is older than the watermark."""
+    return to_silver(dedup_latest(bronze_stream.withWatermark("interval_start", lateness)))
+
+
+def stream_silver(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
+                  lateness: str = LATENESS) -> StreamingQuery:
+    out = with_hour_partition(final_candles(bronze_stream, lateness))
+    return (out.writeStream.format("parquet").option("path", silver_path)
+            .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL)
+            .outputMode("append").trigger(availableNow=True).start())
+
+
+def stream_rollup(bronze_stream: DataFrame, gold_path: str, minutes: int, checkpoint: str,
+                  lateness: str = LATENESS) -> StreamingQuery:
+    out = with_hour_partition(rollup(final_candles(bronze_stream, lateness), minutes))
+    return (out.writeStream.format("parquet").option("path", gold_path)
+            .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL)
+            .outputMode("append").trigger(availableNow=True).start())
+
+
+def merge_batch_into_silver(spark: SparkSession, silver_path: str):
+    """``foreachBatch`` function: dedup the batch and merge it into the silver table.
+
+    Only the hour partitions the batch touches are listed and read, and
+    only those are rewritten (dynamic overwrite). The merged
+    result is checkpointed to the shared checkpoint folder first, which
+    cuts the lineage to the partitions being replaced.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        src = with_hour_partition(dedup_latest(batch)).persist()
+        # The touched hours are few (bounded by the batch's time span).
+        touched = [r[0] for r in src.select(PARTITION_COL).distinct().collect()]
+        target = read_hours(spark, silver_path, touched, SILVER_PARTITIONED)
+        merged = with_hour_partition(merge_silver(target.drop(PARTITION_COL), src.drop(PARTITION_COL)))
+        merged = merged.checkpoint()
+        src.unpersist()
+        (merged.repartition(PARTITION_COL).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(silver_path))
+    return merge
+
+
+def stream_silver_merge(spark: SparkSession, bronze_stream: DataFrame, silver_path: str,
+                        checkpoint: str) -> StreamingQuery:
+    return (bronze_stream.writeStream.foreachBatch(merge_batch_into_silver(spark, silver_path))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
