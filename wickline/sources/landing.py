@@ -27,13 +27,17 @@ def landing_frame(env: DataFrame) -> DataFrame:
         F.date_format(t, "dd").alias("day"), F.date_format(t, "HH").alias("hour"))
 
 
-def write_landing(env: DataFrame, root: str, max_records_per_file: int = 500_000) -> None:
+def write_landing(env: DataFrame, root: str, spread: int = 8,
+                  max_records_per_file: int = 500_000) -> None:
     """Append envelopes under ``root`` in the landing layout (unique part names).
 
-    Rows are clustered by their path before writing so each task writes
-    one file per landing prefix it owns.
+    Rows are clustered by landing prefix plus a small salt
+    (``hash(event_ts, payload) % spread``), so each prefix gets at most
+    ``spread`` files and a hot series-hour is still written by ``spread``
+    tasks rather than one.
     """
-    (landing_frame(env).repartition(*PATH_COLS)
+    salt = F.pmod(F.xxhash64("event_ts", "payload"), F.lit(spread))
+    (landing_frame(env).repartition(*PATH_COLS, salt)
         .write.mode("append").option("timestampFormat", TS_FORMAT)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PATH_COLS).json(root))

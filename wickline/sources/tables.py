@@ -52,20 +52,22 @@ def with_hour_partition(df: DataFrame, time_col: str = "interval_start") -> Data
 
 
 def write_hours(df: DataFrame, path: str, time_col: str = "interval_start",
-                extra_partitions: tuple[str, ...] = ()) -> None:
-    """Overwrite only the hour partitions present in ``df`` (dynamic mode).
+                partition_col: str = PARTITION_COL,
+                max_records_per_file: int = 5_000_000) -> None:
+    """Overwrite only the partitions present in ``df`` (dynamic mode).
 
     Re-running a job rewrites the same partitions with the same rows, so
-    a retried or repeated run is idempotent. Rows are clustered by
-    partition before writing so each task writes few files.
+    a retried or repeated run is idempotent. No clustering shuffle: the
+    upstream hash partitioning (on the unique key) already spreads every
+    hour over many tasks, so one hot hour is never written by one task;
+    ``maxRecordsPerFile`` caps file size.
     """
-    if PARTITION_COL not in df.columns:
-        df = with_hour_partition(df, time_col)
-    parts = [*extra_partitions, PARTITION_COL]
-    (df.repartition(*parts)
-       .write.mode("overwrite")
+    if partition_col not in df.columns:
+        df = df.withColumn(partition_col, hour_partition(time_col))
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*parts)
+       .option("maxRecordsPerFile", max_records_per_file)
+       .partitionBy(partition_col)
        .parquet(path))
 
 
@@ -76,17 +78,18 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
-def read_hours(spark: SparkSession, path: str, hour_values, schema) -> DataFrame:
+def read_hours(spark: SparkSession, path: str, hour_values, schema,
+               partition_col: str = PARTITION_COL) -> DataFrame:
     """Read only the listed ``hour=`` partitions of a table (missing ones are skipped).
 
     Builds one brace glob ``hour={a,b,...}`` so the file index lists just
     those directories instead of the whole table; ``basePath`` keeps the
-    ``hour`` column. Returns an empty frame when none exist yet.
+    partition column. Returns an empty frame when none exist yet.
     """
     hour_values = sorted(set(hour_values))
     if not hour_values:
         return spark.createDataFrame([], schema)
-    glob = f"{path.rstrip('/')}/{PARTITION_COL}={{{','.join(hour_values)}}}"
+    glob = f"{path.rstrip('/')}/{partition_col}={{{','.join(hour_values)}}}"
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(glob)
     except AnalysisException:

@@ -32,7 +32,7 @@ from ..operators.silver import merge_silver, to_silver
 from ..schemas import LANDING_READ, SILVER
 from ..sources.landing import PATH_COLS, TS_FORMAT, landing_frame
 from ..sources.messages import ENVELOPE_COLS, envelope_binance, envelope_kraken
-from ..sources.tables import PARTITION_COL, read_hours, with_hour_partition
+from ..sources.tables import PARTITION_COL, read_hours, with_hour_partition, write_hours
 
 LATENESS = "2 hours"
 SILVER_PARTITIONED = T.StructType([*SILVER.fields, T.StructField(PARTITION_COL, T.StringType())])
@@ -129,8 +129,7 @@ def merge_batch_into_silver(spark: SparkSession, silver_path: str):
         merged = with_hour_partition(merge_silver(target.drop(PARTITION_COL), src.drop(PARTITION_COL)))
         merged = merged.checkpoint()
         src.unpersist()
-        (merged.repartition(PARTITION_COL).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(silver_path))
+        write_hours(merged, silver_path)
     return merge
 
 
