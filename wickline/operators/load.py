@@ -17,8 +17,8 @@ def _num(c: Column, strict: bool, to: str = "double") -> Column:
     return c.cast(to) if strict else c.try_cast(to)
 
 
-def _binance(strict: bool):
-    k = F.from_json("payload", "struct<k: map<string,string>>")["k"]
+def _binance(k: Column, strict: bool):
+    """Reject reason and values from the parsed ``k`` map."""
     has_k = k.isNotNull() & (F.size(k) > 0)
     final = F.coalesce(k["x"].try_cast("boolean"), F.lit(False))
     o, h, l, c, v = (_num(k[x], strict) for x in ("o", "h", "l", "c", "v"))
@@ -30,23 +30,14 @@ def _binance(strict: bool):
     return reason, (o, h, l, c, v, vwap, n)
 
 
-def _kraken(strict_first: bool, strict: bool):
-    data = F.from_json("payload", "struct<data: array<string>>")["data"]
-    first = F.get(data, 0)
-    if strict_first:
-        chosen = first
-    else:
-        own = F.filter(data, lambda d: F.get_json_object(d, "$.interval_begin")
-                       .try_cast("timestamp") == F.col("interval_start"))
-        chosen = F.coalesce(F.get(own, 0), first)
-    keys = F.json_object_keys(chosen)
+def _kraken(data: Column, chosen: Column, strict: bool):
+    """Reject reason and values from the parsed candle map ``chosen``."""
     has_keys = F.coalesce(F.forall(F.array(*[F.lit(x) for x in KRAKEN_REQUIRED]),
-                                   lambda x: F.array_contains(keys, x)), F.lit(False))
+                                   lambda x: F.map_contains_key(chosen, x)), F.lit(False))
     has_data = data.isNotNull() & (F.size(data) > 0)
     reason = F.when(~has_data, "no_data").when(~has_keys, "missing_keys")
-    f = {x: F.get_json_object(chosen, f"$.{x}") for x in KRAKEN_REQUIRED}
-    vals = tuple(_num(f[x], strict) for x in ("open", "high", "low", "close", "volume", "vwap"))
-    return reason, (*vals[:5], vals[5], _num(f["trades"], strict, "int"))
+    vals = tuple(_num(chosen[x], strict) for x in ("open", "high", "low", "close", "volume", "vwap"))
+    return reason, (*vals, _num(chosen["trades"], strict, "int"))
 
 
 def parse_ws(env: DataFrame, strict_first: bool = False, strict: bool = False) -> DataFrame:
@@ -60,22 +51,40 @@ def parse_ws(env: DataFrame, strict_first: bool = False, strict: bool = False) -
     first element, as the reference does. An unknown exchange fails the
     query. ``strict=True`` makes unparsable numbers fail the query
     (ANSI cast) instead of rejecting the row.
+
+    Each payload is parsed once (``from_json`` into a map, or an array of
+    maps, which keeps "key present with NULL" apart from "key absent") in
+    its own projection; Catalyst does not inline a non-trivial expression
+    used many times, so later projections read the parsed columns.
     """
-    br, bv = _binance(strict)
-    kr, kv = _kraken(strict_first, strict)
     ex = F.col("exchange")
-    is_b = ex == "binance"
+    is_b, is_k = ex == "binance", ex == "kraken"
+    msg = F.from_json("payload", "struct<k: map<string,string>, data: array<map<string,string>>>")
+    parsed = env.select("*", msg.alias("_msg"))
+    parsed = parsed.select(*env.columns, F.when(is_b, F.col("_msg.k")).alias("_k"),
+                           F.when(is_k, F.col("_msg.data")).alias("_data"))
+    first = F.get(F.col("_data"), 0)
+    if strict_first:
+        chosen = first
+    else:
+        own = F.filter("_data", lambda d: d["interval_begin"].try_cast("timestamp") == F.col("interval_start"))
+        chosen = F.coalesce(F.get(own, 0), first)
+    parsed = parsed.select("*", chosen.alias("_candle"))
+    br, bv = _binance(F.col("_k"), strict)
+    kr, kv = _kraken(F.col("_data"), F.col("_candle"), strict)
     unknown = F.raise_error(F.concat(F.lit("Unsupported exchange: "), F.coalesce(ex, F.lit("NULL"))))
-    reason = (F.when(is_b, br).when(ex == "kraken", kr).otherwise(unknown.cast("string")))
+    reason = (F.when(is_b, br).when(is_k, kr).otherwise(unknown.cast("string")))
     reason = F.coalesce(reason, F.when(F.col("interval_start").isNull()
                                        | F.col("interval_end").isNull(), F.lit("no_interval")))
     names = ("open", "high", "low", "close", "volume", "vwap", "trade_count")
     vals = [F.when(is_b, b).otherwise(k).alias(n) for n, b, k in zip(names, bv, kv)]
-    return env.select(
-        *[F.col(c) for c in env.columns], reason.alias("reject_reason"),
-        normalize_symbol("symbol").alias("_symbol"),
-        (F.col("interval_minutes") * 60).alias("interval_seconds"), *vals,
-        F.concat(ex, F.lit("_ws")).alias("source"))
+    out = F.struct(*[F.col(c) for c in env.columns], reason.alias("reject_reason"),
+                   normalize_symbol("symbol").alias("_symbol"),
+                   (F.col("interval_minutes") * 60).alias("interval_seconds"), *vals,
+                   F.concat(ex, F.lit("_ws")).alias("source"))
+    # Rows leave through a Generate: a later filter on reject_reason cannot be
+    # pushed below it, so the payload is not parsed a second time inside the filter.
+    return parsed.select(F.inline(F.array(out)))
 
 
 def to_bronze(env: DataFrame, strict_first: bool = False, strict: bool = False) -> DataFrame:

@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dimension import broadcast_if_small
+from .tables import spread_small_scan
 
 GRAIN_SECONDS = {"minute": 60, "hour": 3600}
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events`` and cast its ``TIMESTAMP_NTZ`` once to ``TIMESTAMP`` (UTC)."""
-    return (spark.read.parquet(f"{sf_dir}/events.parquet")
-            .withColumn("ts", F.col("ts").cast("timestamp")))
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread_small_scan(ev).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def exchange_of_user() -> F.Column:

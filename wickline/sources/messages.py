@@ -56,9 +56,11 @@ def envelope_kraken(raw: DataFrame) -> DataFrame:
     with ``received_ts``. ``ohlc``: one envelope **per element** of
     ``data`` (``is_final`` = ``type = 'snapshot'``), each carrying the whole
     message as payload. Heartbeats and other channels yield nothing.
-    Built as one array per message and a single ``explode`` (one pass).
+
+    The message is parsed once into a column and then turned into an
+    array of envelopes exploded in one ``Generate`` (one pass, one parse).
     """
-    m = F.from_json("msg", KRAKEN_MSG)
+    m = F.col("_m")
 
     def env(event_type, event_ts, start, end, final):
         return F.struct(event_type.alias("event_type"), event_ts.alias("event_ts"),
@@ -72,10 +74,11 @@ def envelope_kraken(raw: DataFrame) -> DataFrame:
         m["type"], m["timestamp"].try_cast("timestamp"),
         c["interval_begin"].try_cast("timestamp"), c["timestamp"].try_cast("timestamp"),
         m["type"] == "snapshot"))
-    ch = channel()
-    envs = (F.when(ch == "status", status)
-             .when(ch == "ohlc", candles))
-    out = drop_heartbeats(raw).select(
+    envs = (F.when(m["channel"] == "status", status)
+             .when(m["channel"] == "ohlc", candles))
+    parsed = raw.select("symbol", "interval_minutes", "received_ts", "msg",
+                        F.from_json("msg", KRAKEN_MSG).alias("_m"))
+    out = parsed.select(
         "symbol", F.col("interval_minutes").cast("int").alias("interval_minutes"),
         F.col("msg").alias("payload"), F.explode(envs).alias("e"))
     return out.select(F.lit("kraken").alias("exchange"), "symbol", "interval_minutes",

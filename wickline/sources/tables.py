@@ -94,3 +94,17 @@ def read_hours(spark: SparkSession, path: str, hour_values, schema,
         return spark.read.schema(schema).option("basePath", path).parquet(glob)
     except AnalysisException:
         return spark.createDataFrame([], schema)
+
+
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A single small file (one Parquet row group) is read by one task, and
+    every shuffle-free step after it (JSON parsing, projections) would
+    run in that task alone. Large inputs already have more splits than
+    cores and are returned unchanged, so no shuffle is added at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
