@@ -7,7 +7,7 @@ scalar subqueries so they stay inside the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import hours
@@ -34,11 +34,21 @@ def series_of(df: DataFrame) -> DataFrame:
     return df.select("exchange", "symbol").distinct()
 
 
-def hour_bounds(df: DataFrame, col: str = "interval_start") -> tuple[Column, Column]:
-    """``[first hour, last hour + 1h)`` of ``df`` as scalar-subquery columns."""
-    lo = df.select(F.date_trunc("hour", F.min(col))).scalar()
-    hi = df.select(F.date_trunc("hour", F.max(col))).scalar() + hours(1)
-    return lo, hi
+def hour_bounds(df: DataFrame, col: str = "interval_start"):
+    """``[first hour, last hour + 1h)`` of ``df`` as timestamp literals.
+
+    One global ``min``/``max`` aggregate (a single row reaches the
+    driver); literals, unlike scalar subqueries, are pushed down to the
+    scan and used for partition pruning. A run with a given ``as_of``
+    needs no such pass at all.
+    """
+    lo, hi = df.agg(F.date_trunc("hour", F.min(col)), F.date_trunc("hour", F.max(col))).first()
+    return F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp") + hours(1)
+
+
+def value_bounds(df: DataFrame, col: str):
+    """``(min, max)`` of ``col`` as Python values, in one aggregate."""
+    return tuple(df.agg(F.min(col), F.max(col)).first())
 
 
 def round_cols(df: DataFrame, cols, scale: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ derive bronze rows from ``events`` with fixed rules:
 
 * exchange ``binance`` for even ``user_id``, else ``kraken``;
 * symbol = ``event_type`` (or a pair from the pair dimension, ``symbols="pairs"``);
-* interval_start = ``date_trunc(grain, ts)``; open = high = low = close = vwap = ``value``;
+* interval_start = ``date_trunc(grain, ts)``, interval_seconds = 60 or 3600; open = high = low = close = vwap = ``value``;
 * volume = ``props.k``; trade_count = 1; ingestion_ts = ``ts``;
 * source ``{exchange}_rest`` when ``event_id % 3 = 0``, else ``{exchange}_ws``.
 """
@@ -51,12 +51,15 @@ def bronze_from_events(events: DataFrame, grain: str = "minute",
     else:
         exchange, symbol = exchange_of_user(), F.col("event_type")
     via_rest = F.col("event_id") % 3 == 0
+    end = start + F.make_dt_interval(secs=F.lit(seconds))
     return ev.select(
         exchange.alias("exchange"),
         symbol.alias("symbol"),
-        F.lit(seconds).alias("interval_seconds"),
+        # the candle length, end - start (a column, so keys stay attributes
+        # and downstream joins reuse the dedup's hash partitioning)
+        (F.unix_seconds(end) - F.unix_seconds(start)).cast("int").alias("interval_seconds"),
         start.alias("interval_start"),
-        (start + F.make_dt_interval(secs=F.lit(seconds))).alias("interval_end"),
+        end.alias("interval_end"),
         F.col("value").alias("open"),
         F.col("value").alias("high"),
         F.col("value").alias("low"),
