@@ -9,8 +9,9 @@
   minute falls behind the watermark, so partial candle updates are
   superseded by the latest one and never emitted.
 * ``stream_rollup``: final candles -> ``rollup`` windows, append mode;
-  a window is emitted once ``window.end <= watermark`` and rows later
-  than the watermark are dropped.
+  a window is emitted once ``window.end <= watermark``. Rows within the
+  2-hour delay are always counted; input behind the previous batch's
+  watermark is dropped (Spark's late-data rule).
 * ``stream_silver_merge``: bronze stream -> ``foreachBatch`` merge into
   the partitioned silver table (idempotent; replayed batches are harmless).
 
