@@ -33,11 +33,11 @@ def replicated(events, k):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     ks = [int(x) for x in sys.argv[2:]] or [1, 4, 16]
-    from wickline.operators import dedup_latest, gap_report, merge_silver, rollup, to_silver
-    from wickline.plans.inputs import hour_bounds, series_of
-    from wickline.session import build_session
-    from wickline.sources.events import bronze_from_events, read_events
-    spark = build_session("local[8]", app="wickline-scaleup", shuffle_partitions=8,
+    from tallow.operators import dedup_latest, gap_report, merge_silver, rollup, to_silver
+    from tallow.plans.inputs import hour_bounds, series_of
+    from tallow.session import build_session
+    from tallow.sources.events import bronze_from_events, read_events
+    spark = build_session("local[8]", app="tallow-scaleup", shuffle_partitions=8,
                           conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     base = read_events(spark, sf)

@@ -1,4 +1,4 @@
-"""wickline: one-minute OHLCV candles on Spark.
+"""tallow: one-minute OHLCV candles on Spark.
 
 Bronze (append-only raw candles) -> silver (one candle per series and
 minute) -> gold (5m/15m/30m/1h rollups) plus gap and completeness

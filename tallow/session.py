@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every wickline job relies on. UTC is required: bucket and
+# Settings every tallow job relies on. UTC is required: bucket and
 # hour arithmetic is defined on UTC wall-clock time.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,10 +19,10 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = None, app: str = "wickline",
+def build_session(master: str | None = None, app: str = "tallow",
                   shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the wickline defaults.
+    """Create (or reuse) a session with the tallow defaults.
 
     On a cluster leave ``master`` unset and size ``shuffle_partitions`` to
     the data (about 128-256 MB per partition); AQE coalesces the rest.
@@ -41,7 +40,7 @@ def build_session(master: str | None = None, app: str = "wickline",
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the SQL settings wickline needs on an existing session."""
+    """Set the SQL settings tallow needs on an existing session."""
     for k, v in DEFAULT_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
@@ -63,7 +62,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         except Exception:
             root = None
     if not root:
-        root = os.environ.get("WICKLINE_LOCAL_SCRATCH") or tempfile.mkdtemp(prefix="wickline-")
+        root = tempfile.mkdtemp(prefix="tallow-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -76,7 +76,7 @@ def bronze_from_events(events: DataFrame, grain: str = "minute",
 # Exchange feeds derived from ``events`` (message and REST payload forms)
 # --------------------------------------------------------------------------
 #
-# Binance WS (even user_id): one kline message per event, symbol
+# Binance WS (even user_id): one candle message per event, symbol
 #   upper(event_type) || 'USDT'; k.x false when event_id % 4 = 0; no k at
 #   all when event_id % 17 = 0; no q when event_id % 5 = 0.
 # Kraken WS (odd user_id): one ohlc message per event, symbol
@@ -93,7 +93,7 @@ def _k() -> F.Column:
 
 
 def binance_messages(events: DataFrame) -> DataFrame:
-    """Raw Binance kline messages ``(symbol, interval_minutes, msg)``."""
+    """Raw Binance candle messages ``(symbol, interval_minutes, msg)``."""
     ev = events.where(F.col("user_id") % 2 == 0)
     minute = F.date_trunc("minute", "ts")
     t = F.unix_millis(minute)

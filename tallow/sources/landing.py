@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import LANDING_READ
+from ..schemas import ENVELOPE, LANDING_READ
+from .tables import existing_paths
 from .messages import ENVELOPE_COLS
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -49,16 +50,21 @@ def write_landing(env: DataFrame, root: str, spread: int = 8,
 
 
 def read_landing(spark: SparkSession, root: str, hours=None) -> DataFrame:
-    """Envelopes landed under ``root``; ``hours`` (datetimes) prunes to those prefixes.
+    """Envelopes landed under ``root``; ``hours`` (datetimes) limits the scan to those prefixes.
 
-    The path values replace the body's exchange, symbol and
-    interval_minutes, so a landed ``BTC/USD`` reads back as ``BTC-USD``.
-    The hour filter is stated on partition columns only, so it appears in
-    ``PartitionFilters`` and unlisted prefixes are never opened.
+    With ``hours``, only the matching ``.../year=/month=/day=/hour=``
+    directories are resolved (one glob per hour across exchanges and
+    symbols) and read, so a run never lists the whole landing zone. The
+    path values replace the body's exchange, symbol and interval_minutes,
+    so a landed ``BTC/USD`` reads back as ``BTC-USD``.
     """
-    df = (spark.read.schema(LANDING_READ).option("timestampFormat", TS_FORMAT)
-          .option("basePath", root).json(root))
-    if hours is not None:
-        keys = sorted({h.strftime("%Y-%m-%d-%H") for h in hours})
-        df = df.where(F.concat_ws("-", "year", "month", "day", "hour").isin(keys))
-    return df.select(*ENVELOPE_COLS)
+    r = spark.read.schema(LANDING_READ).option("timestampFormat", TS_FORMAT).option("basePath", root)
+    if hours is None:
+        return r.json(root).select(*ENVELOPE_COLS)
+    base = root.rstrip("/")
+    globs = [f"{base}/exchange=*/symbol=*/interval_minutes=*/"
+             f"year={h:%Y}/month={h:%m}/day={h:%d}/hour={h:%H}" for h in sorted(set(hours))]
+    dirs = existing_paths(spark, globs)
+    if not dirs:
+        return spark.createDataFrame([], ENVELOPE)
+    return r.json(dirs).select(*ENVELOPE_COLS)

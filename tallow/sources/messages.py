@@ -26,7 +26,7 @@ KRAKEN_MSG = ("struct<channel: string, type: string, timestamp: string, "
 
 
 def envelope_binance(raw: DataFrame) -> DataFrame:
-    """One envelope per Binance kline message (``event_type='update'``)."""
+    """One envelope per Binance candle message (``event_type='update'``)."""
     m = F.from_json("msg", BINANCE_MSG)
     k = m["k"]
     return raw.select(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,22 +77,36 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
+def existing_paths(spark: SparkSession, patterns) -> list[str]:
+    """The directories matching any glob in ``patterns`` (Hadoop ``globStatus``).
+
+    Lets a job open only the partitions it needs instead of having the
+    file index list a whole table and prune afterwards; patterns that
+    match nothing are skipped.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in patterns:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        found = path.getFileSystem(conf).globStatus(path)
+        out.extend(st.getPath().toString() for st in (found or []))
+    return sorted(set(out))
+
+
 def read_hours(spark: SparkSession, path: str, hour_values, schema,
                partition_col: str = PARTITION_COL) -> DataFrame:
-    """Read only the listed ``hour=`` partitions of a table (missing ones are skipped).
+    """Read only the listed partitions ``partition_col=<value>`` of a table.
 
-    Builds one brace glob ``hour={a,b,...}`` so the file index lists just
-    those directories instead of the whole table; ``basePath`` keeps the
-    partition column. Returns an empty frame when none exist yet.
+    Only those directories are listed; ``basePath`` keeps the partition
+    column. Missing partitions are skipped; none at all gives an empty
+    frame with ``schema``.
     """
-    hour_values = sorted(set(hour_values))
-    if not hour_values:
-        return spark.createDataFrame([], schema)
-    glob = f"{path.rstrip('/')}/{partition_col}={{{','.join(hour_values)}}}"
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(glob)
-    except AnalysisException:
+    base = path.rstrip("/")
+    dirs = existing_paths(spark, [f"{base}/{partition_col}={v}" for v in sorted(set(hour_values))])
+    if not dirs:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*dirs)
 
 
 def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

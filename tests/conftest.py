@@ -12,9 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from wickline.session import build_session
-    scratch = tempfile.mkdtemp(prefix="wickline-tests-")
-    s = build_session("local[4]", app="wickline-tests", shuffle_partitions=4,
+    from tallow.session import build_session
+    scratch = tempfile.mkdtemp(prefix="tallow-tests-")
+    s = build_session("local[4]", app="tallow-tests", shuffle_partitions=4,
                       conf={"spark.checkpoint.dir": scratch,
                             "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"})
     s.sparkContext.setLogLevel("ERROR")
@@ -24,5 +24,5 @@ def spark():
 
 @pytest.fixture()
 def scratch(spark):
-    from wickline.session import shared_dir
+    from tallow.session import shared_dir
     return shared_dir(spark, "test")

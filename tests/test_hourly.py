@@ -5,12 +5,12 @@ import json
 
 from pyspark.sql import functions as F
 
-from wickline.plans.hourly import (GOLD_STORED, SILVER_STORED, Layout, gaps_for, run_backfill,
+from tallow.plans.hourly import (GOLD_STORED, SILVER_STORED, Layout, gaps_for, run_backfill,
                                    run_hour)
-from wickline.sources.landing import read_landing, write_landing
-from wickline.sources.messages import envelope_binance, envelope_kraken
-from wickline.sources.pairs import pair_dimension
-from wickline.sources.tables import read_hours
+from tallow.sources.landing import read_landing, write_landing
+from tallow.sources.messages import envelope_binance, envelope_kraken
+from tallow.sources.pairs import pair_dimension
+from tallow.sources.tables import read_hours
 
 H = dt.datetime(2025, 12, 1, 1, 0)
 EPOCH = dt.datetime(1970, 1, 1)

@@ -5,13 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from wickline.operators import (completeness, dedup_latest, gap_report, gap_report_weighted,
+from tallow.operators import (completeness, dedup_latest, gap_report, gap_report_weighted,
                                 hour_ok, merge_silver, rest_gap_fill, rollup, to_silver, upsert,
                                 with_canonical_symbol, ws_gaps, append_missing, assert_unique,
                                 backfill_plan, alerts)
-from wickline.operators.rollup import gold_from_gold
-from wickline.schemas import BRONZE, REFERENCE_UPDATE_COLS
-from wickline.sources.pairs import pair_dimension
+from tallow.operators.rollup import gold_from_gold
+from tallow.schemas import BRONZE, REFERENCE_UPDATE_COLS
+from tallow.sources.pairs import pair_dimension
 
 H = dt.datetime(2025, 12, 1, 1, 0)
 

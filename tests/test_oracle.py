@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from wickline.plans.verify import compare, duckdb_views
+from tallow.plans.verify import compare, duckdb_views
 
 from conftest import SF_SMALL
 

@@ -7,9 +7,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from wickline.operators.load import bronze_kraken, parse_ws, rejects, to_bronze
-from wickline.sources.messages import drop_heartbeats, envelope_binance, envelope_kraken
-from wickline.sources.rest import parse_rest
+from tallow.operators.load import bronze_kraken, parse_ws, rejects, to_bronze
+from tallow.sources.messages import drop_heartbeats, envelope_binance, envelope_kraken
+from tallow.sources.rest import parse_rest
 
 BIN = {"E": 1764550860012, "k": {"t": 1764550800000, "T": 1764550859999, "x": True, "o": "100.0",
                                  "h": "102.0", "l": "99.0", "c": "101.0", "v": "4.0", "q": "402.0", "n": 7}}

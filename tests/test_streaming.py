@@ -4,11 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from wickline.operators.load import to_bronze
-from wickline.schemas import BRONZE
-from wickline.sources.events import binance_messages, kraken_messages, read_events
-from wickline.sources.messages import envelope_binance, envelope_kraken
-from wickline.streaming import (final_candles, run_available_now, stream_bronze, stream_landing,
+from tallow.operators.load import to_bronze
+from tallow.schemas import BRONZE
+from tallow.sources.events import binance_messages, kraken_messages, read_events
+from tallow.sources.messages import envelope_binance, envelope_kraken
+from tallow.streaming import (final_candles, run_available_now, stream_bronze, stream_landing,
                                 stream_rollup)
 
 from conftest import SF_SMALL
