@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import GOLD_COLS, GOLD_KEY
+from ..schemas import GOLD_KEY
 from ..sources.tables import read_window
 
 # Fixed value: source tag of every gold row.
@@ -93,4 +93,4 @@ def upsert(target: DataFrame, source: DataFrame, key=tuple(GOLD_KEY),
     return j.select(*out)
 
 
-__all__ = ["rollup", "gold_from_gold", "upsert", "BUCKETS", "DERIVED", "GOLD_COLS"]
+__all__ = ["rollup", "gold_from_gold", "upsert", "BUCKETS", "DERIVED"]

@@ -11,11 +11,19 @@ from ..schemas import SILVER_COLS, SILVER_KEY
 QUOTE_ASSET = "USD"
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
-    """Bronze-shaped rows -> silver columns (``quote_volume = volume * close``)."""
+def to_silver(bronze: DataFrame, normalize_end: bool = False) -> DataFrame:
+    """Bronze-shaped rows -> silver columns (``quote_volume = volume * close``).
+
+    ``interval_end`` differs by source (Binance close time ``start + 59.999 s``,
+    Kraken ``start + 1 min``); ``normalize_end=True`` sets it to
+    ``interval_start + interval_seconds`` for every row.
+    """
+    end = F.col("interval_end")
+    if normalize_end:
+        end = F.col("interval_start") + F.make_dt_interval(secs=F.col("interval_seconds"))
     return bronze.select(
         "exchange", "symbol", F.lit(QUOTE_ASSET).alias("quote_asset"),
-        "interval_seconds", "interval_start", "interval_end",
+        "interval_seconds", "interval_start", end.alias("interval_end"),
         "open", "high", "low", "close", "volume",
         (F.col("volume") * F.col("close")).alias("quote_volume"),
         "trade_count", "vwap", "source", "ingestion_ts",

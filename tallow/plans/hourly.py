@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import HOUR_DIR_FORMAT
 from ..operators.bronze import bronze_union
 from ..operators.dedup import dedup_latest
 from ..operators.gaps import backfill_plan, gap_fill_check, gap_report, ws_gaps
@@ -34,7 +33,7 @@ from ..operators.load import parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
 from ..operators.rollup import BUCKETS, rollup
 from ..operators.silver import merge_silver
-from ..schemas import BRONZE, BRONZE_COLS, GOLD, SILVER
+from ..schemas import BRONZE, GOLD, SILVER
 from ..sources.landing import read_landing
 from ..sources.rest import parse_rest
 from ..sources.tables import read_hours, read_window, write_hours
@@ -100,11 +99,12 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     series = pairs.select("exchange", F.col("warehouse_symbol").alias("symbol"))
 
     # 1. WS load of this hour's landing prefix, with reject counters.
-    parsed = parse_ws(read_landing(spark, layout.landing, [h]))
+    parsed = parse_ws(read_landing(spark, layout.landing, [h], with_file=True))
     parsed, ws_obs = run_metrics(parsed, f"ws_load_{this_load}_{uuid.uuid4().hex[:8]}",
                                  rows_skipped=F.col("reject_reason").isNotNull())
     parsed = parsed.checkpoint()          # one pass over the landing hour; fills the counters
-    metrics = {"ws_load": ws_obs.get}
+    metrics = {"ws_load": {**ws_obs.get,
+                           "objects_seen": parsed.select(F.count_distinct("_file")).first()[0]}}
     ws_rows = (parsed.where(F.col("reject_reason").isNull())
                .select("exchange", F.col("_symbol").alias("symbol"),
                        F.col("interval_seconds").cast("int").alias("interval_seconds"),
@@ -176,5 +176,4 @@ def run_backfill(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of,
     return keys
 
 
-__all__ = ["Layout", "RunResult", "run_hour", "run_backfill", "gaps_for", "as_hour",
-           "BRONZE_COLS", "HOUR_DIR_FORMAT"]
+__all__ = ["Layout", "RunResult", "run_hour", "run_backfill", "gaps_for", "as_hour"]

@@ -20,7 +20,7 @@ from ..streaming.streams import (run_available_now, stream_bronze, stream_rollup
                                  stream_silver, stream_silver_merge)
 from .inputs import round_cols
 from .parse_queries import WS_BRONZE_SQL
-from .registry import B_HOUR, S_MIN, _w, dedup_sql, gold_sql, merge_sql, register
+from .registry import S_MIN, _w, gold_sql, merge_sql, register
 
 
 def events_stream(spark, sf_dir, max_files_per_trigger=None):
@@ -79,5 +79,3 @@ def q_stream_silver_merge(spark, d):
     run_available_now(stream_silver_merge(spark, bronze_from_events(stream, "hour"), silver_path, chk))
     return spark.read.parquet(silver_path).select(*SILVER_COLS)
 
-
-__all__ = ["events_stream", "B_HOUR", "dedup_sql"]

@@ -49,22 +49,25 @@ def write_landing(env: DataFrame, root: str, spread: int = 8,
         .partitionBy(*PATH_COLS).json(root))
 
 
-def read_landing(spark: SparkSession, root: str, hours=None) -> DataFrame:
+def read_landing(spark: SparkSession, root: str, hours=None, with_file: bool = False) -> DataFrame:
     """Envelopes landed under ``root``; ``hours`` (datetimes) limits the scan to those prefixes.
 
     With ``hours``, only the matching ``.../year=/month=/day=/hour=``
     directories are resolved (one glob per hour across exchanges and
     symbols) and read, so a run never lists the whole landing zone. The
     path values replace the body's exchange, symbol and interval_minutes,
-    so a landed ``BTC/USD`` reads back as ``BTC-USD``.
+    so a landed ``BTC/USD`` reads back as ``BTC-USD``. ``with_file`` adds
+    ``_file`` (the source file, from the ``_metadata`` column) for counters.
     """
+    cols = [*ENVELOPE_COLS, F.col("_metadata.file_path").alias("_file")] if with_file else ENVELOPE_COLS
     r = spark.read.schema(LANDING_READ).option("timestampFormat", TS_FORMAT).option("basePath", root)
     if hours is None:
-        return r.json(root).select(*ENVELOPE_COLS)
+        return r.json(root).select(*cols)
     base = root.rstrip("/")
     globs = [f"{base}/exchange=*/symbol=*/interval_minutes=*/"
              f"year={h:%Y}/month={h:%m}/day={h:%d}/hour={h:%H}" for h in sorted(set(hours))]
     dirs = existing_paths(spark, globs)
     if not dirs:
-        return spark.createDataFrame([], ENVELOPE)
-    return r.json(dirs).select(*ENVELOPE_COLS)
+        empty = spark.createDataFrame([], ENVELOPE)
+        return empty.withColumn("_file", F.lit(None).cast("string")) if with_file else empty
+    return r.json(dirs).select(*cols)

@@ -83,6 +83,7 @@ def test_hourly_runs_late_minute_gap_fill_and_rerun(spark, scratch):
     rest_rows = silver_hour(spark, layout).where("source = 'kraken_rest'").count()
     assert rest_rows == 2
     assert r1.metrics["ws_load"]["rows_skipped"] == 0
+    assert r1.metrics["ws_load"]["rows"] == 59 + 58 and r1.metrics["ws_load"]["objects_seen"] >= 2
 
     run_hour(spark, "2025-12-01-02:00", layout, pairs)     # window [01:00, 03:00) picks minute 59 up
     assert silver_hour(spark, layout).where("exchange = 'binance'").count() == 60

@@ -174,3 +174,9 @@ def test_thousand_unit_token_one_dimension_row(spark):
     b = bronze(spark, [row(0, symbol="1000REKTUSDT")])
     assert with_canonical_symbol(b, pairs).first().canonical_symbol == "REKT-USD"
     assert pairs.count() == 30
+
+
+def test_to_silver_normalizes_interval_end(spark):
+    b = bronze(spark, [row(0)]).withColumn("interval_end", F.col("interval_start") + F.expr("INTERVAL 59.999 SECONDS"))
+    assert to_silver(b).first().interval_end == m(0) + dt.timedelta(seconds=59.999)
+    assert to_silver(b, normalize_end=True).first().interval_end == m(1)
