@@ -30,6 +30,14 @@ def silver(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: boo
     return to_silver(dedup_latest(b))
 
 
+def silver_and_bounds(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: bool = False):
+    """Silver plus its hour bounds, taken from bronze: dedup keeps every bronze
+    key, so the bounds are equal and the bounds pass skips the dedup shuffle."""
+    b = bronze(spark, sf_dir, grain, by_pair)
+    lo, hi = hour_bounds(b)
+    return to_silver(dedup_latest(b)), lo, hi
+
+
 def series_of(df: DataFrame) -> DataFrame:
     return df.select("exchange", "symbol").distinct()
 
