@@ -100,3 +100,13 @@ def test_hourly_runs_late_minute_gap_fill_and_rerun(spark, scratch):
     assert keys == ["2025-12-01-02:00", "2025-12-01-03:00"]     # hour 01 is complete
     assert run_backfill(spark, layout, pairs.where("canonical_symbol = 'BTC-USD'"),
                         H + dt.timedelta(hours=3), lookback_hours=3) == []   # requested once
+
+
+def test_command_line_runs_an_hour(spark, scratch):
+    from tallow.plans.run import main
+    layout = Layout(scratch)
+    build_inputs(spark, layout)
+    out = main(["--root", scratch, "--hour", "2025-12-01-01:00"])
+    assert out["all_series_complete"] is False
+    assert "binance BTCUSDT 2025-12-01 01:00: 59/60" in out["alerts"]
+    assert len(out["alerts"]) == 29                       # 28 silent series + BTCUSDT at 59
