@@ -76,3 +76,10 @@ def hours(n: int) -> Column:
 
 def micros(n: int) -> Column:
     return F.expr(f"INTERVAL {int(n)} MICROSECONDS")
+
+
+def steps(start, stop, step: Column) -> Column:
+    """``sequence(start, stop, step)``, or an empty array when ``start > stop``
+    (an empty window yields no rows instead of failing the query)."""
+    return F.when(start <= stop, F.sequence(start, stop, step)).otherwise(
+        F.array().cast("array<timestamp>"))

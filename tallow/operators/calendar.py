@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import hours, partition_key, partition_name
+from ..functions.time import hours, partition_key, partition_name, steps
 from ..sources.tables import ts_lit
 
 
@@ -32,7 +32,7 @@ def partition_calendar(base: DataFrame | SparkSession, start, end) -> DataFrame:
         base = base.range(1)
     first = F.date_trunc("hour", ts_lit(start))
     last = F.date_trunc("hour", ts_lit(end)) - hours(1)
-    spine = base.select(F.explode(F.sequence(first, last, hours(1))).alias("hour_start"))
+    spine = base.select(F.explode(steps(first, last, hours(1))).alias("hour_start"))
     return spine.select("hour_start", (F.col("hour_start") + hours(1)).alias("hour_end"),
                         partition_key("hour_start").alias("partition_key"),
                         partition_name("hour_start").alias("partition_name"))

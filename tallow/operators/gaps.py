@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import hours, micros, minute_aligned, minutes, partition_key
+from ..functions.time import hours, micros, minute_aligned, minutes, partition_key, steps
 from ..sources.tables import read_window, ts_lit
 
 
-
 def _hour_floor(v) -> Column:
     return F.date_trunc("hour", ts_lit(v))
 
@@ -26,7 +25,7 @@ def series_hours(series: DataFrame, window_start, window_end) -> DataFrame:
     first = _hour_floor(window_start)
     last = F.date_trunc("hour", ts_lit(window_end) - micros(1))
     return series.select("exchange", "symbol",
-                         F.explode(F.sequence(first, last, hours(1))).alias("hour"))
+                         F.explode(steps(first, last, hours(1))).alias("hour"))
 
 
 def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
@@ -43,8 +42,8 @@ def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> D
     present = (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
                    .agg(F.collect_set("interval_start").alias("present")))
     spine = series_hours(series, ws, we)
-    expected = F.sequence(F.greatest("hour", ws),
-                          F.least(F.col("hour") + minutes(59), we - minutes(1)), minutes(1))
+    expected = steps(F.greatest("hour", ws),
+                     F.least(F.col("hour") + minutes(59), we - minutes(1)), minutes(1))
     missing = F.array_except(expected, F.coalesce("present", F.array().cast("array<timestamp>")))
     return (spine.join(present, ["exchange", "symbol", "hour"], "left")
                  .select("exchange", "symbol", F.explode(missing).alias("interval_start")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.time import hours
+from ..functions.time import hours, steps
 from ..sources.tables import read_window, ts_lit
 from .gaps import series_hours
 
@@ -47,7 +47,7 @@ def hour_ok(silver: DataFrame, pairs: DataFrame, window_start, window_end) -> Da
               .agg(F.count("interval_start").alias("rows")))
     first, last = ws, we - hours(1)
     spine = (silver.sparkSession.range(1)
-             .select(F.explode(F.sequence(first, last, hours(1))).alias("hour")))
+             .select(F.explode(steps(first, last, hours(1))).alias("hour")))
     return (spine.join(counts, "hour", "left")
             .select("hour", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
                     F.lit(expected).cast("long").alias("expected"),

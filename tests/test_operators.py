@@ -180,3 +180,12 @@ def test_to_silver_normalizes_interval_end(spark):
     b = bronze(spark, [row(0)]).withColumn("interval_end", F.col("interval_start") + F.expr("INTERVAL 59.999 SECONDS"))
     assert to_silver(b).first().interval_end == m(0) + dt.timedelta(seconds=59.999)
     assert to_silver(b, normalize_end=True).first().interval_end == m(1)
+
+
+def test_empty_or_partial_minute_windows_do_not_fail(spark):
+    s = _silver(spark, [row(i) for i in range(3)])
+    assert gap_report(s, series(spark), H, H).count() == 0                     # empty window
+    b = bronze(spark, [row(0)])
+    odd_end = H + dt.timedelta(hours=1, seconds=30)                            # ends inside a minute
+    got = ws_gaps(b, series(spark).where("exchange = 'binance'"), H, odd_end).count()
+    assert got == 59
