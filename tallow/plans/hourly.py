@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.bronze import bronze_union
+from ..operators.bronze import append_missing, bronze_union
 from ..operators.dedup import dedup_latest
-from ..operators.gaps import backfill_plan, gap_fill_check, gap_report, ws_gaps
+from ..operators.gaps import backfill_plan, gap_fill_check, gap_report, rest_gap_fill, ws_gaps
 from ..operators.load import parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
 from ..operators.rollup import BUCKETS, rollup
@@ -118,7 +118,9 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     gaps = ws_gaps(ws_known, series, ws, we).checkpoint()
     rest = parse_rest(read_hours(spark, layout.rest, [this_load], REST_STORED, partition_col=LOAD_COL)
                       .drop(LOAD_COL), window_start=ws)
-    fill = rest.join(gaps, ["exchange", "symbol", "interval_start"], "left_semi")
+    # ON CONFLICT DO NOTHING on (silver key, source): a minute already filled
+    # by an earlier run's REST pages is not appended twice
+    fill = append_missing(earlier, rest_gap_fill(rest, gaps))
     loaded = bronze_union(ws_rows, fill).withColumn(LOAD_COL, F.lit(this_load))
     write_hours(loaded, layout.bronze, partition_col=LOAD_COL)
 

@@ -85,7 +85,12 @@ def test_hourly_runs_late_minute_gap_fill_and_rerun(spark, scratch):
     assert r1.metrics["ws_load"]["rows_skipped"] == 0
     assert r1.metrics["ws_load"]["rows"] == 59 + 58 and r1.metrics["ws_load"]["objects_seen"] >= 2
 
+    # the next hour's REST pages cover the same two Kraken minutes again
+    (spark.read.parquet(layout.rest).drop("load_hour").withColumn("load_hour", F.lit("2025-12-01-02"))
+     .write.mode("append").partitionBy("load_hour").parquet(layout.rest))
     run_hour(spark, "2025-12-01-02:00", layout, pairs)     # window [01:00, 03:00) picks minute 59 up
+    rest_bronze = spark.read.parquet(layout.bronze).where("source = 'kraken_rest'")
+    assert rest_bronze.count() == 2                          # not appended a second time
     assert silver_hour(spark, layout).where("exchange = 'binance'").count() == 60
     before = snapshot(spark, layout)
     assert len(before[1]) == 24                              # 12 five-minute buckets x 2 series
