@@ -109,15 +109,18 @@ def read_hours(spark: SparkSession, path: str, hour_values, schema,
     return spark.read.schema(schema).option("basePath", base).parquet(*dirs)
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+def spread_small_scan(df: DataFrame, max_splits: int = 4) -> DataFrame:
+    """Round-robin a tiny scan (at most ``max_splits`` splits) over all cores.
 
     A single small file (one Parquet row group) is read by one task, and
     every shuffle-free step after it (JSON parsing, projections) would
-    run in that task alone. Large inputs already have more splits than
-    cores and are returned unchanged, so no shuffle is added at scale.
+    run in that task alone. Only such tiny inputs (a few splits of at most
+    ``spark.sql.files.maxPartitionBytes`` each) are spread; a real scan
+    already has many splits and is returned unchanged, so no shuffle is
+    added at scale.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    want = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n <= max_splits and n < want:
         return df.repartition(want)
     return df
