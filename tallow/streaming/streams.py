@@ -41,6 +41,13 @@ SILVER_PARTITIONED = T.StructType([*SILVER.fields, T.StructField(PARTITION_COL,
 RAW_FEED = "exchange string, symbol string, interval_minutes int, received_ts timestamp, msg string"
 
 
+def _trigger(writer, trigger_seconds: int | None):
+    """Process what is there and stop (``availableNow``), or run every ``trigger_seconds``."""
+    if trigger_seconds:
+        return writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    return writer.trigger(availableNow=True)
+
+
 def run_available_now(query: StreamingQuery) -> StreamingQuery:
     """Wait for an ``availableNow`` query and surface its failure."""
     query.awaitTermination()
@@ -49,9 +56,14 @@ def run_available_now(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def read_raw_feed(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of raw messages: JSON lines ``{exchange, symbol, interval_minutes, received_ts, msg}``."""
-    r = spark.readStream.schema(RAW_FEED)
+def read_raw_feed(spark: SparkSession, src: str, max_files_per_trigger: int | None = None,
+                  source_options: dict | None = None) -> DataFrame:
+    """Stream of raw messages: JSON lines ``{exchange, symbol, interval_minutes, received_ts, msg}``.
+
+    ``source_options`` go to the file source, e.g. ``{"cleanSource": "delete"}``
+    to drop processed feed files (the feed's local retention).
+    """
+    r = spark.readStream.schema(RAW_FEED).options(**(source_options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(src)
@@ -65,32 +77,39 @@ def feed_envelopes(raw: DataFrame) -> DataFrame:
 
 
 def stream_landing(spark: SparkSession, src: str, landing_root: str, checkpoint: str,
-                   trigger_seconds: int | None = None) -> StreamingQuery:
+                   trigger_seconds: int | None = None, max_records_per_file: int = 500,
+                   source_options: dict | None = None) -> StreamingQuery:
     """Raw feed files -> Hive-partitioned landing JSON (the feed's writer).
 
-    ``trigger_seconds`` gives the reference's 30-second flush cadence;
-    ``None`` processes what is there and stops (``availableNow``).
+    ``trigger_seconds=30`` and ``max_records_per_file=500`` give the
+    reference's flush rule (every 30 s, at most 500 rows per object);
+    ``trigger_seconds=None`` processes what is there and stops.
     """
-    env = landing_frame(feed_envelopes(read_raw_feed(spark, src)))
+    env = landing_frame(feed_envelopes(read_raw_feed(spark, src, source_options=source_options)))
     w = (env.writeStream.format("json").option("path", landing_root)
          .option("checkpointLocation", checkpoint).option("timestampFormat", TS_FORMAT)
+         .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy(*PATH_COLS).outputMode("append"))
-    w = w.trigger(processingTime=f"{trigger_seconds} seconds") if trigger_seconds else w.trigger(availableNow=True)
-    return w.start()
+    return _trigger(w, trigger_seconds).start()
 
 
 def stream_bronze(spark: SparkSession, src: str, bronze_path: str, checkpoint: str,
-                  from_landing: bool = False) -> StreamingQuery:
-    """Raw feed (or landing) files -> bronze Parquet, partitioned by hour."""
+                  from_landing: bool = False, trigger_seconds: int | None = None,
+                  source_options: dict | None = None) -> StreamingQuery:
+    """Raw feed (or landing) files -> bronze Parquet, partitioned by hour.
+
+    The Parquet file sink commits each micro-batch through its metadata
+    log, so a replayed batch is never appended twice.
+    """
     if from_landing:
-        env = (spark.readStream.schema(LANDING_READ).option("timestampFormat", TS_FORMAT)
-               .json(src).select(*ENVELOPE_COLS))
+        env = (spark.readStream.schema(LANDING_READ).options(**(source_options or {}))
+               .option("timestampFormat", TS_FORMAT).json(src).select(*ENVELOPE_COLS))
     else:
-        env = feed_envelopes(read_raw_feed(spark, src))
+        env = feed_envelopes(read_raw_feed(spark, src, source_options=source_options))
     out = with_hour_partition(to_bronze(env))
-    return (out.writeStream.format("parquet").option("path", bronze_path)
-            .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL)
-            .outputMode("append").trigger(availableNow=True).start())
+    w = (out.writeStream.format("parquet").option("path", bronze_path)
+         .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL).outputMode("append"))
+    return _trigger(w, trigger_seconds).start()
 
 
 def final_candles(bronze_stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -99,19 +118,19 @@ def final_candles(bronze_stream: DataFrame, lateness: str = LATENESS) -> DataFra
 
 
 def stream_silver(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
-                  lateness: str = LATENESS) -> StreamingQuery:
+                  lateness: str = LATENESS, trigger_seconds: int | None = None) -> StreamingQuery:
     out = with_hour_partition(final_candles(bronze_stream, lateness))
-    return (out.writeStream.format("parquet").option("path", silver_path)
-            .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL)
-            .outputMode("append").trigger(availableNow=True).start())
+    w = (out.writeStream.format("parquet").option("path", silver_path)
+         .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL).outputMode("append"))
+    return _trigger(w, trigger_seconds).start()
 
 
 def stream_rollup(bronze_stream: DataFrame, gold_path: str, minutes: int, checkpoint: str,
-                  lateness: str = LATENESS) -> StreamingQuery:
+                  lateness: str = LATENESS, trigger_seconds: int | None = None) -> StreamingQuery:
     out = with_hour_partition(rollup(final_candles(bronze_stream, lateness), minutes))
-    return (out.writeStream.format("parquet").option("path", gold_path)
-            .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL)
-            .outputMode("append").trigger(availableNow=True).start())
+    w = (out.writeStream.format("parquet").option("path", gold_path)
+         .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL).outputMode("append"))
+    return _trigger(w, trigger_seconds).start()
 
 
 def merge_batch_into_silver(spark: SparkSession, silver_path: str):
@@ -135,6 +154,7 @@ def merge_batch_into_silver(spark: SparkSession, silver_path: str):
 
 
 def stream_silver_merge(spark: SparkSession, bronze_stream: DataFrame, silver_path: str,
-                        checkpoint: str) -> StreamingQuery:
-    return (bronze_stream.writeStream.foreachBatch(merge_batch_into_silver(spark, silver_path))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+                        checkpoint: str, trigger_seconds: int | None = None) -> StreamingQuery:
+    w = (bronze_stream.writeStream.foreachBatch(merge_batch_into_silver(spark, silver_path))
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger_seconds).start()
