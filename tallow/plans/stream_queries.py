@@ -53,7 +53,8 @@ CLOSED = "(SELECT max(interval_start) - INTERVAL 2 HOUR FROM ({s}) m)"
     SELECT * FROM ({S_MIN}) s WHERE interval_start <= {CLOSED.format(s=S_MIN)}"""))
 def q_stream_silver(spark, d):
     out, chk = shared_dir(spark, "silver"), shared_dir(spark, "chk")
-    run_available_now(stream_silver(bronze_from_events(events_stream(spark, d)), out, chk))
+    run_available_now(stream_silver(bronze_from_events(events_stream(spark, d)), out, chk,
+                                    n_state_partitions=spark.sparkContext.defaultParallelism))
     return spark.read.parquet(out).select(*SILVER_COLS)
 
 
@@ -61,7 +62,8 @@ def q_stream_silver(spark, d):
     SELECT * FROM ({gold_sql(S_MIN, 5)}) g WHERE interval_end <= {CLOSED.format(s=S_MIN)}"""))
 def q_stream_rollup(spark, d):
     out, chk = shared_dir(spark, "gold5m"), shared_dir(spark, "chk")
-    run_available_now(stream_rollup(bronze_from_events(events_stream(spark, d)), out, 5, chk))
+    run_available_now(stream_rollup(bronze_from_events(events_stream(spark, d)), out, 5, chk,
+                                    n_state_partitions=spark.sparkContext.defaultParallelism))
     return round_cols(spark.read.parquet(out).select(*GOLD_COLS), {"quote_volume"})
 
 

@@ -37,11 +37,9 @@ def write_landing(env: DataFrame, root: str, spread: int = 8,
     ``spread`` files and a hot series-hour is still written by ``spread``
     tasks rather than one.
     """
-    spark = env.sparkSession
-    # An explicit partition count: AQE would otherwise coalesce a small
-    # input into one task that then creates every landing file serially.
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism)
+    # One writer task per core, stated explicitly: AQE would otherwise
+    # coalesce a small input into one task that creates every file serially.
+    n = env.sparkSession.sparkContext.defaultParallelism
     salt = F.pmod(F.xxhash64("event_ts", "payload"), F.lit(spread))
     (landing_frame(env).repartition(n, *PATH_COLS, salt)
         .write.mode("append").option("timestampFormat", TS_FORMAT)

@@ -21,6 +21,8 @@ in the shared checkpoint location), so a restarted query resumes.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,26 @@ def _trigger(writer, trigger_seconds: int | None):
     return writer.trigger(availableNow=True)
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Start a stateful query with ``n`` state partitions, then restore the conf.
+
+    A stream fixes its number of state partitions at its first start (from
+    ``spark.sql.shuffle.partitions``, cloned with the session); size it to the
+    cluster's cores or state volume rather than the batch default.
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, prev)
+
+
 def run_available_now(query: StreamingQuery) -> StreamingQuery:
     """Wait for an ``availableNow`` query and surface its failure."""
     query.awaitTermination()
@@ -118,19 +140,23 @@ def final_candles(bronze_stream: DataFrame, lateness: str = LATENESS) -> DataFra
 
 
 def stream_silver(bronze_stream: DataFrame, silver_path: str, checkpoint: str,
-                  lateness: str = LATENESS, trigger_seconds: int | None = None) -> StreamingQuery:
+                  lateness: str = LATENESS, trigger_seconds: int | None = None,
+                  n_state_partitions: int | None = None) -> StreamingQuery:
     out = with_hour_partition(final_candles(bronze_stream, lateness))
     w = (out.writeStream.format("parquet").option("path", silver_path)
          .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL).outputMode("append"))
-    return _trigger(w, trigger_seconds).start()
+    with state_partitions(bronze_stream.sparkSession, n_state_partitions):
+        return _trigger(w, trigger_seconds).start()
 
 
 def stream_rollup(bronze_stream: DataFrame, gold_path: str, minutes: int, checkpoint: str,
-                  lateness: str = LATENESS, trigger_seconds: int | None = None) -> StreamingQuery:
+                  lateness: str = LATENESS, trigger_seconds: int | None = None,
+                  n_state_partitions: int | None = None) -> StreamingQuery:
     out = with_hour_partition(rollup(final_candles(bronze_stream, lateness), minutes))
     w = (out.writeStream.format("parquet").option("path", gold_path)
          .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL).outputMode("append"))
-    return _trigger(w, trigger_seconds).start()
+    with state_partitions(bronze_stream.sparkSession, n_state_partitions):
+        return _trigger(w, trigger_seconds).start()
 
 
 def merge_batch_into_silver(spark: SparkSession, silver_path: str):
