@@ -34,6 +34,7 @@ from ..operators.quality import completeness, hour_ok, run_metrics
 from ..operators.rollup import BUCKETS, rollup
 from ..operators.silver import merge_silver
 from ..schemas import BRONZE, GOLD, SILVER
+from ..session import checkpoint_root
 from ..sources.landing import read_landing
 from ..sources.rest import parse_rest
 from ..sources.tables import read_hours, read_window, write_hours
@@ -92,6 +93,7 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     previous hour that landed late (e.g. minute 59 after the hour) are
     merged by the next run.
     """
+    checkpoint_root(spark)                # stages below cut lineage into the shared folder
     h = as_hour(key)
     ws, we = h - dt.timedelta(hours=1), h + dt.timedelta(hours=1)
     loads = [hour_value(h + dt.timedelta(hours=i)) for i in (-1, 0, 1)]

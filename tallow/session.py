@@ -47,12 +47,12 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder, registered for ``DataFrame.checkpoint()``.
 
-    The setting is read from the session. Only when it is unset (local
-    tests) do we pick a local temporary folder and register it, so that
-    ``DataFrame.checkpoint()`` and our scratch tables land in one place.
+    Read from the session (``spark.checkpoint.dir``). Only when it is unset
+    in a local session (tests) is a local temporary folder chosen; on a
+    cluster an unset setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -62,8 +62,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         except Exception:
             root = None
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every "
+                               "executor can reach (e.g. on HDFS or an object store)")
         root = tempfile.mkdtemp(prefix="tallow-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
-    return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
+    return root
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh, unique folder under the shared checkpoint folder."""
+    return "/".join([checkpoint_root(spark).rstrip("/"), *parts, uuid.uuid4().hex])

@@ -33,6 +33,7 @@ from ..operators.load import to_bronze
 from ..operators.rollup import rollup
 from ..operators.silver import merge_silver, to_silver
 from ..schemas import LANDING_READ, SILVER
+from ..session import checkpoint_root
 from ..sources.landing import PATH_COLS, TS_FORMAT, landing_frame
 from ..sources.messages import ENVELOPE_COLS, envelope_binance, envelope_kraken
 from ..sources.tables import PARTITION_COL, read_hours, with_hour_partition, write_hours
@@ -167,6 +168,8 @@ def merge_batch_into_silver(spark: SparkSession, silver_path: str):
     result is checkpointed to the shared checkpoint folder first, which
     cuts the lineage to the partitions being replaced.
     """
+    checkpoint_root(spark)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         src = with_hour_partition(dedup_latest(batch)).persist()
         # The touched hours are few (bounded by the batch's time span).
