@@ -1,12 +1,13 @@
 """Column-level helpers (pure ``Column -> Column`` built-ins)."""
 
 from .symbols import normalize_symbol, symbol_from_path
-from .time import (bucket_start, hour_of, hour_partition, minute_aligned,
-                   partition_key, partition_key_to_ts, partition_name,
-                   to_iso, interval_label)
+from .time import (bucket_start, from_epoch_ms, from_epoch_ns, hour_of, hour_partition,
+                   hours, interval_label, micros, minute_aligned, minutes, partition_key,
+                   partition_key_to_ts, partition_name, steps, to_iso)
 
 __all__ = [
-    "bucket_start", "hour_of", "hour_partition", "minute_aligned", "partition_key",
-    "partition_key_to_ts", "partition_name", "to_iso", "interval_label",
+    "bucket_start", "from_epoch_ms", "from_epoch_ns", "hour_of", "hour_partition", "hours",
+    "interval_label", "micros", "minute_aligned", "minutes", "partition_key",
+    "partition_key_to_ts", "partition_name", "steps", "to_iso",
     "normalize_symbol", "symbol_from_path",
 ]

@@ -83,3 +83,14 @@ def steps(start, stop, step: Column) -> Column:
     (an empty window yields no rows instead of failing the query)."""
     return F.when(start <= stop, F.sequence(start, stop, step)).otherwise(
         F.array().cast("array<timestamp>"))
+
+
+def from_epoch_ms(c) -> Column:
+    """Epoch milliseconds -> timestamp."""
+    return F.timestamp_millis(_c(c).cast("long"))
+
+
+def from_epoch_ns(c) -> Column:
+    """Epoch nanoseconds -> timestamp (microsecond precision, floor)."""
+    ns = _c(c).cast("long")
+    return F.timestamp_micros(((ns - F.pmod(ns, F.lit(1000))) / 1000).cast("long"))

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallow.functions import (interval_label, normalize_symbol, partition_key, partition_key_to_ts,
+from tallow.functions import (from_epoch_ms, from_epoch_ns, interval_label, to_iso, normalize_symbol, partition_key, partition_key_to_ts,
                               partition_name, symbol_from_path)
 from tallow.operators.calendar import (calendar_around, last_completed_hour, merge_window,
                                        partition_calendar, ready_partitions)
@@ -53,3 +53,12 @@ def test_symbol_helpers(spark):
             symbol_from_path(F.lit("s3a://b/exchange=kraken/x.json")).alias("none"),
             normalize_symbol(F.lit("BTC/USD")).alias("a"), normalize_symbol(F.lit("BTC-USD")).alias("b"))
     assert (r.p, r.none, r.a, r.b) == ("ETH-USD", None, "BTCUSD", "BTCUSD")
+
+
+def test_epoch_and_iso(spark):
+    r = one(spark, from_epoch_ms(F.lit(1764550800123)).alias("ms"),
+            from_epoch_ns(F.lit(1764550800123456789)).alias("ns"),
+            to_iso(from_epoch_ns(F.lit(1764550800123456789))).alias("iso"))
+    assert r.ms == dt.datetime(2025, 12, 1, 1, 0, 0, 123000)
+    assert r.ns == dt.datetime(2025, 12, 1, 1, 0, 0, 123456)
+    assert r.iso == "2025-12-01T01:00:00.123456Z"
