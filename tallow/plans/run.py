@@ -1,7 +1,7 @@
 """Command line for the hourly job and the gap backfill (what a scheduler calls).
 
-    spark-submit -m tallow.plans.run --root s3a://bucket/candles --hour 2025-12-01-05:00
-    spark-submit -m tallow.plans.run --root s3a://bucket/candles --backfill --as-of "2025-12-01 18:00:00"
+    spark-submit --py-files tallow.zip scripts/run_hour.py --root s3a://bucket/candles --hour 2025-12-01-05:00
+    python -m tallow.plans.run --root /data/candles --backfill --as-of "2025-12-01 18:00:00"
 
 Prints one JSON line: the run counters and the completeness alerts of the
 hour (or the keys a backfill re-ran). Only the alert rows of one hour
