@@ -10,7 +10,6 @@ from ..schemas import BRONZE_COLS
 
 # Fixed value: keys a Kraken candle must carry (presence, not non-null).
 KRAKEN_REQUIRED = ("open", "high", "low", "close", "volume", "vwap", "trades")
-EXCHANGES = ("binance", "kraken")
 
 
 def _num(c: Column, strict: bool, to: str = "double") -> Column:

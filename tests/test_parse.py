@@ -142,3 +142,11 @@ def test_rest_kraken_window_start_and_error(spark):
     bad = spark.createDataFrame([("coinx", "BTC", FETCHED, "[]")], REST)
     with pytest.raises(PySparkException, match="Unsupported exchange"):
         parse_rest(bad).collect()
+
+
+def test_bad_number_rejected_or_fails_when_strict(spark):
+    env = binance(spark, with_k(o="abc"), BIN)
+    assert [r.reject_reason for r in rejects(env).collect()] == ["bad_value"]
+    assert to_bronze(env).count() == 1
+    with pytest.raises(PySparkException):
+        to_bronze(env, strict=True).collect()
