@@ -20,7 +20,7 @@ row_st = st.tuples(
     st.sampled_from(["ws", "rest"]),
 )
 
-SETTINGS = settings(max_examples=12, deadline=None,
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True,
                     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 
 
