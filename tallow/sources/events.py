@@ -4,8 +4,9 @@ The supplied tables hold no market data, so test and benchmark queries
 derive bronze rows from ``events`` with fixed rules:
 
 * exchange ``binance`` for even ``user_id``, else ``kraken``;
-* symbol = ``event_type`` (or a pair from the pair dimension, ``symbols="pairs"``);
-* interval_start = ``date_trunc(grain, ts)``, interval_seconds = 60 or 3600; open = high = low = close = vwap = ``value``;
+* symbol = ``event_type``, or, given ``pairs=``, the dimension row ``user_id % 30``;
+* interval_start = ``date_trunc(grain, ts)``, interval_seconds = 60 or 3600;
+* open = high = low = close = vwap = ``value``;
 * volume = ``props.k``; trade_count = 1; ingestion_ts = ``ts``;
 * source ``{exchange}_rest`` when ``event_id % 3 = 0``, else ``{exchange}_ws``.
 """
