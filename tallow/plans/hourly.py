@@ -31,7 +31,7 @@ from ..operators.dedup import dedup_latest
 from ..operators.gaps import backfill_plan, gap_fill_check, gap_report, rest_gap_fill, ws_gaps
 from ..operators.load import parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
-from ..operators.rollup import BUCKETS, rollup
+from ..operators.rollup import BUCKETS, gold_from_gold, rollup
 from ..operators.silver import merge_silver
 from ..schemas import BRONZE, GOLD, SILVER
 from ..session import checkpoint_root
@@ -85,13 +85,15 @@ class RunResult:
 
 
 def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
-             update_cols=None) -> RunResult:
+             update_cols=None, gold_from_5m: bool = False) -> RunResult:
     """Run partition ``key``: load, gap-fill, merge, roll up and report.
 
     ``pairs`` is the series dimension (``sources.pairs.pair_dimension``).
     The merge window is ``[hour - 1h, hour + 1h)``, so rows of the
     previous hour that landed late (e.g. minute 59 after the hour) are
-    merged by the next run.
+    merged by the next run. ``gold_from_5m=True`` folds the 15m/30m/1h
+    candles from the 5m partitions just written (one fifth of the rows)
+    instead of re-reading silver; the result is the same.
     """
     checkpoint_root(spark)                # stages below cut lineage into the shared folder
     h = as_hour(key)
@@ -137,7 +139,12 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     # 4. Gold: every bucket of the two touched hours is rebuilt from silver.
     silver_w = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
     for name, minutes in BUCKETS.items():
-        write_hours(rollup(silver_w, minutes), getattr(layout, f"gold_{name}"))
+        if gold_from_5m and name != "5m":
+            five = read_hours(spark, layout.gold_5m, silver_hours, GOLD_STORED).drop("hour")
+            gold = gold_from_gold(five, minutes)
+        else:
+            gold = rollup(silver_w, minutes)
+        write_hours(gold, getattr(layout, f"gold_{name}"))
 
     # 5. Reports for the hour, and the run log.
     bronze_after = read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)

@@ -30,6 +30,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--lookback-hours", type=int, default=12)
     ap.add_argument("--reference-update-cols", action="store_true",
                     help="update only the reference's nine silver columns on merge")
+    ap.add_argument("--gold-from-5m", action="store_true",
+                    help="fold 15m/30m/1h candles from the 5m partitions instead of silver")
     args = ap.parse_args(argv)
     spark = build_session()
     layout, pairs = Layout(args.root), pair_dimension(spark)
@@ -39,7 +41,7 @@ def main(argv=None) -> dict:
     else:
         from ..schemas import REFERENCE_UPDATE_COLS
         upd = REFERENCE_UPDATE_COLS if args.reference_update_cols else None
-        r = run_hour(spark, args.hour, layout, pairs, update_cols=upd)
+        r = run_hour(spark, args.hour, layout, pairs, update_cols=upd, gold_from_5m=args.gold_from_5m)
         texts = [a.text for a in alerts(r.completeness).select("text").orderBy("text").collect()]
         ok = r.hour_ok.select(F.col("ok")).first()
         out = {"hour": args.hour, "metrics": r.metrics, "all_series_complete": bool(ok and ok.ok),

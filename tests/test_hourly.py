@@ -136,8 +136,11 @@ def test_hourly_runs_equal_batch_operators(spark, scratch):
             for t in ("click", "error", "purchase", "signup", "view"))],
         "pair_id int, exchange string, canonical_symbol string, rest_pair string, ws_pair string, "
         "warehouse_symbol string")
+    folded = Layout(f"{scratch}/folded")
+    write_landing(env, folded.landing)
     for h in hours:
         run_hour(spark, h, layout, pairs)
+        run_hour(spark, h, folded, pairs, gold_from_5m=True)
     expected = to_silver(dedup_latest(to_bronze(env)))
     got = spark.read.parquet(layout.silver).drop("hour")
     assert got.count() == expected.count() > 0
@@ -146,3 +149,8 @@ def test_hourly_runs_equal_batch_operators(spark, scratch):
     gold = rounded(spark.read.parquet(layout.gold_5m).drop("hour"))
     want = rounded(rollup(expected, 5))
     assert gold.exceptAll(want).count() == 0 and want.exceptAll(gold).count() == 0
+    for size in ("gold_15m", "gold_30m", "gold_1h"):
+        a = rounded(spark.read.parquet(getattr(layout, size)))
+        b = rounded(spark.read.parquet(getattr(folded, size)))
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
