@@ -18,7 +18,8 @@ from ..sources.pairs import pair_dimension
 
 
 def bronze(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: bool = False) -> DataFrame:
-    ev = read_events(spark, sf_dir)
+    # no spreading: the first step downstream is a partial aggregate, cheap in the scan task
+    ev = read_events(spark, sf_dir, spread=False)
     return bronze_from_events(ev, grain, pairs=pair_dimension(spark) if by_pair else None)
 
 

@@ -22,10 +22,17 @@ from .tables import spread_small_scan
 GRAIN_SECONDS = {"minute": 60, "hour": 3600}
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read ``events`` and cast its ``TIMESTAMP_NTZ`` once to ``TIMESTAMP`` (UTC)."""
+def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """Read ``events`` and cast its ``TIMESTAMP_NTZ`` once to ``TIMESTAMP`` (UTC).
+
+    ``spread`` round-robins a tiny scan over all cores (``spread_small_scan``);
+    worth it before row-local CPU work (JSON building and parsing), not before
+    an aggregation, whose partial step is cheap in the scan task.
+    """
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spread_small_scan(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    if spread:
+        ev = spread_small_scan(ev)
+    return ev.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def exchange_of_user() -> F.Column:
