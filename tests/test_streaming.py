@@ -76,3 +76,20 @@ def test_final_candles_keep_latest_update(spark, scratch):
     run_available_now(q)
     got = {r.interval_start: r.close for r in spark.read.parquet(f"{scratch}/silver").collect()}
     assert got == {H: 2.0, H + dt.timedelta(minutes=1): 3.0}
+
+
+def test_continuous_trigger_landing(spark, scratch):
+    from tallow.sources.landing import read_landing
+    ev = read_events(spark, SF_SMALL)
+    feed = f"{scratch}/feed"
+    (binance_messages(ev).select(F.lit("binance").alias("exchange"), "symbol", "interval_minutes",
+                                 F.lit(None).cast("timestamp").alias("received_ts"), "msg")
+     .write.json(feed))
+    q = stream_landing(spark, feed, f"{scratch}/landing", f"{scratch}/chk", trigger_seconds=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    landed = read_landing(spark, f"{scratch}/landing")
+    assert landed.count() == binance_messages(ev).count() > 0
+    assert landed.where("exchange = 'binance' AND symbol LIKE '%USDT'").count() == landed.count()
