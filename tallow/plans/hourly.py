@@ -65,9 +65,14 @@ class Layout:
 
 
 def as_hour(key) -> dt.datetime:
-    """Partition key ``yyyy-MM-dd-HH:mm`` or a datetime -> hour start (naive UTC)."""
+    """Partition key ``yyyy-MM-dd-HH:mm``, ISO-8601 text or a datetime -> hour start (naive UTC)."""
     if isinstance(key, str):
-        key = dt.datetime.strptime(key, "%Y-%m-%d-%H:%M")
+        try:
+            key = dt.datetime.strptime(key, "%Y-%m-%d-%H:%M")
+        except ValueError:
+            key = dt.datetime.fromisoformat(key.replace("Z", "+00:00"))
+    if key.tzinfo is not None:
+        key = key.astimezone(dt.timezone.utc)
     return key.replace(minute=0, second=0, microsecond=0, tzinfo=None)
 
 

@@ -62,3 +62,13 @@ def test_epoch_and_iso(spark):
     assert r.ms == dt.datetime(2025, 12, 1, 1, 0, 0, 123000)
     assert r.ns == dt.datetime(2025, 12, 1, 1, 0, 0, 123456)
     assert r.iso == "2025-12-01T01:00:00.123456Z"
+
+
+def test_as_hour_accepts_keys_iso_and_datetimes():
+    from tallow.plans.hourly import as_hour
+    h = dt.datetime(2025, 12, 1, 18)
+    assert as_hour("2025-12-01-18:00") == h
+    assert as_hour("2025-12-01 18:42:10") == h
+    assert as_hour("2025-12-01T19:42:10+01:00") == h
+    assert as_hour("2025-12-01T18:05:00Z") == h
+    assert as_hour(dt.datetime(2025, 12, 1, 18, 59)) == h
