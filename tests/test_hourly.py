@@ -115,6 +115,8 @@ def test_command_line_runs_an_hour(spark, scratch):
     assert out["all_series_complete"] is False
     assert "binance BTCUSDT 2025-12-01 01:00: 59/60" in out["alerts"]
     assert len(out["alerts"]) == 29                       # 28 silent series + BTCUSDT at 59
+    back = main(["--root", scratch, "--backfill", "--as-of", "2025-12-01 03:10:00", "--lookback-hours", "1"])
+    assert back["backfilled"] == ["2025-12-01-02:00"]
 
 
 def test_hourly_runs_equal_batch_operators(spark, scratch):
