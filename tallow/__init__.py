@@ -22,7 +22,7 @@ from .session import build_session, shared_dir
 from .sources.landing import read_landing, write_landing
 from .sources.messages import drop_heartbeats, envelope_binance, envelope_kraken
 from .sources.pairs import pair_dimension
-from .sources.rest import parse_rest
+from .sources.rest import land_rest_pages, parse_rest
 
 __version__ = "0.1.0"
 
@@ -33,5 +33,5 @@ __all__ = [
     "rest_gap_fill", "rollup", "to_silver", "upsert", "with_canonical_symbol", "ws_gaps",
     "bronze_binance", "bronze_kraken", "rejects", "to_bronze", "Layout", "run_backfill", "run_hour",
     "build_session", "shared_dir", "read_landing", "write_landing", "drop_heartbeats",
-    "envelope_binance", "envelope_kraken", "pair_dimension", "parse_rest",
+    "envelope_binance", "envelope_kraken", "pair_dimension", "parse_rest", "land_rest_pages",
 ]

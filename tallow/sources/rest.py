@@ -82,3 +82,13 @@ def parse_rest_binance(resp: DataFrame, reference_vwap: bool = False) -> DataFra
 
 def parse_rest_kraken(resp: DataFrame, window_start=None) -> DataFrame:
     return parse_rest(resp.where(F.col("exchange") == "kraken"), window_start)
+
+
+def land_rest_pages(resp: DataFrame, root: str, load_hour) -> None:
+    """Append fetched REST responses ``(exchange, pair, fetched_ts, body)`` under
+    ``root/load_hour=<yyyy-MM-dd-HH>/`` (Parquet), where ``run_hour`` of that
+    hour picks them up."""
+    value = load_hour if isinstance(load_hour, str) else load_hour.strftime("%Y-%m-%d-%H")
+    (resp.select("exchange", "pair", F.col("fetched_ts").cast("timestamp").alias("fetched_ts"), "body")
+         .withColumn("load_hour", F.lit(value))
+         .write.mode("append").partitionBy("load_hour").parquet(root))

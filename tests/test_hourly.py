@@ -10,6 +10,7 @@ from tallow.plans.hourly import (GOLD_STORED, SILVER_STORED, Layout, gaps_for, r
 from tallow.sources.landing import read_landing, write_landing
 from tallow.sources.messages import envelope_binance, envelope_kraken
 from tallow.sources.pairs import pair_dimension
+from tallow.sources.rest import land_rest_pages
 from tallow.sources.tables import read_hours
 
 H = dt.datetime(2025, 12, 1, 1, 0)
@@ -50,9 +51,9 @@ def build_inputs(spark, layout):
     write_landing(env, layout.landing)
     body = json.dumps({"error": [], "result": {"XXBTZUSD": [
         [int((t - EPOCH).total_seconds()), "7", "8", "6", "7", "7", "1.0", 1] for t in mins], "last": 0}})
-    (spark.createDataFrame([("kraken", "BTC/USD", H + dt.timedelta(hours=1, minutes=3), body)],
-                           "exchange string, pair string, fetched_ts timestamp, body string")
-     .withColumn("load_hour", F.lit("2025-12-01-01")).write.partitionBy("load_hour").parquet(layout.rest))
+    land_rest_pages(spark.createDataFrame([("kraken", "BTC/USD", H + dt.timedelta(hours=1, minutes=3), body)],
+                                          "exchange string, pair string, fetched_ts timestamp, body string"),
+                    layout.rest, H)
 
 
 def silver_hour(spark, layout, h="2025-12-01-01"):
