@@ -32,7 +32,7 @@ from ..operators.gaps import backfill_plan, gap_fill_check, gap_report, rest_gap
 from ..operators.load import parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
 from ..operators.rollup import BUCKETS, gold_from_gold, rollup
-from ..operators.silver import merge_silver
+from ..operators.silver import assert_unique, merge_silver
 from ..schemas import BRONZE, GOLD, SILVER
 from ..session import checkpoint_root
 from ..sources.landing import read_landing
@@ -90,7 +90,7 @@ class RunResult:
 
 
 def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
-             update_cols=None, gold_from_5m: bool = False) -> RunResult:
+             update_cols=None, gold_from_5m: bool = False, check_unique: bool = True) -> RunResult:
     """Run partition ``key``: load, gap-fill, merge, roll up and report.
 
     ``pairs`` is the series dimension (``sources.pairs.pair_dimension``).
@@ -98,7 +98,9 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     previous hour that landed late (e.g. minute 59 after the hour) are
     merged by the next run. ``gold_from_5m=True`` folds the 15m/30m/1h
     candles from the 5m partitions just written (one fifth of the rows)
-    instead of re-reading silver; the result is the same.
+    instead of re-reading silver; the result is the same. ``check_unique``
+    fails the run if the two rewritten silver hours hold a key twice (the
+    reference's unique index, checked with one aggregation).
     """
     checkpoint_root(spark)                # stages below cut lineage into the shared folder
     h = as_hour(key)
@@ -143,6 +145,8 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
 
     # 4. Gold: every bucket of the two touched hours is rebuilt from silver.
     silver_w = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
+    if check_unique:
+        assert_unique(silver_w)
     for name, minutes in BUCKETS.items():
         if gold_from_5m and name != "5m":
             five = read_hours(spark, layout.gold_5m, silver_hours, GOLD_STORED).drop("hour")
