@@ -119,8 +119,11 @@ def spread_small_scan(df: DataFrame, max_splits: int = 4) -> DataFrame:
     already has many splits and is returned unchanged, so no shuffle is
     added at scale.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): skip
+        return df
     if n <= max_splits and n < want:
         return df.repartition(want)
     return df
