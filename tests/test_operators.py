@@ -189,3 +189,15 @@ def test_empty_or_partial_minute_windows_do_not_fail(spark):
     odd_end = H + dt.timedelta(hours=1, seconds=30)                            # ends inside a minute
     got = ws_gaps(b, series(spark).where("exchange = 'binance'"), H, odd_end).count()
     assert got == 59
+
+
+def test_health_report_counts_mix_vwap_and_lag(spark):
+    from tallow.operators import health_report
+    rows = [row(0, 10.0, volume=1.0), row(1, 20.0, volume=3.0, source="binance_rest", ingest=90)]
+    r = health_report(_silver(spark, rows)).first()
+    assert (r.candles, r.minutes, r.ws_rows, r.rest_rows) == (2, 2, 1, 1)
+    assert r.completeness == pytest.approx(2 / 60)
+    assert (r.high, r.low, r.volume, r.quote_volume) == (21.0, 9.0, 4.0, 70.0)
+    assert r.vwap == pytest.approx(70.0 / 4.0)
+    # ingestion_ts - interval_end: row 1 is ingested 60 s after its minute closed
+    assert r.max_lag_seconds == pytest.approx(60.0)
