@@ -133,7 +133,11 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     # by an earlier run's REST pages is not appended twice
     fill = append_missing(earlier, rest_gap_fill(rest, gaps))
     loaded = bronze_union(ws_rows, fill).withColumn(LOAD_COL, F.lit(this_load))
+    loaded, append_obs = run_metrics(loaded, f"bronze_append_{this_load}_{uuid.uuid4().hex[:8]}",
+                                     ws_rows=F.col("source").endswith("_ws"),
+                                     rest_rows=F.col("source").endswith("_rest"))
     write_hours(loaded, layout.bronze, partition_col=LOAD_COL)
+    metrics["bronze_append"] = append_obs.get
 
     # 3. Silver merge over the window (touched hours only).
     bronze_w = read_window(read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)

@@ -85,6 +85,7 @@ def test_hourly_runs_late_minute_gap_fill_and_rerun(spark, scratch):
     assert rest_rows == 2
     assert r1.metrics["ws_load"]["rows_skipped"] == 0
     assert r1.metrics["ws_load"]["rows"] == 59 + 58 and r1.metrics["ws_load"]["objects_seen"] >= 2
+    assert r1.metrics["bronze_append"] == {"rows": 59 + 58 + 2, "ws_rows": 59 + 58, "rest_rows": 2}
 
     # the next hour's REST pages cover the same two Kraken minutes again
     (spark.read.parquet(layout.rest).drop("load_hour").withColumn("load_hour", F.lit("2025-12-01-02"))
