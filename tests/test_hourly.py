@@ -158,3 +158,18 @@ def test_hourly_runs_equal_batch_operators(spark, scratch):
         b = rounded(spark.read.parquet(getattr(folded, size)))
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_run_hour_stops_on_duplicate_silver_keys(spark, scratch):
+    import pytest
+    from tallow.operators import to_silver
+    from tallow.schemas import BRONZE
+    from tallow.sources.tables import write_hours
+    layout = Layout(scratch)
+    t = H - dt.timedelta(hours=1)
+    row = ("binance", "BTCUSDT", 60, t, t + dt.timedelta(minutes=1), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1,
+           "binance_ws", t + dt.timedelta(seconds=5))
+    dup = to_silver(spark.createDataFrame([row, row], BRONZE))
+    write_hours(dup, layout.silver)                      # a corrupted hour: one key twice
+    with pytest.raises(ValueError, match="duplicate key"):
+        run_hour(spark, H, layout, pair_dimension(spark))
