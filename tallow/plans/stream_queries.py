@@ -78,6 +78,7 @@ def q_stream_silver_merge(spark, d):
     seed = to_silver(dedup_latest(bronze_from_events(ev, "hour").where(F.col("source").endswith("_rest"))))
     write_hours(seed, silver_path)
     stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(staged))
-    run_available_now(stream_silver_merge(spark, bronze_from_events(stream, "hour"), silver_path, chk))
+    run_available_now(stream_silver_merge(spark, bronze_from_events(stream, "hour"), silver_path, chk,
+                                          n_partitions=spark.sparkContext.defaultParallelism))
     return spark.read.parquet(silver_path).select(*SILVER_COLS)
 

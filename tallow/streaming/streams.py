@@ -183,7 +183,11 @@ def merge_batch_into_silver(spark: SparkSession, silver_path: str):
 
 
 def stream_silver_merge(spark: SparkSession, bronze_stream: DataFrame, silver_path: str,
-                        checkpoint: str, trigger_seconds: int | None = None) -> StreamingQuery:
+                        checkpoint: str, trigger_seconds: int | None = None,
+                        n_partitions: int | None = None) -> StreamingQuery:
+    """``foreachBatch`` merge; ``n_partitions`` sizes each micro-batch's shuffles
+    (the stream runs on a copy of the session conf taken at start)."""
     w = (bronze_stream.writeStream.foreachBatch(merge_batch_into_silver(spark, silver_path))
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger_seconds).start()
+    with state_partitions(spark, n_partitions):
+        return _trigger(w, trigger_seconds).start()
