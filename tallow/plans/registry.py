@@ -3,6 +3,10 @@
 Each query is ``(spark, sf_dir) -> DataFrame`` over the whole supplied
 tables. The oracle text computes the same result independently in
 DuckDB from the raw ``events`` view (tables are pre-registered views).
+
+This module holds the dedup/silver/gold/gap/quality/calendar queries;
+``parse_queries`` adds the message, REST and landing ones and
+``stream_queries`` the streaming ones. ``catalog`` imports all three.
 """
 
 from __future__ import annotations
