@@ -59,17 +59,16 @@ def gap_fill_check(bronze: DataFrame, gaps: DataFrame) -> DataFrame:
     """Per series: WS-missing minutes and how many of them bronze now holds.
 
     ``filled_minutes`` = distinct gap minutes with any bronze row (any
-    source), as the reference counts it.
+    source), as the reference counts it. Gap minutes are distinct per key
+    (``ws_gaps``), so one left join against the distinct bronze keys and a
+    single aggregation give both counts.
     """
     k = ["exchange", "symbol", "interval_start"]
-    g = gaps.select(*k)
-    filled = (bronze.select(*k).join(g, k, "left_semi")
-                    .groupBy("exchange", "symbol")
-                    .agg(F.count_distinct("interval_start").alias("filled_minutes")))
-    missing = g.groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("ws_missing"))
-    return (missing.join(filled, ["exchange", "symbol"], "left")
-                   .select("exchange", "symbol", "ws_missing",
-                           F.coalesce("filled_minutes", F.lit(0)).cast("long").alias("filled_minutes")))
+    held = bronze.select(*k).distinct().withColumn("_held", F.lit(1))
+    return (gaps.select(*k).join(held, k, "left")
+                .groupBy("exchange", "symbol")
+                .agg(F.count(F.lit(1)).alias("ws_missing"),
+                     F.count("_held").alias("filled_minutes")))
 
 
 def present_minutes(fact: DataFrame, window_start=None, window_end=None) -> DataFrame:
