@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,22 +50,17 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder, registered for ``DataFrame.checkpoint()``.
 
-    Read from the session (``spark.checkpoint.dir``). Only when it is unset
-    in a local session (tests) is a local temporary folder chosen; on a
-    cluster an unset setting is an error, never a machine-local folder.
+    Read from the session (``spark.checkpoint.dir``). Only where it is unset
+    in a one-process session (tests) is a folder inside the session's
+    warehouse used; on any cluster, a local one included, that is an error.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", "")
     if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            root = None
-    if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every "
                                "executor can reach (e.g. on HDFS or an object store)")
-        root = tempfile.mkdtemp(prefix="tallow-")
+        root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
