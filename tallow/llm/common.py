@@ -22,6 +22,9 @@ WHITE = " \t\n\x0b\x0c\r"
 # Rows of one Arrow batch: documents can be 100 KB and more, so a batch of
 # Spark's default 10,000 rows could be a gigabyte.
 BATCH_ROWS = "512"
+ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
+         "string": pa.string(), "binary": pa.binary()}
+ARROW |= {f"array<{k}>": pa.list_(t) for k, t in ARROW.items()}
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -81,14 +84,14 @@ def per_document(df: DataFrame, fn: Callable[[str], tuple], schema: str,
     """
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    names = [f.split()[0] for f in schema.split(", ")]
+    names, types = zip(*[(n, ARROW[t]) for n, t in (f.split() for f in schema.split(", "))], strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [fn(t) for t in b.column(b.num_columns - 1).to_pylist()]
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *[pa.array(c) for c in cols]],
+                [*b.columns[:-1], *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],
                 names=[*b.schema.names[:-1], *names])
 
     return src.mapInArrow(run, f"{kept}, {schema}")

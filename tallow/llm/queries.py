@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, mixing
+from tallow.llm import compression_bands, mixing, toxicity
 from tallow.llm.common import table
 
 
@@ -11,10 +11,15 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    """Toxicity score and nearest labelled examples of every document."""
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_compression_bands(spark, sf_dir):
     """Base metrics, compression ratios and verdict of every document."""
     return compression_bands.quality_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing, op9_compression_bands)}
+QUERIES = {f.__name__: f for f in (op5_mixing, op7_toxicity, op9_compression_bands)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL}
