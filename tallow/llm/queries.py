@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, mixing, toxicity
+from tallow.llm import compression_bands, mixing, near_dedup, toxicity
 from tallow.llm.common import table
 
 
+def op4_near_dedup(spark, sf_dir):
+    """Near-duplicate component of every document, on 4-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op5_mixing(spark, sf_dir):
     """Words each document gives to the mix of sources at 5:2:1."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
@@ -21,5 +26,5 @@ def op9_compression_bands(spark, sf_dir):
     return compression_bands.quality_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing, op7_toxicity, op9_compression_bands)}
+QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_mixing, op7_toxicity, op9_compression_bands)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL}
