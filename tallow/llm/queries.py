@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, mixing, near_dedup, toxicity
+from tallow.llm import compression_bands, mixing, near_dedup, packing, token_files, toxicity
 from tallow.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark, sf_dir):
+    """Offsets, lengths and checksums of every document in the token files."""
+    return token_files.token_report(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark, sf_dir):
     """Toxicity score and nearest labelled examples of every document."""
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -26,5 +31,11 @@ def op9_compression_bands(spark, sf_dir):
     return compression_bands.quality_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_mixing, op7_toxicity, op9_compression_bands)}
+def op10_packing(spark, sf_dir):
+    """The pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity,
+                                  op9_compression_bands, op10_packing)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL}
