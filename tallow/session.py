@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 
@@ -47,6 +48,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Add this package's folder to the Python path of Spark's Python workers.
+
+    Tasks import the package by name. Where it is installed, or on the path
+    already, this changes nothing; in a checkout it saves setting PYTHONPATH.
+    """
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder, registered for ``DataFrame.checkpoint()``.
 
