@@ -15,7 +15,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallow.session import shared_dir
+from tallow.session import let_workers_import, shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
@@ -28,7 +28,8 @@ ARROW |= {f"array<{k}>": pa.list_(t) for k, t in ARROW.items()}
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole documents small."""
+    """Prepare for tasks on whole documents: small Arrow batches, this package importable."""
+    let_workers_import(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, mixing, near_dedup, packing, token_files, toxicity
+from tallow.llm import compression_bands, mixing, near_dedup, packing, spotsigs, token_files, toxicity
 from tallow.llm.common import table
 
 
+def op2_spotsigs(spark, sf_dir):
+    """SpotSigs fingerprints of every document and of its edited text."""
+    return spotsigs.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark, sf_dir):
     """Near-duplicate component of every document, on 4-word shingles."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
@@ -36,6 +41,6 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity,
+QUERIES = {f.__name__: f for f in (op2_spotsigs, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity,
                                   op9_compression_bands, op10_packing)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL}

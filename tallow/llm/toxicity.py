@@ -3,14 +3,14 @@
 Fit (on a bounded sample of labelled rows, :data:`MAX_EXAMPLES`): Spark counts
 in how many toxic and other examples each term occurs; terms tied to the label
 (chi-square) form the vocabulary, and the examples' TF-IDF vectors over it an
-inverted index. Terms are words and their beginnings of 4 to 7 letters, so an
+inverted index. Terms are words and their beginnings of 4 and 5 letters, so an
 inflected form that no example has still meets its stem.
 
 Search: the examples are numbered and cut into blocks of equal size. For each
 term and block the index holds the largest weight, so a query's largest
-possible cosine within a block is known beforehand; blocks are scored in
-falling order of that bound until none can enter the k best. The result is the
-exact k nearest, ties to the lower example number.
+possible cosine within a block is known beforehand; the blocks with the highest
+bounds set a threshold, and the others are scored only if they can reach it. The
+result is the exact k nearest, ties to the lower example number.
 
 Score: votes weighted by squared cosine, shrunk to the share of toxic examples
 without any vocabulary term, then calibrated by isotonic regression over
@@ -35,14 +35,15 @@ from pyspark.sql import functions as F
 from tallow.llm.common import bounded_batches, drop_table, materialize, per_document, spread_key
 
 # The examples: so many labelled rows at most, those with the lowest MD5 keys.
-MAX_EXAMPLES = 20_000
+MAX_EXAMPLES = 10_000
 # The vocabulary: terms in MIN_DF examples or more whose chi-square with the
 # label is significant after as many tests as there are terms (p about 1e-6),
 # the best MAX_TERMS of them.
-MIN_DF, MIN_CHI2, MAX_TERMS = 3, 24.0, 4096
-STEMS = (4, 5, 6, 7)
+MIN_DF, MIN_CHI2, MAX_TERMS = 5, 24.0, 4096
+STEMS = (4, 5)
 NEIGHBOURS = 15
 BLOCK = 256
+FIRST_BLOCKS = 4
 # A vote of this weight goes to the base share, so that one faint neighbour
 # does not decide alone.
 PRIOR_WEIGHT = 0.05
@@ -96,26 +97,45 @@ class Index:
         return (t, w / norm) if norm else (t[:0], w[:0])
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the exact k nearest examples with a cosine over 0."""
+        """Numbers and cosines of the exact k nearest examples with a cosine over 0.
+
+        The blocks with the highest bounds give a threshold, the k-th cosine
+        found there; of the others only those that can still reach it are scored.
+        """
         bound = w @ self.peak[t]
-        best_row, best_sim = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.lexsort((np.arange(len(bound)), -bound)).tolist():
-            # Sums of the same numbers in another order may differ in the last bits.
-            if bound[b] <= 0 or len(best_sim) == k and bound[b] < best_sim[-1] - 1e-9:
-                break
-            sims = np.zeros(BLOCK)
-            for i, term in enumerate(t.tolist()):
-                lo, hi = self.ptr[term, b], self.ptr[term, b + 1]
-                if lo < hi:
-                    sims[self.rows[lo:hi] - b * BLOCK] += w[i] * self.weights[lo:hi]
-            found = np.flatnonzero(sims)
-            rows, sims = found + b * BLOCK, np.round(sims[found], 9)
-            if without >= 0:
-                rows, sims = rows[rows != without], sims[rows != without]
-            rows, sims = np.concatenate([best_row, rows]), np.concatenate([best_sim, sims])
-            top = np.lexsort((rows, -sims))[:k]
-            best_row, best_sim = rows[top], sims[top]
-        return best_row, best_sim
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        row, sim = self._best(t, w, order[:FIRST_BLOCKS], k, without)
+        # Sums of the same numbers in another order may differ in the last bits.
+        rest = order[FIRST_BLOCKS:]
+        if len(sim) == k:
+            rest = rest[bound[rest] >= sim[-1] - 1e-8]
+        if len(rest):
+            more, sims = self._best(t, w, rest, k, without)
+            row, sim = np.concatenate([row, more]), np.concatenate([sim, sims])
+            top = np.lexsort((row, -sim))[:k]
+            row, sim = row[top], sim[top]
+        return row, sim
+
+    def _best(self, t: np.ndarray, w: np.ndarray, blocks: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best rows of the given blocks, by all their postings of the terms."""
+        lo, hi = self.ptr[t][:, blocks].reshape(-1), self.ptr[t][:, blocks + 1].reshape(-1)
+        runs = hi - lo
+        total = int(runs.sum())
+        if not total:
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(total)
+        rows = self.rows[at]
+        sims = np.bincount(rows, self.weights[at] * np.repeat(np.repeat(w, len(blocks)), runs))
+        if 0 <= without < len(sims):
+            sims[without] = 0
+        found = np.flatnonzero(sims > 0)
+        sims = np.round(sims[found], 9)
+        if len(found) > k:  # the k-th value and all ties with it
+            near = sims >= np.partition(sims, -k)[-k]
+            found, sims = found[near], sims[near]
+        top = np.lexsort((found, -sims))[:k]
+        return found[top], sims[top]
 
     def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
         weight = sims ** 2
@@ -170,6 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
             .orderBy(spread_key("examples", F.col("doc_id")), "doc_id").limit(MAX_EXAMPLES))
     # At most MAX_EXAMPLES rows of 12 bytes: a proven bound for the broadcast.
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(rows), "doc_id")
+    # Of equal texts one example is enough: copies would vouch for their chance words.
+    chosen = chosen.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256)).agg(
+        F.min(F.struct("doc_id", "y", "text")).alias("r")).select("r.*")
 
     def terms(text: str) -> tuple:
         counts = term_counts(text)
