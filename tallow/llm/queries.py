@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, mixing, near_dedup, packing, spotsigs, token_files, toxicity
+from tallow.llm import compression_bands, licences, mixing, near_dedup, packing, spotsigs, token_files, toxicity
 from tallow.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_licences(spark, sf_dir):
+    """Known licences that a document, or lines of it, consist of."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_compression_bands(spark, sf_dir):
     """Base metrics, compression ratios and verdict of every document."""
     return compression_bands.quality_report(table(spark, sf_dir, "documents"))
@@ -41,6 +46,6 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_spotsigs, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity,
+QUERIES = {f.__name__: f for f in (op2_spotsigs, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
                                   op9_compression_bands, op10_packing)}
-ORACLE = {"op5_mixing": mixing.ORACLE_SQL}
+ORACLE = {"op5_mixing": mixing.ORACLE_SQL, "op8_licences": licences.ORACLE_SQL}
