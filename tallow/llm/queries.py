@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, licences, mixing, near_dedup, packing, spotsigs, token_files, toxicity
+from tallow.llm import compression_bands, language_id, licences, mixing, near_dedup, packing, spotsigs, token_files, toxicity
 from tallow.llm.common import table
 
 
@@ -11,6 +11,11 @@ def op2_spotsigs(spark, sf_dir):
     return spotsigs.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    """Predicted language of every document."""
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark, sf_dir):
     """Near-duplicate component of every document, on 4-word shingles."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
@@ -46,6 +51,6 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_spotsigs, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
+QUERIES = {f.__name__: f for f in (op2_spotsigs, op3_language_id, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
                                   op9_compression_bands, op10_packing)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL, "op8_licences": licences.ORACLE_SQL}
