@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, language_id, licences, mixing, near_dedup, packing, spotsigs, token_files, toxicity
+from tallow.llm import compression_bands, language_id, licences, mixing, near_dedup, packing, spotsigs, token_files, toxicity, warc
 from tallow.llm.common import table
 
 
+def op1_warc_merge(spark, sf_dir):
+    """Every page's record, from the merged capture index of its archives."""
+    return warc.page_report(table(spark, sf_dir, "pages"))
+
+
 def op2_spotsigs(spark, sf_dir):
     """SpotSigs fingerprints of every document and of its edited text."""
     return spotsigs.fingerprint_report(table(spark, sf_dir, "documents"))
@@ -51,6 +56,6 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_spotsigs, op3_language_id, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
+QUERIES = {f.__name__: f for f in (op1_warc_merge, op2_spotsigs, op3_language_id, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
                                   op9_compression_bands, op10_packing)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL, "op8_licences": licences.ORACLE_SQL}
