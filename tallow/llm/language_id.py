@@ -146,6 +146,7 @@ def fit(docs: DataFrame, lang: str = "lang") -> Model:
     rate = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(share / n))])
     sample = labelled.where(part < rate[F.col("y")])
     rows = per_document(sample, lambda t: (gram_counts(t).astype("<u2").tobytes(),), "grams binary", ["y"]).collect()
+    rows.sort(key=lambda r: (r["y"], bytes(r["grams"])))  # sums of floats depend on their order
     x = unit(np.array([np.frombuffer(r["grams"], "<u2") for r in rows]).reshape(-1, DIMENSIONS))
     y = np.array([r["y"] for r in rows])
     members: dict[str, list[str]] = {}

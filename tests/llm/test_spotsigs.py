@@ -35,7 +35,7 @@ def likeness(a, b):
 def rows():
     text = "The cat sat on the mat of a house and the dog | saw it in der Garten. "
     out = [(i * 3, text * (1 + i % 3) + prose(i, 20) + " the end of the " + prose(i + 1, 9)) for i in range(60)]
-    out += [(1000 + i, t) for i, t in enumerate(ODD_TEXTS)] + [(7, "the"), (8, "of the and"), (9, "The, cat"), (10, "cat the"), (11, out[0][1])]
+    out += [(1000 + i, t) for i, t in enumerate(ODD_TEXTS)] + [(7, "the"), (8, "of the and"), (13, "The, cat"), (10, "cat the"), (11, out[0][1])]
     return out
 
 
