@@ -5,26 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The pair dimension is a fixed literal list (30 rows), so broadcasting
-# it is safe; anything larger than this bound is joined by shuffle.
-BROADCAST_MAX_ROWS = 10_000
-
-
 def with_canonical_symbol(df: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add ``canonical_symbol`` (``BTC-USD``) by (exchange, warehouse symbol).
 
-    Rows with no dimension entry get NULL (left join).
+    Rows with no dimension entry get NULL (left join). The join strategy is
+    left to Spark, which broadcasts the 30 literal rows by their known size.
     """
     dim = pairs.select("exchange", F.col("warehouse_symbol").alias("symbol"), "canonical_symbol")
-    return df.join(broadcast_if_small(dim), ["exchange", "symbol"], "left")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` only when ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger side is
-    returned unchanged and joined by shuffle (AQE may still broadcast it
-    from runtime statistics under its own byte threshold).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df.join(dim, ["exchange", "symbol"], "left")

@@ -72,12 +72,12 @@ def q_stream_silver_merge(spark, d):
     """Seed silver with the REST rows, then merge the event stream in several micro-batches."""
     ev = read_events(spark, d)
     staged = shared_dir(spark, "events")
-    ev.repartitionByRange(4, "ts").write.parquet(staged)   # four files -> four micro-batches
+    ev.withColumn("day", F.to_date("ts")).hint("rebalance", "day").write.partitionBy("day").parquet(staged)
     silver_path, chk = shared_dir(spark, "silver"), shared_dir(spark, "chk")
     from ..sources.tables import write_hours
     seed = to_silver(dedup_latest(bronze_from_events(ev, "hour").where(F.col("source").endswith("_rest"))))
     write_hours(seed, silver_path)
-    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(staged))
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 8).parquet(staged))
     run_available_now(stream_silver_merge(spark, bronze_from_events(stream, "hour"), silver_path, chk,
                                           n_partitions=spark.sparkContext.defaultParallelism))
     return spark.read.parquet(silver_path).select(*SILVER_COLS)

@@ -16,22 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dimension import broadcast_if_small
-from .tables import spread_small_scan
 
 GRAIN_SECONDS = {"minute": 60, "hour": 3600}
 
 
-def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """Read ``events`` and cast its ``TIMESTAMP_NTZ`` once to ``TIMESTAMP`` (UTC).
-
-    ``spread`` round-robins a tiny scan over all cores (``spread_small_scan``);
-    worth it before row-local CPU work (JSON building and parsing), not before
-    an aggregation, whose partial step is cheap in the scan task.
-    """
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read ``events`` and cast its ``TIMESTAMP_NTZ`` once to ``TIMESTAMP`` (UTC)."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    if spread:
-        ev = spread_small_scan(ev)
     return ev.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -44,17 +35,15 @@ def bronze_from_events(events: DataFrame, grain: str = "minute",
     """Bronze-shaped rows from ``events`` (see module doc).
 
     With ``pairs`` (the pair dimension) the series is the dimension row
-    ``pair_id = user_id % 30`` instead of ``event_type``; the 30-row
-    dimension is broadcast.
+    ``pair_id = user_id % 30`` instead of ``event_type``.
     """
     seconds = GRAIN_SECONDS[grain]
     start = F.date_trunc(grain, "ts")
     ev = events
     if pairs is not None:
         ev = (ev.withColumn("pair_id", (F.col("user_id") % 30).cast("int"))
-                .join(broadcast_if_small(pairs.select("pair_id", F.col("exchange").alias("_ex"),
-                                               F.col("warehouse_symbol").alias("_sym"))),
-                      "pair_id"))
+                .join(pairs.select("pair_id", F.col("exchange").alias("_ex"),
+                                   F.col("warehouse_symbol").alias("_sym")), "pair_id"))
         exchange, symbol = F.col("_ex"), F.col("_sym")
     else:
         exchange, symbol = exchange_of_user(), F.col("event_type")

@@ -28,20 +28,13 @@ def landing_frame(env: DataFrame) -> DataFrame:
         F.date_format(t, "dd").alias("day"), F.date_format(t, "HH").alias("hour"))
 
 
-def write_landing(env: DataFrame, root: str, spread: int = 8,
-                  max_records_per_file: int = 500_000) -> None:
+def write_landing(env: DataFrame, root: str, max_records_per_file: int = 500_000) -> None:
     """Append envelopes under ``root`` in the landing layout (unique part names).
 
-    Rows are clustered by landing prefix plus a small salt
-    (``hash(event_ts, payload) % spread``), so each prefix gets at most
-    ``spread`` files and a hot series-hour is still written by ``spread``
-    tasks rather than one.
+    Rows are rebalanced by landing prefix: AQE gives small prefixes to few
+    tasks and splits a hot one by size, whatever the number of rows or cores.
     """
-    # One writer task per core, stated explicitly: AQE would otherwise
-    # coalesce a small input into one task that creates every file serially.
-    n = env.sparkSession.sparkContext.defaultParallelism
-    salt = F.pmod(F.xxhash64("event_ts", "payload"), F.lit(spread))
-    (landing_frame(env).repartition(n, *PATH_COLS, salt)
+    (landing_frame(env).hint("rebalance", *PATH_COLS)
         .write.mode("append").option("timestampFormat", TS_FORMAT)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PATH_COLS).json(root))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import HOUR_DIR_FORMAT, hour_partition, micros
+from ..session import shared_dir
 
 PARTITION_COL = "hour"
 
@@ -56,14 +58,13 @@ def write_hours(df: DataFrame, path: str, time_col: str = "interval_start",
     """Overwrite only the partitions present in ``df`` (dynamic mode).
 
     Re-running a job rewrites the same partitions with the same rows, so
-    a retried or repeated run is idempotent. No clustering shuffle: the
-    upstream hash partitioning (on the unique key) already spreads every
-    hour over many tasks, so one hot hour is never written by one task;
-    ``maxRecordsPerFile`` caps file size.
+    a retried or repeated run is idempotent. A rebalance by the partition
+    column lets AQE merge small hours into few files and split a hot hour
+    over several tasks; ``maxRecordsPerFile`` bounds the file size.
     """
     if partition_col not in df.columns:
         df = df.withColumn(partition_col, hour_partition(time_col))
-    (df.write.mode("overwrite")
+    (df.hint("rebalance", partition_col).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)
@@ -77,6 +78,28 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
+@contextlib.contextmanager
+def staged(df: DataFrame, name: str):
+    """``df`` written to the shared folder and read back; removed at the end.
+
+    For a result that replaces partitions it was computed from: it survives
+    lost executors, and nothing of it is left behind.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, "stages", name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def existing_paths(spark: SparkSession, patterns) -> list[str]:
     """The directories matching any glob in ``patterns`` (Hadoop ``globStatus``).
 
@@ -107,23 +130,3 @@ def read_hours(spark: SparkSession, path: str, hour_values, schema,
     if not dirs:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", base).parquet(*dirs)
-
-
-def spread_small_scan(df: DataFrame, max_splits: int = 4) -> DataFrame:
-    """Round-robin a tiny scan (at most ``max_splits`` splits) over all cores.
-
-    A single small file (one Parquet row group) is read by one task, and
-    every shuffle-free step after it (JSON parsing, projections) would
-    run in that task alone. Only such tiny inputs (a few splits of at most
-    ``spark.sql.files.maxPartitionBytes`` each) are spread; a real scan
-    already has many splits and is returned unchanged, so no shuffle is
-    added at scale.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): skip
-        return df
-    if n <= max_splits and n < want:
-        return df.repartition(want)
-    return df

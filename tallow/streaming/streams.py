@@ -33,10 +33,9 @@ from ..operators.load import to_bronze
 from ..operators.rollup import rollup
 from ..operators.silver import merge_silver, to_silver
 from ..schemas import LANDING_READ, SILVER
-from ..session import checkpoint_root
 from ..sources.landing import PATH_COLS, TS_FORMAT, landing_frame
 from ..sources.messages import ENVELOPE_COLS, envelope_binance, envelope_kraken
-from ..sources.tables import PARTITION_COL, read_hours, with_hour_partition, write_hours
+from ..sources.tables import PARTITION_COL, read_hours, staged, with_hour_partition, write_hours
 
 LATENESS = "2 hours"
 SILVER_PARTITIONED = T.StructType([*SILVER.fields, T.StructField(PARTITION_COL, T.StringType())])
@@ -100,19 +99,21 @@ def feed_envelopes(raw: DataFrame) -> DataFrame:
 
 
 def stream_landing(spark: SparkSession, src: str, landing_root: str, checkpoint: str,
-                   trigger_seconds: int | None = None, max_records_per_file: int = 500,
+                   trigger_seconds: int | None = None, max_records_per_file: int | None = None,
                    source_options: dict | None = None) -> StreamingQuery:
     """Raw feed files -> Hive-partitioned landing JSON (the feed's writer).
 
     ``trigger_seconds=30`` and ``max_records_per_file=500`` give the
-    reference's flush rule (every 30 s, at most 500 rows per object);
+    reference's flush rule (every 30 s, at most 500 rows per object); by
+    default files are as large as their micro-batch makes them.
     ``trigger_seconds=None`` processes what is there and stops.
     """
     env = landing_frame(feed_envelopes(read_raw_feed(spark, src, source_options=source_options)))
     w = (env.writeStream.format("json").option("path", landing_root)
          .option("checkpointLocation", checkpoint).option("timestampFormat", TS_FORMAT)
-         .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy(*PATH_COLS).outputMode("append"))
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
     return _trigger(w, trigger_seconds).start()
 
 
@@ -165,20 +166,20 @@ def merge_batch_into_silver(spark: SparkSession, silver_path: str):
 
     Only the hour partitions the batch touches are listed and read, and
     only those are rewritten (dynamic overwrite). The merged
-    result is checkpointed to the shared checkpoint folder first, which
-    cuts the lineage to the partitions being replaced.
+    result is staged in the shared folder first, which cuts the lineage to
+    the partitions being replaced; the stage is removed afterwards.
     """
-    checkpoint_root(spark)
-
     def merge(batch: DataFrame, batch_id: int) -> None:
         src = with_hour_partition(dedup_latest(batch)).persist()
-        # The touched hours are few (bounded by the batch's time span).
-        touched = [r[0] for r in src.select(PARTITION_COL).distinct().collect()]
-        target = read_hours(spark, silver_path, touched, SILVER_PARTITIONED)
-        merged = with_hour_partition(merge_silver(target.drop(PARTITION_COL), src.drop(PARTITION_COL)))
-        merged = merged.checkpoint()
-        src.unpersist()
-        write_hours(merged, silver_path)
+        try:
+            # The touched hours are few (bounded by the batch's time span).
+            touched = [r[0] for r in src.select(PARTITION_COL).distinct().collect()]
+            target = read_hours(spark, silver_path, touched, SILVER_PARTITIONED)
+            merged = with_hour_partition(merge_silver(target.drop(PARTITION_COL), src.drop(PARTITION_COL)))
+            with staged(merged, "silver_merge") as stage:
+                write_hours(stage, silver_path)
+        finally:
+            src.unpersist()
     return merge
 
 
