@@ -11,7 +11,8 @@ def normalize_symbol(c) -> Column:
 
 
 def symbol_from_path(path_col="path") -> Column:
-    """``symbol=ETH-USD`` path segment -> ``ETH-USD`` (null when absent)."""
+    """``symbol=ETH-USD`` path segment -> ``ethusd``; a path without one fails the query."""
     c = F.col(path_col) if isinstance(path_col, str) else path_col
     v = F.regexp_extract(c, r"symbol=([^/]+)", 1)
-    return F.when(v != "", v)
+    absent = F.raise_error(F.concat(F.lit("No symbol in path: "), F.coalesce(c, F.lit("NULL"))))
+    return F.when(v != "", F.lower(normalize_symbol(v))).otherwise(absent.cast("string"))

@@ -16,13 +16,30 @@ def _num(c: Column, strict: bool, to: str = "double") -> Column:
     return c.cast(to) if strict else c.try_cast(to)
 
 
+# Fixed value: keys of a final Binance candle that ``strict`` insists on.
+BINANCE_REQUIRED = ("o", "h", "l", "c", "v", "n")
+
+
+def _int(c: Column, strict: bool) -> Column:
+    """An integer, also where it is written as integral text such as ``4.0``."""
+    whole = c.try_cast("double")
+    as_int = F.coalesce(c.try_cast("int"), F.when(whole == F.floor(whole), whole.try_cast("int")))
+    if not strict:
+        return as_int
+    return F.when(c.isNotNull() & as_int.isNull(), c.cast("int")).otherwise(as_int)
+
+
 def _binance(k: Column, strict: bool):
     """Reject reason and values from the parsed ``k`` map."""
     has_k = k.isNotNull() & (F.size(k) > 0)
     final = F.coalesce(k["x"].try_cast("boolean"), F.lit(False))
     o, h, l, c, v = (_num(k[x], strict) for x in ("o", "h", "l", "c", "v"))
     q = F.coalesce(_num(k["q"], strict), F.lit(0.0))
-    n = _num(k["n"], strict, "int")
+    n = _int(k["n"], strict)
+    if strict:
+        lacking = F.filter(F.array(*[F.lit(x) for x in BINANCE_REQUIRED]), lambda x: ~F.map_contains_key(k, x))
+        fail = F.raise_error(F.concat(F.lit("Binance candle without "), F.array_join(lacking, ", ")))
+        n = F.when(has_k & final & (F.size(lacking) > 0), fail.cast("int")).otherwise(n)
     bad = o.isNull() | h.isNull() | l.isNull() | c.isNull() | v.isNull() | n.isNull()
     reason = (F.when(~has_k, "no_k").when(~final, "not_final").when(bad, "bad_value"))
     vwap = F.when(v > 0, q / v)
@@ -30,13 +47,18 @@ def _binance(k: Column, strict: bool):
 
 
 def _kraken(data: Column, chosen: Column, strict: bool):
-    """Reject reason and values from the parsed candle map ``chosen``."""
+    """Reject reason and values from the parsed candle map ``chosen`` (NULL: none matches)."""
     has_keys = F.coalesce(F.forall(F.array(*[F.lit(x) for x in KRAKEN_REQUIRED]),
                                    lambda x: F.map_contains_key(chosen, x)), F.lit(False))
     has_data = data.isNotNull() & (F.size(data) > 0)
-    reason = F.when(~has_data, "no_data").when(~has_keys, "missing_keys")
-    vals = tuple(_num(chosen[x], strict) for x in ("open", "high", "low", "close", "volume", "vwap"))
-    return reason, (*vals, _num(chosen["trades"], strict, "int"))
+    names = ("open", "high", "low", "close", "volume", "vwap", "trades")
+    vals = (*[_num(chosen[x], strict) for x in names[:-1]], _int(chosen["trades"], strict))
+    bad = F.lit(False)
+    for name, v in zip(names, vals):   # a present NULL is kept, other text must be a number
+        bad = bad | (chosen[name].isNotNull() & v.isNull())
+    reason = (F.when(~has_data, "no_data").when(chosen.isNull(), "no_matching_candle")
+               .when(~has_keys, "missing_keys").when(bad, "bad_value"))
+    return reason, vals
 
 
 def parse_ws(env: DataFrame, strict_first: bool = False, strict: bool = False) -> DataFrame:
@@ -45,11 +67,14 @@ def parse_ws(env: DataFrame, strict_first: bool = False, strict: bool = False) -
     Binance: needs a non-empty ``k`` with ``x`` true; ``vwap = q / v`` when
     ``v > 0`` else NULL, a missing ``q`` counts as 0. Kraken: needs a
     non-empty ``data`` whose candle has all seven keys (a present NULL is
-    kept). The candle is the element whose ``interval_begin`` equals the
-    envelope's ``interval_start``; ``strict_first=True`` always uses the
-    first element, as the reference does. An unknown exchange fails the
-    query. ``strict=True`` makes unparsable numbers fail the query
-    (ANSI cast) instead of rejecting the row.
+    kept) and whose other values are numbers (``bad_value``; integral text
+    such as ``4.0`` counts as 4). The candle is the last element whose
+    ``interval_begin`` equals the envelope's ``interval_start``, so a later
+    update in the same message wins; with none the row is rejected
+    (``no_matching_candle``). ``strict_first=True`` always uses the first
+    element, as the reference does. An unknown exchange fails the query.
+    ``strict=True`` makes unparsable numbers and missing Binance keys fail
+    the query instead of rejecting the row.
 
     Each payload is parsed once (``from_json`` into a map, or an array of
     maps, which keeps "key present with NULL" apart from "key absent") in
@@ -67,7 +92,8 @@ def parse_ws(env: DataFrame, strict_first: bool = False, strict: bool = False) -
         chosen = first
     else:
         own = F.filter("_data", lambda d: d["interval_begin"].try_cast("timestamp") == F.col("interval_start"))
-        chosen = F.coalesce(F.get(own, 0), first)
+        # status envelopes have no interval; their first element shows that keys are missing
+        chosen = F.when(F.col("interval_start").isNull(), first).otherwise(F.try_element_at(own, F.lit(-1)))
     parsed = parsed.select("*", chosen.alias("_candle"))
     br, bv = _binance(F.col("_k"), strict)
     kr, kv = _kraken(F.col("_data"), F.col("_candle"), strict)

@@ -27,13 +27,15 @@ KRAKEN_MSG = ("struct<channel: string, type: string, timestamp: string, "
 
 def envelope_binance(raw: DataFrame) -> DataFrame:
     """One envelope per Binance candle message (``event_type='update'``)."""
-    m = F.from_json("msg", BINANCE_MSG)
-    k = m["k"]
-    return raw.select(
+    # The parsed message leaves through a Generate, so its fields are read
+    # from one parse instead of one pruned parse each.
+    parsed = raw.select("*", F.inline(F.array(F.from_json("msg", BINANCE_MSG))))
+    k = F.col("k")
+    return parsed.select(
         F.lit("binance").alias("exchange"), "symbol",
         F.col("interval_minutes").cast("int").alias("interval_minutes"),
         F.lit("update").alias("event_type"),
-        F.timestamp_millis(m["E"]).alias("event_ts"),
+        F.timestamp_millis("E").alias("event_ts"),
         F.timestamp_millis(k["t"].try_cast("long")).alias("interval_start"),
         F.timestamp_millis(k["T"].try_cast("long")).alias("interval_end"),
         k["x"].try_cast("boolean").alias("is_final"),

@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
+
 from pyspark.sql import functions as F
 
 from tallow.functions import (from_epoch_ms, from_epoch_ns, interval_label, to_iso, normalize_symbol, partition_key, partition_key_to_ts,
@@ -50,9 +53,10 @@ def test_partition_key_round_trip_and_labels(spark):
 def test_symbol_helpers(spark):
     r = one(spark,
             symbol_from_path(F.lit("s3a://b/exchange=kraken/symbol=ETH-USD/interval_minutes=1/x.json")).alias("p"),
-            symbol_from_path(F.lit("s3a://b/exchange=kraken/x.json")).alias("none"),
             normalize_symbol(F.lit("BTC/USD")).alias("a"), normalize_symbol(F.lit("BTC-USD")).alias("b"))
-    assert (r.p, r.none, r.a, r.b) == ("ETH-USD", None, "BTCUSD", "BTCUSD")
+    assert (r.p, r.a, r.b) == ("ethusd", "BTCUSD", "BTCUSD")
+    with pytest.raises(PySparkException, match="No symbol in path"):
+        one(spark, symbol_from_path(F.lit("s3a://b/exchange=kraken/x.json")).alias("p"))
 
 
 def test_epoch_and_iso(spark):

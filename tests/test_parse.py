@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallow.operators.load import bronze_kraken, parse_ws, rejects, to_bronze
 from tallow.sources.messages import drop_heartbeats, envelope_binance, envelope_kraken
-from tallow.sources.rest import parse_rest
+from tallow.sources.rest import parse_rest, rest_rejects
 
 BIN = {"E": 1764550860012, "k": {"t": 1764550800000, "T": 1764550859999, "x": True, "o": "100.0",
                                  "h": "102.0", "l": "99.0", "c": "101.0", "v": "4.0", "q": "402.0", "n": 7}}
@@ -150,3 +150,55 @@ def test_bad_number_rejected_or_fails_when_strict(spark):
     assert to_bronze(env).count() == 1
     with pytest.raises(PySparkException):
         to_bronze(env, strict=True).collect()
+
+
+KR_CANDLE = ('{"channel":"ohlc","type":"snapshot","timestamp":"2025-12-01T01:02:00Z","data":[{"interval_begin":"2025-12-01T01:00:00Z",'
+             '"timestamp":"2025-12-01T01:01:00Z","open":100.0,"high":102.0,"low":99.0,"close":101.0,"volume":4.0,"vwap":100.5,"trades":7}]}')
+
+
+def test_kraken_bad_values_are_rejected_and_integral_text_counts(spark):
+    bad = KR_CANDLE.replace('"open":100.0', '"open":"abc"')
+    whole = KR_CANDLE.replace('"trades":7', '"trades":4.0')
+    env = kraken(spark, bad, whole)
+    assert [r.reject_reason for r in rejects(env).collect()] == ["bad_value"]
+    assert [r.trade_count for r in to_bronze(env).collect()] == [4]
+    with pytest.raises(PySparkException):
+        to_bronze(kraken(spark, bad), strict=True).collect()
+    with pytest.raises(PySparkException):
+        to_bronze(kraken(spark, KR_CANDLE.replace('"trades":7', '"trades":4.5')), strict=True).collect()
+
+
+def test_kraken_candle_must_match_the_envelope_and_the_last_one_wins(spark):
+    moved = kraken(spark, KR_CANDLE).withColumn("interval_start", F.col("interval_start") + F.expr("INTERVAL 5 MINUTES"))
+    assert [r.reject_reason for r in rejects(moved).collect()] == ["no_matching_candle"]
+    assert to_bronze(moved, strict_first=True).count() == 1
+    candle = KR_CANDLE[KR_CANDLE.index("[") + 1:-2]
+    twice = KR_CANDLE.replace(candle, candle + "," + candle.replace('"close":101.0', '"close":109.0'))
+    assert {r.close for r in to_bronze(kraken(spark, twice)).collect()} == {109.0}
+
+
+def test_strict_fails_on_a_missing_binance_key(spark):
+    env = binance(spark, with_k(v=None))
+    assert [r.reject_reason for r in rejects(env).collect()] == ["bad_value"]
+    with pytest.raises(PySparkException, match="without v"):
+        to_bronze(env, strict=True).collect()
+
+
+@pytest.mark.parametrize("exchange, body, reason", [
+    ("binance", '{"code":-1121,"msg":"Invalid symbol."}', "not_a_candle_array"),
+    ("binance", '[[1764550800000,"1","2"', "not_a_candle_array"),
+    ("binance", "<html>busy</html>", "not_a_candle_array"),
+    ("binance", "[[1764550800000]]", "short_candle"),
+    ("binance", None, "no_body"),
+    ("kraken", '{"error":[]}', "no_result"),
+    ("kraken", "<html>busy</html>", "no_result"),
+    ("kraken", '{"error":["EGeneral"]}', "exchange_error"),
+    ("kraken", '{"error":[],"result":{"X":"[[1,"}}', "broken_result"),
+])
+def test_malformed_rest_bodies_fail_or_are_counted(spark, exchange, body, reason):
+    good = ("kraken", "BTC/USD", FETCHED, '{"error":[],"result":{"X":[[1764550800,"2","2","2","2","2","2",1]],"last":1}}')
+    df = spark.createDataFrame([(exchange, "P", FETCHED, body), good], REST)
+    assert [r.reject_reason for r in rest_rejects(df).collect()] == [reason]
+    assert parse_rest(df, strict=False).count() == 1
+    with pytest.raises(PySparkException):
+        parse_rest(df).collect()
