@@ -5,7 +5,7 @@ from .silver import assert_unique, merge_silver, to_silver
 from .rollup import rollup, upsert, gold_from_gold
 from .gaps import (backfill_plan, gap_fill_check, gap_report, gap_report_weighted,
                    rest_gap_fill, series_hours, ws_gaps)
-from .quality import alerts, completeness, health_report, hour_ok, run_metrics
+from .quality import alerts, completeness, health_report, hour_ok, load_counters, run_metrics
 from .calendar import (last_completed_hour, merge_window, partition_calendar,
                        ready_partitions)
 from .bronze import append_missing, bronze_union
@@ -15,7 +15,7 @@ __all__ = [
     "dedup_latest", "assert_unique", "merge_silver", "to_silver", "rollup", "upsert",
     "gold_from_gold", "backfill_plan", "gap_fill_check", "gap_report",
     "gap_report_weighted", "rest_gap_fill", "series_hours", "ws_gaps", "alerts",
-    "completeness", "health_report", "hour_ok", "run_metrics", "last_completed_hour",
+    "completeness", "health_report", "hour_ok", "load_counters", "run_metrics", "last_completed_hour",
     "merge_window", "partition_calendar", "ready_partitions", "append_missing",
     "bronze_union", "with_canonical_symbol",
 ]

@@ -109,6 +109,17 @@ def health_report(silver: DataFrame) -> DataFrame:
                     "vwap", "max_lag_seconds")
 
 
+def load_counters(parsed: DataFrame) -> DataFrame:
+    """Per landing hour and exchange: envelopes seen, loaded and skipped.
+
+    ``parsed`` is ``parse_ws`` output; the hour is that of ``event_ts``.
+    """
+    skipped = F.col("reject_reason").isNotNull()
+    return (parsed.groupBy(F.date_trunc("hour", "event_ts").alias("hour"), "exchange")
+            .agg(F.count(F.lit(1)).alias("rows_seen"), F.count_if(~skipped).alias("rows_loaded"),
+                 F.count_if(skipped).alias("rows_skipped")))
+
+
 def run_metrics(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observation]:
     """Attach run counters: ``rows`` plus ``count_if`` of each named condition.
 

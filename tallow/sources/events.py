@@ -141,8 +141,8 @@ def kraken_messages(events: DataFrame) -> DataFrame:
                      F.explode(msgs).alias("msg"))
 
 
-def rest_responses(events: DataFrame) -> DataFrame:
-    """Landed REST responses ``(exchange, pair, fetched_ts, body)``, one per event."""
+def rest_responses(events: DataFrame, *keep: str) -> DataFrame:
+    """Landed REST responses ``(exchange, pair, fetched_ts, body)``, one per event, and columns to ``keep``."""
     minute = F.date_trunc("minute", "ts")
     t = F.unix_millis(minute)
     px = F.col("value").cast("string")
@@ -160,4 +160,41 @@ def rest_responses(events: DataFrame) -> DataFrame:
         F.when(is_b, F.concat(F.upper("event_type"), F.lit("USDT")))
          .otherwise(F.concat(F.upper("event_type"), F.lit("/USD"))).alias("pair"),
         F.col("ts").alias("fetched_ts"),
-        F.when(is_b, binance).otherwise(kraken).alias("body"))
+        F.when(is_b, binance).otherwise(kraken).alias("body"), *keep)
+
+
+def faulty_rest_responses(events: DataFrame) -> DataFrame:
+    """``rest_responses`` with broken bodies at fixed ``event_id`` residues.
+
+    ``% 19 = 0``: an error object (Binance) or no result (Kraken);
+    ``% 23 = 1``: text cut off before its end; ``% 29 = 2``: an HTML page.
+    """
+    eid, is_b, body = F.col("event_id"), F.col("exchange") == "binance", F.col("body")
+    broken = (F.when(eid % 19 == 0, F.when(is_b, F.lit('{"code":-1121,"msg":"Invalid symbol."}')).otherwise(F.lit('{"error":[]}')))
+               .when(eid % 23 == 1, F.substr(body, F.lit(1), F.length(body) - 4))
+               .when(eid % 29 == 2, F.lit("<html>busy</html>"))
+               .otherwise(body))
+    return rest_responses(events, "event_id").withColumn("body", broken).drop("event_id")
+
+
+DENSE_START = "2025-01-01 00:00:00"
+
+
+def dense_bronze(events: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A gapless market: event ``i`` is minute ``i div 4`` of series ``i % 4``.
+
+    The series are the first four rows of the pair dimension. Series 3 lacks
+    minute 17 of every third hour, so complete and incomplete hours both occur.
+    """
+    minute = F.floor(F.col("event_id") / 4).cast("long")
+    hole = (F.col("event_id") % 4 == 3) & (F.floor(minute / 60) % 3 == 1) & (minute % 60 == 17)
+    start = F.timestamp_seconds(F.unix_seconds(F.lit(DENSE_START).cast("timestamp")) + minute * 60)
+    ev = events.where(~hole).withColumn("pair_id", (F.col("event_id") % 4).cast("int")).join(
+        pairs.select("pair_id", "exchange", F.col("warehouse_symbol").alias("symbol")), "pair_id")
+    px = F.col("value")
+    return ev.select(
+        "exchange", "symbol", F.lit(60).alias("interval_seconds"), start.alias("interval_start"),
+        (start + F.expr("INTERVAL 1 MINUTE")).alias("interval_end"),
+        *[px.alias(c) for c in ("open", "high", "low", "close")], _k().cast("double").alias("volume"), px.alias("vwap"),
+        F.lit(1).alias("trade_count"), F.concat("exchange", F.lit("_ws")).alias("source"),
+        (start + F.expr("INTERVAL 61 SECONDS")).alias("ingestion_ts"))
