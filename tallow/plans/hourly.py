@@ -17,11 +17,11 @@ stage's recomputation and re-running an hour rewrites the same rows.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +37,8 @@ from ..schemas import BRONZE, GOLD, SILVER
 from ..session import checkpoint_root
 from ..sources.landing import read_landing
 from ..sources.rest import parse_rest
-from ..sources.tables import read_hours, read_window, write_hours
+from ..sources.tables import LOAD_COL, delete_path, existing_paths, read_hours, read_window, staged, write_hours
 
-LOAD_COL = "load_hour"
 REST_LANDED = T.StructType([T.StructField("exchange", T.StringType()), T.StructField("pair", T.StringType()),
                             T.StructField("fetched_ts", T.TimestampType()), T.StructField("body", T.StringType())])
 
@@ -89,79 +88,106 @@ class RunResult:
     gap_fill: DataFrame
 
 
+def _ws_rows(parsed: DataFrame) -> DataFrame:
+    """Accepted rows of a parsed landing hour as bronze rows."""
+    return (parsed.where(F.col("reject_reason").isNull())
+            .select("exchange", F.col("_symbol").alias("symbol"),
+                    F.col("interval_seconds").cast("int").alias("interval_seconds"),
+                    "interval_start", "interval_end", "open", "high", "low", "close", "volume",
+                    "vwap", "trade_count", "source", F.col("event_ts").alias("ingestion_ts")))
+
+
 def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
-             update_cols=None, gold_from_5m: bool = False, check_unique: bool = True) -> RunResult:
+             update_cols=None, gold_from_5m: bool = False, check_unique: bool = True,
+             from_landing: bool = True) -> RunResult:
     """Run partition ``key``: load, gap-fill, merge, roll up and report.
 
     ``pairs`` is the series dimension (``sources.pairs.pair_dimension``).
-    The merge window is ``[hour - 1h, hour + 1h)``, so rows of the
+    The merge window is ``merge_window(key)``, two hours, so rows of the
     previous hour that landed late (e.g. minute 59 after the hour) are
-    merged by the next run. ``gold_from_5m=True`` folds the 15m/30m/1h
+    merged by the next run. ``from_landing=False`` takes the WS rows that
+    ``stream_bronze`` has put into the hour's bronze partition instead of
+    loading the landing prefix. ``gold_from_5m=True`` folds the 15m/30m/1h
     candles from the 5m partitions just written (one fifth of the rows)
     instead of re-reading silver; the result is the same. ``check_unique``
-    fails the run if the two rewritten silver hours hold a key twice (the
-    reference's unique index, checked with one aggregation).
+    fails the run, before silver is touched, if the rows to be written hold
+    a key twice (the reference's unique index, checked with one aggregation).
+
+    A re-run replaces the hour's bronze partition, also by nothing if nothing
+    was loaded. Stages in the shared folder are removed as soon as the tables
+    that need them are written.
     """
-    checkpoint_root(spark)                # stages below cut lineage into the shared folder
+    checkpoint_root(spark)                # the stages below need the shared folder
     h = as_hour(key)
     ws, we = h - dt.timedelta(hours=1), h + dt.timedelta(hours=1)
     loads = [hour_value(h + dt.timedelta(hours=i)) for i in (-1, 0, 1)]
-    this_load = hour_value(h)
+    this_load, tag = hour_value(h), f"{hour_value(h)}_{uuid.uuid4().hex[:8]}"
     series = pairs.select("exchange", F.col("warehouse_symbol").alias("symbol"))
-
-    # 1. WS load of this hour's landing prefix, with reject counters.
-    parsed = parse_ws(read_landing(spark, layout.landing, [h], with_file=True))
-    parsed, ws_obs = run_metrics(parsed, f"ws_load_{this_load}_{uuid.uuid4().hex[:8]}",
-                                 rows_skipped=F.col("reject_reason").isNotNull())
-    parsed = parsed.checkpoint()          # one pass over the landing hour; fills the counters
-    metrics = {"ws_load": {**ws_obs.get,
-                           "objects_seen": parsed.select(F.count_distinct("_file")).first()[0]}}
-    ws_rows = (parsed.where(F.col("reject_reason").isNull())
-               .select("exchange", F.col("_symbol").alias("symbol"),
-                       F.col("interval_seconds").cast("int").alias("interval_seconds"),
-                       "interval_start", "interval_end", "open", "high", "low", "close", "volume",
-                       "vwap", "trade_count", "source", F.col("event_ts").alias("ingestion_ts")))
-
-    # 2. REST gap fill: minutes of the window without a WS row, filled from this run's REST pages.
-    earlier = read_hours(spark, layout.bronze, [x for x in loads if x != this_load], BRONZE_STORED,
-                         partition_col=LOAD_COL).drop(LOAD_COL)
-    ws_known = bronze_union(earlier.where(F.col("source").endswith("_ws")), ws_rows)
-    gaps = ws_gaps(ws_known, series, ws, we).checkpoint()
-    rest = parse_rest(read_hours(spark, layout.rest, [this_load], REST_STORED, partition_col=LOAD_COL)
-                      .drop(LOAD_COL), window_start=ws)
-    # ON CONFLICT DO NOTHING on (silver key, source): a minute already filled
-    # by an earlier run's REST pages is not appended twice
-    fill = append_missing(earlier, rest_gap_fill(rest, gaps))
-    loaded = bronze_union(ws_rows, fill).withColumn(LOAD_COL, F.lit(this_load))
-    loaded, append_obs = run_metrics(loaded, f"bronze_append_{this_load}_{uuid.uuid4().hex[:8]}",
-                                     ws_rows=F.col("source").endswith("_ws"),
-                                     rest_rows=F.col("source").endswith("_rest"))
-    write_hours(loaded, layout.bronze, partition_col=LOAD_COL)
-    metrics["bronze_append"] = append_obs.get
-
-    # 3. Silver merge over the window (touched hours only).
-    bronze_w = read_window(read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)
-                           .drop(LOAD_COL), ws, we)
-    silver_hours = [hour_value(ws), hour_value(h)]
-    target = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
-    merged = merge_silver(target, dedup_latest(bronze_w), update_cols).checkpoint()
-    write_hours(merged, layout.silver)
-
-    # 4. Gold: every bucket of the two touched hours is rebuilt from silver.
-    silver_w = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
-    if check_unique:
-        assert_unique(silver_w)
-    for name, minutes in BUCKETS.items():
-        if gold_from_5m and name != "5m":
-            five = read_hours(spark, layout.gold_5m, silver_hours, GOLD_STORED).drop("hour")
-            gold = gold_from_gold(five, minutes)
+    metrics = {"window": {"start": ws.isoformat(), "end": we.isoformat()}}
+
+    with contextlib.ExitStack() as stages:
+        # 1. WS rows of this hour, with reject counters.
+        if from_landing:
+            # the raw payload is not staged: nothing after the parse needs it
+            parsed = parse_ws(read_landing(spark, layout.landing, [h], with_file=True)).drop("payload")
+            parsed, ws_obs = run_metrics(parsed, f"ws_load_{tag}", rows_skipped=F.col("reject_reason").isNotNull())
+            parsed = stages.enter_context(staged(parsed, "ws_load"))
+            metrics["ws_load"] = {**ws_obs.get, "objects_seen": parsed.select(F.count_distinct("_file")).first()[0]}
+            ws_rows = _ws_rows(parsed)
         else:
-            gold = rollup(silver_w, minutes)
-        write_hours(gold, getattr(layout, f"gold_{name}"))
-
-    # 5. Reports for the hour, and the run log.
-    bronze_after = read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)
-    fill_check = gap_fill_check(bronze_after.drop(LOAD_COL), gaps)
+            streamed = read_hours(spark, layout.bronze, [this_load], BRONZE_STORED, partition_col=LOAD_COL)
+            ws_rows = stages.enter_context(staged(streamed.drop(LOAD_COL).where(F.col("source").endswith("_ws")), "ws_load"))
+            metrics["ws_load"] = {"rows": ws_rows.count()}
+
+        # 2. REST gap fill: minutes of the window without a WS row, filled from this run's REST pages.
+        earlier = read_hours(spark, layout.bronze, [x for x in loads if x != this_load], BRONZE_STORED,
+                             partition_col=LOAD_COL).drop(LOAD_COL)
+        ws_known = bronze_union(earlier.where(F.col("source").endswith("_ws")), ws_rows)
+        gaps = stages.enter_context(staged(ws_gaps(ws_known, series, ws, we), "gaps"))
+        rest = parse_rest(read_hours(spark, layout.rest, [this_load], REST_STORED, partition_col=LOAD_COL)
+                          .drop(LOAD_COL), window_start=ws)
+        # ON CONFLICT DO NOTHING on (silver key, source): a minute already filled
+        # by an earlier run's REST pages is not appended twice
+        fill = append_missing(earlier, rest_gap_fill(rest, gaps))
+        loaded = bronze_union(ws_rows, fill).withColumn(LOAD_COL, F.lit(this_load)).hint("rebalance", LOAD_COL)
+        loaded, append_obs = run_metrics(loaded, f"bronze_append_{tag}",
+                                         ws_rows=F.col("source").endswith("_ws"),
+                                         rest_rows=F.col("source").endswith("_rest"))
+        write_hours(loaded, layout.bronze, partition_col=LOAD_COL, rebalanced=True)
+        metrics["bronze_append"] = append_obs.get
+        if not append_obs.get["rows"]:
+            # a dynamic overwrite replaces only partitions that have rows
+            delete_path(spark, f"{layout.bronze}/{LOAD_COL}={this_load}")
+
+        # 3. Silver merge over the window (touched hours only).
+        bronze_w = read_window(read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)
+                               .drop(LOAD_COL), ws, we)
+        silver_hours = [hour_value(ws), hour_value(h)]
+        target = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
+        with staged(merge_silver(target, dedup_latest(bronze_w), update_cols), "silver") as merged:
+            if check_unique:
+                assert_unique(merged)
+            write_hours(merged, layout.silver)
+
+        # 4. Gold: every bucket of the two touched hours is rebuilt from silver.
+        silver_w = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
+        for name, minutes in BUCKETS.items():
+            if gold_from_5m and name != "5m":
+                five = read_hours(spark, layout.gold_5m, silver_hours, GOLD_STORED).drop("hour")
+                gold = gold_from_gold(five, minutes)
+            else:
+                gold = rollup(silver_w, minutes)
+            write_hours(gold, getattr(layout, f"gold_{name}"))
+
+        # 5. Gap-fill counters: one row per series of the dimension.
+        bronze_after = read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)
+        per_series = gap_fill_check(bronze_after.drop(LOAD_COL), gaps)
+        fill_check = spark.createDataFrame(per_series.collect(), per_series.schema)
+
+    totals = fill_check.agg(F.coalesce(F.sum("ws_missing"), F.lit(0)), F.coalesce(F.sum("filled_minutes"), F.lit(0))).first()
+    metrics["gap_fill"] = {"ws_missing": totals[0], "filled_minutes": totals[1]}
+
+    # 6. Reports for the hour, and the run log.
     comp = completeness(silver_w, pairs, h, we)
     ok = hour_ok(silver_w, pairs, h, we)
     (spark.createDataFrame([(h.strftime("%Y-%m-%d-%H:%M"), this_load)], "partition_key string, hour string")
@@ -181,21 +207,19 @@ def gaps_for(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of, lookb
 
 
 def run_backfill(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of,
-                 lookback_hours: int = 12) -> list[str]:
+                 lookback_hours: int = 12, **run_options) -> list[str]:
     """Re-run every incomplete hour of the lookback window once, oldest first.
 
     Keys already requested by an earlier backfill (``layout.backfills``)
     are skipped, so each key is requested once. The plan holds at most
-    ``lookback_hours`` keys, so collecting it is bounded.
+    ``lookback_hours`` keys, so collecting it is bounded. ``run_options``
+    (``update_cols``, ``gold_from_5m``, ...) go to ``run_hour``.
     """
-    try:
-        requested = spark.read.parquet(layout.backfills)
-    except AnalysisException:
-        requested = None
+    requested = spark.read.parquet(layout.backfills) if existing_paths(spark, [layout.backfills]) else None
     plan = backfill_plan(gaps_for(spark, layout, pairs, as_of, lookback_hours), requested)
     keys = [r.partition_key for r in plan.collect()]
     for k in keys:
-        run_hour(spark, k, layout, pairs)
+        run_hour(spark, k, layout, pairs, **run_options)
         spark.createDataFrame([(k,)], "partition_key string").write.mode("append").parquet(layout.backfills)
     return keys
 

@@ -16,6 +16,7 @@ import json
 from pyspark.sql import functions as F
 
 from ..operators.quality import alerts
+from ..schemas import REFERENCE_UPDATE_COLS
 from ..session import build_session
 from ..sources.pairs import pair_dimension
 from .hourly import Layout, run_backfill, run_hour
@@ -32,16 +33,18 @@ def main(argv=None) -> dict:
                     help="update only the reference's nine silver columns on merge")
     ap.add_argument("--gold-from-5m", action="store_true",
                     help="fold 15m/30m/1h candles from the 5m partitions instead of silver")
+    ap.add_argument("--streamed-bronze", action="store_true",
+                    help="take the hour's WS rows from bronze, where stream_bronze put them, instead of landing")
     args = ap.parse_args(argv)
     spark = build_session()
     layout, pairs = Layout(args.root), pair_dimension(spark)
+    options = {"update_cols": REFERENCE_UPDATE_COLS if args.reference_update_cols else None,
+               "gold_from_5m": args.gold_from_5m, "from_landing": not args.streamed_bronze}
     if args.backfill:
-        keys = run_backfill(spark, layout, pairs, args.as_of, args.lookback_hours)
+        keys = run_backfill(spark, layout, pairs, args.as_of, args.lookback_hours, **options)
         out = {"backfilled": keys}
     else:
-        from ..schemas import REFERENCE_UPDATE_COLS
-        upd = REFERENCE_UPDATE_COLS if args.reference_update_cols else None
-        r = run_hour(spark, args.hour, layout, pairs, update_cols=upd, gold_from_5m=args.gold_from_5m)
+        r = run_hour(spark, args.hour, layout, pairs, **options)
         texts = [a.text for a in alerts(r.completeness).select("text").orderBy("text").collect()]
         ok = r.hour_ok.select(F.col("ok")).first()
         out = {"hour": args.hour, "metrics": r.metrics, "all_series_complete": bool(ok and ok.ok),

@@ -12,6 +12,8 @@ from ..functions.time import HOUR_DIR_FORMAT, hour_partition, micros
 from ..session import shared_dir
 
 PARTITION_COL = "hour"
+# Bronze is stored by the hour its rows were loaded for.
+LOAD_COL = "load_hour"
 
 
 def ts_lit(v) -> Column:
@@ -54,17 +56,21 @@ def with_hour_partition(df: DataFrame, time_col: str = "interval_start") -> Data
 
 def write_hours(df: DataFrame, path: str, time_col: str = "interval_start",
                 partition_col: str = PARTITION_COL,
-                max_records_per_file: int = 5_000_000) -> None:
+                max_records_per_file: int = 5_000_000, rebalanced: bool = False) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic mode).
 
     Re-running a job rewrites the same partitions with the same rows, so
     a retried or repeated run is idempotent. A rebalance by the partition
     column lets AQE merge small hours into few files and split a hot hour
     over several tasks; ``maxRecordsPerFile`` bounds the file size.
+    ``rebalanced`` says that ``df`` comes with that hint (below an
+    ``observe``, whose counts a rebalance above it would lose when empty).
     """
     if partition_col not in df.columns:
         df = df.withColumn(partition_col, hour_partition(time_col))
-    (df.hint("rebalance", partition_col).write.mode("overwrite")
+    if not rebalanced:
+        df = df.hint("rebalance", partition_col)
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)

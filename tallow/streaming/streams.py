@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.time import hour_partition
 from ..operators.dedup import dedup_latest
 from ..operators.load import to_bronze
 from ..operators.rollup import rollup
@@ -35,7 +36,7 @@ from ..operators.silver import merge_silver, to_silver
 from ..schemas import LANDING_READ, SILVER
 from ..sources.landing import PATH_COLS, TS_FORMAT, landing_frame
 from ..sources.messages import ENVELOPE_COLS, envelope_binance, envelope_kraken
-from ..sources.tables import PARTITION_COL, read_hours, staged, with_hour_partition, write_hours
+from ..sources.tables import LOAD_COL, PARTITION_COL, read_hours, staged, with_hour_partition, write_hours
 
 LATENESS = "2 hours"
 SILVER_PARTITIONED = T.StructType([*SILVER.fields, T.StructField(PARTITION_COL, T.StringType())])
@@ -120,9 +121,11 @@ def stream_landing(spark: SparkSession, src: str, landing_root: str, checkpoint:
 def stream_bronze(spark: SparkSession, src: str, bronze_path: str, checkpoint: str,
                   from_landing: bool = False, trigger_seconds: int | None = None,
                   source_options: dict | None = None) -> StreamingQuery:
-    """Raw feed (or landing) files -> bronze Parquet, partitioned by hour.
+    """Raw feed (or landing) files -> bronze Parquet, partitioned by ``load_hour``.
 
-    The Parquet file sink commits each micro-batch through its metadata
+    The layout is that of the hourly run's bronze (the hour of the message's
+    own time), so ``run_hour(..., from_landing=False)`` takes the rows up. The
+    Parquet file sink commits each micro-batch through its metadata
     log, so a replayed batch is never appended twice.
     """
     if from_landing:
@@ -130,9 +133,9 @@ def stream_bronze(spark: SparkSession, src: str, bronze_path: str, checkpoint: s
                .option("timestampFormat", TS_FORMAT).json(src).select(*ENVELOPE_COLS))
     else:
         env = feed_envelopes(read_raw_feed(spark, src, source_options=source_options))
-    out = with_hour_partition(to_bronze(env))
+    out = to_bronze(env).withColumn(LOAD_COL, hour_partition("ingestion_ts"))
     w = (out.writeStream.format("parquet").option("path", bronze_path)
-         .option("checkpointLocation", checkpoint).partitionBy(PARTITION_COL).outputMode("append"))
+         .option("checkpointLocation", checkpoint).partitionBy(LOAD_COL).outputMode("append"))
     return _trigger(w, trigger_seconds).start()
 
 

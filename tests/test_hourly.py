@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tallow.plans.hourly import (GOLD_STORED, SILVER_STORED, Layout, gaps_for, run_backfill,
+from tallow.plans.hourly import (BRONZE_STORED, GOLD_STORED, SILVER_STORED, Layout, gaps_for, run_backfill,
                                    run_hour)
 from tallow.sources.landing import read_landing, write_landing
 from tallow.sources.messages import envelope_binance, envelope_kraken
@@ -173,3 +173,46 @@ def test_run_hour_stops_on_duplicate_silver_keys(spark, scratch):
     write_hours(dup, layout.silver)                      # a corrupted hour: one key twice
     with pytest.raises(ValueError, match="duplicate key"):
         run_hour(spark, H, layout, pair_dimension(spark))
+    assert spark.read.parquet(layout.silver).count() == 2  # not rewritten before the check
+
+
+def _stages(spark):
+    from tallow.session import checkpoint_root
+    from tallow.sources.tables import existing_paths
+    root = checkpoint_root(spark)
+    return existing_paths(spark, [f"{root}/stages/*/*", f"{root}/*/rdd-*"])
+
+
+def test_empty_rerun_clears_the_hour_and_nothing_is_left_behind(spark, scratch):
+    from tallow.sources.tables import delete_path
+    layout, pairs = Layout(scratch), pair_dimension(spark).where("canonical_symbol = 'BTC-USD'")
+    build_inputs(spark, layout)
+    before = _stages(spark)
+    first = run_hour(spark, H, layout, pairs)
+    assert first.metrics["bronze_append"]["rows"] > 0
+    # one WS minute of hour 01 is landed in hour 02; the REST page fills Kraken's last two minutes
+    assert first.metrics["gap_fill"]["filled_minutes"] >= 2
+    assert first.metrics["window"] == {"start": "2025-12-01T00:00:00", "end": "2025-12-01T02:00:00"}
+    delete_path(spark, layout.landing)
+    delete_path(spark, layout.rest)
+    again = run_hour(spark, H, layout, pairs)
+    assert again.metrics["bronze_append"]["rows"] == 0
+    assert read_hours(spark, layout.bronze, ["2025-12-01-01"], BRONZE_STORED, partition_col="load_hour").count() == 0
+    assert again.gap_fill.count() > 0 and _stages(spark) == before
+
+
+def test_hourly_run_on_streamed_bronze(spark, scratch):
+    from tallow.streaming.streams import run_available_now, stream_bronze
+    mins = [H + dt.timedelta(minutes=i) for i in range(59)]
+    feed = [("binance", "BTCUSDT", 1, None, binance_msg(t, 100.0)) for t in mins] + \
+        [("kraken", "BTC/USD", 1, t, kraken_msg(t, 200.0)) for t in mins]
+    spark.createDataFrame(feed, "exchange string, symbol string, interval_minutes int, received_ts timestamp, msg string") \
+        .write.json(f"{scratch}/feed")
+    layout = Layout(f"{scratch}/tables")
+    run_available_now(stream_bronze(spark, f"{scratch}/feed", layout.bronze, f"{scratch}/chk"))
+    pairs = pair_dimension(spark).where("canonical_symbol = 'BTC-USD'")
+    for _ in range(2):  # a re-run takes the rows up again
+        r = run_hour(spark, H, layout, pairs, from_landing=False)
+        # minute 58 ends at :59 and is stamped a second later, so all 59 are in the hour
+        assert r.metrics["bronze_append"]["ws_rows"] == 118
+        assert silver_hour(spark, layout).count() == 118
