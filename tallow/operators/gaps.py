@@ -28,25 +28,54 @@ def series_hours(series: DataFrame, window_start, window_end) -> DataFrame:
                          F.explode(steps(first, last, hours(1))).alias("hour"))
 
 
-def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
-    """Minutes in ``[ws, we)`` with no one-minute WS row, per series.
+def minute_sets(bronze: DataFrame, window_start=None, window_end=None) -> DataFrame:
+    """Per (exchange, symbol, hour): the minutes with a one-minute WS row (``ws``)
+    and with any row (``held``), at most 60 each.
 
-    ``series`` = (exchange, symbol) to check. WS rows are those with
-    ``source = exchange || '_ws'`` and ``interval_seconds = 60``.
-    Result: (exchange, symbol, interval_start).
+    One aggregation from which gaps, their fill, the series and the bounds all
+    follow. WS rows are those with ``source = exchange || '_ws'`` and
+    ``interval_seconds = 60``; only minute-aligned rows count.
     """
+    rows = read_window(bronze, window_start, window_end).where(minute_aligned("interval_start"))
+    is_ws = (F.col("source") == F.concat("exchange", F.lit("_ws"))) & (F.col("interval_seconds") == 60)
+    return (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
+            .agg(F.collect_set(F.when(is_ws, F.col("interval_start"))).alias("ws"),
+                 F.collect_set("interval_start").alias("held")))
+
+
+def _missing(sets: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """``sets`` on every series-hour of ``[ws, we)``, with ``missing``: minutes without a WS row."""
     ws, we = ts_lit(window_start), ts_lit(window_end)
-    rows = read_window(bronze, ws, we).where(
-        (F.col("source") == F.concat("exchange", F.lit("_ws")))
-        & (F.col("interval_seconds") == 60) & minute_aligned("interval_start"))
-    present = (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
-                   .agg(F.collect_set("interval_start").alias("present")))
-    spine = series_hours(series, ws, we)
     expected = steps(F.greatest("hour", ws),
                      F.least(F.col("hour") + minutes(59), we - minutes(1)), minutes(1))
-    missing = F.array_except(expected, F.coalesce("present", F.array().cast("array<timestamp>")))
-    return (spine.join(present, ["exchange", "symbol", "hour"], "left")
-                 .select("exchange", "symbol", F.explode(missing).alias("interval_start")))
+    none = F.array().cast("array<timestamp>")
+    return (series_hours(series, ws, we).join(sets, ["exchange", "symbol", "hour"], "left")
+            .withColumn("missing", F.array_except(expected, F.coalesce("ws", none)))
+            .withColumn("held", F.coalesce("held", none)))
+
+
+def gaps_of(sets: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """(exchange, symbol, interval_start) of every missing minute, from ``minute_sets``."""
+    return _missing(sets, series, window_start, window_end).select(
+        "exchange", "symbol", F.explode("missing").alias("interval_start"))
+
+
+def gap_fill_of(sets: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """Per series with gaps: missing minutes and how many of them any row holds, from ``minute_sets``."""
+    return (_missing(sets, series, window_start, window_end).groupBy("exchange", "symbol")
+            .agg(F.sum(F.size("missing")).cast("long").alias("ws_missing"),
+                 F.sum(F.size(F.array_intersect("missing", "held"))).cast("long").alias("filled_minutes"))
+            .where("ws_missing > 0"))
+
+
+def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """Minutes in ``[ws, we)`` with no one-minute WS row, per series.
+
+    ``series`` = (exchange, symbol) to check.
+    Result: (exchange, symbol, interval_start).
+    """
+    sets = minute_sets(bronze, window_start, window_end)
+    return gaps_of(sets, series, window_start, window_end)
 
 
 def rest_gap_fill(rest: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -71,11 +100,28 @@ def gap_fill_check(bronze: DataFrame, gaps: DataFrame) -> DataFrame:
                      F.count("_held").alias("filled_minutes")))
 
 
-def present_minutes(fact: DataFrame, window_start=None, window_end=None) -> DataFrame:
-    """(exchange, symbol, hour, present): distinct minute-aligned rows per series-hour."""
-    rows = read_window(fact, window_start, window_end).where(minute_aligned("interval_start"))
-    return (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
-                .agg(F.count_distinct("interval_start").alias("present")))
+def hourly_counts(fact: DataFrame, window_start=None, window_end=None) -> DataFrame:
+    """Per (exchange, symbol, hour): ``rows``, distinct ``minutes`` and distinct
+    minute-aligned ones (``present``).
+
+    First one row per start, then one per hour, so no distinct aggregate
+    multiplies the rows.
+    """
+    starts = (read_window(fact, window_start, window_end).where(F.col("interval_start").isNotNull())
+              .groupBy("exchange", "symbol", "interval_start").agg(F.count(F.lit(1)).alias("n")))
+    return (starts.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
+            .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("minutes"),
+                 F.count_if(minute_aligned("interval_start")).alias("present")))
+
+
+def gap_report_of(counts: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """``gap_report`` from ``hourly_counts``."""
+    return (series_hours(series, window_start, window_end)
+            .join(counts.select("exchange", "symbol", "hour", "present"), ["exchange", "symbol", "hour"], "left")
+            .select("exchange", "symbol", "hour",
+                    (F.lit(60) - F.coalesce("present", F.lit(0))).cast("long").alias("missing_minutes"))
+            .where("missing_minutes > 0")
+            .orderBy(F.desc("hour"), "exchange", "symbol"))
 
 
 def gap_report(silver: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
@@ -88,13 +134,7 @@ def gap_report(silver: DataFrame, series: DataFrame, window_start, window_end) -
     """
     ws = _hour_floor(window_start)
     we = _hour_floor(window_end)
-    present = present_minutes(silver, ws, we)
-    return (series_hours(series, ws, we)
-            .join(present, ["exchange", "symbol", "hour"], "left")
-            .select("exchange", "symbol", "hour",
-                    (F.lit(60) - F.coalesce("present", F.lit(0))).cast("long").alias("missing_minutes"))
-            .where("missing_minutes > 0")
-            .orderBy(F.desc("hour"), "exchange", "symbol"))
+    return gap_report_of(hourly_counts(silver, ws, we), series, ws, we)
 
 
 def gap_report_weighted(silver: DataFrame, window_start) -> DataFrame:
@@ -106,13 +146,9 @@ def gap_report_weighted(silver: DataFrame, window_start) -> DataFrame:
     ``window_start`` count as missing and silent series-hours are never
     reported. Computed from per-hour counts, without the spine join.
     """
-    rows = read_window(silver, window_start, None)
-    per_hour = (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
-                    .agg(F.count(F.lit(1)).alias("n"),
-                         F.count_distinct(F.when(minute_aligned("interval_start"),
-                                                 F.col("interval_start"))).alias("present")))
+    per_hour = hourly_counts(silver, window_start)
     return (per_hour.select("exchange", "symbol", "hour",
-                            (F.col("n") * (F.lit(60) - F.col("present"))).cast("long").alias("missing_minutes"))
+                            (F.col("rows") * (F.lit(60) - F.col("present"))).cast("long").alias("missing_minutes"))
                     .where("missing_minutes > 0")
                     .orderBy(F.desc("hour"), "exchange", "symbol"))
 

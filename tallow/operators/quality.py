@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.time import hours, steps
-from ..sources.tables import read_window, ts_lit
-from .gaps import series_hours
+from ..sources.tables import ts_lit
+from .gaps import hourly_counts, series_hours
 
 HOUR_TEXT = "yyyy-MM-dd HH:00"
 
@@ -18,6 +18,14 @@ def _pair_series(pairs: DataFrame) -> DataFrame:
     return pairs.select("exchange", "symbol")
 
 
+def completeness_of(counts: DataFrame, pairs: DataFrame, window_start, window_end) -> DataFrame:
+    """``completeness`` from ``hourly_counts``."""
+    seen = F.coalesce("minutes", F.lit(0)).cast("long")
+    return (series_hours(_pair_series(pairs), window_start, window_end)
+            .join(counts.select("exchange", "symbol", "hour", "minutes"), ["exchange", "symbol", "hour"], "left")
+            .select("exchange", "symbol", "hour", seen.alias("minutes"), (seen == 60).alias("ok")))
+
+
 def completeness(silver: DataFrame, pairs: DataFrame, window_start, window_end) -> DataFrame:
     """Distinct minutes per (exchange, symbol, hour) for every dimension series.
 
@@ -27,33 +35,28 @@ def completeness(silver: DataFrame, pairs: DataFrame, window_start, window_end)
     """
     ws = F.date_trunc("hour", ts_lit(window_start))
     we = F.date_trunc("hour", ts_lit(window_end))
-    counts = (read_window(silver, ws, we)
-              .groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
-              .agg(F.count_distinct("interval_start").alias("minutes")))
-    return (series_hours(_pair_series(pairs), ws, we)
-            .join(counts, ["exchange", "symbol", "hour"], "left")
-            .select("exchange", "symbol", "hour",
-                    F.coalesce("minutes", F.lit(0)).cast("long").alias("minutes"),
-                    (F.coalesce("minutes", F.lit(0)) == 60).alias("ok")))
+    return completeness_of(hourly_counts(silver, ws, we), pairs, ws, we)
 
 
-def hour_ok(silver: DataFrame, pairs: DataFrame, window_start, window_end) -> DataFrame:
-    """Per hour: silver rows (non-null ``interval_start``) vs ``60 * #series``."""
-    ws = F.date_trunc("hour", ts_lit(window_start))
-    we = F.date_trunc("hour", ts_lit(window_end))
+def hour_ok_of(counts: DataFrame, pairs: DataFrame, window_start, window_end) -> DataFrame:
+    """``hour_ok`` from ``hourly_counts``."""
     expected = 60 * _pair_series(pairs).count()
-    counts = (read_window(silver, ws, we)
-              .groupBy(F.date_trunc("hour", "interval_start").alias("hour"))
-              .agg(F.count("interval_start").alias("rows")))
-    first, last = ws, we - hours(1)
-    spine = (silver.sparkSession.range(1)
-             .select(F.explode(steps(first, last, hours(1))).alias("hour")))
-    return (spine.join(counts, "hour", "left")
+    per_hour = counts.groupBy("hour").agg(F.sum("rows").alias("rows"))
+    spine = (counts.sparkSession.range(1)
+             .select(F.explode(steps(window_start, window_end - hours(1), hours(1))).alias("hour")))
+    return (spine.join(per_hour, "hour", "left")
             .select("hour", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
                     F.lit(expected).cast("long").alias("expected"),
                     (F.coalesce("rows", F.lit(0)) == expected).alias("ok")))
 
 
+def hour_ok(silver: DataFrame, pairs: DataFrame, window_start, window_end) -> DataFrame:
+    """Per hour: silver rows (non-null ``interval_start``) vs ``60 * #series``."""
+    ws = F.date_trunc("hour", ts_lit(window_start))
+    we = F.date_trunc("hour", ts_lit(window_end))
+    return hour_ok_of(hourly_counts(silver, ws, we), pairs, ws, we)
+
+
 def alerts(completeness_df: DataFrame | None = None, gaps: DataFrame | None = None,
            hour_checks: DataFrame | None = None) -> DataFrame:
     """Text alert rows (kind, exchange, symbol, hour, text); delivery is not built.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import hours
 from ..operators.dedup import dedup_latest
+from ..operators.gaps import hourly_counts
 from ..operators.silver import to_silver
 from ..sources.events import bronze_from_events, read_events
 from ..sources.pairs import pair_dimension
@@ -30,12 +31,14 @@ def silver(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: boo
     return to_silver(dedup_latest(b))
 
 
-def silver_and_bounds(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: bool = False):
-    """Silver plus its hour bounds, taken from bronze: dedup keeps every bronze
-    key, so the bounds are equal and the bounds pass skips the dedup shuffle."""
-    b = bronze(spark, sf_dir, grain, by_pair)
-    lo, hi = hour_bounds(b)
-    return to_silver(dedup_latest(b)), lo, hi
+def counts_and_bounds(spark: SparkSession, sf_dir: str, by_pair: bool = False):
+    """Per-(series, hour) counts of silver and their hour bounds, in one pass over ``events``.
+
+    Series, bounds and every report follow from the counts, so these are
+    kept (a row per series and hour) while the plans that share them run.
+    """
+    counts = hourly_counts(silver(spark, sf_dir, "minute", by_pair)).persist()
+    return counts, *hour_bounds(counts, "hour")
 
 
 def series_of(df: DataFrame) -> DataFrame:

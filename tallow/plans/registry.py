@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import hours
-from ..operators import (alerts, append_missing, backfill_plan, bronze_union,
-                         completeness, dedup_latest, gap_fill_check, gap_report,
-                         gap_report_weighted, health_report, hour_ok, merge_silver,
-                         rest_gap_fill, rollup, to_silver, upsert, with_canonical_symbol,
-                         ws_gaps)
+from ..operators import (alerts, append_missing, backfill_plan, bronze_union, completeness_of,
+                         dedup_latest, gap_fill_of, gap_report_of, gap_report_weighted, gaps_of,
+                         health_report, hour_ok_of, merge_silver, minute_sets, rest_gap_fill, rollup,
+                         to_silver, upsert, with_canonical_symbol)
 from ..operators.calendar import partition_calendar, ready_partitions
 from ..schemas import REFERENCE_UPDATE_COLS
 from ..sources.pairs import pair_dimension, pair_rows
@@ -233,10 +232,16 @@ GAPS_SQL = f"""
       SELECT exchange, symbol, interval_start FROM b WHERE source LIKE '%\\_ws' ESCAPE '\\')"""
 
 
-def _gaps(spark, d):
+def _minute_sets(spark, d):
+    """Minutes per series and hour, kept while gaps, series and bounds are taken from them."""
     b = I.bronze(spark, d, "minute")
-    lo, hi = I.hour_bounds(b)
-    return b, ws_gaps(b, I.series_of(b), lo, hi)
+    sets = minute_sets(b).persist()
+    return b, sets, I.series_of(sets), *I.hour_bounds(sets, "hour")
+
+
+def _gaps(spark, d):
+    b, sets, series, lo, hi = _minute_sets(spark, d)
+    return b, gaps_of(sets, series, lo, hi)
 
 
 @register("ws_gaps", _w(GAPS_SQL + " SELECT * FROM gaps"))
@@ -267,10 +272,8 @@ def q_rest_gap_fill(spark, d):
     SELECT m.exchange, m.symbol, m.ws_missing, coalesce(f.filled_minutes, 0) AS filled_minutes
     FROM missing m LEFT JOIN filled f USING (exchange, symbol)"""))
 def q_gap_fill_check(spark, d):
-    b, gaps = _gaps(spark, d)
-    ws = b.where(F.col("source").endswith("_ws"))
-    fill = rest_gap_fill(b.where(F.col("source").endswith("_rest")), gaps)
-    return gap_fill_check(bronze_union(ws, fill), gaps)
+    _, *sets_series_bounds = _minute_sets(spark, d)
+    return gap_fill_of(*sets_series_bounds)
 
 
 # --------------------------------------------------------------------------
@@ -293,8 +296,8 @@ GAP_REPORT_SQL = f"""
 
 
 def _gap_report(spark, d):
-    s, lo, hi = I.silver_and_bounds(spark, d, "minute")
-    return gap_report(s, I.series_of(s), lo, hi)
+    counts, lo, hi = I.counts_and_bounds(spark, d)
+    return gap_report_of(counts, I.series_of(counts), lo, hi)
 
 
 @register("gap_report", _w(GAP_REPORT_SQL + """
@@ -347,20 +350,16 @@ COMPLETENESS_SQL = f"""
             FROM hrs h LEFT JOIN hour_counts c USING (hour))"""
 
 
-def _pair_silver(spark, d):
-    return I.silver_and_bounds(spark, d, "minute", by_pair=True)
-
-
 @register("completeness", _w(COMPLETENESS_SQL + " SELECT * FROM comp"))
 def q_completeness(spark, d):
-    s, lo, hi = _pair_silver(spark, d)
-    return completeness(s, pair_dimension(spark), lo, hi)
+    counts, lo, hi = I.counts_and_bounds(spark, d, by_pair=True)
+    return completeness_of(counts, pair_dimension(spark), lo, hi)
 
 
 @register("hour_ok", _w(COMPLETENESS_SQL + " SELECT hour, rows, CAST(expected AS BIGINT) AS expected, ok FROM hok"))
 def q_hour_ok(spark, d):
-    s, lo, hi = _pair_silver(spark, d)
-    return hour_ok(s, pair_dimension(spark), lo, hi)
+    counts, lo, hi = I.counts_and_bounds(spark, d, by_pair=True)
+    return hour_ok_of(counts, pair_dimension(spark), lo, hi)
 
 
 @register("alerts", _w(COMPLETENESS_SQL + """,
@@ -375,11 +374,10 @@ def q_hour_ok(spark, d):
     UNION ALL
     SELECT 'ok', NULL, NULL, hour, format('ok {}', strftime(hour, '%Y-%m-%d %H:00')) FROM hok WHERE ok"""))
 def q_alerts(spark, d):
-    s, lo, hi = _pair_silver(spark, d)
+    counts, lo, hi = I.counts_and_bounds(spark, d, by_pair=True)
     pairs = pair_dimension(spark)
-    comp = completeness(s, pairs, lo, hi)
-    gaps = gap_report(s, pairs.select("exchange", F.col("warehouse_symbol").alias("symbol")), lo, hi)
-    return alerts(comp, gaps, hour_ok(s, pairs, lo, hi))
+    gaps = gap_report_of(counts, pairs.select("exchange", F.col("warehouse_symbol").alias("symbol")), lo, hi)
+    return alerts(completeness_of(counts, pairs, lo, hi), gaps, hour_ok_of(counts, pairs, lo, hi))
 
 
 @register("health_report", _w(f"""
@@ -431,26 +429,28 @@ CALENDAR_SQL = f"""
 
 
 def _calendar(spark, d):
-    b = I.bronze(spark, d, "minute")
-    first, last = I.value_bounds(b, "ingestion_ts")
+    """The calendar around the data with bronze rows per hour, and the last ingestion time."""
+    counts = (I.bronze(spark, d, "minute").groupBy(F.date_trunc("hour", "interval_start").alias("hour_start"))
+               .agg(F.count(F.lit(1)).alias("bronze_rows"), F.min("ingestion_ts").alias("first"),
+                    F.max("ingestion_ts").alias("last")).persist())   # a row per hour, read for its bounds, too
+    first, last = counts.agg(F.min("first"), F.max("last")).first()
     lo = F.date_trunc("hour", F.lit(first)) - hours(24)
     hi = F.date_trunc("hour", F.lit(last)) + hours(72)
-    counts = (b.groupBy(F.date_trunc("hour", "interval_start").alias("hour_start"))
-               .agg(F.count(F.lit(1)).alias("bronze_rows")))
+    counts = counts.select("hour_start", "bronze_rows")
     cal = (partition_calendar(spark, lo, hi).join(counts, "hour_start", "left")
            .withColumn("bronze_rows", F.coalesce("bronze_rows", F.lit(0)).cast("long")))
-    return b, cal
+    return cal, last
 
 
 @register("partition_calendar", _w(CALENDAR_SQL + " SELECT * FROM report"))
 def q_partition_calendar(spark, d):
-    return _calendar(spark, d)[1]
+    return _calendar(spark, d)[0]
 
 
 @register("ready_partitions", _w(CALENDAR_SQL + """
     SELECT * FROM report
     WHERE (SELECT as_of FROM bounds) >= hour_start + INTERVAL 1 HOUR + INTERVAL 3 MINUTE"""))
 def q_ready_partitions(spark, d):
-    b, cal = _calendar(spark, d)
-    return ready_partitions(cal, I.value_bounds(b, "ingestion_ts")[1], delay_minutes=3)
+    cal, last = _calendar(spark, d)
+    return ready_partitions(cal, last, delay_minutes=3)
 
