@@ -163,7 +163,7 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tupl
     empty = np.array([len(t) == 0 for t, _ in vectors], bool)
     index.base = float(index.toxic[empty].mean()) if empty.any() else float(index.toxic.mean()) if n else 0.0
     some = np.unique(np.linspace(0, n - 1, min(n, MAX_CALIBRATION)).astype(int)) if n else []
-    votes = [(index.vote(*index.nearest(*vectors[i], NEIGHBOURS, without=i)) if not empty[i] else index.base,
+    votes = [(round(index.vote(*index.nearest(*vectors[i], NEIGHBOURS, without=i)) if not empty[i] else index.base, 9),
               index.toxic[i]) for i in some]
     if votes:
         index.steps = isotonic(votes)
@@ -171,10 +171,16 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tupl
 
 
 def isotonic(points: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators; returns the knots of a monotone curve."""
-    pools: list[list[float]] = []  # vote total, label total, count
-    for x, y in sorted(points):
-        pools.append([x, y, 1])
+    """Pool adjacent violators; returns the knots of a monotone curve.
+
+    Equal votes share a pool from the start, so the knots' votes all differ.
+    """
+    tied: dict[float, list[float]] = {}  # vote total, label total, count
+    for x, y in points:
+        tied[x] = [a + b for a, b in zip(tied.get(x, (0.0, 0.0, 0)), (x, y, 1), strict=True)]
+    pools: list[list[float]] = []
+    for x in sorted(tied):
+        pools.append(tied[x])
         while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]

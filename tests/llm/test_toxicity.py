@@ -26,6 +26,8 @@ def test_nearest_equals_brute_force():
 def test_isotonic_is_monotone():
     x, y = X.isotonic([(0.1, 0), (0.2, 1), (0.3, 0), (0.4, 1), (0.4, 1)])
     assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all()
+    x, y = X.isotonic([(0.1, 0)] * 9 + [(0.1, 1)])
+    assert len(x) == 1 and y[0] == 0.1  # equal votes are one step
 
 
 def corpus(spark):
