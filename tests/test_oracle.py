@@ -3,12 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from tallow.plans import catalog
 from tallow.plans.verify import compare, duckdb_views
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# The queries of the optional subpackage are tested beside it.
+QUERIES = {name: E.queries()[name] for name in catalog.QUERIES}
+ORACLE = {name: E.oracle_sql()[name] for name in catalog.ORACLE}
 
 
 @pytest.fixture(scope="module")
