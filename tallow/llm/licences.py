@@ -7,16 +7,22 @@ digests of known licence texts and notices. Whole documents are looked up, and
 so is every line of them, so that a notice inside a document is found, too.
 
 Known texts are few (:data:`KNOWN` and what the caller adds); they are digested
-by the same expression. Null and empty texts, and texts of copyright lines
+by the same function. A line is digested if it starts with the first word of a
+known text. Null and empty texts, and texts of copyright lines
 only, have an empty canonical form and match nothing. Repeated rows report
 alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallow.llm.common import bounded_batches, per_document
+
 # Licence identifiers and texts or notices that grant them.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -62,25 +68,33 @@ SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "lic
              ("copyright owner", "copyright holder"), ("per cent", "percent"))
 # A line that starts like this states whose copyright it is, not the licence.
 COPYRIGHT = r"(?m)^[^\n\p{L}\p{N}(]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+_COPYRIGHT = re.compile(r"^(?:[^\w\n(]|_)*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$", re.MULTILINE)
+_WORD = re.compile(r"[^\W_]+")
+_ONE_WORD = {a: b for a, b in SPELLINGS if " " not in a}
+_MORE_WORDS = [(a, b) for a, b in SPELLINGS if " " in a]
 
 
-def canonical(text: Column) -> Column:
+def canonical(text: str) -> str:
     """The canonical form: lower-case words parted by single spaces."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT, "")
-    words = F.concat(F.lit(" "), F.regexp_replace(lower, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    for other, usual in SPELLINGS:
-        words = F.replace(words, F.lit(f" {other} "), F.lit(f" {usual} "))
-    return F.trim(F.regexp_replace(words, r" +", " "))
+    lower = text.lower()
+    if "copyright" in lower or "(c)" in lower or "©" in lower or "all rights" in lower:
+        lower = _COPYRIGHT.sub("", lower)
+    form = " ".join([_ONE_WORD.get(w, w) for w in _WORD.findall(lower)])
+    for other, usual in _MORE_WORDS:
+        if other in form:
+            form = f" {form} ".replace(" ", "  ").replace(f" {other.replace(' ', '  ')} ", f" {usual} ")
+            form = " ".join(w for w in form.split(" ") if w)
+    return form
 
 
-def text_digest(form: Column) -> Column:
-    return F.sha2(form, 256)
+def text_digest(form: str) -> str:
+    return hashlib.sha256(form.encode()).hexdigest()
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """``digest, licence``, one row per known text; as many rows as ``known``."""
-    texts = spark.createDataFrame(list(known), "licence string, text string")
-    return texts.select(text_digest(canonical(F.col("text"))).alias("digest"), "licence").distinct()
+    rows = sorted({(text_digest(canonical(t)), i) for i, t in known})
+    return spark.createDataFrame(rows, "digest string, licence string")
 
 
 def scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -90,16 +104,29 @@ def scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFra
     joined by commas. Notices are gathered by id and digest, so rows that
     repeat a document share them without being counted twice.
     """
+    bounded_batches(docs.sparkSession)
     # As many rows as there are known texts: a proven bound for the broadcast.
     digests = F.broadcast(known_digests(docs.sparkSession, known))
-    texts = docs.select("doc_id", "text").withColumn("text_digest", text_digest(canonical(F.col("text"))))
-    lines = (texts.select("doc_id", "text_digest", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-             .withColumn("digest", text_digest(canonical(F.col("line")))))
+    # A line can only equal a known text that starts with the same word.
+    first_words = {canonical(t).split(" ", 1)[0] for _, t in known}
+
+    def digest(text: str) -> tuple:
+        lines = []
+        for line in text.split("\n"):
+            word = _WORD.search(line)
+            if word:
+                w = word.group().lower()
+                if _ONE_WORD.get(w, w) in first_words or any(w.startswith(a.split(" ")[0]) for a, _ in _MORE_WORDS):
+                    lines.append(text_digest(canonical(line)))
+        return text_digest(canonical(text)), lines
+
+    texts = per_document(docs, digest, "text_digest string, line_digests array<string>", ["doc_id"])
+    lines = texts.select("doc_id", "text_digest", F.posexplode("line_digests").alias("line_no", "digest"))
     notices = lines.join(digests, "digest").groupBy("doc_id", "text_digest").agg(
         F.countDistinct("line_no").alias("notice_lines"),
         F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notice_licences"))
-    whole = texts.drop("text").join(digests.select(F.col("digest").alias("text_digest"), F.col("licence").alias("text_licence")),
-                                    "text_digest", "left").withColumnRenamed("doc_id", "id")
+    whole = texts.select(F.col("doc_id").alias("id"), "text_digest").join(
+        digests.select(F.col("digest").alias("text_digest"), F.col("licence").alias("text_licence")), "text_digest", "left")
     same = whole["id"].eqNullSafe(notices["doc_id"]) & (whole["text_digest"] == notices["text_digest"])
     return whole.join(notices, same, "left").select(
         F.col("id").alias("doc_id"), whole["text_digest"], "text_licence",
@@ -113,9 +140,10 @@ def _sql_text(s: str) -> str:
 def _canonical_sql(text: str) -> str:
     """:func:`canonical` in DuckDB's SQL."""
     lower = f"regexp_replace(lower(coalesce({text}, '')), {_sql_text(COPYRIGHT)}, '', 'g')"
-    words = f"' ' || regexp_replace({lower}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+    # Two spaces between words, so that neighbours do not share one.
+    words = f"'  ' || regexp_replace({lower}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || '  '"
     for other, usual in SPELLINGS:
-        words = f"replace({words}, ' {other} ', ' {usual} ')"
+        words = f"replace({words}, ' {other.replace(' ', '  ')} ', ' {usual.replace(' ', '  ')} ')"
     return f"trim(regexp_replace({words}, ' +', ' ', 'g'))"
 
 
