@@ -37,7 +37,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallow.llm.common import bounded_batches, drop_table, materialize, per_document
@@ -186,7 +186,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     banded = classes.select("id", "n", F.explode("bands").alias("key"))
     keys = materialize(banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "keys")
     members = materialize(banded.join(keys, "key"), "members")
-    texts = materialize(docs.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
+    met = members.select(F.col("id").alias("doc_id")).distinct()
+    texts = materialize(docs.join(met.hint("merge"), "doc_id", "left_semi"), "texts")
 
     # Every member against its bucket's hub.
     company = members.groupBy("id").agg(F.sum(F.col("m") - 1).alias("company"))
@@ -257,7 +258,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs)
     dropped = found.where("NOT kept").select("doc_id").distinct()
-    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1")
-    stay = docs.join(dropped, "doc_id", "left_anti")
-    once = stay.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    # The dropped ids grow with the documents, so they are joined by a shuffle at
+    # every size; the first row of an id is taken in the same partitions.
+    stay = docs.where(F.col("doc_id").isNotNull()).join(dropped.hint("merge"), "doc_id", "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    once = stay.select("*", first.alias("__row")).where(F.col("__row") == 1).drop("__row")
+    return once.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
