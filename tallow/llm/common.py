@@ -8,7 +8,7 @@ six ASCII white-space characters, so it is the tokenizer inside tasks.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -83,13 +83,19 @@ def per_document(df: DataFrame, fn: Callable[[str], tuple], schema: str,
     ``keep`` are the input columns carried along; ``schema`` the DDL of the
     values that ``fn`` returns, in order.
     """
+    return per_batch(df, lambda texts: map(fn, texts), schema, keep, text)
+
+
+def per_batch(df: DataFrame, fn: Callable[[list[str]], Iterable[tuple]], schema: str,
+              keep: list[str], text: str = "text") -> DataFrame:
+    """:func:`per_document` with a ``fn`` that takes the texts of a batch."""
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     names, types = zip(*[(n, ARROW[t]) for n, t in (f.split() for f in schema.split(", "))], strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [fn(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            rows = list(fn(b.column(b.num_columns - 1).to_pylist()))
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],

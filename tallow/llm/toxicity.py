@@ -1,19 +1,19 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine, block-max index.
 
 Fit (on a bounded sample of labelled rows, :data:`MAX_EXAMPLES`): Spark counts
-in how many toxic and other examples each term occurs; terms tied to the label
-(chi-square) form the vocabulary, and the examples' TF-IDF vectors over it an
-inverted index. Terms are words and their beginnings of 4 and 5 letters, so an
+in how many toxic and other examples each term occurs; every term counts, with
+its idf and, as a weight, its chi-square with the label, at every size of the
+label set. Terms are words and their beginnings of 4 and 5 letters, so an
 inflected form that no example has still meets its stem.
 
 Search: the examples are numbered and cut into blocks of equal size. For each
-term and block the index holds the largest weight, so a query's largest
-possible cosine within a block is known beforehand; the blocks with the highest
-bounds set a threshold, and the others are scored only if they can reach it. The
-result is the exact k nearest, ties to the lower example number.
+frequent term and block the index holds the largest weight, so what the terms
+not yet scored can add is known beforehand; only examples that can reach the
+k best are compared by their whole vectors. The result is the exact k nearest,
+ties to the lower example number.
 
 Score: votes weighted by squared cosine, shrunk to the share of toxic examples
-without any vocabulary term, then calibrated by isotonic regression over
+(of those without any term, if there are any), then calibrated by isotonic regression over
 leave-one-out votes. The neighbours are returned as evidence.
 
 Null and empty texts, and texts without vocabulary terms, get that share
@@ -23,27 +23,38 @@ alike; ids are never an input.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallow.llm.common import bounded_batches, drop_table, materialize, per_document, spread_key
+from tallow.llm.common import bounded_batches, drop_table, materialize, per_batch, per_document, spread_key
 
 # The examples: so many labelled rows at most, those with the lowest MD5 keys.
 MAX_EXAMPLES = 10_000
-# The vocabulary: terms in MIN_DF examples or more whose chi-square with the
-# label is significant after as many tests as there are terms (p about 1e-6),
-# the best MAX_TERMS of them.
-MIN_DF, MIN_CHI2, MAX_TERMS = 5, 24.0, 4096
 STEMS = (4, 5)
 NEIGHBOURS = 15
 BLOCK = 256
-FIRST_BLOCKS = 4
+# A term's weight is its idf times this and its chi-square with the label, so
+# that terms tied to the label lead and every term counts.
+PLAIN_WEIGHT = 0.5
+# Terms of so many examples have block peaks; others are always scored.
+OFTEN = 64
+FIRST_TERMS = 16
+# Terms of this share of the examples are scored by a matrix product, so many
+# queries at a time.
+HEAD_SHARE, QUERIES, SLACK = 0.08, 128, 1e-5
+# So many examples are compared by their whole vectors.
+MAX_NEAR = 48
+MAX_LEVEL = 1000
+LOG_TF = np.concatenate([[0.0], 1 + np.log(np.arange(1, MAX_LEVEL + 1))])
 # A vote of this weight goes to the base share, so that one faint neighbour
 # does not decide alone.
 PRIOR_WEIGHT = 0.05
@@ -74,68 +85,150 @@ def term_counts(text: str) -> Counter:
 
 @dataclass
 class Index:
-    """A block-max inverted index over unit vectors.
+    """A block-max inverted index over unit vectors, and the vectors themselves.
 
-    Postings of term t are ``rows/weights[ptr[t, b]:ptr[t, b + 1]]`` for block
-    b; ``peak[t, b]`` is the largest of those weights.
+    Term t has the key ``keys[t]``. Its postings are ``rows/levels[start[t]:start[t + 1]]``, example r is
+    ``terms/own_levels[first[r]:first[r + 1]]``; a level is a count, whose
+    weight is ``(1 + log(count)) * idf / norm``. ``peak[slot[t], b]`` is the
+    largest weight of a frequent term in block b.
     """
-    vocabulary: dict[str, int]
+    keys: np.ndarray
     idf: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
-    ptr: np.ndarray
+    start: np.ndarray
     rows: np.ndarray
-    weights: np.ndarray
+    levels: np.ndarray
+    first: np.ndarray
+    terms: np.ndarray
+    own_levels: np.ndarray
+    norm: np.ndarray
+    slot: np.ndarray
     peak: np.ndarray
     base: float = 0.0
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(counts), np.int64)
-        w = (1 + np.log(np.array([counts[k] for k in t.tolist()], float))) * self.idf[t]
+        t = np.fromiter(counts, np.int64, len(counts))
+        c = np.fromiter(counts.values(), np.int64, len(counts))
+        order = np.argsort(t)
+        t, c = t[order], c[order]
+        w = LOG_TF[np.minimum(c, MAX_LEVEL)] * self.idf[t]
         norm = math.sqrt(float(w @ w))
         return (t, w / norm) if norm else (t[:0], w[:0])
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1,
+                head: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the exact k nearest examples with a cosine over 0.
 
-        The blocks with the highest bounds give a threshold, the k-th cosine
-        found there; of the others only those that can still reach it are scored.
+        ``head`` is what :meth:`heads` gives for the query. Rare terms are
+        scored at once, the others in falling order of what they can add. What
+        is left can add no more to an example than its block's peaks; when few
+        examples can reach the k-th cosine found, their whole vectors decide.
         """
-        bound = w @ self.peak[t]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        row, sim = self._best(t, w, order[:FIRST_BLOCKS], k, without)
-        # Sums of the same numbers in another order may differ in the last bits.
-        rest = order[FIRST_BLOCKS:]
-        if len(sim) == k:
-            rest = rest[bound[rest] >= sim[-1] - 1e-8]
-        if len(rest):
-            more, sims = self._best(t, w, rest, k, without)
-            row, sim = np.concatenate([row, more]), np.concatenate([sim, sims])
-            top = np.lexsort((row, -sim))[:k]
-            row, sim = row[top], sim[top]
-        return row, sim
-
-    def _best(self, t: np.ndarray, w: np.ndarray, blocks: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best rows of the given blocks, by all their postings of the terms."""
-        lo, hi = self.ptr[t][:, blocks].reshape(-1), self.ptr[t][:, blocks + 1].reshape(-1)
-        runs = hi - lo
-        total = int(runs.sum())
-        if not total:
+        n, q = len(self.ids), w * self.idf[t]
+        if not len(t) or not n:
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(total)
-        rows = self.rows[at]
-        sims = np.bincount(rows, self.weights[at] * np.repeat(np.repeat(w, len(blocks)), runs))
-        if 0 <= without < len(sims):
-            sims[without] = 0
-        found = np.flatnonzero(sims > 0)
-        sims = np.round(sims[found], 9)
-        if len(found) > k:  # the k-th value and all ties with it
-            near = sims >= np.partition(sims, -k)[-k]
-            found, sims = found[near], sims[near]
-        top = np.lexsort((found, -sims))[:k]
-        return found[top], sims[top]
+        if head is None:
+            head = self.heads([(t, w)])[0]
+        slot, tail = self.slot[t], ~self.in_head[t]
+        often = np.flatnonzero(tail & (slot >= 0))
+        adds = w[often, None] * self.peak[slot[often]]
+        order = np.argsort(-adds.max(axis=1, initial=0), kind="stable")
+        often, adds = often[order], adds[order]
+        now = np.concatenate([np.flatnonzero(tail & (slot < 0)), often[:FIRST_TERMS]])
+        scores, done, near = self._added(t[now], q[now]), FIRST_TERMS, np.arange(n)
+        while len(near) > MAX_NEAR:
+            part = head[near] + scores[near] / self.norm[near]
+            if 0 <= without < n:
+                part[near == without] = -1
+            # The k-th partial cosine is a lower bound of the k-th cosine; heads
+            # are single precision, so their last digits may differ.
+            least = max(np.partition(part, len(part) - k)[len(part) - k], 0) - SLACK
+            near = near[part + adds[done:].sum(axis=0)[near // BLOCK] >= least]
+            if done >= len(often):
+                break
+            if len(near) > MAX_NEAR:
+                more = often[done:2 * done]
+                scores += self._added(t[more], q[more])
+                done *= 2
+        sims = np.round(np.where(near == without, 0, self._whole(near, t, q)), 9)
+        near, sims = near[sims > 0], sims[sims > 0]
+        if len(near) > k:  # the k-th value and all ties with it
+            top = sims >= np.partition(sims, -k)[-k]
+            near, sims = near[top], sims[top]
+        top = np.lexsort((near, -sims))[:k]
+        return near[top], sims[top]
+
+    def heads(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the most frequent terms add to each cosine, a row for each vector."""
+        asked = np.zeros((len(vectors), len(self.matrix)), np.float32)
+        for i, (t, w) in enumerate(vectors):
+            at = self.in_head[t]
+            asked[i, self.column[t[at]]] = w[at]
+        return asked @ self.matrix
+
+    @functools.cached_property
+    def in_head(self) -> np.ndarray:
+        return np.diff(self.start) >= max(OFTEN, HEAD_SHARE * len(self.ids))
+
+    @functools.cached_property
+    def column(self) -> np.ndarray:
+        return np.cumsum(self.in_head) - 1
+
+    @functools.cached_property
+    def matrix(self) -> np.ndarray:
+        """The most frequent terms' weights in every example."""
+        m = np.zeros((int(self.in_head.sum()), len(self.ids)), np.float32)
+        for i, t in enumerate(np.flatnonzero(self.in_head).tolist()):
+            at = slice(self.start[t], self.start[t + 1])
+            m[i, self.rows[at]] = LOG_TF[self.levels[at]] * self.idf[t] / self.norm[self.rows[at]]
+        return m
+
+    def _added(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """What the terms' postings add to each example, before its norm."""
+        at, runs = _ranges(self.start[t], self.start[t + 1])
+        return np.bincount(self.rows[at], LOG_TF[self.levels[at]] * np.repeat(q, runs), len(self.ids)).astype(float, copy=False)
+
+    def _whole(self, rows: np.ndarray, t: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Cosines of the examples ``rows``, by their whole vectors."""
+        asked = self.asked
+        asked[t] = q
+        at, runs = _ranges(self.first[rows], self.first[rows + 1])
+        each = asked[self.terms[at]]
+        hit = np.flatnonzero(each)
+        each = each[hit] * LOG_TF[self.own_levels[at[hit]]]
+        asked[t] = 0
+        return np.bincount(np.repeat(np.arange(len(rows)), runs)[hit], each, len(rows)) / self.norm[rows]
+
+    @functools.cached_property
+    def asked(self) -> np.ndarray:
+        """A query's terms while its cosines are taken, else zeros."""
+        return np.zeros(len(self.idf))
+
+    def __getstate__(self) -> tuple:
+        """The vectors, compressed; postings and peaks are made anew from them."""
+        steps = np.diff(self.terms, prepend=np.int32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+        arrays = (self.keys, self.idf, self.ids, self.toxic, np.diff(self.first))
+        return arrays, _zstd().compress(steps), _zstd().compress(self.own_levels.tobytes()), self.base, self.steps
+
+    def __setstate__(self, state: tuple) -> None:
+        import zstandard
+        (keys, idf, ids, toxic, sizes), steps, levels, self.base, self.steps = state
+        steps = np.frombuffer(zstandard.decompress(steps), np.uint8).reshape(4, -1).T.copy().view(np.int32)[:, 0]
+        terms, levels = np.cumsum(steps, dtype=np.int32), np.frombuffer(zstandard.decompress(levels), np.uint16)
+        vars(self).update({"base": self.base, "steps": self.steps} | postings(keys, idf, ids, toxic, sizes, terms, levels))
+
+    def neighbours(self, vectors: list, without=None):
+        """The :data:`NEIGHBOURS` nearest of each vector."""
+        for k in range(0, len(vectors), QUERIES):
+            some = vectors[k:k + QUERIES]
+            for i, (v, head) in enumerate(zip(some, self.heads(some), strict=True), k):
+                yield self.nearest(*v, NEIGHBOURS, -1 if without is None else without[i], head)
+
+    def votes(self, vectors: list, without=None):
+        for rows, sims in self.neighbours(vectors, without):
+            yield self.vote(rows, sims) if len(rows) else self.base
 
     def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
         weight = sims ** 2
@@ -145,28 +238,64 @@ class Index:
         return float(np.interp(vote, *self.steps))
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the ranges ``lo:hi``, one after another, and their lengths."""
+    runs = hi - lo
+    return np.repeat(lo - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum())), runs
+
+
 def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]]) -> Index:
     """``examples``: id, label and term counts over the vocabulary, in order."""
-    n, v = len(examples), len(vocabulary)
-    blocks = max(1, -(-n // BLOCK))
-    index = Index(vocabulary, idf, np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], float),
-                  np.zeros((v, blocks + 1), np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((v, blocks)))
-    vectors = [index.vector(counts) for _, _, counts in examples]
-    terms = np.concatenate([np.zeros(0, np.int64), *[t for t, _ in vectors]])
-    rows = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
-    weights = np.concatenate([np.zeros(0), *[w for _, w in vectors]])
-    order = np.lexsort((rows, terms))
-    terms, index.rows, index.weights = terms[order], rows[order], weights[order]
-    cell = terms * blocks + index.rows // BLOCK
-    index.ptr[:, :] = np.searchsorted(cell, (np.arange(v) * blocks)[:, None] + np.arange(blocks + 1)[None, :])
-    np.maximum.at(index.peak.reshape(-1), cell, index.weights)
-    empty = np.array([len(t) == 0 for t, _ in vectors], bool)
-    index.base = float(index.toxic[empty].mean()) if empty.any() else float(index.toxic.mean()) if n else 0.0
+    sizes = np.array([len(e[2]) for e in examples], np.int64)
+    return index_of(np.array([term_key(t) for t in vocabulary], np.int64), idf, np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], float), sizes,
+                    np.array([t for e in examples for t in e[2]], np.int32), np.array([min(c, MAX_LEVEL) for e in examples for c in e[2].values()], np.uint16))
+
+
+def _zstd():
+    import zstandard
+    return zstandard.ZstdCompressor(level=1)
+
+
+def postings(keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
+             sizes: np.ndarray, terms: np.ndarray, levels: np.ndarray) -> dict:
+    """The fields of the index of examples whose ``sizes`` terms and their counts lie one after another."""
+    n, v = len(ids), len(idf)
+    first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    df = np.bincount(terms, minlength=v)
+    start = np.concatenate([[0], np.cumsum(df)]).astype(np.int64)
+    norm, rows, sorted_levels, fill = np.zeros(n), np.empty(len(terms), np.int32), np.empty(len(terms), np.uint16), start[:-1].copy()
+    for r in range(0, n, BLOCK):  # some examples at a time: the driver holds no second copy
+        at = slice(first[r], first[min(n, r + BLOCK)])
+        row = np.repeat(np.arange(r, min(n, r + BLOCK)), sizes[r:r + BLOCK])
+        norm[r:r + BLOCK] = np.sqrt(np.bincount(row - r, (LOG_TF[levels[at]] * idf[terms[at]]) ** 2, min(n - r, BLOCK)))
+        order = np.argsort(terms[at], kind="stable")
+        found, begin, runs = np.unique(terms[at][order], return_index=True, return_counts=True)
+        to = np.repeat(fill[found] - begin, runs) + np.arange(len(order))
+        rows[to], sorted_levels[to] = row[order], levels[at][order]
+        fill[found] += runs
+    norm[norm == 0] = 1
+    often = np.flatnonzero(df >= OFTEN)
+    slot = np.full(v, -1, np.int32)
+    slot[often] = np.arange(len(often))
+    peak = np.zeros((len(often), max(1, -(-n // BLOCK))))
+    for i, t in enumerate(often.tolist()):
+        at = slice(start[t], start[t + 1])
+        np.maximum.at(peak[i], rows[at] // BLOCK, LOG_TF[sorted_levels[at]] * idf[t] / norm[rows[at]])
+    return dict(keys=keys, idf=idf, ids=ids, toxic=toxic, start=start, rows=rows, levels=sorted_levels, first=first,
+                terms=terms, own_levels=levels, norm=norm, slot=slot, peak=peak)
+
+
+def index_of(keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
+             sizes: np.ndarray, terms: np.ndarray, levels: np.ndarray) -> Index:
+    """The index of :func:`postings`, its votes calibrated."""
+    index, n, first, empty = Index(**postings(keys, idf, ids, toxic, sizes, terms, levels)), len(ids), np.concatenate([[0], np.cumsum(sizes)]), sizes == 0
+    index.base = float(toxic[empty].mean()) if empty.any() else float(toxic.mean()) if n else 0.0
     some = np.unique(np.linspace(0, n - 1, min(n, MAX_CALIBRATION)).astype(int)) if n else []
-    votes = [(round(index.vote(*index.nearest(*vectors[i], NEIGHBOURS, without=i)) if not empty[i] else index.base, 9),
-              index.toxic[i]) for i in some]
+    asked = [index.vector(dict(zip(terms[first[i]:first[i + 1]].tolist(), levels[first[i]:first[i + 1]].tolist(), strict=True))) for i in some]
+    votes = [(round(vote, 9), toxic[i]) for i, vote in zip(some, index.votes(asked, some), strict=True)]
     if votes:
         index.steps = isotonic(votes)
+    vars(index).pop("matrix", None)
     return index
 
 
@@ -202,32 +331,47 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
 
     def terms(text: str) -> tuple:
         counts = term_counts(text)
-        return list(counts), list(counts.values())
+        return [term_key(t) for t in counts], list(counts.values())
 
-    vectors = materialize(per_document(chosen, terms, "terms array<string>, counts array<int>", ["doc_id", "y"]), "toxicity")
-    n, n_toxic = vectors.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    vectors = materialize(per_document(chosen, terms, "terms array<bigint>, counts array<int>", ["doc_id", "y"]), "toxicity")
     per_term = (vectors.select("y", F.explode("terms").alias("term")).groupBy("term")
-                .agg(F.count("*").alias("df"), F.sum("y").alias("toxic")).where(F.col("df") >= MIN_DF))
-    # Chi-square of the 2x2 table (term or not, toxic or not).
-    a, df = F.col("toxic").cast("double"), F.col("df").cast("double")
-    chi2 = (n * F.pow(a * (n - n_toxic) - (df - a) * n_toxic, 2)
-            / F.greatest(df * (n - df) * n_toxic * (n - n_toxic), F.lit(1e-9)))
-    best = (per_term.withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-            .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "df").collect())
-    vocabulary = {r["term"]: i for i, r in enumerate(best)}
-    idf = np.log((1 + n) / (1 + np.array([r["df"] for r in best], float))) + 1
-    def known_terms(batches):
-        for b in batches:
-            kept = [[(vocabulary[t], c) for t, c in zip(ts, cs, strict=True) if t in vocabulary]
-                    for ts, cs in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([[t for t, _ in k] for k in kept], pa.list_(pa.int32())),
-                 pa.array([[c for _, c in k] for k in kept], pa.list_(pa.int32()))], names=["doc_id", "y", "terms", "counts"])
+                .agg(F.count("*").cast("int").alias("df"), F.sum("y").cast("int").alias("toxic")).orderBy("term").toArrow())
+    n, n_toxic = vectors.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    keys, df, toxic = (per_term.column(c).to_numpy() for c in ("term", "df", "toxic"))
+    shared = docs.sparkSession.sparkContext.broadcast(keys)  # the terms of at most MAX_EXAMPLES texts
 
-    found = vectors.mapInArrow(known_terms, "doc_id bigint, y int, terms array<int>, counts array<int>").collect()
+    def numbered(batches):
+        for b in batches:
+            ts, ls = [], []
+            for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                at = np.searchsorted(shared.value, np.array(t, np.int64)).astype(np.int32)
+                order = np.argsort(at)
+                ts.append(at[order].tobytes())
+                ls.append(np.minimum(np.array(c, np.int64), MAX_LEVEL).astype(np.uint16)[order].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ts, pa.binary()), pa.array(ls, pa.binary())],
+                                             names=["doc_id", "y", "terms", "levels"])
+
+    found = vectors.mapInArrow(numbered, "doc_id bigint, y int, terms binary, levels binary").toArrow()
     drop_table(vectors)
-    return build_index(vocabulary, idf, sorted((r["doc_id"], r["y"], dict(zip(r["terms"], r["counts"], strict=True)))
-                                               for r in found))
+    order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
+    ids, y = found.column("doc_id").to_numpy()[order], found.column("y").to_numpy()[order].astype(float)
+    sizes = pc.binary_length(found.column("levels")).to_numpy()[order].astype(np.int64) // 2
+    ts, ls = (np.frombuffer(b"".join(found.column(c)[i].as_buffer() for i in order.tolist()), kind)
+              for c, kind in (("terms", np.int32), ("levels", np.uint16)))
+    del found
+    return index_of(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), ids, y, sizes, ts, ls)
+
+
+def term_key(term: str) -> int:
+    """64 bits that stand for a term; among a million terms two are alike with probability 3e-8."""
+    return int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def term_weights(n: int, n_toxic: int, df: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Idf times the chi-square (Yates) of the 2x2 table term or not, toxic or not."""
+    apart = np.maximum(np.abs(toxic * (n - n_toxic) - (df - toxic) * n_toxic) - n / 2, 0)
+    chi2 = n * apart ** 2 / np.maximum(df * (n - df) * n_toxic * (n - n_toxic), 1e-9)
+    return (np.log((1 + n) / (1 + df)) + 1) * (PLAIN_WEIGHT + chi2)
 
 
 def held_out(doc_id) -> F.Column:
@@ -237,15 +381,16 @@ def held_out(doc_id) -> F.Column:
 def score(df: DataFrame, index: Index, keep: list[str], text: str = "text") -> DataFrame:
     """``score, predicted`` and evidence of each row; ``keep`` are carried along."""
     bounded_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(index)  # at most MAX_EXAMPLES vectors over MAX_TERMS terms
+    shared = df.sparkSession.sparkContext.broadcast(index)  # at most MAX_EXAMPLES vectors
     seen: dict[bytes, tuple[int, ...]] = {}
 
     def known(word: bytes) -> tuple[int, ...]:
-        vocabulary = shared.value.vocabulary
-        return tuple(vocabulary[t] for t in terms_of(word) if t in vocabulary)
+        keys = shared.value.keys
+        asked = np.array([term_key(t) for t in terms_of(word)], np.int64)
+        at = np.searchsorted(keys, asked)
+        return tuple(i for i, k in zip(at.tolist(), asked.tolist(), strict=True) if i < len(keys) and keys[i] == k)
 
-    def judge(t: str) -> tuple:
-        index = shared.value
+    def vector(t: str) -> tuple[np.ndarray, np.ndarray]:
         counts: dict[int, int] = {}
         for word, n in word_counts(t).items():
             if word not in seen:
@@ -254,11 +399,15 @@ def score(df: DataFrame, index: Index, keep: list[str], text: str = "text") -> D
                 seen[word] = known(word)
             for term in seen[word]:
                 counts[term] = counts.get(term, 0) + n
-        rows, sims = index.nearest(*index.vector(counts), NEIGHBOURS) if counts else (np.zeros(0, int), np.zeros(0))
-        p = index.calibrated(index.vote(rows, sims) if len(rows) else index.base)
-        return p, int(p >= 0.5), index.ids[rows].tolist(), sims.tolist()
+        return shared.value.vector(counts)
+
+    def judge(texts: list[str]):
+        index = shared.value
+        for rows, sims in index.neighbours([vector(t) for t in texts]):
+            p = index.calibrated(index.vote(rows, sims) if len(rows) else index.base)
+            yield p, int(p >= 0.5), index.ids[rows].tolist(), sims.tolist()
 
-    return per_document(df, judge, SCHEMA, keep, text)
+    return per_batch(df, judge, SCHEMA, keep, text)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -62,3 +62,19 @@ def test_without_labels_and_empty(spark):
     d, labels, _ = corpus(spark)
     assert {r["score"] for r in X.toxicity_report(d, labels.limit(0)).collect()} == {0.0}
     assert X.toxicity_report(d.limit(0), labels).count() == 0
+
+
+def test_small_label_set_is_searched_and_its_insults_dropped(spark):
+    sf = "/root/testdata/sf0.001"
+    d, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    insults = {r[0] for r in d.where(r"text RLIKE '(?i)\\b(idiot|loser|clown|disgusting)'").select("doc_id").collect()}
+    got = {r["doc_id"]: r for r in X.toxicity_report(d, labels).collect()}
+    left = {r[0] for r in X.drop_toxic(d, labels).select("doc_id").collect()}
+    assert len(insults) == 8 and not insults & left
+    assert len(left) > 0.8 * d.count()
+    assert all(got[i]["evidence_ids"] for i in insults) and len({r["score"] for r in got.values()}) > 2
+
+
+def test_every_term_counts_and_rare_stems_are_terms():
+    w = X.term_weights(68, 10, np.array([1., 1., 4., 60.]), np.array([0., 1., 4., 9.]))
+    assert (w > 0).all() and w[2] == w.max()
