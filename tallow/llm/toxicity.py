@@ -3,7 +3,7 @@
 Fit (on a bounded sample of labelled rows, :data:`MAX_EXAMPLES`): Spark counts
 in how many toxic and other examples each term occurs; every term counts, with
 its idf and, as a weight, its chi-square with the label, at every size of the
-label set. Terms are words and their beginnings of 4 and 5 letters, so an
+label set. Terms are words and their beginnings of 4 to 7 letters, so an
 inflected form that no example has still meets its stem.
 
 Search: the examples are numbered and cut into blocks of equal size. For each
@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from tallow.llm.common import bounded_batches, drop_table, materialize, per_batch, per_document, spread_key
 
 # The examples: so many labelled rows at most, those with the lowest MD5 keys.
-MAX_EXAMPLES = 10_000
-STEMS = (4, 5)
+MAX_EXAMPLES = 20_000
+STEMS = (4, 5, 6, 7)
 NEIGHBOURS = 15
 BLOCK = 256
 # A term's weight is its idf times this and its chi-square with the label, so
@@ -53,7 +53,7 @@ FIRST_TERMS = 16
 HEAD_SHARE, QUERIES, SLACK = 0.08, 128, 1e-5
 # So many examples are compared by their whole vectors.
 MAX_NEAR = 48
-MAX_LEVEL = 1000
+MAX_LEVEL = 65_535  # two bytes hold a count
 LOG_TF = np.concatenate([[0.0], 1 + np.log(np.arange(1, MAX_LEVEL + 1))])
 # A vote of this weight goes to the base share, so that one faint neighbour
 # does not decide alone.

@@ -78,3 +78,4 @@ def test_small_label_set_is_searched_and_its_insults_dropped(spark):
 def test_every_term_counts_and_rare_stems_are_terms():
     w = X.term_weights(68, 10, np.array([1., 1., 4., 60.]), np.array([0., 1., 4., 9.]))
     assert (w > 0).all() and w[2] == w.max()
+    assert "achlich~" in X.terms_of("achlichae".encode())
