@@ -2,9 +2,9 @@
 
 A text is rejected when it compresses too well (repetitive) or too badly
 (incompressible). Ratios (compressed / raw UTF-8 bytes) are taken over the
-whole text and over fixed chunks; the limits depend on the text's length,
-because zstandard's frame overhead and window make short texts look random
-and long ones repetitive.
+whole text and over fixed chunks that cover all of it; the limits depend on the
+length of the text or chunk, because zstandard's frame overhead and window make
+short texts look random and long ones repetitive.
 
 Null and empty texts have no words, fail the base rules and have ratio 0.
 Rows are independent: repeated rows give repeated results, an empty table an
@@ -39,8 +39,10 @@ class Band(NamedTuple):
 # Prose repeated within its window falls under 0.25, base64 or binary noise
 # stays over 0.75.
 WHOLE = (Band(256, 0.30, 1.60), Band(1024, 0.33, 0.88), Band(4096, 0.30, 0.78), Band(float("inf"), 0.25, 0.72))
-CHUNK = Band(float("inf"), 0.15, 0.80)
-# Share of a text's full chunks outside CHUNK from which the text is rejected.
+CHUNK = (*WHOLE[1:3], Band(float("inf"), 0.15, 0.80))
+# A rest of fewer bytes belongs to the chunk before it.
+LEAST_CHUNK = 256
+# Share of a text's bytes in chunks outside CHUNK from which the text is rejected.
 MAX_BAD_CHUNKS = 0.25
 
 SCHEMA = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
@@ -77,20 +79,30 @@ def _compressor():
     return zstandard.ZstdCompressor(level=LEVEL)
 
 
+def chunk_bounds(size: int) -> list[int]:
+    """Where the chunks of a text of ``size`` bytes begin, and its end; they cover all of it."""
+    starts = list(range(0, size, CHUNK_BYTES))
+    if len(starts) > 1 and size - starts[-1] < LEAST_CHUNK:
+        starts.pop()
+    return [*starts, size]
+
+
 def ratios(raw: bytes) -> tuple[float, list[float]]:
-    """Ratio of the whole text, and of each full chunk (of a short text: none)."""
+    """Ratio of the whole text, and of each chunk (of a short text: none)."""
     if not raw:
         return 0.0, []
     z = _compressor()
-    chunks = [len(z.compress(raw[k:k + CHUNK_BYTES])) / CHUNK_BYTES
-              for k in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)]
-    return len(z.compress(raw)) / len(raw), chunks
+    cuts = chunk_bounds(len(raw)) if len(raw) >= CHUNK_BYTES else []
+    return len(z.compress(raw)) / len(raw), [len(z.compress(raw[a:b])) / (b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def band_verdict(size: int, whole: float, chunks: list[float]) -> tuple[str, float]:
-    """``ok`` or the rule that rejects, and the share of chunks out of band."""
+    """``ok`` or the rule that rejects, and the share of bytes in chunks out of band."""
     band = next(b for b in WHOLE if size < b.below)
-    bad = sum(not CHUNK.low <= r <= CHUNK.high for r in chunks) / len(chunks) if chunks else 0.0
+    cuts, bad = chunk_bounds(size), 0.0
+    for r, a, b in zip(chunks, cuts, cuts[1:], strict=False):
+        limits = next(c for c in CHUNK if b - a < c.below)
+        bad += 0 if limits.low <= r <= limits.high else (b - a) / size
     if whole < band.low:
         return "repetitive", bad
     if whole > band.high:

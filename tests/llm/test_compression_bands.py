@@ -50,3 +50,19 @@ def test_odd_rows_extra_columns_and_empty_table(spark):
     kept = C.keep_quality(d)
     assert kept.columns == d.columns and kept.schema == d.schema
     assert C.quality_report(d.limit(0)).count() == 0
+
+
+def varied(seed, n):
+    """``n`` bytes that compress like prose."""
+    r = random.Random(seed)
+    return " ".join("".join(r.choices("etaoinshrdlu", (12, 9, 8, 8, 7, 7, 6, 6, 6, 4, 4, 3), k=r.randint(2, 8))) for _ in range(n))[:n]
+
+
+def test_a_repetitive_rest_counts():
+    text = varied(3, 4096) + "congratulations subscribers everywhere " * 100
+    verdict = C.judge(text[:7696])
+    assert C.WHOLE[-1].low < verdict[7] and verdict[8] < 0.1 and verdict[-1] == "chunks"
+    assert C.judge(varied(4, 7696))[-1] == "ok"
+    for size in (4096, 4097, 4351, 4352, 8191, 8192, 12000):
+        cuts = C.chunk_bounds(size)
+        assert cuts[0] == 0 and cuts[-1] == size and min(b - a for a, b in zip(cuts, cuts[1:], strict=False)) >= 256
