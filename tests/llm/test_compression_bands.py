@@ -66,3 +66,10 @@ def test_a_repetitive_rest_counts():
     for size in (4096, 4097, 4351, 4352, 8191, 8192, 12000):
         cuts = C.chunk_bounds(size)
         assert cuts[0] == 0 and cuts[-1] == size and min(b - a for a, b in zip(cuts, cuts[1:], strict=False)) >= 256
+
+
+def test_a_base64_chunk_is_out_of_band():
+    blob = base64.b64encode(random.Random(5).randbytes(4096)).decode()
+    for text in (varied(6, 4096) + blob[:4096] + varied(7, 4158), varied(8, 4096) + blob[:4000]):
+        verdict = C.judge(text)
+        assert verdict[7] <= C.WHOLE[-1].high and 0.65 < verdict[9] and verdict[-1] == "chunks"
