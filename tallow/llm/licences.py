@@ -60,6 +60,28 @@ KNOWN = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
+_CONDITIONS = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+               "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+               "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+               "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+               "with the distribution. ")
+_NO_ENDORSEMENT = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                   "products derived from this software without specific prior written permission. ")
+_DISCLAIMER = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+               "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+               "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+               "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+               "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+               "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+               "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+KNOWN += (("BSD-2-Clause", _CONDITIONS + _DISCLAIMER), ("BSD-3-Clause", _CONDITIONS + _NO_ENDORSEMENT + _DISCLAIMER))
+KNOWN += tuple((i, f"SPDX-License-Identifier: {i}") for i in (
+    "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "LGPL-2.1-only", "LGPL-3.0-only", "GPL-2.0-only", "CC0-1.0", "CC-BY-4.0", "CC-BY-NC-4.0"))
+# Titles that licence files put before the whole text.
+TITLES = {"MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+          "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'),
+          "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License')}
+KNOWN += tuple((i, f"{title}\n\n{t}") for i, t in KNOWN if len(t) > 500 for title in TITLES.get(i, ()))
 # Spellings that are the same for a licence match.
 SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"),
              ("organisation", "organization"), ("authorise", "authorize"), ("authorised", "authorized"),

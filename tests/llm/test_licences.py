@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 from helpers import ODD_TEXTS, docs, prose
 
@@ -33,3 +35,15 @@ def test_equals_sql_with_repeated_rows_and_clashing_names(spark):
 
 def test_empty_table(spark):
     assert X.scan(corpus(spark).limit(0)).count() == 0
+
+
+def test_standard_files_with_their_titles(spark):
+    def wrapped(text):
+        return "\n".join(textwrap.wrap(text, 78))
+
+    bsd = next(t for i, t in X.KNOWN if i == "BSD-3-Clause" and t.startswith("Redistribution"))
+    files = docs(spark, [(1, "MIT License\n\nCopyright (c) 2024 Someone\n\n" + wrapped(MIT) + "\n"), (2, "The MIT License (MIT)\n\n" + MIT),
+                         (3, "BSD 3-Clause License\n\nCopyright (c) 2024, Someone\nAll rights reserved.\n\n" + bsd),
+                         (4, "SPDX-License-Identifier: MPL-2.0"), (5, "MIT License")])
+    got = {r["doc_id"]: r["text_licence"] for r in X.scan(files).collect()}
+    assert got == {1: "MIT", 2: "MIT", 3: "BSD-3-Clause", 4: "MPL-2.0", 5: None}
