@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tallow.llm import compression_bands, language_id, licences, mixing, near_dedup, packing, spotsigs, token_files, toxicity, warc
+from tallow.llm import (compression_bands, language_id, lexical_search, licences, mixing, near_dedup, packing, spotsigs,
+                        token_files, toxicity, warc)
 from tallow.llm.common import table
 
 
@@ -56,6 +57,12 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item, by presence masks."""
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_merge, op2_spotsigs, op3_language_id, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
-                                  op9_compression_bands, op10_packing)}
-ORACLE = {"op5_mixing": mixing.ORACLE_SQL, "op8_licences": licences.ORACLE_SQL}
+                                  op9_compression_bands, op10_packing, op11_lexical_search)}
+ORACLE = {"op5_mixing": mixing.ORACLE_SQL, "op8_licences": licences.ORACLE_SQL,
+          "op11_lexical_search": lexical_search.ORACLE_SQL}
