@@ -7,12 +7,12 @@ import __spark_entry__ as E
 from tallow.llm import queries
 from tallow.plans.verify import compare, duckdb_views
 
-ROWS = {"op1_warc_merge": "pages"}
+ROWS = {"op1_warc_merge": "pages", "op13_embedding_dedup": "embeddings"}
 
 
 def test_one_query_per_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 12))
+    assert numbers == [*range(1, 12), 13]
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(queries.ORACLE) <= set(E.oracle_sql())
 
