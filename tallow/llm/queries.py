@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tallow.llm import (compression_bands, embedding_dedup, language_id, lexical_search, licences, mixing, near_dedup,
-                        packing, spotsigs, token_files, toxicity, warc)
+from tallow.llm import (compression_bands, conversation_repair, embedding_dedup, language_id, lexical_search, licences,
+                        mixing, near_dedup, packing, spotsigs, token_files, toxicity, warc)
 from tallow.llm.common import table
 
 
@@ -62,12 +62,17 @@ def op11_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    """Faults, cheapest repair and its digest of every damaged conversation."""
+    return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_dedup(spark, sf_dir):
     """Links and component of every vector, within its label."""
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_merge, op2_spotsigs, op3_language_id, op4_near_dedup, op5_mixing, op6_token_files, op7_toxicity, op8_licences,
-                                  op9_compression_bands, op10_packing, op11_lexical_search, op13_embedding_dedup)}
+                                  op9_compression_bands, op10_packing, op11_lexical_search, op12_conversation_repair, op13_embedding_dedup)}
 ORACLE = {"op5_mixing": mixing.ORACLE_SQL, "op8_licences": licences.ORACLE_SQL,
           "op11_lexical_search": lexical_search.ORACLE_SQL}
