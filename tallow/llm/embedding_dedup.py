@@ -15,8 +15,9 @@ whole would be too far; so each linked pair lies within the share of some block.
 3. Range join in each block: cells are intervals of the block's first coordinate,
    as wide as the block's radius, so a partner is in the own cell or the next.
    A class is at home in its cell and a guest in the next one.
-4. Cells with more than CHUNK rows are split into chunks; each pair of chunks is a
-   task of bounded size. There the block's distance selects candidates, and only
+4. Cells with more than CHUNK rows are split into chunks (of up to MAX_CHUNK rows in
+   very large cells, to limit their copies); each pair of chunks is a task of
+   bounded size, dealt out by itself. There the block's distance selects candidates, and only
    candidates are compared as whole vectors, in double precision.
 5. A pair is taken where it first appears: in the first block whose share it
    keeps to. So the union needs no list of pairs, and links are counted as they
@@ -55,11 +56,13 @@ from tallow.sources.tables import delete_path
 
 COSINE = 0.93
 BLOCKS = 4
-CHUNK = 4096   # rows of a cell that one task takes from each side
+CHUNK, MAX_CHUNK = 1024, 16384  # rows of a cell that one task takes from each side; more in larger cells
+SIDES = 32     # chunks of a cell before they grow
 TILE = 1024    # rows compared at once within a task
 SAMPLE = 2000  # classes that the rotation is fitted on
 SLACK = 1e-4   # relative room for rounding in the distances that select candidates
 
+CELL = ["label", "dim", "block", "cell"]
 CLASSES = "label bigint, dim int, id bigint, key binary, copies bigint, vec binary"
 
 
@@ -166,26 +169,32 @@ def _homes(classes: DataFrame, spaces: dict[int, Subspaces], cosine: float, bloc
     return classes.mapInArrow(run, f"{CLASSES}, rotated binary, block int, cell bigint, guest boolean")
 
 
-def _tasks(placed: DataFrame, chunk: int) -> DataFrame:
+def _split_cells(placed: DataFrame, chunk: int, most: int) -> DataFrame:
+    """Chunks of homes ``h`` and guests ``g`` of every cell that has more than one of either."""
+    sizes = placed.groupBy(*CELL).agg(F.sum((~F.col("guest")).cast("int")).alias("homes"),
+                                      F.sum(F.col("guest").cast("int")).alias("guests"))
+    size = F.least(F.lit(most), F.greatest(F.lit(chunk), F.ceil(F.col("homes") / SIDES)))
+    chunks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / size)).cast("int")
+    return sizes.select(*CELL, chunks("homes").alias("h"), chunks("guests").alias("g")).where("h > 1 OR g > 1")
+
+
+def _tasks(placed: DataFrame, split: DataFrame) -> DataFrame:
     """Rows of ``placed`` dealt to pairs of chunks ``(one, other)`` of their cell.
 
     Chunks are numbered homes first. A pair has a home chunk as ``one`` and any
     later chunk as ``other``; pairs within ``one`` are compared where ``other`` is
-    the first guest chunk. There is always a guest chunk, if an empty one.
+    the first guest chunk. There is always a guest chunk, if an empty one. Tasks
+    are keyed as one value, so that those of a cell are not dealt out together.
     """
-    where = ["label", "dim", "block", "cell"]
-    sizes = placed.groupBy(*where).agg(F.sum((~F.col("guest")).cast("int")).alias("homes"),
-                                       F.sum(F.col("guest").cast("int")).alias("guests"))
-    at_least_one = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / chunk)).cast("int")
-    sizes = sizes.select(*where, at_least_one("homes").alias("h"), at_least_one("guests").alias("g"))
     salt = F.xxhash64("key")
     own = F.when(F.col("guest"), F.col("h") + F.pmod(salt, F.col("g"))).otherwise(F.pmod(salt, F.col("h"))).cast("int")
-    numbered = placed.join(sizes, where, "left").fillna(1, ["h", "g"]).withColumn("own", own)
+    numbered = placed.join(split, CELL, "left").fillna(1, ["h", "g"]).withColumn("own", own)
     earlier = F.transform(F.sequence(F.lit(0), F.least("own", "h") - 1), lambda i: F.struct(i.alias("one"), F.col("own").alias("other")))
     later = F.transform(F.sequence(F.col("own") + 1, F.col("h") + F.col("g") - 1), lambda j: F.struct(F.col("own").alias("one"), j.alias("other")))
     none = F.array().cast("array<struct<one:int,other:int>>")
     pairs = F.concat(F.when(F.col("own") > 0, earlier).otherwise(none), F.when(~F.col("guest"), later).otherwise(none))
-    return numbered.withColumn("pair", F.explode(pairs)).select(*placed.columns, "h", "own", "pair.one", "pair.other")
+    dealt = numbered.withColumn("pair", F.explode(pairs)).select(*placed.columns, "h", "own", "pair.one", "pair.other")
+    return dealt.withColumn("task", F.struct(*CELL, "one", "other"))
 
 
 def _union(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -283,8 +292,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, blocks: int = BL
     spaces = {}
     if common:
         spaces[common["dim"]] = Subspaces(common["dim"], cosine, blocks, _covariance(classes, common["dim"], kind))
-    dealt = _tasks(_homes(classes, spaces, cosine, blocks, kind), CHUNK)
-    found = materialize(dealt.groupBy("label", "dim", "block", "cell", "one", "other").applyInArrow(
+    placed = _homes(classes, spaces, cosine, blocks, kind)
+    split = materialize(_split_cells(placed, CHUNK, MAX_CHUNK), "split_cells")
+    found = materialize(_tasks(placed, split).groupBy("task").applyInArrow(
         _links(spaces, cosine, blocks, kind), "id bigint, key binary, links bigint, least bigint"), "vector_links")
 
     # Classes that share an id belong together, too.
@@ -304,6 +314,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, blocks: int = BL
                    F.coalesce("component", "vec_id").alias("component_id"))
            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
     out = materialize(out, "vector_report")
-    for t in (rows, classes, found):
+    for t in (rows, classes, split, found):
         delete_path(spark, t._tallow_path)
     return out

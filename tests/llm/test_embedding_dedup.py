@@ -71,11 +71,12 @@ def test_equals_brute_force(spark, rows, blocks):
     assert result(spark, rows, blocks=blocks) == brute(rows)
 
 
-def test_chunks_and_tiles_change_nothing(spark, rows, monkeypatch):
+@pytest.mark.parametrize("chunk, most", [(7, 7), (3, 40)])
+def test_chunks_and_tiles_change_nothing(spark, rows, monkeypatch, chunk, most):
     monkeypatch.setattr(E, "TILE", 5)
-    find, tasks = E._links, E._tasks
-    monkeypatch.setattr(E, "_tasks", lambda placed, chunk: tasks(placed, 7))
-    assert find is E._links and result(spark, rows) == brute(rows)
+    monkeypatch.setattr(E, "CHUNK", chunk)
+    monkeypatch.setattr(E, "MAX_CHUNK", most)
+    assert result(spark, rows) == brute(rows)
 
 
 def test_other_thresholds(spark, rows):
