@@ -56,7 +56,7 @@ from tallow.sources.tables import delete_path
 
 COSINE = 0.93
 BLOCKS = 4
-CHUNK, MAX_CHUNK = 1024, 16384  # rows of a cell that one task takes from each side; more in larger cells
+CHUNK, MAX_CHUNK = 4096, 16384  # rows of a cell that one task takes from each side; more in larger cells
 SIDES = 32     # chunks of a cell before they grow
 TILE = 1024    # rows compared at once within a task
 SAMPLE = 2000  # classes that the rotation is fitted on
