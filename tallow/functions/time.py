@@ -20,16 +20,6 @@ def hour_of(c) -> Column:
     return F.date_trunc("hour", _c(c))
 
 
-def bucket_start(c, minutes: int) -> Column:
-    """Start of the tumbling bucket of ``minutes`` holding ``c``.
-
-    Uses ``window()`` so the same expression works on a watermarked
-    stream. For sizes dividing an hour it equals
-    ``date_trunc('hour', c) + floor(minute(c) / n) * n minutes``.
-    """
-    return F.window(_c(c), f"{minutes} minutes").start
-
-
 def minute_aligned(c) -> Column:
     """True where ``c`` sits exactly on a minute boundary."""
     return _c(c) == F.date_trunc("minute", _c(c))

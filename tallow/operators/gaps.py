@@ -1,18 +1,20 @@
-"""Missing minutes: WS gaps, REST gap fill, gap reports, backfill plan.
-
-No operator here joins a per-minute spine against the fact. Present
-minutes are first aggregated per (series, hour) - a bounded set of at
-most 60 minute-aligned timestamps, or just their count - and only that
-small per-hour result meets the (series x hours) spine. The spine is
-generated on executors from the series rows with ``sequence``.
+"""Missing minutes: WS gaps, REST gap fill, gap reports, fetch plan, backfill plan.
+
+No operator here joins a per-minute spine against the fact. Present minutes are
+first aggregated per (series, hour) into 60-bit masks (``functions.bits``): two
+longs a row, a hash aggregate of fixed width with a partial step. Only that small
+result meets the (series x hours) spine, which is generated on executors from the
+series rows with ``sequence``; missing minutes are a complement, counts are
+``bit_count``, and timestamps are made only for the minutes that are listed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import hours, micros, minute_aligned, minutes, partition_key, steps
+from ..functions.bits import minutes_seen, runs, starts, window_mask, without
+from ..functions.time import hours, micros, minute_aligned, partition_key, steps
 from ..sources.tables import read_window, ts_lit
 
 
@@ -28,44 +30,46 @@ def series_hours(series: DataFrame, window_start, window_end) -> DataFrame:
                          F.explode(steps(first, last, hours(1))).alias("hour"))
 
 
-def minute_sets(bronze: DataFrame, window_start=None, window_end=None) -> DataFrame:
-    """Per (exchange, symbol, hour): the minutes with a one-minute WS row (``ws``)
-    and with any row (``held``), at most 60 each.
+def minute_masks(fact: DataFrame, window_start=None, window_end=None) -> DataFrame:
+    """Per (exchange, symbol, hour): rows, and the masks of the minutes with a
+    one-minute WS row (``ws``) and with any row (``held``).
 
-    One aggregation from which gaps, their fill, the series and the bounds all
-    follow. WS rows are those with ``source = exchange || '_ws'`` and
-    ``interval_seconds = 60``; only minute-aligned rows count.
+    One aggregation from which gaps, their fill and the gap reports follow. WS
+    rows are those with ``source = exchange || '_ws'`` and ``interval_seconds =
+    60``; only minute-aligned rows have a bit, ``rows`` counts the others, too.
     """
-    rows = read_window(bronze, window_start, window_end).where(minute_aligned("interval_start"))
+    rows = read_window(fact, window_start, window_end).where(F.col("interval_start").isNotNull())
     is_ws = (F.col("source") == F.concat("exchange", F.lit("_ws"))) & (F.col("interval_seconds") == 60)
+    aligned = F.when(minute_aligned("interval_start"), F.col("interval_start"))
     return (rows.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
-            .agg(F.collect_set(F.when(is_ws, F.col("interval_start"))).alias("ws"),
-                 F.collect_set("interval_start").alias("held")))
+            .agg(F.count(F.lit(1)).alias("rows"), minutes_seen(F.when(is_ws, aligned)).alias("ws"),
+                 minutes_seen(aligned).alias("held")))
 
 
-def _missing(sets: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
-    """``sets`` on every series-hour of ``[ws, we)``, with ``missing``: minutes without a WS row."""
+def _missing(masks: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """``masks`` on every series-hour of ``[ws, we)``, with ``missing``: its minutes without a WS row."""
     ws, we = ts_lit(window_start), ts_lit(window_end)
-    expected = steps(F.greatest("hour", ws),
-                     F.least(F.col("hour") + minutes(59), we - minutes(1)), minutes(1))
-    none = F.array().cast("array<timestamp>")
-    return (series_hours(series, ws, we).join(sets, ["exchange", "symbol", "hour"], "left")
-            .withColumn("missing", F.array_except(expected, F.coalesce("ws", none)))
-            .withColumn("held", F.coalesce("held", none)))
+    none = F.lit(0).cast("long")
+    return (series_hours(series, ws, we).join(masks, ["exchange", "symbol", "hour"], "left")
+            .withColumn("missing", without(window_mask("hour", ws, we), F.coalesce("ws", none)))
+            .withColumn("held", F.coalesce("held", none)).where("missing <> 0"))
+
 
+def gaps_of(masks: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """(exchange, symbol, interval_start) of every missing minute, from ``minute_masks``."""
+    return _missing(masks, series, window_start, window_end).select(
+        "exchange", "symbol", F.explode(starts("hour", "missing")).alias("interval_start"))
 
-def gaps_of(sets: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
-    """(exchange, symbol, interval_start) of every missing minute, from ``minute_sets``."""
-    return _missing(sets, series, window_start, window_end).select(
-        "exchange", "symbol", F.explode("missing").alias("interval_start"))
 
+def gap_fill_of(masks: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """Per series with gaps: missing minutes and how many of them any row holds, from ``minute_masks``."""
+    return _fill_counts(_missing(masks, series, window_start, window_end))
 
-def gap_fill_of(sets: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
-    """Per series with gaps: missing minutes and how many of them any row holds, from ``minute_sets``."""
-    return (_missing(sets, series, window_start, window_end).groupBy("exchange", "symbol")
-            .agg(F.sum(F.size("missing")).cast("long").alias("ws_missing"),
-                 F.sum(F.size(F.array_intersect("missing", "held"))).cast("long").alias("filled_minutes"))
-            .where("ws_missing > 0"))
+
+def _fill_counts(missing: DataFrame) -> DataFrame:
+    return (missing.groupBy("exchange", "symbol")
+            .agg(F.sum(F.bit_count("missing")).cast("long").alias("ws_missing"),
+                 F.sum(F.bit_count(F.col("missing").bitwiseAND(F.col("held")))).cast("long").alias("filled_minutes")))
 
 
 def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
@@ -74,8 +78,47 @@ def ws_gaps(bronze: DataFrame, series: DataFrame, window_start, window_end) -> D
     ``series`` = (exchange, symbol) to check.
     Result: (exchange, symbol, interval_start).
     """
-    sets = minute_sets(bronze, window_start, window_end)
-    return gaps_of(sets, series, window_start, window_end)
+    return gaps_of(minute_masks(bronze, window_start, window_end), series, window_start, window_end)
+
+
+# Fixed value: candles of one REST response.
+PAGE_ROWS = 1000
+
+
+def gap_ranges(masks: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
+    """Per series, the maximal runs of missing minutes: (exchange, symbol, start, end, minutes).
+
+    Runs within an hour come from its mask by bit operations (at most 30 an hour);
+    a run that starts where the one before it ends continues it (gaps and islands),
+    so the window functions see runs, not minutes.
+    """
+    found = _missing(masks, series, window_start, window_end).select(
+        "exchange", "symbol", F.inline(runs("hour", "missing")))
+    in_order = Window.partitionBy("exchange", "symbol").orderBy("start")
+    begins = F.coalesce((F.col("start") != F.lag("end").over(in_order)).cast("int"), F.lit(1))
+    island = F.sum("begins").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (found.withColumn("begins", begins).withColumn("island", island)
+            .groupBy("exchange", "symbol", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+            .select("exchange", "symbol", "start", "end",
+                    F.expr("(unix_seconds(end) - unix_seconds(start)) div 60").alias("minutes")))
+
+
+def fetch_plan(ranges: DataFrame, requested: DataFrame | None = None, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """The REST requests that fetch ``gap_ranges``: each range cut into pages of ``page_rows`` candles.
+
+    Result: the range's columns, ``page`` (from 1), ``fetch_start`` and ``fetch_end``
+    (excluded). Requests already in ``requested`` (exchange, symbol, fetch_start,
+    fetch_end) are left out.
+    """
+    first = F.expr(f"sequence(0L, minutes - 1, {int(page_rows)}L)")
+    at = lambda m: F.timestamp_seconds(F.unix_seconds("start") + m * 60)
+    pages = ranges.select("*", F.posexplode(first).alias("n", "skip"))
+    out = pages.select("exchange", "symbol", "start", "end", "minutes", (F.col("n") + 1).alias("page"), at(F.col("skip")).alias("fetch_start"),
+                       F.least("end", at(F.col("skip") + page_rows)).alias("fetch_end"))
+    if requested is not None:
+        key = ["exchange", "symbol", "fetch_start", "fetch_end"]
+        out = out.join(requested.select(*key), key, "left_anti").select(*out.columns)
+    return out
 
 
 def rest_gap_fill(rest: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -88,16 +131,14 @@ def gap_fill_check(bronze: DataFrame, gaps: DataFrame) -> DataFrame:
     """Per series: WS-missing minutes and how many of them bronze now holds.
 
     ``filled_minutes`` = distinct gap minutes with any bronze row (any
-    source), as the reference counts it. Gap minutes are distinct per key
-    (``ws_gaps``), so one left join against the distinct bronze keys and a
-    single aggregation give both counts.
+    source), as the reference counts it. Both sides become masks per series
+    and hour, so the join has one row an hour instead of one a minute.
     """
-    k = ["exchange", "symbol", "interval_start"]
-    held = bronze.select(*k).distinct().withColumn("_held", F.lit(1))
-    return (gaps.select(*k).join(held, k, "left")
-                .groupBy("exchange", "symbol")
-                .agg(F.count(F.lit(1)).alias("ws_missing"),
-                     F.count("_held").alias("filled_minutes")))
+    key = ["exchange", "symbol", "hour"]
+    of_hour = F.date_trunc("hour", "interval_start").alias("hour")
+    missing = gaps.groupBy("exchange", "symbol", of_hour).agg(minutes_seen("interval_start").alias("missing"))
+    held = minute_masks(bronze).select(*key, "held")
+    return _fill_counts(missing.join(held, key, "left").withColumn("held", F.coalesce("held", F.lit(0).cast("long"))))
 
 
 def hourly_counts(fact: DataFrame, window_start=None, window_end=None) -> DataFrame:
@@ -115,7 +156,7 @@ def hourly_counts(fact: DataFrame, window_start=None, window_end=None) -> DataFr
 
 
 def gap_report_of(counts: DataFrame, series: DataFrame, window_start, window_end) -> DataFrame:
-    """``gap_report`` from ``hourly_counts``."""
+    """``gap_report`` from present minutes per series and hour (``hourly_counts``, or ``minute_masks``)."""
     return (series_hours(series, window_start, window_end)
             .join(counts.select("exchange", "symbol", "hour", "present"), ["exchange", "symbol", "hour"], "left")
             .select("exchange", "symbol", "hour",
@@ -134,7 +175,7 @@ def gap_report(silver: DataFrame, series: DataFrame, window_start, window_end) -
     """
     ws = _hour_floor(window_start)
     we = _hour_floor(window_end)
-    return gap_report_of(hourly_counts(silver, ws, we), series, ws, we)
+    return gap_report_of(minute_masks(silver, ws, we).withColumn("present", F.bit_count("held")), series, ws, we)
 
 
 def gap_report_weighted(silver: DataFrame, window_start) -> DataFrame:
@@ -146,19 +187,13 @@ def gap_report_weighted(silver: DataFrame, window_start) -> DataFrame:
     ``window_start`` count as missing and silent series-hours are never
     reported. Computed from per-hour counts, without the spine join.
     """
-    per_hour = hourly_counts(silver, window_start)
-    return (per_hour.select("exchange", "symbol", "hour",
-                            (F.col("rows") * (F.lit(60) - F.col("present"))).cast("long").alias("missing_minutes"))
+    return (minute_masks(silver, window_start)
+            .select("exchange", "symbol", "hour",
+                    (F.col("rows") * (F.lit(60) - F.bit_count("held"))).cast("long").alias("missing_minutes"))
                     .where("missing_minutes > 0")
                     .orderBy(F.desc("hour"), "exchange", "symbol"))
 
 
-def lookback_window(as_of, hours: int = 12) -> tuple[Column, Column]:
-    """Whole completed hours ``[trunc(as_of) - hours, trunc(as_of))``."""
-    end = _hour_floor(as_of)
-    return end - F.make_dt_interval(hours=F.lit(hours)), end
-
-
 def backfill_plan(gaps: DataFrame, run_log: DataFrame | None = None) -> DataFrame:
     """Distinct partition keys (``yyyy-MM-dd-HH:00``) to re-run, ascending.
 

@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 
 from ..operators.bronze import append_missing, bronze_union
 from ..operators.dedup import dedup_latest
-from ..operators.gaps import backfill_plan, gap_fill_check, gap_report, rest_gap_fill, ws_gaps
+from ..operators.gaps import (backfill_plan, fetch_plan, gap_fill_check, gap_ranges, gap_report, minute_masks, rest_gap_fill,
+                              ws_gaps)
 from ..operators.load import parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
 from ..operators.rollup import BUCKETS, gold_from_gold, rollup
@@ -206,6 +207,22 @@ def gaps_for(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of, lookb
     return gap_report(silver, series, start, end)
 
 
+def fetches_for(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of, lookback_hours: int = 12,
+                requested: DataFrame | None = None) -> DataFrame:
+    """REST requests for the WS gaps in the completed hours of the lookback window.
+
+    What they return is landed with ``sources.rest.land_rest_pages`` and taken up
+    by ``run_hour``.
+    """
+    end = as_hour(as_of)
+    start = end - dt.timedelta(hours=lookback_hours)
+    loads = [hour_value(start + dt.timedelta(hours=i)) for i in range(lookback_hours + 1)]
+    bronze = read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL).drop(LOAD_COL)
+    series = pairs.select("exchange", F.col("warehouse_symbol").alias("symbol"), "rest_pair")
+    ranges = gap_ranges(minute_masks(bronze, start, end), series, start, end)
+    return fetch_plan(ranges, requested).join(series, ["exchange", "symbol"])
+
+
 def run_backfill(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of,
                  lookback_hours: int = 12, **run_options) -> list[str]:
     """Re-run every incomplete hour of the lookback window once, oldest first.
@@ -224,4 +241,4 @@ def run_backfill(spark: SparkSession, layout: Layout, pairs: DataFrame, as_of,
     return keys
 
 
-__all__ = ["Layout", "RunResult", "run_hour", "run_backfill", "gaps_for", "as_hour"]
+__all__ = ["Layout", "RunResult", "run_hour", "run_backfill", "gaps_for", "fetches_for", "as_hour"]

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.time import hours
 from ..operators.dedup import dedup_latest
-from ..operators.gaps import hourly_counts
 from ..operators.silver import to_silver
 from ..sources.events import bronze_from_events, read_events
 from ..sources.pairs import pair_dimension
@@ -31,14 +30,9 @@ def silver(spark: SparkSession, sf_dir: str, grain: str = "minute", by_pair: boo
     return to_silver(dedup_latest(b))
 
 
-def counts_and_bounds(spark: SparkSession, sf_dir: str, by_pair: bool = False):
-    """Per-(series, hour) counts of silver and their hour bounds, in one pass over ``events``.
-
-    Series, bounds and every report follow from the counts, so these are
-    kept (a row per series and hour) while the plans that share them run.
-    """
-    counts = hourly_counts(silver(spark, sf_dir, "minute", by_pair)).persist()
-    return counts, *hour_bounds(counts, "hour")
+def event_hours(spark: SparkSession, sf_dir: str):
+    """``[first hour, last hour + 1h)`` of all events, from a pass over their times alone."""
+    return hour_bounds(read_events(spark, sf_dir), "ts")
 
 
 def series_of(df: DataFrame) -> DataFrame:

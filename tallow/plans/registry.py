@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.time import hours
 from ..operators import (alerts, append_missing, backfill_plan, bronze_union, completeness_of,
-                         dedup_latest, gap_fill_of, gap_report_of, gap_report_weighted, gaps_of,
-                         health_report, hour_ok_of, merge_silver, minute_sets, rest_gap_fill, rollup,
+                         dedup_latest, fetch_plan, gap_fill_of, gap_ranges, gap_report_of, gap_report_weighted, gaps_of,
+                         health_report, hour_ok_of, hourly_counts, merge_silver, minute_masks, rest_gap_fill, rollup,
                          to_silver, upsert, with_canonical_symbol)
 from ..operators.calendar import partition_calendar, ready_partitions
 from ..schemas import REFERENCE_UPDATE_COLS
@@ -232,21 +232,19 @@ GAPS_SQL = f"""
       SELECT exchange, symbol, interval_start FROM b WHERE source LIKE '%\\_ws' ESCAPE '\\')"""
 
 
-def _minute_sets(spark, d):
-    """Minutes per series and hour, kept while gaps, series and bounds are taken from them."""
+def _masks(spark, d):
+    """Minute masks per series and hour, the series, and the hours of the data."""
     b = I.bronze(spark, d, "minute")
-    sets = minute_sets(b).persist()
-    return b, sets, I.series_of(sets), *I.hour_bounds(sets, "hour")
+    return minute_masks(b), I.series_of(b), *I.event_hours(spark, d)
 
 
 def _gaps(spark, d):
-    b, sets, series, lo, hi = _minute_sets(spark, d)
-    return b, gaps_of(sets, series, lo, hi)
+    return gaps_of(*_masks(spark, d))
 
 
 @register("ws_gaps", _w(GAPS_SQL + " SELECT * FROM gaps"))
 def q_ws_gaps(spark, d):
-    return _gaps(spark, d)[1]
+    return _gaps(spark, d)
 
 
 @register("rest_gap_fill", _w(GAPS_SQL + """
@@ -254,8 +252,8 @@ def q_ws_gaps(spark, d):
       SELECT 1 FROM gaps g WHERE g.exchange = b.exchange AND g.symbol = b.symbol
         AND g.interval_start = b.interval_start)"""))
 def q_rest_gap_fill(spark, d):
-    b, gaps = _gaps(spark, d)
-    return rest_gap_fill(b.where(F.col("source").endswith("_rest")), gaps)
+    b = I.bronze(spark, d, "minute")
+    return rest_gap_fill(b.where(F.col("source").endswith("_rest")), _gaps(spark, d))
 
 
 @register("gap_fill_check", _w(GAPS_SQL + """,
@@ -272,8 +270,34 @@ def q_rest_gap_fill(spark, d):
     SELECT m.exchange, m.symbol, m.ws_missing, coalesce(f.filled_minutes, 0) AS filled_minutes
     FROM missing m LEFT JOIN filled f USING (exchange, symbol)"""))
 def q_gap_fill_check(spark, d):
-    _, *sets_series_bounds = _minute_sets(spark, d)
-    return gap_fill_of(*sets_series_bounds)
+    return gap_fill_of(*_masks(spark, d))
+
+
+# Missing minutes of all 30 series; a range is a run of minutes whose distance to
+# their rank is the same.
+FETCH_SQL = f"""
+    WITH b AS ({B_PAIR}),
+    dim(exchange, symbol, pair) AS (VALUES {", ".join(f"('{r[1]}', '{r[5]}', '{r[3]}')" for r in pair_rows())}),
+    gaps AS (
+      SELECT exchange, symbol, unnest(range(lo, hi, INTERVAL 1 MINUTE)) AS minute
+      FROM (SELECT exchange, symbol FROM dim),
+           (SELECT date_trunc('hour', min(interval_start)) AS lo,
+                   date_trunc('hour', max(interval_start)) + INTERVAL 1 HOUR AS hi FROM b)
+      EXCEPT SELECT exchange, symbol, interval_start FROM b WHERE source LIKE '%\\_ws' ESCAPE '\\'),
+    ranked AS (SELECT *, minute - to_minutes(row_number() OVER (PARTITION BY exchange, symbol ORDER BY minute)) AS run FROM gaps),
+    ranges AS (SELECT exchange, symbol, min(minute) AS start, max(minute) + INTERVAL 1 MINUTE AS "end", count(*) AS minutes
+               FROM ranked GROUP BY exchange, symbol, run)
+    SELECT r.exchange, r.symbol, r.start, r."end", r.minutes, CAST(skip // 1000 + 1 AS INTEGER) AS page,
+           r.start + to_minutes(skip) AS fetch_start, least(r."end", r.start + to_minutes(skip + 1000)) AS fetch_end, d.pair AS rest_pair
+    FROM (SELECT *, unnest(range(0, minutes, 1000)) AS skip FROM ranges) r JOIN dim d USING (exchange, symbol)"""
+
+
+@register("rest_fetch_plan", _w(FETCH_SQL))
+def q_rest_fetch_plan(spark, d):
+    """What to ask the REST endpoints for: the gaps of every series of the dimension, in pages."""
+    pairs = pair_dimension(spark).select("exchange", F.col("warehouse_symbol").alias("symbol"), "rest_pair")
+    masks = minute_masks(I.bronze(spark, d, "minute", by_pair=True))
+    return fetch_plan(gap_ranges(masks, pairs, *I.event_hours(spark, d))).join(pairs, ["exchange", "symbol"])
 
 
 # --------------------------------------------------------------------------
@@ -296,8 +320,8 @@ GAP_REPORT_SQL = f"""
 
 
 def _gap_report(spark, d):
-    counts, lo, hi = I.counts_and_bounds(spark, d)
-    return gap_report_of(counts, I.series_of(counts), lo, hi)
+    masks = minute_masks(I.silver(spark, d, "minute")).withColumn("present", F.bit_count("held"))
+    return gap_report_of(masks, I.series_of(I.bronze(spark, d, "minute")), *I.event_hours(spark, d))
 
 
 @register("gap_report", _w(GAP_REPORT_SQL + """
@@ -350,16 +374,18 @@ COMPLETENESS_SQL = f"""
             FROM hrs h LEFT JOIN hour_counts c USING (hour))"""
 
 
+def _pair_counts(spark, d):
+    return hourly_counts(I.silver(spark, d, "minute", by_pair=True))
+
+
 @register("completeness", _w(COMPLETENESS_SQL + " SELECT * FROM comp"))
 def q_completeness(spark, d):
-    counts, lo, hi = I.counts_and_bounds(spark, d, by_pair=True)
-    return completeness_of(counts, pair_dimension(spark), lo, hi)
+    return completeness_of(_pair_counts(spark, d), pair_dimension(spark), *I.event_hours(spark, d))
 
 
 @register("hour_ok", _w(COMPLETENESS_SQL + " SELECT hour, rows, CAST(expected AS BIGINT) AS expected, ok FROM hok"))
 def q_hour_ok(spark, d):
-    counts, lo, hi = I.counts_and_bounds(spark, d, by_pair=True)
-    return hour_ok_of(counts, pair_dimension(spark), lo, hi)
+    return hour_ok_of(_pair_counts(spark, d), pair_dimension(spark), *I.event_hours(spark, d))
 
 
 @register("alerts", _w(COMPLETENESS_SQL + """,
@@ -374,7 +400,7 @@ def q_hour_ok(spark, d):
     UNION ALL
     SELECT 'ok', NULL, NULL, hour, format('ok {}', strftime(hour, '%Y-%m-%d %H:00')) FROM hok WHERE ok"""))
 def q_alerts(spark, d):
-    counts, lo, hi = I.counts_and_bounds(spark, d, by_pair=True)
+    counts, (lo, hi) = _pair_counts(spark, d), I.event_hours(spark, d)
     pairs = pair_dimension(spark)
     gaps = gap_report_of(counts, pairs.select("exchange", F.col("warehouse_symbol").alias("symbol")), lo, hi)
     return alerts(completeness_of(counts, pairs, lo, hi), gaps, hour_ok_of(counts, pairs, lo, hi))
@@ -430,13 +456,11 @@ CALENDAR_SQL = f"""
 
 def _calendar(spark, d):
     """The calendar around the data with bronze rows per hour, and the last ingestion time."""
-    counts = (I.bronze(spark, d, "minute").groupBy(F.date_trunc("hour", "interval_start").alias("hour_start"))
-               .agg(F.count(F.lit(1)).alias("bronze_rows"), F.min("ingestion_ts").alias("first"),
-                    F.max("ingestion_ts").alias("last")).persist())   # a row per hour, read for its bounds, too
-    first, last = counts.agg(F.min("first"), F.max("last")).first()
+    bronze = I.bronze(spark, d, "minute")
+    counts = bronze.groupBy(F.date_trunc("hour", "interval_start").alias("hour_start")).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    first, last = I.value_bounds(bronze, "ingestion_ts")
     lo = F.date_trunc("hour", F.lit(first)) - hours(24)
     hi = F.date_trunc("hour", F.lit(last)) + hours(72)
-    counts = counts.select("hour_start", "bronze_rows")
     cal = (partition_calendar(spark, lo, hi).join(counts, "hour_start", "left")
            .withColumn("bronze_rows", F.coalesce("bronze_rows", F.lit(0)).cast("long")))
     return cal, last

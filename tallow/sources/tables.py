@@ -77,13 +77,6 @@ def write_hours(df: DataFrame, path: str, time_col: str = "interval_start",
        .parquet(path))
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
 @contextlib.contextmanager
 def staged(df: DataFrame, name: str):
     """``df`` written to the shared folder and read back; removed at the end.
