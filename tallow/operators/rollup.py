@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import GOLD_KEY
+from ..schemas import GOLD_KEY, GOLD_UPDATE_COLS
 from ..sources.tables import read_window
+from .silver import touched
 
 # Fixed value: source tag of every gold row.
 DERIVED = "derived"
@@ -46,6 +47,33 @@ def gold_from_gold(gold: DataFrame, minutes: int) -> DataFrame:
     return _candles(gold, minutes)
 
 
+def bucket_of(minutes: int, c: str = "interval_start"):
+    """The start of the ``minutes``-wide bucket of ``c``."""
+    return F.window(c, f"{minutes} minutes").start.alias("bucket")
+
+
+def rollup_touched(changes: DataFrame, minutes: int) -> DataFrame:
+    """The gold candles of the buckets that a merge changed (``silver.merge_changes``).
+
+    ``changes`` holds the merged rows of at least the hours it touched, so a
+    changed bucket is complete in it. Buckets without a change are not
+    aggregated: a semi join on (exchange, symbol, bucket) leaves them out
+    before the shuffle of the rollup.
+    """
+    keyed = changes.withColumn("bucket", bucket_of(minutes))
+    rows = keyed.join(touched(changes, bucket_of(minutes)), ["exchange", "symbol", "bucket"], "left_semi")
+    return _candles(rows, minutes)
+
+
+def refresh(gold: DataFrame, changes: DataFrame, minutes: int) -> DataFrame:
+    """``gold`` with the buckets that a merge changed rebuilt, the others as they are.
+
+    On conflict the eight value columns are replaced (``GOLD_UPDATE_COLS``);
+    equal to ``rollup`` of the whole merged silver.
+    """
+    return upsert(gold, rollup_touched(changes, minutes), update_cols=GOLD_UPDATE_COLS)
+
+
 def _candles(df: DataFrame, minutes: int) -> DataFrame:
     w = F.window("interval_start", f"{minutes} minutes")
     g = (df.groupBy("exchange", "symbol", w.alias("bucket"))
@@ -93,4 +121,4 @@ def upsert(target: DataFrame, source: DataFrame, key=tuple(GOLD_KEY),
     return j.select(*out)
 
 
-__all__ = ["rollup", "gold_from_gold", "upsert", "BUCKETS", "DERIVED"]
+__all__ = ["rollup", "rollup_touched", "refresh", "gold_from_gold", "upsert", "BUCKETS", "DERIVED"]

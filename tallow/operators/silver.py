@@ -51,6 +51,10 @@ def merge_silver(target: DataFrame, source: DataFrame,
     the result back with a dynamic partition overwrite. Merging the same
     source twice gives the same state.
     """
+    return _merged(target, source, update_cols, False)
+
+
+def _merged(target: DataFrame, source: DataFrame, update_cols, with_change: bool) -> DataFrame:
     src = to_silver(source).withColumn("_s", F.lit(True))
     tgt = target.select(*SILVER_COLS).withColumn("_t", F.lit(True))
     key = SILVER_KEY
@@ -67,9 +71,33 @@ def merge_silver(target: DataFrame, source: DataFrame,
             cols.append(F.when(t_absent | newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             cols.append(F.when(t_absent, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+    if with_change:
+        cols.append(F.when(t_absent, INSERT).when(newer, UPDATE).otherwise(UNCHANGED).alias(CHANGE))
     return j.select(*cols)
 
 
+# What a merge does to a key.
+INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
+CHANGE = "change"
+
+
+def merge_changes(target: DataFrame, source: DataFrame, update_cols=None) -> DataFrame:
+    """``merge_silver`` with a column ``change`` per key: insert, update or unchanged.
+
+    ``insert``: the key was not in ``target``; ``update``: the source row is
+    newer (strictly) and replaced ``update_cols``; all others are
+    ``unchanged``, also keys of ``source`` that are not newer. The rows that
+    are not ``unchanged`` are the merge's change set: what depends on silver
+    needs to be rebuilt for them only (``touched``).
+    """
+    return _merged(target, source, update_cols, True)
+
+
+def touched(changes: DataFrame, unit) -> DataFrame:
+    """Distinct (exchange, symbol, ``unit``) of the changed rows; ``unit`` is a column such as a bucket."""
+    return changes.where(F.col(CHANGE) != UNCHANGED).select("exchange", "symbol", unit).distinct()
+
+
 def assert_unique(df: DataFrame, key=tuple(SILVER_KEY)) -> DataFrame:
     """Raise ``ValueError`` if ``key`` repeats in ``df``; else return ``df``.
 

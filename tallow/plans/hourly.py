@@ -32,13 +32,13 @@ from ..operators.gaps import (backfill_plan, fetch_plan, gap_fill_check, gap_ran
                               ws_gaps)
 from ..operators.load import parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
-from ..operators.rollup import BUCKETS, gold_from_gold, rollup
-from ..operators.silver import assert_unique, merge_silver
+from ..operators.rollup import BUCKETS, gold_from_gold, refresh, rollup
+from ..operators.silver import CHANGE, INSERT, UNCHANGED, UPDATE, assert_unique, merge_changes
 from ..schemas import BRONZE, GOLD, SILVER
 from ..session import checkpoint_root
 from ..sources.landing import read_landing
 from ..sources.rest import parse_rest
-from ..sources.tables import LOAD_COL, delete_path, existing_paths, read_hours, read_window, staged, write_hours
+from ..sources.tables import LOAD_COL, delete_path, existing_paths, read_hours, read_window, staged, with_hour_partition, write_hours
 
 REST_LANDED = T.StructType([T.StructField("exchange", T.StringType()), T.StructField("pair", T.StringType()),
                             T.StructField("fetched_ts", T.TimestampType()), T.StructField("body", T.StringType())])
@@ -116,7 +116,10 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
 
     A re-run replaces the hour's bronze partition, also by nothing if nothing
     was loaded. Stages in the shared folder are removed as soon as the tables
-    that need them are written.
+    that need them are written. Silver and gold are written by change: hours in
+    which the merge inserts or updates nothing are left alone, and within the
+    others only gold buckets with a change are rebuilt, so an idle re-run writes
+    neither.
     """
     checkpoint_root(spark)                # the stages below need the shared folder
     h = as_hour(key)
@@ -160,25 +163,37 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
             # a dynamic overwrite replaces only partitions that have rows
             delete_path(spark, f"{layout.bronze}/{LOAD_COL}={this_load}")
 
-        # 3. Silver merge over the window (touched hours only).
+        # 3. Silver merge over the window; only hours that the merge changes are written.
         bronze_w = read_window(read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)
                                .drop(LOAD_COL), ws, we)
         silver_hours = [hour_value(ws), hour_value(h)]
         target = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
-        with staged(merge_silver(target, dedup_latest(bronze_w), update_cols), "silver") as merged:
-            if check_unique:
-                assert_unique(merged)
-            write_hours(merged, layout.silver)
-
-        # 4. Gold: every bucket of the two touched hours is rebuilt from silver.
-        silver_w = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
+        merged = stages.enter_context(staged(with_hour_partition(merge_changes(target, dedup_latest(bronze_w), update_cols)), "silver"))
+        if check_unique:
+            assert_unique(merged)
+        per_hour = merged.groupBy("hour").agg(F.count_if(F.col(CHANGE) == INSERT).alias(INSERT), F.count_if(F.col(CHANGE) == UPDATE).alias(UPDATE),
+                                              F.count_if(F.col(CHANGE) == UNCHANGED).alias(UNCHANGED)).collect()  # at most two hours
+        changed = [r["hour"] for r in per_hour if r[INSERT] or r[UPDATE]]
+        metrics["silver_merge"] = {c: sum(r[c] for r in per_hour) for c in (INSERT, UPDATE, UNCHANGED)} | {"hours_written": len(changed)}
+        rewritten = merged.where(F.col("hour").isin(changed))
+
+        # 4. Gold: the changed buckets of these hours, from the change set. Silver is
+        # written last: a run that stops in between leaves the change set as it was,
+        # so the next one writes the same gold again.
         for name, minutes in BUCKETS.items():
+            path = getattr(layout, f"gold_{name}")
+            if not changed:
+                continue
             if gold_from_5m and name != "5m":
-                five = read_hours(spark, layout.gold_5m, silver_hours, GOLD_STORED).drop("hour")
-                gold = gold_from_gold(five, minutes)
-            else:
-                gold = rollup(silver_w, minutes)
-            write_hours(gold, getattr(layout, f"gold_{name}"))
+                gold = gold_from_gold(read_hours(spark, layout.gold_5m, changed, GOLD_STORED).drop("hour"), minutes)
+                write_hours(gold, path)
+                continue
+            old = read_hours(spark, path, changed, GOLD_STORED).drop("hour")
+            with staged(refresh(old, rewritten.drop("hour"), minutes), f"gold_{name}") as gold:
+                write_hours(gold, path)
+        if changed:
+            write_hours(rewritten.drop(CHANGE), layout.silver)
+        silver_w = read_hours(spark, layout.silver, silver_hours, SILVER_STORED).drop("hour")
 
         # 5. Gap-fill counters: one row per series of the dimension.
         bronze_after = read_hours(spark, layout.bronze, loads, BRONZE_STORED, partition_col=LOAD_COL)

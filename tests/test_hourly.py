@@ -5,13 +5,14 @@ import json
 
 from pyspark.sql import functions as F
 
+from tallow.operators.rollup import rollup
 from tallow.plans.hourly import (BRONZE_STORED, GOLD_STORED, SILVER_STORED, Layout, gaps_for, run_backfill,
                                    run_hour)
 from tallow.sources.landing import read_landing, write_landing
 from tallow.sources.messages import envelope_binance, envelope_kraken
 from tallow.sources.pairs import pair_dimension
 from tallow.sources.rest import land_rest_pages
-from tallow.sources.tables import read_hours
+from tallow.sources.tables import delete_path, read_hours
 
 H = dt.datetime(2025, 12, 1, 1, 0)
 EPOCH = dt.datetime(1970, 1, 1)
@@ -184,7 +185,6 @@ def _stages(spark):
 
 
 def test_empty_rerun_clears_the_hour_and_nothing_is_left_behind(spark, scratch):
-    from tallow.sources.tables import delete_path
     layout, pairs = Layout(scratch), pair_dimension(spark).where("canonical_symbol = 'BTC-USD'")
     build_inputs(spark, layout)
     before = _stages(spark)
@@ -201,6 +201,38 @@ def test_empty_rerun_clears_the_hour_and_nothing_is_left_behind(spark, scratch):
     assert again.gap_fill.count() > 0 and _stages(spark) == before
 
 
+def _files(spark, path):
+    return sorted(spark.read.parquet(path).inputFiles())
+
+
+def test_idle_rerun_writes_nothing_and_a_late_row_only_its_hour_and_buckets(spark, scratch):
+    layout, pairs = Layout(scratch), pair_dimension(spark).where("canonical_symbol = 'BTC-USD'")
+    build_inputs(spark, layout)
+    first = run_hour(spark, H, layout, pairs)
+    assert first.metrics["silver_merge"] == {"insert": 119, "update": 0, "unchanged": 0, "hours_written": 1}
+    tables = [layout.silver, *[getattr(layout, f"gold_{n}") for n in ("5m", "15m", "30m", "1h")]]
+    before = {t: _files(spark, t) for t in tables}
+    again = run_hour(spark, H, layout, pairs)
+    assert again.metrics["silver_merge"] == {"insert": 0, "update": 0, "unchanged": 119, "hours_written": 0}
+    assert {t: _files(spark, t) for t in tables} == before
+
+    # a run that stopped before it wrote silver: gold is ahead, and the next run ends up the same
+    kept = sorted(map(tuple, spark.read.parquet(layout.gold_15m).collect()))
+    delete_path(spark, layout.silver)
+    run_hour(spark, H, layout, pairs)
+    assert sorted(map(tuple, spark.read.parquet(layout.gold_15m).collect())) == kept
+
+    # minute 59 lands in the next hour's prefix: one insert, one bucket of each size
+    old = {n: {tuple(r)[:3]: tuple(r) for r in spark.read.parquet(getattr(layout, f"gold_{n}")).drop("hour").collect()} for n in ("5m", "1h")}
+    later = run_hour(spark, H + dt.timedelta(hours=1), layout, pairs)
+    assert later.metrics["silver_merge"]["insert"] == 1 and later.metrics["silver_merge"]["hours_written"] == 1
+    for n, rows in old.items():
+        new = {tuple(r)[:3]: tuple(r) for r in spark.read.parquet(getattr(layout, f"gold_{n}")).drop("hour").collect()}
+        assert sum(new[k] != v for k, v in rows.items()) == 1 and len(new) == len(rows)
+    whole = rollup(spark.read.parquet(layout.silver), 5)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, spark.read.parquet(layout.gold_5m).select(whole.columns).collect()))
+
+
 def test_hourly_run_on_streamed_bronze(spark, scratch):
     from tallow.streaming.streams import run_available_now, stream_bronze
     mins = [H + dt.timedelta(minutes=i) for i in range(59)]

@@ -63,6 +63,25 @@ def test_merge_older_newer_insert_and_idempotent(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
 
 
+def test_merge_changes_and_touched_buckets(spark):
+    from tallow.operators import merge_changes, refresh, touched
+    from tallow.operators.rollup import bucket_of
+    stored = _silver(spark, [row(0, 1.0), row(1, 2.0), row(20, 3.0), row(40, 4.0, ingest=50)])
+    new = bronze(spark, [row(1, 9.0, ingest=40), row(20, 8.0), row(40, 8.0, ingest=10), row(21, 5.0)])
+    changes = merge_changes(stored, dedup_latest(new))
+    assert {r.interval_start: (r.change, r.close) for r in changes.collect()} == {
+        m(0): ("unchanged", 1.0), m(1): ("update", 9.0), m(20): ("unchanged", 3.0),     # equal ingestion time: kept
+        m(40): ("unchanged", 4.0), m(21): ("insert", 5.0)}
+    assert changes.drop("change").exceptAll(merge_silver(stored, dedup_latest(new))).count() == 0
+    assert {r.bucket for r in touched(changes, bucket_of(5)).collect()} == {m(0), m(20)}
+    for minutes in (5, 15, 60):
+        fresh = refresh(rollup(stored, minutes), changes, minutes)
+        full = rollup(changes.drop("change"), minutes)
+        assert fresh.exceptAll(full).count() == 0 and full.exceptAll(fresh).count() == 0
+    none = merge_changes(stored, dedup_latest(new.limit(0)))
+    assert touched(none, bucket_of(5)).count() == 0 and refresh(rollup(stored, 5), none, 5).exceptAll(rollup(stored, 5)).count() == 0
+
+
 def test_assert_unique(spark):
     s = _silver(spark, [row(0), row(1)])
     assert assert_unique(s) is s
