@@ -112,15 +112,19 @@ def parse_ws(env: DataFrame, strict_first: bool = False, strict: bool = False) -
     return parsed.select(F.inline(F.array(out)))
 
 
-def to_bronze(env: DataFrame, strict_first: bool = False, strict: bool = False) -> DataFrame:
-    """Accepted envelopes as bronze rows (``source = exchange_ws``, ``ingestion_ts = event_ts``)."""
-    p = parse_ws(env, strict_first, strict).where(F.col("reject_reason").isNull())
-    return p.select(
+def accepted(parsed: DataFrame) -> DataFrame:
+    """The accepted rows of ``parse_ws`` as bronze rows (``ingestion_ts = event_ts``)."""
+    return parsed.where(F.col("reject_reason").isNull()).select(
         "exchange", F.col("_symbol").alias("symbol"), F.col("interval_seconds").cast("int").alias("interval_seconds"),
         "interval_start", "interval_end", "open", "high", "low", "close", "volume", "vwap",
         "trade_count", "source", F.col("event_ts").alias("ingestion_ts")).select(*BRONZE_COLS)
 
 
+def to_bronze(env: DataFrame, strict_first: bool = False, strict: bool = False) -> DataFrame:
+    """Accepted envelopes as bronze rows (``source = exchange_ws``, ``ingestion_ts = event_ts``)."""
+    return accepted(parse_ws(env, strict_first, strict))
+
+
 def bronze_binance(env: DataFrame, strict: bool = False) -> DataFrame:
     return to_bronze(env.where(F.col("exchange") == "binance"), strict=strict)
 

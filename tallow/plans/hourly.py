@@ -4,6 +4,7 @@ Table layout under one root (a shared, durable folder):
 
 * ``landing/``  Hive-partitioned JSON envelopes (``sources.landing``);
 * ``rest/load_hour=H/``  landed REST responses ``(exchange, pair, fetched_ts, body)``;
+* ``bronze_stream/load_hour=H/batch=B/``  rows loaded by streams, which alone write it;
 * ``bronze/load_hour=H/``  bronze rows loaded by the run of hour ``H``;
 * ``silver/hour=H/``  one row per series and minute;
 * ``gold_{5m,15m,30m,1h}/hour=H/``  rollups;
@@ -30,7 +31,7 @@ from ..operators.bronze import append_missing, bronze_union
 from ..operators.dedup import dedup_latest
 from ..operators.gaps import (backfill_plan, fetch_plan, gap_fill_check, gap_ranges, gap_report, minute_masks, rest_gap_fill,
                               ws_gaps)
-from ..operators.load import parse_ws
+from ..operators.load import accepted, parse_ws
 from ..operators.quality import completeness, hour_ok, run_metrics
 from ..operators.rollup import BUCKETS, gold_from_gold, refresh, rollup
 from ..operators.silver import CHANGE, INSERT, UNCHANGED, UPDATE, assert_unique, merge_changes
@@ -89,15 +90,6 @@ class RunResult:
     gap_fill: DataFrame
 
 
-def _ws_rows(parsed: DataFrame) -> DataFrame:
-    """Accepted rows of a parsed landing hour as bronze rows."""
-    return (parsed.where(F.col("reject_reason").isNull())
-            .select("exchange", F.col("_symbol").alias("symbol"),
-                    F.col("interval_seconds").cast("int").alias("interval_seconds"),
-                    "interval_start", "interval_end", "open", "high", "low", "close", "volume",
-                    "vwap", "trade_count", "source", F.col("event_ts").alias("ingestion_ts")))
-
-
 def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
              update_cols=None, gold_from_5m: bool = False, check_unique: bool = True,
              from_landing: bool = True) -> RunResult:
@@ -107,8 +99,8 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     The merge window is ``merge_window(key)``, two hours, so rows of the
     previous hour that landed late (e.g. minute 59 after the hour) are
     merged by the next run. ``from_landing=False`` takes the WS rows that
-    ``stream_bronze`` has put into the hour's bronze partition instead of
-    loading the landing prefix. ``gold_from_5m=True`` folds the 15m/30m/1h
+    ``stream_bronze`` has put into the hour's folder of ``bronze_stream``
+    instead of loading the landing prefix; that table stays as it is. ``gold_from_5m=True`` folds the 15m/30m/1h
     candles from the 5m partitions just written (one fifth of the rows)
     instead of re-reading silver; the result is the same. ``check_unique``
     fails the run, before silver is touched, if the rows to be written hold
@@ -137,9 +129,9 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
             parsed, ws_obs = run_metrics(parsed, f"ws_load_{tag}", rows_skipped=F.col("reject_reason").isNotNull())
             parsed = stages.enter_context(staged(parsed, "ws_load"))
             metrics["ws_load"] = {**ws_obs.get, "objects_seen": parsed.select(F.count_distinct("_file")).first()[0]}
-            ws_rows = _ws_rows(parsed)
+            ws_rows = accepted(parsed)
         else:
-            streamed = read_hours(spark, layout.bronze, [this_load], BRONZE_STORED, partition_col=LOAD_COL)
+            streamed = read_hours(spark, layout.bronze_stream, [this_load], BRONZE_STORED, partition_col=LOAD_COL)
             ws_rows = stages.enter_context(staged(streamed.drop(LOAD_COL).where(F.col("source").endswith("_ws")), "ws_load"))
             metrics["ws_load"] = {"rows": ws_rows.count()}
 

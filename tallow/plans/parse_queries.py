@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.load import bronze_binance, bronze_kraken, rejects, to_bronze
+from ..operators.load_variant import variant_to_bronze
 from ..session import shared_dir
 from ..sources.events import binance_messages, kraken_messages, read_events, rest_responses
 from ..sources.landing import read_landing, write_landing
+from ..sources.ledger import load_new
 from ..sources.messages import ENVELOPE_COLS, drop_heartbeats, envelope_binance, envelope_kraken
 from ..sources.rest import parse_rest, parse_rest_binance, parse_rest_kraken
+from ..sources.variant import read_variant_landing, variant_binance, variant_kraken, write_variant_landing
+from .inputs import value_bounds
 from .registry import _w, register
 
 ENV_OUT = [c for c in ENVELOPE_COLS if c != "payload"]
@@ -123,6 +127,16 @@ def q_to_bronze(spark, d):
     return to_bronze(_envelopes(spark, d))
 
 
+# Envelopes of an hour and exchange, and those of them that were loaded.
+RUN_COUNTERS_SQL = _w(f"""
+    WITH seen AS (SELECT date_trunc('hour', event_ts) AS hour, exchange, count(*) AS rows_seen
+                  FROM ({ENV_BINANCE_SQL} UNION ALL SELECT * FROM ({ENV_KRAKEN_SQL}) k) e GROUP BY ALL),
+    loaded AS (SELECT date_trunc('hour', ingestion_ts) AS hour, exchange, count(*) AS n
+               FROM ({BRONZE_BINANCE_SQL} UNION ALL {bronze_kraken_sql()}) b GROUP BY ALL)
+    SELECT hour, exchange, rows_seen, coalesce(n, 0) AS rows_loaded, rows_seen - coalesce(n, 0) AS rows_skipped
+    FROM seen LEFT JOIN loaded USING (hour, exchange)""")
+
+
 @register("bronze_rejects", _w("""
     SELECT 'binance' AS exchange,
            CASE WHEN event_id % 17 = 0 THEN 'no_k' ELSE 'not_final' END AS reject_reason, count(*) AS records
@@ -175,3 +189,34 @@ def q_landing_roundtrip(spark, d):
     root = shared_dir(spark, "landing")
     write_landing(_envelopes(spark, d), root)
     return to_bronze(read_landing(spark, root))
+
+
+@register("variant_bronze", _w(WS_BRONZE_SQL))
+def q_variant_bronze(spark, d):
+    """Messages parsed on arrival, landed as VARIANT, and loaded from there without any JSON text."""
+    path = shared_dir(spark, "variant_landing")
+    ev = read_events(spark, d)
+    write_variant_landing(variant_binance(binance_messages(ev)).unionByName(variant_kraken(kraken_messages(ev))), path)
+    return variant_to_bronze(read_variant_landing(spark, path))
+
+
+@register("new_landing_objects", _w(f"""
+    SELECT part, count(*) AS rows, round(sum(volume), 4) AS volume
+    FROM (SELECT *, CASE WHEN ingestion_ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) THEN 'first' ELSE 'second' END AS part
+          FROM ({WS_BRONZE_SQL}) b) p GROUP BY part"""))
+def q_new_landing_objects(spark, d):
+    """What each of two loads of a growing landing zone adds; the second one excludes the first one's objects.
+
+    The envelopes of the first half of the time land, a load reads them, the
+    others land, a second load finds them alone.
+    """
+    root, ledger, out = shared_dir(spark, "landing"), shared_dir(spark, "ledger"), shared_dir(spark, "loaded")
+    lo, hi = value_bounds(read_events(spark, d), "ts")
+    middle, env = F.lit(lo + (hi - lo) / 2), _envelopes(spark, d)
+    parts = []
+    for part, rows in (("first", env.where(F.col("event_ts") < middle)), ("second", env.where(F.col("event_ts") >= middle))):
+        write_landing(rows, root)
+        load = load_new(spark, root, ledger, out, to_bronze)
+        parts.append(spark.read.parquet(f"{out}/load_id={load['load_id']}").withColumn("part", F.lit(part)))
+    both = parts[0].unionByName(parts[1])
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("volume"), 4).alias("volume"))

@@ -15,17 +15,16 @@ from ..operators import (alerts, backfill_plan, completeness, dedup_latest, gap_
                          last_completed_hour, load_counters, merge_window, rollup, to_silver)
 from ..operators.load import parse_ws, to_bronze
 from ..session import shared_dir
-from ..sources.events import (binance_messages, dense_bronze, faulty_rest_responses, kraken_messages, read_events,
-                              rest_responses)
+from ..sources.events import dense_bronze, faulty_rest_responses, read_events, rest_responses
 from ..sources.landing import read_landing, write_landing
 from ..sources.pairs import pair_dimension, pair_rows
 from ..sources.rest import parse_rest, rest_rejects
 from ..sources.tables import read_window, write_hours
 from ..streaming.streams import run_available_now, stream_landing
 from . import inputs as I
-from .parse_queries import (BRONZE_BINANCE_SQL, ENV_BINANCE_SQL, ENV_KRAKEN_SQL, REST_BINANCE_SQL, REST_KRAKEN_SQL,
-                            WS_BRONZE_SQL, _envelopes, bronze_kraken_sql)
+from .parse_queries import REST_BINANCE_SQL, REST_KRAKEN_SQL, RUN_COUNTERS_SQL, WS_BRONZE_SQL, _envelopes
 from .registry import S_MIN, _w, gold_sql, register
+from .stream_queries import raw_feed
 
 # All days of the data but the first and the last.
 INNER_DAYS = """(SELECT date_trunc('day', min(ts)) + INTERVAL 1 DAY AS ws, date_trunc('day', max(ts)) AS we FROM events)"""
@@ -124,13 +123,7 @@ def q_rest_good_rows(spark, d):
     return parse_rest(faulty_rest_responses(read_events(spark, d)), strict=False)
 
 
-@register("run_counters", _w(f"""
-    WITH seen AS (SELECT date_trunc('hour', event_ts) AS hour, exchange, count(*) AS rows_seen
-                  FROM ({ENV_BINANCE_SQL} UNION ALL SELECT * FROM ({ENV_KRAKEN_SQL}) k) e GROUP BY ALL),
-    loaded AS (SELECT date_trunc('hour', ingestion_ts) AS hour, exchange, count(*) AS n
-               FROM ({BRONZE_BINANCE_SQL} UNION ALL {bronze_kraken_sql()}) b GROUP BY ALL)
-    SELECT hour, exchange, rows_seen, coalesce(n, 0) AS rows_loaded, rows_seen - coalesce(n, 0) AS rows_skipped
-    FROM seen LEFT JOIN loaded USING (hour, exchange)"""))
+@register("run_counters", RUN_COUNTERS_SQL)
 def q_run_counters(spark, d):
     return load_counters(parse_ws(_envelopes(spark, d)))
 
@@ -138,13 +131,8 @@ def q_run_counters(spark, d):
 @register("stream_landing", _w(WS_BRONZE_SQL))
 def q_stream_landing(spark, d):
     """Raw feed -> landing stream; the landed envelopes loaded to bronze."""
-    ev = read_events(spark, d)
     feed, root, chk = shared_dir(spark, "feed"), shared_dir(spark, "landing"), shared_dir(spark, "chk")
-    raw = (binance_messages(ev).select(F.lit("binance").alias("exchange"), "symbol", "interval_minutes",
-                                       F.lit(None).cast("timestamp").alias("received_ts"), "msg")
-           .unionByName(kraken_messages(ev).select(F.lit("kraken").alias("exchange"), "symbol",
-                                                   "interval_minutes", "received_ts", "msg")))
-    raw.write.json(feed)
+    raw_feed(read_events(spark, d)).write.json(feed)
     run_available_now(stream_landing(spark, feed, root, chk))
     return to_bronze(read_landing(spark, root))
 

@@ -54,11 +54,15 @@ def read_landing(spark: SparkSession, root: str, hours=None, with_file: bool = F
     r = spark.read.schema(LANDING_READ).option("timestampFormat", TS_FORMAT).option("basePath", root)
     if hours is None:
         return r.json(root).select(*cols)
-    base = root.rstrip("/")
-    globs = [f"{base}/exchange=*/symbol=*/interval_minutes=*/"
-             f"year={h:%Y}/month={h:%m}/day={h:%d}/hour={h:%H}" for h in sorted(set(hours))]
-    dirs = existing_paths(spark, globs)
+    dirs = hour_folders(spark, root, hours)
     if not dirs:
         empty = spark.createDataFrame([], ENVELOPE)
         return empty.withColumn("_file", F.lit(None).cast("string")) if with_file else empty
     return r.json(dirs).select(*cols)
+
+
+def hour_folders(spark: SparkSession, root: str, hours) -> list[str]:
+    """The prefixes of ``hours`` (datetimes) that exist, over all exchanges and symbols."""
+    base = root.rstrip("/")
+    return existing_paths(spark, [f"{base}/exchange=*/symbol=*/interval_minutes=*/"
+                                  f"year={h:%Y}/month={h:%m}/day={h:%d}/hour={h:%H}" for h in sorted(set(hours))])

@@ -41,23 +41,24 @@ def _kraken_candles(series: Column) -> Column:
         start = F.timestamp_seconds(t[0].cast("long"))
         return _candle(start, start + minutes(1), t[1], t[2], t[3], t[4], t[6],
                        t[5].cast("double"), t[7])
-    return F.flatten(F.transform(series, lambda s: F.transform(F.from_json(s, ROWS), one)))
+    return F.flatten(F.transform(series, lambda s: F.transform(s, one)))
 
 
 def _checked(resp: DataFrame) -> DataFrame:
     """``resp`` with each body parsed once and ``reject_reason`` (NULL = good).
 
-    ``_rows``: the Binance array; ``_series``: the Kraken result's arrays as
-    text. A body that is no such JSON, an error object, a truncated array and
+    ``_rows``: the Binance array; ``_series``: the Kraken result's arrays, which
+    the one parse leaves as variants and which are cast, not parsed again. A body that is no such JSON, an error object, a truncated array and
     a result whose arrays do not parse all have a reason.
     """
     ex = F.col("exchange")
     binance = F.when(ex == "binance", F.from_json("body", ROWS))
-    kraken = F.when(ex == "kraken", F.from_json("body", "struct<error: array<string>, result: map<string,string>>"))
+    kraken = F.when(ex == "kraken", F.from_json("body", "struct<error: array<string>, result: map<string,variant>>"))
     one = resp.select("*", F.inline(F.array(F.struct(binance.alias("_rows"), kraken.alias("_kraken")))))
-    one = one.withColumn("_series", F.map_values(F.map_filter("_kraken.result", lambda k, v: k != "last")))
+    arrays = F.transform(F.map_entries("_kraken.result"), lambda e: F.when(e["key"] != "last", F.struct(F.try_variant_get(e["value"], "$", ROWS).alias("rows"))))
+    one = one.withColumn("_series", F.transform(F.filter(arrays, lambda a: a.isNotNull()), lambda a: a["rows"]))
     short = F.exists("_rows", lambda r: r.isNull() | (F.size(r) < 9))
-    broken = F.exists("_series", lambda s: F.from_json(s, ROWS).isNull())
+    broken = F.exists("_series", lambda s: s.isNull())
     failed = F.coalesce(F.size("_kraken.error"), F.lit(0)) > 0
     reason = (F.when(~ex.isin("binance", "kraken") | ex.isNull(), "unsupported_exchange")
                .when(F.col("body").isNull(), "no_body")

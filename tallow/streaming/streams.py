@@ -1,8 +1,10 @@
 """Streaming stages built from the batch operators.
 
-* ``stream_landing``: raw message files -> envelopes -> landing JSON sink.
-* ``stream_bronze``: raw message (or landing) files -> bronze Parquet sink
-  (file sink: exactly-once through its metadata log).
+* ``stream_landing``: raw message files -> envelopes -> landing JSON sink, on
+  request without redelivered messages (state bounded by the watermark).
+* ``stream_bronze``: raw message (or landing) files -> bronze Parquet, a folder
+  per load hour and micro-batch, which a replayed batch overwrites; on request
+  with the batch's load counters.
 * ``stream_silver``: bronze stream -> final one-minute candles. Dedup is
   the batch ``dedup_latest`` aggregate under a 2-hour watermark on
   ``interval_start``: in append mode each key is emitted once, after its
@@ -14,6 +16,8 @@
   watermark is dropped (Spark's late-data rule).
 * ``stream_silver_merge``: bronze stream -> ``foreachBatch`` merge into
   the partitioned silver table (idempotent; replayed batches are harmless).
+* ``stream_gold_live``: the same, and the gold candles of the buckets that each
+  batch changes, open buckets included.
 
 All sinks keep their state and progress under ``checkpoint`` (a folder
 in the shared checkpoint location), so a restarted query resumes.
@@ -22,6 +26,7 @@ in the shared checkpoint location), so a restarted query resumes.
 from __future__ import annotations
 
 import contextlib
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +35,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import hour_partition
 from ..operators.dedup import dedup_latest
-from ..operators.load import to_bronze
-from ..operators.rollup import rollup
-from ..operators.silver import merge_silver, to_silver
-from ..schemas import LANDING_READ, SILVER
+from ..operators.load import accepted, parse_ws
+from ..operators.quality import load_counters
+from ..operators.rollup import refresh, rollup
+from ..operators.silver import CHANGE, UNCHANGED, merge_changes, merge_silver, to_silver
+from ..schemas import GOLD, LANDING_READ, SILVER
 from ..sources.landing import PATH_COLS, TS_FORMAT, landing_frame
 from ..sources.messages import ENVELOPE_COLS, envelope_binance, envelope_kraken
 from ..sources.tables import LOAD_COL, PARTITION_COL, read_hours, staged, with_hour_partition, write_hours
 
 LATENESS = "2 hours"
+# A message that comes again within this time of its first delivery is dropped.
+REDELIVERY = "2 hours"
+DELIVERY_KEY = ["exchange", "symbol", "event_type", "interval_start", "event_ts"]
+BATCH_COL = "batch"
 SILVER_PARTITIONED = T.StructType([*SILVER.fields, T.StructField(PARTITION_COL, T.StringType())])
 
+GOLD_PARTITIONED = T.StructType([*GOLD.fields, T.StructField(PARTITION_COL, T.StringType())])
+
 RAW_FEED = "exchange string, symbol string, interval_minutes int, received_ts timestamp, msg string"
 
 
@@ -99,44 +111,94 @@ def feed_envelopes(raw: DataFrame) -> DataFrame:
     return b.unionByName(k)
 
 
+def without_redelivery(env: DataFrame, horizon: str = REDELIVERY) -> DataFrame:
+    """Envelopes without those delivered before: same series, type, minute and event time.
+
+    The state holds the keys of the last ``horizon`` of event time only. What
+    arrives more than ``horizon`` behind the newest message of an earlier
+    micro-batch is dropped as late (Spark's rule), redelivered or not, so
+    ``horizon`` must cover the delay of first deliveries.
+    """
+    return env.withWatermark("event_ts", horizon).dropDuplicatesWithinWatermark(DELIVERY_KEY)
+
+
 def stream_landing(spark: SparkSession, src: str, landing_root: str, checkpoint: str,
                    trigger_seconds: int | None = None, max_records_per_file: int | None = None,
-                   source_options: dict | None = None) -> StreamingQuery:
+                   source_options: dict | None = None, redelivery: str | None = None,
+                   n_state_partitions: int | None = None) -> StreamingQuery:
     """Raw feed files -> Hive-partitioned landing JSON (the feed's writer).
 
     ``trigger_seconds=30`` and ``max_records_per_file=500`` give the
     reference's flush rule (every 30 s, at most 500 rows per object); by
     default files are as large as their micro-batch makes them.
     ``trigger_seconds=None`` processes what is there and stops.
+    ``redelivery`` (such as ``REDELIVERY``) drops messages that come again
+    within that time.
     """
-    env = landing_frame(feed_envelopes(read_raw_feed(spark, src, source_options=source_options)))
-    w = (env.writeStream.format("json").option("path", landing_root)
+    env = feed_envelopes(read_raw_feed(spark, src, source_options=source_options))
+    if redelivery:
+        env = without_redelivery(env, redelivery)
+    w = (landing_frame(env).writeStream.format("json").option("path", landing_root)
          .option("checkpointLocation", checkpoint).option("timestampFormat", TS_FORMAT)
          .partitionBy(*PATH_COLS).outputMode("append"))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    return _trigger(w, trigger_seconds).start()
+    with state_partitions(spark, n_state_partitions):
+        return _trigger(w, trigger_seconds).start()
+
+
+def write_batch(path: str, tag: str, *by: str):
+    """A writer of micro-batch results to ``path``, in folders that only the batch has.
+
+    ``tag`` is the stream's own (from its checkpoint folder), so batches of two
+    streams, or of a stream started anew, never share a folder; a replayed batch
+    overwrites its own.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        (df.withColumn(BATCH_COL, F.lit(f"{tag}-{batch_id:09d}")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH_COL).parquet(path))
+    return write
 
 
 def stream_bronze(spark: SparkSession, src: str, bronze_path: str, checkpoint: str,
                   from_landing: bool = False, trigger_seconds: int | None = None,
-                  source_options: dict | None = None) -> StreamingQuery:
-    """Raw feed (or landing) files -> bronze Parquet, partitioned by ``load_hour``.
-
-    The layout is that of the hourly run's bronze (the hour of the message's
-    own time), so ``run_hour(..., from_landing=False)`` takes the rows up. The
-    Parquet file sink commits each micro-batch through its metadata
-    log, so a replayed batch is never appended twice.
+                  source_options: dict | None = None, counters_path: str | None = None) -> StreamingQuery:
+    """Raw feed (or landing) files -> bronze Parquet, partitioned by ``load_hour`` and ``batch``.
+
+    The hour is that of the message's own time, so ``run_hour(..., from_landing=False)``
+    takes the rows up from ``Layout.bronze_stream``, a table that only streams
+    write. It has no file log: its folders can be read, listed and dropped like
+    any others, and a replayed batch overwrites its own. ``counters_path`` gets
+    the rows seen, loaded and skipped per hour and exchange of each batch
+    (``read_stream_counters``).
     """
     if from_landing:
         env = (spark.readStream.schema(LANDING_READ).options(**(source_options or {}))
                .option("timestampFormat", TS_FORMAT).json(src).select(*ENVELOPE_COLS))
     else:
         env = feed_envelopes(read_raw_feed(spark, src, source_options=source_options))
-    out = to_bronze(env).withColumn(LOAD_COL, hour_partition("ingestion_ts"))
-    w = (out.writeStream.format("parquet").option("path", bronze_path)
-         .option("checkpointLocation", checkpoint).partitionBy(LOAD_COL).outputMode("append"))
-    return _trigger(w, trigger_seconds).start()
+    tag = f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+    rows, counters = write_batch(bronze_path, tag, LOAD_COL), counters_path and write_batch(counters_path, tag)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_ws(batch).drop("payload")
+        if counters:
+            parsed = parsed.persist()  # read by the rows and their counters
+        try:
+            rows(accepted(parsed).withColumn(LOAD_COL, hour_partition("ingestion_ts")), batch_id)
+            if counters:
+                counters(load_counters(parsed), batch_id)
+        finally:
+            if counters:
+                parsed.unpersist()
+
+    return _trigger(env.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint), trigger_seconds).start()
+
+
+def read_stream_counters(spark: SparkSession, counters_path: str) -> DataFrame:
+    """The load counters of all batches so far, per hour and exchange."""
+    return (spark.read.parquet(counters_path).groupBy("hour", "exchange")
+            .agg(*[F.sum(c).alias(c) for c in ("rows_seen", "rows_loaded", "rows_skipped")]))
 
 
 def final_candles(bronze_stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -195,3 +257,42 @@ def stream_silver_merge(spark: SparkSession, bronze_stream: DataFrame, silver_pa
          .option("checkpointLocation", checkpoint))
     with state_partitions(spark, n_partitions):
         return _trigger(w, trigger_seconds).start()
+
+
+def merge_batch_live(spark: SparkSession, silver_path: str, gold_paths: dict[int, str]):
+    """``foreachBatch`` function: merge the batch into silver, and its changes into gold.
+
+    ``gold_paths`` maps bucket sizes in minutes to tables. The merge's change set
+    says which buckets to rebuild, so a candle is there as soon as its first minute
+    is and is replaced while minutes come in, long before a watermark closes it.
+    Gold is written before silver: a batch that stops in between finds the same
+    changes when it is replayed; one that is replayed after its end finds none and
+    writes nothing.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        src = with_hour_partition(dedup_latest(batch)).persist()
+        try:
+            touched_hours = [r[0] for r in src.select(PARTITION_COL).distinct().collect()]
+            target = read_hours(spark, silver_path, touched_hours, SILVER_PARTITIONED).drop(PARTITION_COL)
+            with staged(with_hour_partition(merge_changes(target, src.drop(PARTITION_COL))), "live_merge") as changes:
+                hours_ = [r[0] for r in changes.where(F.col(CHANGE) != UNCHANGED).select(PARTITION_COL).distinct().collect()]
+                if not hours_:
+                    return
+                rows = changes.where(F.col(PARTITION_COL).isin(hours_)).drop(PARTITION_COL)
+                for minutes, path in gold_paths.items():
+                    old = read_hours(spark, path, hours_, GOLD_PARTITIONED).drop(PARTITION_COL)
+                    with staged(refresh(old, rows, minutes), f"live_gold_{minutes}") as gold:
+                        write_hours(gold, path)
+                write_hours(rows.drop(CHANGE), silver_path)
+        finally:
+            src.unpersist()
+    return merge
+
+
+def stream_gold_live(spark: SparkSession, bronze_stream: DataFrame, silver_path: str, gold_paths: dict[int, str],
+                     checkpoint: str, trigger_seconds: int | None = None, n_partitions: int | None = None) -> StreamingQuery:
+    """Silver and gold kept up to date by every micro-batch, open buckets included."""
+    w = (bronze_stream.writeStream.foreachBatch(merge_batch_live(spark, silver_path, gold_paths))
+         .option("checkpointLocation", checkpoint))
+    with state_partitions(spark, n_partitions):
+        return _trigger(w, trigger_seconds).start()

@@ -241,10 +241,12 @@ def test_hourly_run_on_streamed_bronze(spark, scratch):
     spark.createDataFrame(feed, "exchange string, symbol string, interval_minutes int, received_ts timestamp, msg string") \
         .write.json(f"{scratch}/feed")
     layout = Layout(f"{scratch}/tables")
-    run_available_now(stream_bronze(spark, f"{scratch}/feed", layout.bronze, f"{scratch}/chk"))
+    run_available_now(stream_bronze(spark, f"{scratch}/feed", layout.bronze_stream, f"{scratch}/chk"))
     pairs = pair_dimension(spark).where("canonical_symbol = 'BTC-USD'")
     for _ in range(2):  # a re-run takes the rows up again
         r = run_hour(spark, H, layout, pairs, from_landing=False)
         # minute 58 ends at :59 and is stamped a second later, so all 59 are in the hour
         assert r.metrics["bronze_append"]["ws_rows"] == 118
         assert silver_hour(spark, layout).count() == 118
+    # both tables can be read whole, and the stream's is untouched
+    assert spark.read.parquet(layout.bronze).count() == 118 == spark.read.parquet(layout.bronze_stream).count()

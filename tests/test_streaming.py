@@ -27,7 +27,7 @@ def test_feed_to_landing_to_bronze_stream_equals_batch(spark, scratch):
     run_available_now(stream_landing(spark, feed, f"{scratch}/landing", f"{scratch}/chk1"))
     run_available_now(stream_bronze(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/chk2",
                                     from_landing=True))
-    streamed = spark.read.parquet(f"{scratch}/bronze").drop("load_hour")
+    streamed = spark.read.parquet(f"{scratch}/bronze").drop("load_hour", "batch")
     batch = to_bronze(envelope_binance(b).unionByName(envelope_kraken(k)))
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
