@@ -57,3 +57,28 @@ def test_merge_joins_on_dedup_partitioning(spark):
     assert "SortMergeJoin FullOuter" in tree
     # partial aggregation before each shuffle
     assert tree.count("SortAggregate") == 4
+
+
+def test_bucketed_merge_does_not_shuffle_the_table(spark, scratch):
+    import pytest
+    from tallow.sources.bucketed import buckets_of, merge_bucketed, write_bucketed
+    b = spark.createDataFrame(rows(2), BRONZE)
+    target, source = to_silver(dedup_latest(b.where("minute(interval_start) < 30"))), dedup_latest(b)
+    table = "bucketed_" + scratch.rsplit("/", 1)[-1]
+    write_bucketed(target, table, 6, scratch)
+    assert buckets_of(spark, table) == 6
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    plain = merge_silver(target, source)
+    try:
+        for partitions in ("2", "40"):  # fewer and more than buckets
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            merged = merge_bucketed(spark, table, source)
+            stored = plan(merged).split("\n\n")[0].split("SortMergeJoin FullOuter")[1]
+            stored = stored[:stored.index("Scan parquet") if "Scan parquet" in stored else None]
+            assert "Exchange" not in stored
+            assert merged.exceptAll(plain).count() == 0 and merged.count() == plain.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError):
+        spark.range(1).createOrReplaceTempView("plain_view")
+        buckets_of(spark, "plain_view")
