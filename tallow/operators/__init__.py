@@ -5,8 +5,8 @@ from .silver import assert_unique, merge_changes, merge_silver, to_silver, touch
 from .rollup import gold_from_gold, refresh, rollup, rollup_touched, upsert
 from .gaps import (backfill_plan, fetch_plan, gap_fill_check, gap_fill_of, gap_ranges, gap_report, gap_report_of,
                    gap_report_weighted, gaps_of, hourly_counts, minute_masks, rest_gap_fill, series_hours, ws_gaps)
-from .quality import (alerts, completeness, completeness_of, health_report, hour_ok, hour_ok_of, load_counters,
-                      run_metrics)
+from .quality import (alerts, completeness, completeness_of, health_report, hour_ok, hour_ok_of, lag_quantiles,
+                      lag_sketches, load_counters, run_metrics)
 from .calendar import (last_completed_hour, merge_window, partition_calendar,
                        ready_partitions)
 from .bronze import append_missing, bronze_union
@@ -17,7 +17,7 @@ __all__ = [
     "gold_from_gold", "backfill_plan", "fetch_plan", "gap_ranges", "gap_fill_check", "gap_report",
     "gap_report_weighted", "gap_report_of", "gap_fill_of", "gaps_of", "hourly_counts", "minute_masks",
     "completeness_of", "hour_ok_of", "rest_gap_fill", "series_hours", "ws_gaps", "alerts",
-    "completeness", "health_report", "hour_ok", "load_counters", "run_metrics", "last_completed_hour",
+    "completeness", "health_report", "hour_ok", "lag_quantiles", "lag_sketches", "load_counters", "run_metrics", "last_completed_hour",
     "merge_window", "partition_calendar", "ready_partitions", "append_missing",
     "bronze_union", "with_canonical_symbol",
 ]

@@ -112,6 +112,38 @@ def health_report(silver: DataFrame) -> DataFrame:
                     "vwap", "max_lag_seconds")
 
 
+# Size of a lag sketch; ranks of its quantiles are within LAG_RANK_ERROR of the exact ones.
+LAG_K, LAG_RANK_ERROR = 400, 0.01
+
+
+def lag_us() -> F.Column:
+    """Microseconds from a candle's end to its ingestion."""
+    return F.unix_micros("ingestion_ts") - F.unix_micros("interval_end")
+
+
+def lag_sketches(silver: DataFrame) -> DataFrame:
+    """Per (exchange, symbol, hour): candles and a KLL sketch of their lag.
+
+    A sketch has a bounded size whatever the rows; stored with the hour, it is
+    merged into any longer span without reading silver again.
+    """
+    return (silver.groupBy("exchange", "symbol", F.date_trunc("hour", "interval_start").alias("hour"))
+            .agg(F.count(lag_us()).alias("candles"), F.kll_sketch_agg_bigint(lag_us(), LAG_K).alias("lag")))
+
+
+def lag_quantiles(sketches: DataFrame, span, quantiles=(0.5, 0.9, 0.99), by=("exchange", "symbol")) -> DataFrame:
+    """Lag quantiles over longer spans, from merged ``lag_sketches``.
+
+    ``span`` is a column of ``hour``, such as its day. Result: ``by``, ``span``,
+    candles, quantile, lag_us; one row per quantile.
+    """
+    merged = (sketches.where("candles > 0").groupBy(*by, span.alias("span"))
+              .agg(F.sum("candles").alias("candles"), F.kll_merge_agg_bigint("lag", LAG_K).alias("lag")))
+    each = F.array(*[F.struct(F.lit(float(q)).alias("quantile"), F.kll_sketch_get_quantile_bigint("lag", F.lit(float(q))).alias("lag_us"))
+                     for q in quantiles])
+    return merged.select(*by, "span", "candles", F.inline(each))
+
+
 def load_counters(parsed: DataFrame) -> DataFrame:
     """Per landing hour and exchange: envelopes seen, loaded and skipped.
 

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from ..functions.time import hours
 from ..operators import (alerts, append_missing, backfill_plan, bronze_union, completeness_of,
                          dedup_latest, fetch_plan, gap_fill_of, gap_ranges, gap_report_of, gap_report_weighted, gaps_of,
-                         health_report, hour_ok_of, hourly_counts, merge_changes, merge_silver, minute_masks, refresh, rest_gap_fill, rollup,
+                         health_report, hour_ok_of, hourly_counts, lag_quantiles, lag_sketches, merge_changes, merge_silver, minute_masks, refresh, rest_gap_fill, rollup,
                          to_silver, upsert, with_canonical_symbol)
 from ..operators.calendar import partition_calendar, ready_partitions
+from ..operators.quality import LAG_RANK_ERROR, lag_us
 from ..schemas import REFERENCE_UPDATE_COLS
 from ..session import shared_dir
 from ..sources.bucketed import merge_bucketed, write_bucketed
@@ -479,6 +480,22 @@ def q_health_report(spark, d):
     return h.withColumn("vwap", F.when(F.col("volume") > 0, F.col("quote_volume") / F.col("volume")))
 
 
+@register("lag_quantiles", _w(f"""
+    SELECT exchange, symbol, date_trunc('day', interval_start) AS day, count(*) AS candles, quantile, TRUE AS within_bound
+    FROM ({S_MIN}) s, (VALUES (CAST(0.5 AS DOUBLE)), (0.9), (0.99)) q(quantile)
+    GROUP BY ALL"""))
+def q_lag_quantiles(spark, d):
+    """Day quantiles of the ingestion lag from hourly sketches, and whether their exact ranks are within the bound."""
+    silver = I.silver(spark, d, "minute").withColumn("span", F.date_trunc("day", "interval_start")).withColumn("us", lag_us())
+    found = lag_quantiles(lag_sketches(silver), F.date_trunc("day", "hour"))
+    key = ["exchange", "symbol", "span"]
+    ranks = silver.select(*key, "us").join(found, key).groupBy(*key, "candles", "quantile").agg(
+        (F.count_if(F.col("us") < F.col("lag_us")) / F.col("candles")).alias("below"),
+        (F.count_if(F.col("us") <= F.col("lag_us")) / F.col("candles")).alias("upto"))
+    within = (F.col("below") <= F.col("quantile") + LAG_RANK_ERROR) & (F.col("upto") >= F.col("quantile") - LAG_RANK_ERROR)
+    return ranks.select("exchange", "symbol", F.col("span").alias("day"), "candles", "quantile", within.alias("within_bound"))
+
+
 @register("canonical_symbol", _w(f"""
     WITH b AS ({B_PAIR}),
     dim AS (VALUES {", ".join(f"('{r[1]}', '{r[5]}', '{r[2]}')" for r in pair_rows())})

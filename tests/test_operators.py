@@ -220,3 +220,21 @@ def test_health_report_counts_mix_vwap_and_lag(spark):
     assert r.vwap == pytest.approx(70.0 / 4.0)
     # ingestion_ts - interval_end: row 1 is ingested 60 s after its minute closed
     assert r.max_lag_seconds == pytest.approx(60.0)
+
+
+def test_lag_quantiles_of_merged_sketches_are_within_the_rank_error(spark):
+    from tallow.operators import lag_quantiles, lag_sketches
+    from tallow.operators.quality import LAG_RANK_ERROR
+    n = 60_000   # 24 hours of many candles each, far more than a sketch keeps
+    start = F.timestamp_seconds(F.unix_seconds(F.lit(H)) + (F.col("id") * 7) % (24 * 3600))
+    us = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) * F.pmod(F.hash("id"), F.lit(7))
+    silver = spark.range(n).select(F.lit("binance").alias("exchange"), F.lit("BTCUSDT").alias("symbol"), start.alias("interval_start"),
+                                   start.alias("interval_end"), F.timestamp_micros(F.unix_micros(start) + us).alias("ingestion_ts"))
+    lags = sorted(r[0] for r in silver.select(F.unix_micros("ingestion_ts") - F.unix_micros("interval_end")).collect())
+    sketches = lag_sketches(silver)
+    assert sketches.count() == 24
+    found = lag_quantiles(sketches, F.lit("all"), quantiles=(0.0, 0.25, 0.5, 0.9, 0.99, 1.0)).collect()
+    for r in found:
+        below, upto = (sum(x < r.lag_us for x in lags) / n, sum(x <= r.lag_us for x in lags) / n)
+        assert r.candles == n and below - LAG_RANK_ERROR <= r.quantile <= upto + LAG_RANK_ERROR
+    assert lag_quantiles(lag_sketches(silver.limit(0)), F.lit("all")).count() == 0
