@@ -38,7 +38,7 @@ from ..operators.silver import CHANGE, INSERT, UNCHANGED, UPDATE, assert_unique,
 from ..schemas import BRONZE, GOLD, SILVER
 from ..session import checkpoint_root
 from ..sources.landing import read_landing
-from ..sources.rest import parse_rest
+from ..sources.rest import parse_rest, rest_rejects
 from ..sources.tables import LOAD_COL, delete_path, existing_paths, read_hours, read_window, staged, with_hour_partition, write_hours
 
 REST_LANDED = T.StructType([T.StructField("exchange", T.StringType()), T.StructField("pair", T.StringType()),
@@ -92,7 +92,7 @@ class RunResult:
 
 def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
              update_cols=None, gold_from_5m: bool = False, check_unique: bool = True,
-             from_landing: bool = True) -> RunResult:
+             from_landing: bool = True, strict_rest: bool = True) -> RunResult:
     """Run partition ``key``: load, gap-fill, merge, roll up and report.
 
     ``pairs`` is the series dimension (``sources.pairs.pair_dimension``).
@@ -100,8 +100,10 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
     previous hour that landed late (e.g. minute 59 after the hour) are
     merged by the next run. ``from_landing=False`` takes the WS rows that
     ``stream_bronze`` has put into the hour's folder of ``bronze_stream``
-    instead of loading the landing prefix; that table stays as it is. ``gold_from_5m=True`` folds the 15m/30m/1h
-    candles from the 5m partitions just written (one fifth of the rows)
+    instead of loading the landing prefix; that table stays as it is.
+    A REST body without candles fails the run, as the reference raises;
+    ``strict_rest=False`` leaves it out and counts it by reason instead.
+    ``gold_from_5m=True`` folds the 15m/30m/1h candles from the 5m partitions just written (one fifth of the rows)
     instead of re-reading silver; the result is the same. ``check_unique``
     fails the run, before silver is touched, if the rows to be written hold
     a key twice (the reference's unique index, checked with one aggregation).
@@ -140,8 +142,11 @@ def run_hour(spark: SparkSession, key, layout: Layout, pairs: DataFrame,
                              partition_col=LOAD_COL).drop(LOAD_COL)
         ws_known = bronze_union(earlier.where(F.col("source").endswith("_ws")), ws_rows)
         gaps = stages.enter_context(staged(ws_gaps(ws_known, series, ws, we), "gaps"))
-        rest = parse_rest(read_hours(spark, layout.rest, [this_load], REST_STORED, partition_col=LOAD_COL)
-                          .drop(LOAD_COL), window_start=ws)
+        pages = read_hours(spark, layout.rest, [this_load], REST_STORED, partition_col=LOAD_COL).drop(LOAD_COL)
+        rest = parse_rest(pages, window_start=ws, strict=strict_rest)
+        if not strict_rest:
+            reasons = rest_rejects(pages).groupBy("reject_reason").count().collect()  # one row a reason
+            metrics["rest_rejects"] = {r["reject_reason"]: r["count"] for r in reasons}
         # ON CONFLICT DO NOTHING on (silver key, source): a minute already filled
         # by an earlier run's REST pages is not appended twice
         fill = append_missing(earlier, rest_gap_fill(rest, gaps))

@@ -201,6 +201,21 @@ def test_empty_rerun_clears_the_hour_and_nothing_is_left_behind(spark, scratch):
     assert again.gap_fill.count() > 0 and _stages(spark) == before
 
 
+def test_a_bad_rest_body_stops_the_hour_or_is_counted(spark, scratch):
+    import pytest
+    from pyspark.errors import PySparkException
+    layout, pairs = Layout(scratch), pair_dimension(spark).where("canonical_symbol = 'BTC-USD'")
+    build_inputs(spark, layout)
+    bad = spark.createDataFrame([("kraken", "BTC/USD", H, '{"error":["EGeneral:Busy"]}'), ("binance", "BTCUSDT", H, "<html>")],
+                                "exchange string, pair string, fetched_ts timestamp, body string")
+    land_rest_pages(bad, layout.rest, H)
+    with pytest.raises(PySparkException):
+        run_hour(spark, H, layout, pairs)
+    r = run_hour(spark, H, layout, pairs, strict_rest=False)
+    assert r.metrics["rest_rejects"] == {"exchange_error": 1, "not_a_candle_array": 1}
+    assert r.metrics["bronze_append"]["rest_rows"] == 2
+
+
 def _files(spark, path):
     return sorted(spark.read.parquet(path).inputFiles())
 
