@@ -12,10 +12,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallow.session import let_workers_import, shared_dir
+from tallow.sources.tables import delete_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
@@ -45,7 +47,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     names).
     """
     spark = df.sparkSession
-    path = shared_dir(spark, "llm", name)
+    path = shared_folder(spark, "llm", name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tallow_path = path
@@ -56,15 +58,38 @@ def drop_table(df: DataFrame) -> None:
     """Delete a table made by :func:`materialize` that nothing reads any more."""
     path = getattr(df, "_tallow_path", None)
     if path:
-        fs, p = filesystem(path)
-        fs.delete_dir(p)
+        delete_path(df.sparkSession, path)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a folder or file in the shared store."""
-    if "://" in uri or uri.startswith("file:"):
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), uri
+    """The file system and path of a folder or file in the shared store, for tasks.
+
+    Hadoop's names of S3 are pyarrow's ``s3``. A path without a scheme is refused:
+    Spark would look for it in the cluster's default store, a task on its own disk.
+    """
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{uri} names no file system; use shared_folder")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + colon + rest)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the store in which Spark finds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def shared_folder(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder in the shared store, with its scheme, so that tasks find it, too."""
+    return qualified(spark, shared_dir(spark, *parts))
+
+
+def read_shared(path: str) -> pa.Table:
+    """All rows of a table of :func:`materialize` whose size is bounded, read within a task."""
+    fs, p = filesystem(path)
+    return pq.read_table(p, filesystem=fs)
 
 
 def new_file(folder: str, stem: str, suffix: str) -> str:

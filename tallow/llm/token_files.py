@@ -30,9 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallow.llm.common import filesystem, materialize, new_file
+from tallow.llm.common import filesystem, materialize, new_file, qualified, shared_folder
 from tallow.llm.tokens import crc_of, id_width, token_table
-from tallow.session import shared_dir
 
 MAGIC = b"TOKIDX1\0"
 READ_BATCH = 4096
@@ -44,6 +43,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None) ->
     width = id_width(path)
     ranged = (docs.select(F.col("doc_id").cast("long"), "text")
               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    folder = qualified(docs.sparkSession, folder)
     filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,5 +151,5 @@ def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
 def token_report(docs: DataFrame) -> DataFrame:
     """Write all of ``docs`` to a folder in the shared store and read it back."""
     spark = docs.sparkSession
-    files = write_token_files(docs, shared_dir(spark, "llm", "token_files"))
+    files = write_token_files(docs, shared_folder(spark, "llm", "token_files"))
     return read_token_files(spark, files)
