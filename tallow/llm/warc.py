@@ -35,8 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallow.llm.common import bounded_batches, drop_table, filesystem, materialize, new_file
-from tallow.session import shared_dir
+from tallow.llm.common import bounded_batches, drop_table, filesystem, materialize, new_file, qualified, shared_folder
 
 ARCHIVE_BYTES = 256 << 20
 RUN_CAPTURES, BLOCK_CAPTURES = 1 << 16, 512
@@ -44,7 +43,9 @@ FAN_IN, RANGE_CAPTURES = 64, 1 << 16
 MIN_REVISIT_BYTES = 0
 GZIP_LEVEL = 1
 CRLF = "\r\n"
-EPOCH = 1_735_689_600  # captures without a time: 2025-01-01T00:00:00Z plus the page id in seconds
+# Captures without a time: 2025-01-01T00:00:00Z plus the page id in seconds, of which
+# what exceeds ten years is left out, so that ids of 64 bits have a time, too.
+EPOCH, SPAN = 1_735_689_600, 315_360_000
 
 
 def url_key(url: str | None) -> str:
@@ -151,6 +152,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
     placed = raw.join(seen, "digest", "left").select(
         "page_id", "url", "payload",
         F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first_id")), F.col("first_id")).alias("refers_to"))
+    folder = qualified(pages.sparkSession, folder)
     fs, p = filesystem(folder)
     fs.create_dir(p, recursive=True)
 
@@ -164,7 +166,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
                             sink.close()
                         names.append(new_file(folder, "captures", ".warc.gz"))
                         sink, size = filesystem(folder)[0].open_output_stream(filesystem(names[-1])[1], compression=None), 0
-                    record = warc_record(row["page_id"], row["url"], EPOCH + (row["page_id"] or 0), row["payload"], row["refers_to"])
+                    record = warc_record(row["page_id"], row["url"], EPOCH + (row["page_id"] or 0) % SPAN, row["payload"], row["refers_to"])
                     sink.write(record)
                     size += len(record)
         finally:
@@ -225,6 +227,7 @@ def _block_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def index_archives(archives: DataFrame, folder: str, run_captures: int = RUN_CAPTURES) -> DataFrame:
     """Read every archive and write its captures as sorted runs; returns their blocks."""
+    folder = qualified(archives.sparkSession, folder)
     fs, p = filesystem(folder)
     fs.create_dir(p, recursive=True)
 
@@ -345,6 +348,8 @@ def _captures(group: int, range_no: int, merged: Iterator[Capture]) -> pa.Table:
 
 def merge_runs(blocks: DataFrame, folder: str, fan_in: int = FAN_IN, range_captures: int = RANGE_CAPTURES) -> DataFrame:
     """All captures of the runs in global order, by ``range_no`` and ``position``."""
+    folder = qualified(blocks.sparkSession, folder)
+
     def longer_run(group: int, range_no: int, merged: Iterator[Capture]) -> pa.Table:
         writer = RunWriter(folder, f"group-{group:012d}")
         for item in merged:
@@ -367,7 +372,7 @@ def merge_runs(blocks: DataFrame, folder: str, fan_in: int = FAN_IN, range_captu
 def capture_histories(pages: DataFrame) -> DataFrame:
     """Archive ``pages`` in the shared store, index the archives, and return every
     capture in global order of URL key and time."""
-    folder = shared_dir(pages.sparkSession, "llm", "warc")
+    folder = shared_folder(pages.sparkSession, "llm", "warc")
     blocks = index_archives(write_archives(pages, folder), folder)
     return merge_runs(blocks, folder)
 

@@ -88,3 +88,12 @@ def test_url_keys():
 
 def test_empty_table(spark):
     assert W.page_report(pages(spark, rows_of()).limit(0)).count() == 0
+
+
+def test_ids_of_64_bits(spark):
+    ids = [0, -1, 10 ** 12, 2 ** 60, 2 ** 63 - 1, -2 ** 63]
+    pages = spark.createDataFrame([(i, "http://a.org/", f"<p>{i % 3}") for i in ids], "page_id bigint, url string, html string")
+    got = {r["page_id"]: r for r in W.page_report(pages).collect()}
+    assert set(got) == set(ids)
+    assert all(r["time"].startswith("20") for r in got.values())
+    assert all((r["record_type"] == "response") == (i == min(j for j in ids if j % 3 == i % 3)) for i, r in got.items())
