@@ -6,8 +6,11 @@ its idf and, as a weight, its chi-square with the label, at every size of the
 label set. Terms are words and their beginnings of 4 to 7 letters, so an
 inflected form that no example has still meets its stem.
 
-Search: the examples are numbered and cut into blocks of equal size. For each
-frequent term and block the index holds the largest weight, so what the terms
+The term table and the examples are tables in the shared folder; each worker
+makes its index from them, and the calibration is taken in tasks, too.
+
+Search: the examples are ordered so that alike ones are neighbours, and cut into
+blocks of equal size. For each frequent term and block the index holds the largest weight, so what the terms
 not yet scored can add is known beforehand; only examples that can reach the
 k best are compared by their whole vectors. The result is the exact k nearest,
 ties to the lower example number.
@@ -24,7 +27,6 @@ alike; ids are never an input.
 from __future__ import annotations
 
 import functools
-import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass, field
@@ -32,10 +34,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallow.llm.common import bounded_batches, drop_table, materialize, per_batch, per_document, spread_key
+from tallow.llm.common import bounded_batches, drop_table, materialize, per_batch, read_shared, spread_key
 
 # The examples: so many labelled rows at most, those with the lowest MD5 keys.
 MAX_EXAMPLES = 20_000
@@ -47,14 +50,17 @@ BLOCK = 256
 PLAIN_WEIGHT = 0.5
 # Terms of so many examples have block peaks; others are always scored.
 OFTEN = 64
-FIRST_TERMS = 16
+FIRST_TERMS, GROWTH = 64, 2
 # Terms of this share of the examples are scored by a matrix product, so many
 # queries at a time.
 HEAD_SHARE, QUERIES, SLACK = 0.08, 128, 1e-5
-# So many examples are compared by their whole vectors.
-MAX_NEAR = 48
-MAX_LEVEL = 65_535  # two bytes hold a count
-LOG_TF = np.concatenate([[0.0], 1 + np.log(np.arange(1, MAX_LEVEL + 1))])
+# So many examples, the best by the first terms, give the cosine to reach; and so
+# many others are at last compared by their whole vectors.
+LOOK, MAX_NEAR = 32, 48
+# Alike examples share blocks: each goes to the nearest of so many of them.
+SEEDS = 64
+# Words whose terms a task remembers.
+MAX_WORDS = 200_000
 # A vote of this weight goes to the base share, so that one faint neighbour
 # does not decide alone.
 PRIOR_WEIGHT = 0.05
@@ -72,51 +78,145 @@ def word_counts(text: str) -> Counter:
 
 def terms_of(word: bytes) -> list[str]:
     w = word.decode()
-    return [w, *[f"{w[:n]}~" for n in STEMS if len(w) >= n]]
+    return [w, *[w[:n] + "~" for n in STEMS if len(w) >= n]]
 
 
-def term_counts(text: str) -> Counter:
-    counts: Counter = Counter()
-    for word, n in word_counts(text).items():
-        for t in terms_of(word):
-            counts[t] += n
-    return counts
+class Terms:
+    """Counts the terms of texts; a word's terms are looked up once.
+
+    A term is its position in the sorted ``keys``, terms not in it are left out;
+    without ``keys`` it is its :func:`term_key`.
+    """
+
+    def __init__(self, keys: np.ndarray | None = None):
+        self.keys, self.known = keys, {}
+
+    def counts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its distinct terms, ascending, and their counts."""
+        counted = [word_counts(t) for t in texts]
+        if len(self.known) > MAX_WORDS:
+            self.known.clear()
+        self._learn(list({w for c in counted for w in c if w not in self.known}))
+        return [self._merged(c) for c in counted]
+
+    def _learn(self, words: list[bytes]) -> None:
+        terms = [terms_of(w) for w in words]
+        ends = np.cumsum([0, *map(len, terms)])
+        at = np.array([term_key(x) for t in terms for x in t], np.int64)
+        if self.keys is not None:
+            keys, at = at, np.searchsorted(self.keys, at)
+            hit = at < len(self.keys)
+            hit[hit] = self.keys[at[hit]] == keys[hit]
+            ends, at = np.concatenate([[0], np.cumsum(hit)])[ends], at[hit]
+        ends = ends.tolist()
+        self.known.update((w, at[ends[i]:ends[i + 1]]) for i, w in enumerate(words))
+
+    def _merged(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts = [self.known[w] for w in words]
+        terms = np.concatenate(parts)
+        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
+        order = np.argsort(terms)
+        terms = terms[order]
+        begin = np.flatnonzero(np.diff(terms, prepend=terms[:1] - 1))
+        return terms[begin], np.add.reduceat(counts[order], begin) if len(begin) else counts
 
 
-@dataclass
 class Index:
     """A block-max inverted index over unit vectors, and the vectors themselves.
 
-    Term t has the key ``keys[t]``. Its postings are ``rows/levels[start[t]:start[t + 1]]``, example r is
-    ``terms/own_levels[first[r]:first[r + 1]]``; a level is a count, whose
-    weight is ``(1 + log(count)) * idf / norm``. ``peak[slot[t], b]`` is the
-    largest weight of a frequent term in block b.
+    Examples are numbered as given; inside, ``number[r]`` is the number of the
+    one in row r, rows being ordered so that alike examples share blocks. Term
+    t has the key ``keys[t]`` and its postings, a row and a level each, in
+    ``postings[start[t]:start[t + 1]]``; the example of row r is ``terms/own_levels[first[r]:first[r + 1]]``. A level
+    is a count c, of weight ``(1 + log(c)) * idf / norm``. ``peak[slot[t], b]`` is
+    the largest weight of a frequent term in block b.
     """
-    keys: np.ndarray
-    idf: np.ndarray
-    ids: np.ndarray
-    toxic: np.ndarray
-    start: np.ndarray
-    rows: np.ndarray
-    levels: np.ndarray
-    first: np.ndarray
-    terms: np.ndarray
-    own_levels: np.ndarray
-    norm: np.ndarray
-    slot: np.ndarray
-    peak: np.ndarray
-    base: float = 0.0
-    steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
+
+    def __init__(self, keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
+                 sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray):
+        """Examples whose ``sizes`` ascending terms and their counts lie one after another."""
+        self.keys, self.idf, self.ids, self.toxic, n = keys, idf, ids, toxic, len(ids)
+        empty, most = sizes == 0, int(counts.max(initial=0))
+        self.base = float(toxic[empty].mean()) if empty.any() else float(toxic.mean()) if n else 0.0
+        self.log_tf = np.concatenate([[0.0], 1 + np.log(np.arange(1, most + 1))])
+        self.df = np.bincount(terms, minlength=len(idf))
+        self.in_head = self.df >= max(OFTEN, HEAD_SHARE * n)
+        self.column = np.cumsum(self.in_head) - 1
+        self.number = self._order(sizes, terms, counts)
+        self.row = np.argsort(self.number)
+        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        sizes = sizes[self.number]
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.terms = np.empty(len(terms), np.int32)
+        self.own_levels = np.empty(len(terms), np.uint16 if most < 2 ** 16 else np.uint32)
+        for r, (at, size) in enumerate(zip(begin[self.number].tolist(), sizes.tolist(), strict=True)):
+            to = slice(self.first[r], self.first[r + 1])
+            self.terms[to], self.own_levels[to] = terms[at:at + size], counts[at:at + size]
+        self._postings(n, sizes)
+
+    def _order(self, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Example numbers by the seed that is nearest by frequent terms."""
+        n = len(sizes)
+        seeds = np.unique(np.linspace(0, n - 1, min(n, SEEDS)).astype(int)) if n else []
+        by_term = np.zeros((len(self.idf) if n else 0, len(seeds)), np.float32)
+        begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        for i, e in enumerate(seeds):
+            t, c = terms[begin[e]:begin[e + 1]], counts[begin[e]:begin[e + 1]]
+            w = self.log_tf[c] * self.idf[t]
+            by_term[t, i] = w / max(math.sqrt(float(w @ w)), 1e-9)
+        nearest = np.zeros(n, np.int64)
+        for e in range(n):
+            at = slice(begin[e], begin[e + 1])
+            if begin[e] < begin[e + 1]:
+                t, c = terms[at], counts[at]
+                nearest[e] = np.argmax((self.log_tf[c] * self.idf[t]) @ by_term[t])
+        return np.argsort(nearest, kind="stable")
+
+    def _postings(self, n: int, sizes: np.ndarray) -> None:
+        self.start = np.concatenate([[0], np.cumsum(self.df)]).astype(np.int64)
+        self.norm, fill = np.zeros(n), self.start[:-1].copy()
+        small = n < 2 ** 16 and self.own_levels.dtype == np.uint16
+        self.postings = np.empty((len(self.terms), 2), np.uint16 if small else np.int64)
+        for r in range(0, n, BLOCK):  # some examples at a time: no second copy is held
+            at = slice(self.first[r], self.first[min(n, r + BLOCK)])
+            row, t = np.repeat(np.arange(r, min(n, r + BLOCK)), sizes[r:r + BLOCK]), self.terms[at]
+            w = self.log_tf[self.own_levels[at]] * self.idf[t]
+            self.norm[r:r + BLOCK] = np.sqrt(np.bincount(row - r, w ** 2, min(n - r, BLOCK)))
+            order = np.argsort(t, kind="stable")
+            found, begin, runs = np.unique(t[order], return_index=True, return_counts=True)
+            to = np.repeat(fill[found] - begin, runs) + np.arange(len(order))
+            self.postings[to, 0], self.postings[to, 1] = row[order], self.own_levels[at][order]
+            fill[found] += runs
+        self.norm[self.norm == 0] = 1
+        often = np.flatnonzero((self.df >= OFTEN) & ~self.in_head)
+        self.slot = np.full(len(self.idf), -1, np.int32)
+        self.slot[often] = np.arange(len(often))
+        self.peak = np.zeros((len(often), max(1, -(-n // BLOCK))), np.float32)
+        for i, t in enumerate(often.tolist()):
+            at = slice(self.start[t], self.start[t + 1])
+            rows = self.postings[at, 0].astype(np.int64)  # ascending, so a block's are together
+            w = self.log_tf[self.postings[at, 1]] * self.idf[t] / self.norm[rows]
+            begin = np.flatnonzero(np.diff(rows // BLOCK, prepend=-1))
+            # Rounded up, so that single precision stays a bound.
+            self.peak[i, rows[begin] // BLOCK] = np.maximum.reduceat(w, begin) * (1 + 1e-6)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.fromiter(counts, np.int64, len(counts))
-        c = np.fromiter(counts.values(), np.int64, len(counts))
-        order = np.argsort(t)
-        t, c = t[order], c[order]
-        w = LOG_TF[np.minimum(c, MAX_LEVEL)] * self.idf[t]
+        t = np.fromiter(sorted(counts), np.int64, len(counts))
+        return self.unit(t, np.array([counts[i] for i in t.tolist()], np.int64))
+
+    def unit(self, t: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of terms ``t`` that occur ``c`` times."""
+        w = (1 + np.log(c)) * self.idf[t]
         norm = math.sqrt(float(w @ w))
         return (t, w / norm) if norm else (t[:0], w[:0])
 
+    def own(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of an example."""
+        at = slice(self.first[self.row[number]], self.first[self.row[number] + 1])
+        return self.unit(self.terms[at].astype(np.int64), self.own_levels[at].astype(np.int64))
+
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1,
                 head: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the exact k nearest examples with a cosine over 0.
@@ -131,50 +231,62 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0)
         if head is None:
             head = self.heads([(t, w)])[0]
+        without = int(self.row[without]) if 0 <= without < n else -1
         slot, tail = self.slot[t], ~self.in_head[t]
-        often = np.flatnonzero(tail & (slot >= 0))
-        adds = w[often, None] * self.peak[slot[often]]
+        often = np.flatnonzero(slot >= 0)
+        adds = w[often, None].astype(np.float32) * self.peak[slot[often]]
         order = np.argsort(-adds.max(axis=1, initial=0), kind="stable")
         often, adds = often[order], adds[order]
         now = np.concatenate([np.flatnonzero(tail & (slot < 0)), often[:FIRST_TERMS]])
-        scores, done, near = self._added(t[now], q[now]), FIRST_TERMS, np.arange(n)
-        while len(near) > MAX_NEAR:
-            part = head[near] + scores[near] / self.norm[near]
-            if 0 <= without < n:
-                part[near == without] = -1
-            # The k-th partial cosine is a lower bound of the k-th cosine; heads
-            # are single precision, so their last digits may differ.
-            least = max(np.partition(part, len(part) - k)[len(part) - k], 0) - SLACK
-            near = near[part + adds[done:].sum(axis=0)[near // BLOCK] >= least]
-            if done >= len(often):
+        scores, done = self._added(t[now], q[now]), FIRST_TERMS
+        part = head + scores / self.norm
+        if without >= 0:
+            part[without] = -1
+        top = np.argpartition(-part, LOOK)[:LOOK] if n > LOOK else np.arange(n)
+        exact = self._whole(top, t, q)
+        exact[top == without] = 0
+        # A k-th cosine found is a lower bound of the k-th cosine; heads are
+        # single precision, so their last digits may differ.
+        least = max(np.partition(exact, len(top) - k)[len(top) - k], 0) - SLACK if len(top) > k else -SLACK
+        part[top] = -1  # done with
+        near = np.flatnonzero(part >= 0) if n > LOOK else top[:0]
+        while len(near):
+            near = near[part[near] + adds[done:].sum(axis=0)[self.block[near]] >= least]
+            if len(near) <= MAX_NEAR or done >= len(often):
                 break
-            if len(near) > MAX_NEAR:
-                more = often[done:2 * done]
-                scores += self._added(t[more], q[more])
-                done *= 2
-        sims = np.round(np.where(near == without, 0, self._whole(near, t, q)), 9)
-        near, sims = near[sims > 0], sims[sims > 0]
-        if len(near) > k:  # the k-th value and all ties with it
-            top = sims >= np.partition(sims, -k)[-k]
-            near, sims = near[top], sims[top]
-        top = np.lexsort((near, -sims))[:k]
-        return near[top], sims[top]
+            more = often[done:GROWTH * done]
+            scores += self._added(t[more], q[more])
+            done *= GROWTH
+            part[near] = head[near] + scores[near] / self.norm[near]
+        sims = np.round(np.concatenate([exact, self._whole(near, t, q)]), 9)
+        found = self.number[np.concatenate([top, near])]
+        found, sims = found[sims > 0], sims[sims > 0]
+        if len(found) > k:  # the k-th value and all ties with it
+            best = sims >= np.partition(sims, -k)[-k]
+            found, sims = found[best], sims[best]
+        best = np.lexsort((found, -sims))[:k]
+        return found[best], sims[best]
 
     def heads(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the most frequent terms add to each cosine, a row for each vector."""
+        asked = self._asked_heads(vectors)
+        used = asked.any(axis=0)  # alike queries leave most terms out
+        return asked[:, used] @ self.matrix[used] if 10 * used.sum() < 7 * len(used) else asked @ self.matrix
+
+    def _asked_heads(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         asked = np.zeros((len(vectors), len(self.matrix)), np.float32)
         for i, (t, w) in enumerate(vectors):
             at = self.in_head[t]
             asked[i, self.column[t[at]]] = w[at]
-        return asked @ self.matrix
+        return asked
 
-    @functools.cached_property
-    def in_head(self) -> np.ndarray:
-        return np.diff(self.start) >= max(OFTEN, HEAD_SHARE * len(self.ids))
-
-    @functools.cached_property
-    def column(self) -> np.ndarray:
-        return np.cumsum(self.in_head) - 1
+    def _groups(self, vectors: list):
+        """The positions of the vectors, in groups of QUERIES that are alike by frequent terms."""
+        asked, left = self._asked_heads(vectors), np.arange(len(vectors))
+        while len(left):
+            order = np.argsort(-(asked[left] @ asked[left[0]]), kind="stable")
+            yield left[order[:QUERIES]].tolist()
+            left = left[np.sort(order[QUERIES:])]
 
     @functools.cached_property
     def matrix(self) -> np.ndarray:
@@ -182,49 +294,57 @@ class Index:
         m = np.zeros((int(self.in_head.sum()), len(self.ids)), np.float32)
         for i, t in enumerate(np.flatnonzero(self.in_head).tolist()):
             at = slice(self.start[t], self.start[t + 1])
-            m[i, self.rows[at]] = LOG_TF[self.levels[at]] * self.idf[t] / self.norm[self.rows[at]]
+            rows = self.postings[at, 0]
+            m[i, rows] = self.log_tf[self.postings[at, 1]] * self.idf[t] / self.norm[rows]
         return m
 
     def _added(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
         """What the terms' postings add to each example, before its norm."""
-        at, runs = _ranges(self.start[t], self.start[t + 1])
-        return np.bincount(self.rows[at], LOG_TF[self.levels[at]] * np.repeat(q, runs), len(self.ids)).astype(float, copy=False)
+        if not len(t):
+            return np.zeros(len(self.ids))
+        order = np.argsort(t)  # as they lie in memory
+        t, q = t[order], q[order]
+        runs = list(map(slice, self.start[t].tolist(), self.start[t + 1].tolist()))
+        found = np.concatenate([self.postings[r] for r in runs])
+        return np.bincount(found[:, 0], self.log_tf[found[:, 1]] * np.repeat(q, self.df[t]), len(self.ids))
 
     def _whole(self, rows: np.ndarray, t: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Cosines of the examples ``rows``, by their whole vectors."""
-        asked = self.asked
-        asked[t] = q
-        at, runs = _ranges(self.first[rows], self.first[rows + 1])
-        each = asked[self.terms[at]]
-        hit = np.flatnonzero(each)
-        each = each[hit] * LOG_TF[self.own_levels[at[hit]]]
-        asked[t] = 0
-        return np.bincount(np.repeat(np.arange(len(rows)), runs)[hit], each, len(rows)) / self.norm[rows]
+        if not len(rows):
+            return np.zeros(0)
+        asked, is_asked = self.asked
+        asked[t], is_asked[t] = q, True
+        runs = list(map(slice, self.first[rows].tolist(), self.first[rows + 1].tolist()))
+        terms = np.concatenate([self.terms[r] for r in runs])
+        hit = np.flatnonzero(is_asked[terms])  # few bytes a term, so this look-up is the fast one
+        each = asked[terms[hit]] * self.log_tf[np.concatenate([self.own_levels[r] for r in runs])[hit]]
+        is_asked[t] = False
+        owner = np.repeat(np.arange(len(rows)), self.first[rows + 1] - self.first[rows])[hit]
+        return np.bincount(owner, each, len(rows)) / self.norm[rows]
 
     @functools.cached_property
-    def asked(self) -> np.ndarray:
-        """A query's terms while its cosines are taken, else zeros."""
-        return np.zeros(len(self.idf))
-
-    def __getstate__(self) -> tuple:
-        """The vectors, compressed; postings and peaks are made anew from them."""
-        steps = np.diff(self.terms, prepend=np.int32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
-        arrays = (self.keys, self.idf, self.ids, self.toxic, np.diff(self.first))
-        return arrays, _zstd().compress(steps), _zstd().compress(self.own_levels.tobytes()), self.base, self.steps
-
-    def __setstate__(self, state: tuple) -> None:
-        import zstandard
-        (keys, idf, ids, toxic, sizes), steps, levels, self.base, self.steps = state
-        steps = np.frombuffer(zstandard.decompress(steps), np.uint8).reshape(4, -1).T.copy().view(np.int32)[:, 0]
-        terms, levels = np.cumsum(steps, dtype=np.int32), np.frombuffer(zstandard.decompress(levels), np.uint16)
-        vars(self).update({"base": self.base, "steps": self.steps} | postings(keys, idf, ids, toxic, sizes, terms, levels))
-
-    def neighbours(self, vectors: list, without=None):
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """A query's weights, and whether a term is the query's, while its cosines are taken."""
+        return np.zeros(len(self.idf)), np.zeros(len(self.idf), bool)
+
+    @functools.cached_property
+    def block(self) -> np.ndarray:
+        return np.arange(len(self.ids)) // BLOCK
+
+    @functools.cached_property
+    def reader(self) -> Terms:
+        return Terms(self.keys)
+
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [self.unit(*c) for c in self.reader.counts(texts)]
+
+    def neighbours(self, vectors: list, without=None) -> list:
         """The :data:`NEIGHBOURS` nearest of each vector."""
-        for k in range(0, len(vectors), QUERIES):
-            some = vectors[k:k + QUERIES]
-            for i, (v, head) in enumerate(zip(some, self.heads(some), strict=True), k):
-                yield self.nearest(*v, NEIGHBOURS, -1 if without is None else without[i], head)
+        found: list = [None] * len(vectors)
+        for group in self._groups(vectors):
+            for i, head in zip(group, self.heads([vectors[i] for i in group]), strict=True):
+                found[i] = self.nearest(*vectors[i], NEIGHBOURS, -1 if without is None else without[i], head)
+        return found
 
     def votes(self, vectors: list, without=None):
         for rows, sims in self.neighbours(vectors, without):
@@ -234,69 +354,13 @@ class Index:
         weight = sims ** 2
         return float((weight @ self.toxic[rows] + PRIOR_WEIGHT * self.base) / (weight.sum() + PRIOR_WEIGHT))
 
-    def calibrated(self, vote: float) -> float:
-        return float(np.interp(vote, *self.steps))
-
-
-def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All positions of the ranges ``lo:hi``, one after another, and their lengths."""
-    runs = hi - lo
-    return np.repeat(lo - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum())), runs
-
 
 def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]]) -> Index:
     """``examples``: id, label and term counts over the vocabulary, in order."""
-    sizes = np.array([len(e[2]) for e in examples], np.int64)
-    return index_of(np.array([term_key(t) for t in vocabulary], np.int64), idf, np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], float), sizes,
-                    np.array([t for e in examples for t in e[2]], np.int32), np.array([min(c, MAX_LEVEL) for e in examples for c in e[2].values()], np.uint16))
-
-
-def _zstd():
-    import zstandard
-    return zstandard.ZstdCompressor(level=1)
-
-
-def postings(keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
-             sizes: np.ndarray, terms: np.ndarray, levels: np.ndarray) -> dict:
-    """The fields of the index of examples whose ``sizes`` terms and their counts lie one after another."""
-    n, v = len(ids), len(idf)
-    first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    df = np.bincount(terms, minlength=v)
-    start = np.concatenate([[0], np.cumsum(df)]).astype(np.int64)
-    norm, rows, sorted_levels, fill = np.zeros(n), np.empty(len(terms), np.int32), np.empty(len(terms), np.uint16), start[:-1].copy()
-    for r in range(0, n, BLOCK):  # some examples at a time: the driver holds no second copy
-        at = slice(first[r], first[min(n, r + BLOCK)])
-        row = np.repeat(np.arange(r, min(n, r + BLOCK)), sizes[r:r + BLOCK])
-        norm[r:r + BLOCK] = np.sqrt(np.bincount(row - r, (LOG_TF[levels[at]] * idf[terms[at]]) ** 2, min(n - r, BLOCK)))
-        order = np.argsort(terms[at], kind="stable")
-        found, begin, runs = np.unique(terms[at][order], return_index=True, return_counts=True)
-        to = np.repeat(fill[found] - begin, runs) + np.arange(len(order))
-        rows[to], sorted_levels[to] = row[order], levels[at][order]
-        fill[found] += runs
-    norm[norm == 0] = 1
-    often = np.flatnonzero(df >= OFTEN)
-    slot = np.full(v, -1, np.int32)
-    slot[often] = np.arange(len(often))
-    peak = np.zeros((len(often), max(1, -(-n // BLOCK))))
-    for i, t in enumerate(often.tolist()):
-        at = slice(start[t], start[t + 1])
-        np.maximum.at(peak[i], rows[at] // BLOCK, LOG_TF[sorted_levels[at]] * idf[t] / norm[rows[at]])
-    return dict(keys=keys, idf=idf, ids=ids, toxic=toxic, start=start, rows=rows, levels=sorted_levels, first=first,
-                terms=terms, own_levels=levels, norm=norm, slot=slot, peak=peak)
-
-
-def index_of(keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
-             sizes: np.ndarray, terms: np.ndarray, levels: np.ndarray) -> Index:
-    """The index of :func:`postings`, its votes calibrated."""
-    index, n, first, empty = Index(**postings(keys, idf, ids, toxic, sizes, terms, levels)), len(ids), np.concatenate([[0], np.cumsum(sizes)]), sizes == 0
-    index.base = float(toxic[empty].mean()) if empty.any() else float(toxic.mean()) if n else 0.0
-    some = np.unique(np.linspace(0, n - 1, min(n, MAX_CALIBRATION)).astype(int)) if n else []
-    asked = [index.vector(dict(zip(terms[first[i]:first[i + 1]].tolist(), levels[first[i]:first[i + 1]].tolist(), strict=True))) for i in some]
-    votes = [(round(vote, 9), toxic[i]) for i, vote in zip(some, index.votes(asked, some), strict=True)]
-    if votes:
-        index.steps = isotonic(votes)
-    vars(index).pop("matrix", None)
-    return index
+    ordered = [sorted(e[2].items()) for e in examples]
+    return Index(np.array([term_key(t) for t in vocabulary], np.int64), idf, np.array([e[0] for e in examples], np.int64),
+                 np.array([e[1] for e in examples], float), np.array([len(o) for o in ordered], np.int64),
+                 np.array([t for o in ordered for t, _ in o], np.int32), np.array([c for o in ordered for _, c in o], np.int64))
 
 
 def isotonic(points: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
@@ -316,9 +380,53 @@ def isotonic(points: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
-    """Learn from labelled rows whose ``crc32(doc_id) mod 5`` is not 0."""
-    bounded_batches(docs.sparkSession)
+@dataclass
+class Model:
+    """Where the fitted tables lie in the shared folder, and the calibration."""
+    terms: str
+    examples: str
+    n: int
+    n_toxic: int
+    steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
+
+    def index(self) -> Index:
+        """The index, made in each worker once, from the tables."""
+        return load_index(self.terms, self.examples, self.n, self.n_toxic)
+
+    def calibrated(self, vote: float) -> float:
+        return float(np.interp(vote, *self.steps))
+
+
+@functools.lru_cache(maxsize=1)
+def _term_table(path: str) -> tuple[np.ndarray, ...]:
+    """``term, df, toxic`` of all terms, by term."""
+    t = read_shared(path)
+    columns = [t.column(c).to_numpy() for c in ("term", "df", "toxic")]
+    order = np.argsort(columns[0])
+    return tuple(c[order] for c in columns)
+
+
+@functools.lru_cache(maxsize=1)
+def load_index(terms: str, examples: str, n: int, n_toxic: int) -> Index:
+    keys, df, toxic = _term_table(terms)
+    _term_table.cache_clear()
+    t = read_shared(examples)
+    order = np.argsort(t.column("doc_id").to_numpy(), kind="stable").tolist()
+    ids, y = (t.column(c).to_numpy()[order] for c in ("doc_id", "y"))
+    sizes = pc.binary_length(t.column("counts")).to_numpy()[order].astype(np.int64) // 4
+    numbers, counts = (np.frombuffer(b"".join(t.column(c)[i].as_buffer() for i in order), kind)
+                       for c, kind in (("terms", np.int32), ("counts", np.uint32)))
+    return Index(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), ids, y.astype(float), sizes, numbers, counts)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
+    """Learn from labelled rows whose ``crc32(doc_id) mod 5`` is not 0.
+
+    Tasks write the terms and the examples as tables and take the calibration's
+    votes; the driver gets two counts and at most MAX_CALIBRATION votes.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = (labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y"))
             .where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -328,43 +436,56 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Index:
     # Of equal texts one example is enough: copies would vouch for their chance words.
     chosen = chosen.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256)).agg(
         F.min(F.struct("doc_id", "y", "text")).alias("r")).select("r.*")
+    reader = Terms()
 
-    def terms(text: str) -> tuple:
-        counts = term_counts(text)
-        return [term_key(t) for t in counts], list(counts.values())
+    def terms(texts: list[str]):
+        return ((t.tolist(), c.tolist()) for t, c in reader.counts(texts))
 
-    vectors = materialize(per_document(chosen, terms, "terms array<bigint>, counts array<int>", ["doc_id", "y"]), "toxicity")
-    per_term = (vectors.select("y", F.explode("terms").alias("term")).groupBy("term")
-                .agg(F.count("*").cast("int").alias("df"), F.sum("y").cast("int").alias("toxic")).orderBy("term").toArrow())
+    vectors = materialize(per_batch(chosen, terms, "terms array<bigint>, counts array<bigint>", ["doc_id", "y"]), "toxicity")
+    per_term = materialize(vectors.select("y", F.explode("terms").alias("term")).groupBy("term")
+                           .agg(F.count("*").cast("int").alias("df"), F.sum("y").cast("int").alias("toxic")), "toxicity_terms")
     n, n_toxic = vectors.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    keys, df, toxic = (per_term.column(c).to_numpy() for c in ("term", "df", "toxic"))
-    shared = docs.sparkSession.sparkContext.broadcast(keys)  # the terms of at most MAX_EXAMPLES texts
+    terms_path = per_term._tallow_path
 
     def numbered(batches):
+        keys = _term_table(terms_path)[0]
         for b in batches:
-            ts, ls = [], []
-            for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                at = np.searchsorted(shared.value, np.array(t, np.int64)).astype(np.int32)
-                order = np.argsort(at)
-                ts.append(at[order].tobytes())
-                ls.append(np.minimum(np.array(c, np.int64), MAX_LEVEL).astype(np.uint16)[order].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ts, pa.binary()), pa.array(ls, pa.binary())],
-                                             names=["doc_id", "y", "terms", "levels"])
-
-    found = vectors.mapInArrow(numbered, "doc_id bigint, y int, terms binary, levels binary").toArrow()
+            ts, cs = [], []
+            for t, c in zip(b.column(2), b.column(3), strict=True):
+                # Terms are in ascending order of their keys, as are the numbers.
+                ts.append(np.searchsorted(keys, t.values.to_numpy()).astype(np.int32).tobytes())
+                cs.append(c.values.to_numpy().astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ts, pa.binary()), pa.array(cs, pa.binary())],
+                                             names=["doc_id", "y", "terms", "counts"])
+
+    found = materialize(vectors.mapInArrow(numbered, "doc_id bigint, y int, terms binary, counts binary"), "toxicity_examples")
     drop_table(vectors)
-    order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
-    ids, y = found.column("doc_id").to_numpy()[order], found.column("y").to_numpy()[order].astype(float)
-    sizes = pc.binary_length(found.column("levels")).to_numpy()[order].astype(np.int64) // 2
-    ts, ls = (np.frombuffer(b"".join(found.column(c)[i].as_buffer() for i in order.tolist()), kind)
-              for c, kind in (("terms", np.int32), ("levels", np.uint16)))
-    del found
-    return index_of(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), ids, y, sizes, ts, ls)
+    model = Model(terms_path, found._tallow_path, n, n_toxic)
+    model.steps = _calibration(spark, model)
+    return model
+
+
+def _calibration(spark, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic steps over leave-one-out votes of at most MAX_CALIBRATION examples, taken in tasks."""
+    some = np.unique(np.linspace(0, model.n - 1, min(model.n, MAX_CALIBRATION)).astype(int)) if model.n else np.zeros(0, int)
+    if not len(some):
+        return model.steps
+
+    def votes(batches):
+        index = model.index()
+        for b in batches:
+            asked = [int(some[i]) for i in b.column(0).to_pylist()]
+            found = index.votes([index.own(i) for i in asked], asked)
+            yield pa.RecordBatch.from_arrays([pa.array([round(v, 9) for v in found], pa.float64()), pa.array(index.toxic[asked])],
+                                             names=["vote", "toxic"])
+
+    tasks = min(len(some), spark.sparkContext.defaultParallelism)
+    return isotonic([tuple(r) for r in spark.range(0, len(some), 1, tasks).mapInArrow(votes, "vote double, toxic double").collect()])
 
 
 def term_key(term: str) -> int:
     """64 bits that stand for a term; among a million terms two are alike with probability 3e-8."""
-    return int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "big", signed=True)
+    return xxhash.xxh3_64_intdigest(term) - 2 ** 63
 
 
 def term_weights(n: int, n_toxic: int, df: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -378,33 +499,14 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def score(df: DataFrame, index: Index, keep: list[str], text: str = "text") -> DataFrame:
+def score(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """``score, predicted`` and evidence of each row; ``keep`` are carried along."""
     bounded_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(index)  # at most MAX_EXAMPLES vectors
-    seen: dict[bytes, tuple[int, ...]] = {}
-
-    def known(word: bytes) -> tuple[int, ...]:
-        keys = shared.value.keys
-        asked = np.array([term_key(t) for t in terms_of(word)], np.int64)
-        at = np.searchsorted(keys, asked)
-        return tuple(i for i, k in zip(at.tolist(), asked.tolist(), strict=True) if i < len(keys) and keys[i] == k)
-
-    def vector(t: str) -> tuple[np.ndarray, np.ndarray]:
-        counts: dict[int, int] = {}
-        for word, n in word_counts(t).items():
-            if word not in seen:
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen[word] = known(word)
-            for term in seen[word]:
-                counts[term] = counts.get(term, 0) + n
-        return shared.value.vector(counts)
 
     def judge(texts: list[str]):
-        index = shared.value
-        for rows, sims in index.neighbours([vector(t) for t in texts]):
-            p = index.calibrated(index.vote(rows, sims) if len(rows) else index.base)
+        index = model.index()
+        for rows, sims in index.neighbours(index.vectors(texts)):
+            p = model.calibrated(index.vote(rows, sims) if len(rows) else index.base)
             yield p, int(p >= 0.5), index.ids[rows].tolist(), sims.tolist()
 
     return per_batch(df, judge, SCHEMA, keep, text)
@@ -418,7 +520,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents predicted toxic, columns unchanged."""
-    index, names = fit(docs, labels), docs.columns
+    model, names = fit(docs, labels), docs.columns
     marked = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("`text`").alias("t"))
-    judged = score(marked, index, marked.columns[:-1], "t").where("predicted = 0")
+    judged = score(marked, model, marked.columns[:-1], "t").where("predicted = 0")
     return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
