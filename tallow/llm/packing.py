@@ -143,7 +143,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").withColumn(
         "code", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))).withColumn(
-        "key", spread_key("pack", F.col("doc_id")))
+        "key", spread_key("pack", F.col("doc_id"), F.xxhash64("text")))
     tokens = materialize(token_table(keyed, ["doc_id", "source", "code", "key"], path), "tokens")
     whole = tokens.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     parted = tokens.withColumn("part", key_bucket(F.col("key"), max(1, -(-whole // range_tokens))).cast("long"))
