@@ -8,7 +8,9 @@ Boilerplate has few common words and so few signatures; prose has many.
 Everything is DataFrame and SQL functions. The text is normalised to words
 parted by single spaces; of anchors in a row only the last stays, so one split
 before each anchor gives pieces ``anchor content content ...``; a piece with
-fewer than CHAIN content words is completed from the next one.
+fewer than CHAIN content words is completed from the next one. After every RUN
+content words without an anchor a START is set, which opens a new chain: texts
+in languages without known anchors, code and lists have signatures all along.
 
 Defined cases: the start of the text counts as an anchor, so that every text
 with a word has a signature; a chain at the end of the text may be shorter.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tallow.llm.common import materialize
 
-CHAIN = 2
+CHAIN, RUN = 2, 4
 THRESHOLD = 0.8
 # The anchors, common words of English, German, French and
 # Spanish, and the bar that opens a table cell.
@@ -62,7 +64,9 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     spaced = F.concat(F.lit(START + " "), F.col("__words"))
     # Of anchors in a row the look-ahead lets all but the last go.
     single = F.regexp_replace(spaced, rf"(?<![^ ])(?:{_ANCHOR}) (?=(?:{_ANCHOR})(?: |$))", "")
-    pieces = F.split(single, rf" (?=(?:{_ANCHOR})(?: |$))")
+    content = rf"(?!(?:{_ANCHOR})(?: |$))"
+    started = F.regexp_replace(single, rf"(?<![^ ])((?:{content}[^ ]++ ){{{RUN}}}){content}", f"$1{START} ")
+    pieces = F.split(started, rf" (?=(?:{_ANCHOR})(?: |$))")
 
     def signature(piece: Column, following: Column) -> Column:
         # The next piece's content words complete a chain that its anchor cuts short.

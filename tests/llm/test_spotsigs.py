@@ -15,10 +15,14 @@ def brute_signatures(text):
     anchors = {*S.ANCHORS, S.START}
     words = [S.START, *words]
     words = [w for i, w in enumerate(words) if not (w in anchors and i + 1 < len(words) and words[i + 1] in anchors)]
-    pieces = []
+    pieces, run = [], 0
     for w in words:
+        run = 0 if w in anchors else run + 1
         if w in anchors or not pieces:
             pieces.append([])
+        elif run > S.RUN:
+            pieces.append([S.START])
+            run = 1
         pieces[-1].append(w)
     out = set()
     for i, p in enumerate(pieces):
@@ -36,6 +40,7 @@ def rows():
     text = "The cat sat on the mat of a house and the dog | saw it in der Garten. "
     out = [(i * 3, text * (1 + i % 3) + prose(i, 20) + " the end of the " + prose(i + 1, 9)) for i in range(60)]
     out += [(1000 + i, t) for i, t in enumerate(ODD_TEXTS)] + [(7, "the"), (8, "of the and"), (13, "The, cat"), (10, "cat the"), (11, out[0][1])]
+    out += [(2000 + i, f"{out[i][1]} the last words") for i in range(5)]
     return out
 
 
@@ -70,6 +75,28 @@ def test_similar_documents_equal_brute_force(spark, rows):
     assert dict(map(tuple, member.collect())) == {d: reps.get(sets[d], d) for d in sets}
 
 
+def test_every_part_of_texts_without_anchors_counts(spark):
+    """Cyrillic, Chinese and code: texts that differ anywhere but in their first words differ."""
+    def words(stem, n, start):
+        return [f"{stem}{i * 7919 % 5003}" for i in range(start, start + n)]
+    rows = []
+    for stem in ("слово", "文本", "var_"):
+        head = words(stem, 2, 0)
+        rows += [(len(rows), " ".join(head + words(stem, 298, 500))), (len(rows) + 1, " ".join(head + words(stem, 298, 2000)))]
+    got = {r["doc_id"]: r for r in S.fingerprint_report(docs(spark, rows)).collect()}
+    assert len({r["fingerprint"] for r in got.values()}) == len(rows)
+    assert all(got[i]["near_next"] < 0.1 for i in (0, 2, 4))
+    assert all(0.4 < r["near_edited"] < 0.9 for r in got.values())
+
+
+def test_very_long_text_and_ties(spark):
+    long = "word number of the list " * 40_000
+    rows = [(1, long), (1, long), (1, long + "end"), (2, None)]
+    got = S.fingerprint_report(docs(spark, rows)).collect()
+    assert len(got) == 4 and len({r["fingerprint"] for r in got}) == 3
+    assert sum(r["n_chars"] == len(long) for r in got) == 2
+
+
 def test_one_document_repeats_nulls_and_empty(spark):
     one = S.fingerprint_report(docs(spark, [(1, "the cat sat here")])).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
