@@ -56,7 +56,7 @@ FIRST_TERMS, GROWTH = 64, 2
 HEAD_SHARE, QUERIES, SLACK = 0.08, 128, 1e-5
 # So many examples, the best by the first terms, give the cosine to reach; and so
 # many others are at last compared by their whole vectors.
-LOOK, MAX_NEAR = 32, 48
+LOOK, MAX_NEAR = 24, 64
 # Alike examples share blocks: each goes to the nearest of so many of them.
 SEEDS = 64
 # Words whose terms a task remembers.
@@ -160,18 +160,22 @@ class Index:
         """Example numbers by the seed that is nearest by frequent terms."""
         n = len(sizes)
         seeds = np.unique(np.linspace(0, n - 1, min(n, SEEDS)).astype(int)) if n else []
-        by_term = np.zeros((len(self.idf) if n else 0, len(seeds)), np.float32)
         begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        by_column = np.zeros((int(self.in_head.sum()), len(seeds)), np.float32)
+
+        def frequent(e: int) -> tuple[np.ndarray, np.ndarray]:
+            at = slice(begin[e], begin[e + 1])
+            some = np.flatnonzero(self.in_head[terms[at]])
+            t, c = terms[at][some], counts[at][some]
+            return self.column[t], self.log_tf[c] * self.idf[t]
+
         for i, e in enumerate(seeds):
-            t, c = terms[begin[e]:begin[e + 1]], counts[begin[e]:begin[e + 1]]
-            w = self.log_tf[c] * self.idf[t]
-            by_term[t, i] = w / max(math.sqrt(float(w @ w)), 1e-9)
+            columns, w = frequent(e)
+            by_column[columns, i] = w / max(math.sqrt(float(w @ w)), 1e-9)
         nearest = np.zeros(n, np.int64)
         for e in range(n):
-            at = slice(begin[e], begin[e + 1])
-            if begin[e] < begin[e + 1]:
-                t, c = terms[at], counts[at]
-                nearest[e] = np.argmax((self.log_tf[c] * self.idf[t]) @ by_term[t])
+            columns, w = frequent(e)
+            nearest[e] = np.argmax(w @ by_column[columns])
         return np.argsort(nearest, kind="stable")
 
     def _postings(self, n: int, sizes: np.ndarray) -> None:
@@ -410,13 +414,24 @@ def _term_table(path: str) -> tuple[np.ndarray, ...]:
 def load_index(terms: str, examples: str, n: int, n_toxic: int) -> Index:
     keys, df, toxic = _term_table(terms)
     _term_table.cache_clear()
-    t = read_shared(examples)
+    ids, y, sizes, numbers, counts = _example_table(examples)
+    return Index(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), ids, y, sizes, numbers, counts)
+
+
+def _example_table(path: str) -> tuple[np.ndarray, ...]:
+    """Ids and labels by id, and the sizes, terms and counts of their vectors."""
+    t = read_shared(path)
     order = np.argsort(t.column("doc_id").to_numpy(), kind="stable").tolist()
     ids, y = (t.column(c).to_numpy()[order] for c in ("doc_id", "y"))
     sizes = pc.binary_length(t.column("counts")).to_numpy()[order].astype(np.int64) // 4
-    numbers, counts = (np.frombuffer(b"".join(t.column(c)[i].as_buffer() for i in order), kind)
-                       for c, kind in (("terms", np.int32), ("counts", np.uint32)))
-    return Index(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), ids, y.astype(float), sizes, numbers, counts)
+    numbers, counts = np.empty(sizes.sum(), np.int32), np.empty(sizes.sum(), np.uint32)
+    for c, kind, to in (("terms", np.int32, numbers), ("counts", np.uint32, counts)):
+        column, at = t.column(c), 0
+        for i, size in zip(order, sizes.tolist(), strict=True):
+            to[at:at + size] = np.frombuffer(column[i].as_buffer(), kind)
+            at += size
+    # Workers hold an index each, so its making should take little more than itself.
+    return ids, y.astype(float), sizes, numbers, counts.astype(np.uint16) if counts.max(initial=0) < 2 ** 16 else counts
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
