@@ -26,8 +26,11 @@ So no link between different components goes unchecked, whatever a bucket's
 size, and links inside a component, which cannot change it, are not expanded.
 
 Null or wordless texts have an empty set and link to nothing; null ids link to
-nothing and stay their own. Rows that repeat an id belong to one node. Empty
-tables give empty results.
+nothing and stay their own. Rows that repeat an id are one node, whatever their
+texts: it has the links of each, and all its rows get one component. Equal sets
+go to their smallest id. Very long texts are compared whole. Other columns,
+whatever their names, are ignored or, by :func:`drop_near_duplicates`, carried
+along. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -48,6 +51,7 @@ BINS, BANDS = 180, 36
 # Buckets of up to so many members are compared as pairs, larger ones in
 # blocks of BLOCK members.
 SMALL, BLOCK = 16, 256
+SALTS = 16
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _FRACTION = np.uint64(40)
@@ -116,7 +120,21 @@ def _sketches(docs: DataFrame, k: int) -> DataFrame:
             return 0, None, []
         return len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(sketch(s)).tolist()
 
-    return per_document(docs, one, "n_shingles bigint, set_id binary, bands array<bigint>", ["doc_id"])
+    return per_document(docs, one, "n_shingles bigint, set_id binary, bands array<bigint>", ["doc_id", "text_hash"])
+
+
+def _one_node(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_id, id, least``: the classes of each id whose rows have different texts, and the least of them."""
+    rows = sketches.where("doc_id IS NOT NULL")
+    repeated = (rows.groupBy("doc_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
+                .where("a <> b").select("doc_id"))
+    own = (rows.where("n_shingles > 0").select("doc_id", "set_id").join(repeated, "doc_id", "left_semi").distinct()
+           .join(classes.select("set_id", "id"), "set_id").select("doc_id", "id"))
+    least = own.groupBy("doc_id").agg(F.min("id").alias("least"))
+    # One id may have very many texts: its rows are dealt to SALTS tasks.
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (own.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+            .join(salted, ["doc_id", "salt"]).select("doc_id", "id", "least"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -134,7 +152,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
                 x = shingle_set(a, k)
                 if b != last:
                     last, last_set = b, shingle_set(b, k)
-                keep.append(linked(len(np.intersect1d(x, last_set, assume_unique=True)), len(x), len(last_set), percent))
+                common = len(np.intersect1d(x, last_set, assume_unique=True))
+                keep.append(common > 0 and linked(common, len(x), len(last_set), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep))
 
     return both.mapInArrow(check, "u bigint, v bigint")
@@ -143,22 +162,19 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 def _cell_links(k: int, percent: int):
     """Links of one cell between its queries and its members of other components."""
     def links(cell: pd.DataFrame) -> pd.DataFrame:
-        sets = {}
-        for d, t in zip(cell["id"], cell["text"], strict=True):
-            if d not in sets:
-                sets[d] = shingle_set(t, k)
+        sets = {t: shingle_set(t, k) for t in cell["text"].unique()}
         queries, members = cell[cell["query"]], cell[~cell["query"]]
         q_ids, q_comp = queries["id"].to_numpy(), queries["comp"].to_numpy()
-        q_size = np.array([len(sets[d]) for d in q_ids], np.int64)
+        q_sets = [sets[t] for t in queries["text"]]
+        q_size = np.array([len(s) for s in q_sets], np.int64)
         found: set[tuple[int, int]] = set()
         reached: set[tuple[int, int]] = set()
         if len(queries):
-            everything = np.concatenate([sets[d] for d in q_ids])
+            everything = np.concatenate(q_sets)
             owner = np.repeat(np.arange(len(q_ids)), q_size)
             order = np.argsort(everything, kind="stable")
             everything, owner = everything[order], owner[order]
-            for d, comp in zip(members["id"], members["comp"], strict=True):
-                s = sets[d]
+            for d, comp, s in zip(members["id"], members["comp"], members["text"].map(sets), strict=True):
                 lo, hi = np.searchsorted(everything, s, "left"), np.searchsorted(everything, s, "right")
                 runs = hi - lo
                 at = np.repeat(lo - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
@@ -175,19 +191,23 @@ def _cell_links(k: int, percent: int):
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"),
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"))
     sketches = materialize(_sketches(docs, shingle), "sketches")
     usable = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = materialize(usable.groupBy("set_id").agg(
         F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"),
-        F.first("n_shingles").alias("n"), F.count("*").alias("copies")), "classes")
+        F.first("n_shingles").alias("n")), "classes")
+    one_node = materialize(_one_node(sketches, classes), "one_node")
 
     # Buckets with company.
     banded = classes.select("id", "n", F.explode("bands").alias("key"))
     keys = materialize(banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "keys")
     members = materialize(banded.join(keys, "key"), "members")
     met = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = materialize(docs.join(met.hint("merge"), "doc_id", "left_semi"), "texts")
+    # A repeated row once; an id with different texts has a row for each.
+    texts = materialize(docs.join(met.hint("merge"), "doc_id", "left_semi").groupBy("doc_id", "text_hash")
+                        .agg(F.first("text").alias("text")).select("doc_id", "text"), "texts")
 
     # Every member against its bucket's hub.
     company = members.groupBy("id").agg(F.sum(F.col("m") - 1).alias("company"))
@@ -197,13 +217,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     similar_size = (100 * F.least("n", "hub_n")) >= percent * F.greatest("n", "hub_n")
     star = (members.join(hubs, "key").where((F.col("id") != F.col("hub")) & similar_size)
             .select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
-    first = materialize(_confirmed(star, texts, shingle, percent), "hub_links")
+    same = one_node.where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    first = materialize(_confirmed(star, texts, shingle, percent).union(same), "hub_links")
 
     # What is left: members outside the hub's component.
     label = materialize(components(first), "first_labels")
     comp_of = label.select("id", F.col("component").alias("comp"))
     hub_comp = hubs.join(label.select(F.col("id").alias("hub"), F.col("component").alias("c")), "hub", "left").select(
-        "key", "hub", F.coalesce("c", "hub").alias("hub_comp"))
+        "key", "hub", "hub_n", F.coalesce("c", "hub").alias("hub_comp"))
     placed = materialize(members.join(comp_of, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
                          .join(hub_comp, "key").withColumn("query", F.col("comp") != F.col("hub_comp")), "placed")
     left = placed.groupBy("key").agg(F.sum(F.col("query").cast("int")).alias("queries")).where("queries > 0")
@@ -215,11 +236,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     of_class = (classes.select("set_id", "id").join(final, "id", "left")
                 .select("set_id", F.coalesce("component", "id").alias("component")))
     of_class = materialize(of_class, "class_labels")
-    out = (sketches.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id", "left")
-           .withColumn("component_id", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), "doc_id"))
+    of_id = (one_node.where("id = least").join(final, "id", "left")
+             .select("doc_id", F.coalesce("component", "id").alias("component")))
+    with_set = F.expr("n_shingles > 0 AND doc_id IS NOT NULL")
+    out = (sketches.where(with_set).select("doc_id", "n_shingles", "set_id").join(of_class, "set_id").drop("set_id")
+           .union(sketches.where(~with_set).select("doc_id", "n_shingles").join(of_id, "doc_id", "left"))
+           .withColumn("component_id", F.coalesce("component", "doc_id"))
            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
     out = materialize(out.select("doc_id", "n_shingles", "component_id", "kept"), "near_duplicates")
-    for t in (sketches, classes, keys, members, texts, hubs, first, label, placed, second, final, of_class):
+    for t in (sketches, classes, one_node, keys, members, texts, hubs, first, label, placed, second, final, of_class):
         drop_table(t)
     return out
 
@@ -228,7 +253,8 @@ def _small_buckets(open_: DataFrame, texts: DataFrame, k: int, percent: int) ->
     """Links between members of different components, by pairs of at most SMALL members."""
     small = open_.where(F.col("m") <= SMALL)
     queries = small.where("query").select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"))
-    others = small.where("id <> hub").select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"),
+    # The hub was checked, but for other texts that repeat its id.
+    others = small.where("id <> hub OR n <> hub_n").select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"),
                                              F.col("n").alias("n_b"), F.col("query").alias("query_b"))
     pairs = queries.join(others, "key").where(
         (F.col("comp_a") != F.col("comp_b")) & (~F.col("query_b") | (F.col("a") < F.col("b")))

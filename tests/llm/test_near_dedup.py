@@ -11,23 +11,24 @@ from tallow.llm.components import components
 
 def brute(rows, k, percent=80):
     sets = {}
-    for d, t in rows:
+    for at, (d, t) in enumerate(rows):
         w = (t or "").encode().lower().split()
         s = frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
-        sets[d] = s
-    parent = {d: d for d in sets}
+        sets[at] = s
+    node = [d for d, _ in rows]
+    parent = {d: d for d in node}
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a, b in combinations(sorted(sets), 2):
+    for a, b in combinations(sets, 2):
         i = len(sets[a] & sets[b])
         if i and 100 * i >= percent * (len(sets[a]) + len(sets[b]) - i):
-            x, y = find(a), find(b)
+            x, y = find(node[a]), find(node[b])
             parent[max(x, y)] = min(x, y)
-    return {d: (len(sets[d]), find(d)) for d in sets}
+    return sorted((d, len(sets[at]), find(d)) for at, d in enumerate(node))
 
 
 def edited(text, seed, rate):
@@ -35,6 +36,11 @@ def edited(text, seed, rate):
     return " ".join(w if r.random() > rate else f"w{r.randint(0, 10 ** 6)}" for w in text.split())
 
 
+def found(spark, rows, k):
+    got = N.near_duplicates(docs(spark, rows), shingle=k)
+    return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect())
+
+
 @pytest.fixture(scope="module")
 def rows():
     base, other = prose(1, 150), prose(2, 60)
@@ -50,8 +56,30 @@ def rows():
 def test_equals_brute_force(spark, rows, k, small, monkeypatch):
     monkeypatch.setattr(N, "SMALL", small)  # 2: all larger buckets go by blocks
     monkeypatch.setattr(N, "BLOCK", 8)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_duplicates(docs(spark, rows), shingle=k).collect()}
-    assert got == brute(rows, k)
+    assert found(spark, rows, k) == brute(rows, k)
+
+
+@pytest.mark.parametrize("small", [2, 16])
+def test_rows_that_repeat_an_id_are_one_node(spark, rows, small, monkeypatch):
+    monkeypatch.setattr(N, "SMALL", small)
+    monkeypatch.setattr(N, "BLOCK", 8)
+    a, b = prose(11, 80), prose(12, 80)
+    assert [c for *_, c in found(spark, [(1, a), (5, a), (0, b), (5, b)], 4)] == [0] * 4
+    r = random.Random(3)
+    again = rows + [(r.choice(rows)[0], r.choice(rows)[1]) for _ in range(25)]
+    again += [(600, edited(a, i, 0.01)) for i in range(12)] + [(601 + i, edited(a, 50 + i, 0.03)) for i in range(12)]
+    again += [(600, a), (600, a[:200]), (700, ""), (700, a), (701, None), (701, " "), (702, None), (702, b)]
+    assert found(spark, again, 4) == brute(again, 4)
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    long = prose(21, 60_000)
+    rows = [(9, long), (3, edited(long, 1, 0.01)), (4, prose(22, 60_000)), (-2 ** 63, "a b c d e"), (2 ** 63 - 1, "a b c d e")]
+    clash = docs(spark, rows).withColumnsRenamed({"lang": "component_id", "source": "text_hash", "n_chars": "set_id"})
+    got = N.near_duplicates(clash, shingle=4).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute(rows, 4)
+    out = N.drop_near_duplicates(clash)
+    assert out.columns == clash.columns and sorted(r[0] for r in out.collect()) == [-2 ** 63, 3, 4]
 
 
 def test_sketch_estimates_similarity_and_is_full():
@@ -77,7 +105,7 @@ def test_stage_keeps_one_of_each_group_and_odd_rows(spark, rows):
     assert out.schema.simpleString() == extra.schema.simpleString()
     ids = [r["doc_id"] for r in out.collect()]
     want = brute(rows, 5)
-    assert sorted(i for i in ids if i is not None) == sorted(d for d, (_, c) in want.items() if c == d) and ids.count(None) == 2
+    assert sorted(i for i in ids if i is not None) == sorted(d for d, _, c in want if c == d) and ids.count(None) == 2
 
 
 def test_empty_table(spark, rows):
