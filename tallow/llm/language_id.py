@@ -52,7 +52,7 @@ def family_of(lang: str) -> str:
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """Counts of hashed byte n-grams, from 0 to 65,535."""
+    """Counts of hashed byte n-grams."""
     raw = text.lower().encode().translate(_LETTERS)
     b = np.frombuffer(b" " + b" ".join(raw.split()) + b" ", np.uint8).astype(np.uint32)
     out = np.zeros(DIMENSIONS, np.int64)
@@ -63,7 +63,16 @@ def gram_counts(text: str) -> np.ndarray:
             break
         code = code[:len(b) - n + 1] * np.uint32(0x01000193) + b[n - 1:] + np.uint32(n)
         out += np.bincount((code * np.uint32(0x9E3779B1)) >> shift, minlength=DIMENSIONS)
-    return np.minimum(out, 65535)
+    return out
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as 16-bit integers, or as 32-bit ones where a very long text needs them."""
+    return counts.astype("<u2" if counts.max(initial=0) < 2 ** 16 else "<u4").tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * DIMENSIONS else "<u4")
 
 
 def unit(counts: np.ndarray) -> np.ndarray:
@@ -145,9 +154,9 @@ def fit(docs: DataFrame, lang: str = "lang") -> Model:
     part = F.conv(F.substring(spread_key("language", F.col("doc_id")), 1, 8), 16, 10).cast("long") / F.lit(2.0 ** 32)
     rate = F.create_map(*[v for y, n in counts.items() for v in (F.lit(y), F.lit(share / n))])
     sample = labelled.where(part < rate[F.col("y")])
-    rows = per_document(sample, lambda t: (gram_counts(t).astype("<u2").tobytes(),), "grams binary", ["y"]).collect()
+    rows = per_document(sample, lambda t: (packed(gram_counts(t)),), "grams binary", ["y"]).collect()
     rows.sort(key=lambda r: (r["y"], bytes(r["grams"])))  # sums of floats depend on their order
-    x = unit(np.array([np.frombuffer(r["grams"], "<u2") for r in rows]).reshape(-1, DIMENSIONS))
+    x = unit(np.array([unpacked(r["grams"]) for r in rows]).reshape(-1, DIMENSIONS))
     y = np.array([r["y"] for r in rows])
     members: dict[str, list[str]] = {}
     for code in sorted(set(y.tolist())):

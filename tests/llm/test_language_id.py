@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from helpers import ODD_TEXTS, docs
 
 from tallow.llm import language_id as L
@@ -53,3 +54,22 @@ def test_without_labels_one_language_and_empty(spark):
 
 def test_families():
     assert L.family_of("de") == L.family_of("en-GB") != L.family_of("fr") and L.family_of("zz") == "zz"
+
+
+def test_very_long_texts_count_whole(spark):
+    counts = L.gram_counts("the " * 100_000)
+    assert counts.max() >= 100_000 and (L.unpacked(L.packed(counts)) == counts).all()
+    few = L.gram_counts("the thing")
+    assert len(L.packed(few)) == 2 * L.DIMENSIONS and (L.unpacked(L.packed(few)) == few).all()
+    rows, d = corpus(spark)
+    long = docs(spark, [(9000, text("fr", 1) + " " + " ".join(text("de", i) for i in range(3000)), "de"), (9003, "the " * 100_000, "en")])
+    got = {r["doc_id"]: r["lang_pred"] for r in L.language_report(d.union(long)).collect()}
+    assert got[9000] == "de" and got[9003] == "en"
+
+
+def test_ties_go_to_the_first_language(spark):
+    same = docs(spark, [(i, "la la la", "en" if i % 2 else "de") for i in range(60)])
+    got = L.language_report(same).collect()
+    assert len({(r["lang_pred"], r["score"]) for r in got}) == 1 and got[0]["lang_pred"] in ("de", "en")
+    machine = L.Machine("de", "en", np.zeros(2, np.float32), 0.0, 1.0)
+    assert L.Model._best(["de", "en"], [machine], np.zeros(2, np.float32)) == ("de", 0.5)
