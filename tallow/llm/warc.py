@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallow.llm.common import bounded_batches, drop_table, filesystem, materialize, new_file, qualified, shared_folder
+from tallow.sources.tables import delete_path
 
 ARCHIVE_BYTES = 256 << 20
 RUN_CAPTURES, BLOCK_CAPTURES = 1 << 16, 512
@@ -369,15 +370,23 @@ def merge_runs(blocks: DataFrame, folder: str, fan_in: int = FAN_IN, range_captu
         blocks = materialize(grouped.applyInArrow(_merger(longer_run), BLOCKS_DDL), "runs")
 
 
-def capture_histories(pages: DataFrame) -> DataFrame:
-    """Archive ``pages`` in the shared store, index the archives, and return every
-    capture in global order of URL key and time."""
-    folder = shared_folder(pages.sparkSession, "llm", "warc")
+def capture_histories(pages: DataFrame, folder: str | None = None) -> DataFrame:
+    """Archive ``pages`` in ``folder`` (one in the shared store), index the archives,
+    and return every capture in global order of URL key and time."""
+    folder = folder or shared_folder(pages.sparkSession, "llm", "warc")
     blocks = index_archives(write_archives(pages, folder), folder)
     return merge_runs(blocks, folder)
 
 
 def page_report(pages: DataFrame) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` and place of every page."""
-    return capture_histories(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                                           "url_key", "time", "range_no", "position")
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` and place of every page.
+
+    The archives and runs are removed once the report is written; use
+    :func:`capture_histories` with a folder of one's own to keep them.
+    """
+    folder = shared_folder(pages.sparkSession, "llm", "warc")
+    report = capture_histories(pages, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                                                     "url_key", "time", "range_no", "position")
+    report = materialize(report, "page_report")
+    delete_path(pages.sparkSession, folder)
+    return report
