@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallow.llm.common import filesystem, materialize, new_file, qualified, shared_folder
-from tallow.llm.tokens import crc_of, id_width, token_table
+from tallow.llm.tokens import crc_of, id_width, token_task
 
 MAGIC = b"TOKIDX1\0"
 READ_BATCH = 4096
@@ -46,12 +46,14 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None) ->
     folder = qualified(docs.sparkSession, folder)
     filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)
 
+    texts, encode, _ = token_task(ranged, ["doc_id"], path)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = new_file(folder, "tokens", ".bin")
         fs, p = filesystem(name)
         ids, lengths, nulls, sink = [], [], 0, None
         try:
-            for b in batches:
+            for b in encode(batches):
                 sink = sink or fs.open_output_stream(p)
                 nulls += b.column(0).null_count
                 ids.append(b.column(0).fill_null(0).to_numpy(zero_copy_only=False))
@@ -71,7 +73,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None) ->
         yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _MANIFEST_TYPES, strict=True)],
                                          names=_MANIFEST_NAMES)
 
-    manifest = materialize(token_table(ranged, ["doc_id"], path).mapInArrow(write, MANIFEST), "token_manifest")
+    manifest = materialize(texts.mapInArrow(write, MANIFEST), "token_manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 

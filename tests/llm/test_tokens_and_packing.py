@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import ODD_TEXTS, docs, prose
 from tokenizers import Tokenizer
@@ -130,3 +131,34 @@ def test_packing_odd_rows_and_empty(spark, tokenizer):
     d = docs(spark, [(None, "a"), (None, None), (1, None)]).withColumnRenamed("lang", "ids")
     assert sum(r["length"] for r in P.pack_documents(d).collect()) == 4
     assert P.pack_documents(d.limit(0)).count() == 0
+
+
+def test_chunks_keep_rows_and_bound_bytes():
+    texts = [prose(i, 1 + i % 90) for i in range(400)] + ["", "x" * 9000, ""]
+    rows = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["i", "t"])
+    got = list(K.chunks([rows.slice(0, 150), rows.slice(150, 0), rows.slice(150)], 4000))
+    assert pa.Table.from_batches(got).to_pydict() == rows.to_pydict()
+    sizes = [sum(map(len, b.column(1).to_pylist())) for b in got]
+    assert all(s >= 4000 for s in sizes[:-1]) and sorted(sizes)[-2] < 8000 + max(map(len, texts[:400]))
+    assert list(K.chunks([], 10)) == []
+
+
+def test_texts_of_many_chunks_and_marks_equal_the_tokenizer(spark, tokenizer, monkeypatch):
+    marks = [*"!#$&(*+-/:;<=>?@[]^_`{|}~%,.", "!!", ".,", "'s", "-'", "'", "...", "%%%", "<|", "|>"]
+    texts = [f"{w}{m} {m}{w} {m} {w}{m}{w}" for w in ("Straße", "émeu", "xyz", "ĮO", "İx", "") for m in marks]
+    monkeypatch.setattr(K, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(K, "OUT_ROWS", 2)
+    src, task, _ = K.token_task(docs(spark, list(enumerate(texts))), ["doc_id"])
+    rows = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], src.columns)
+    got = pa.Table.from_batches(task([rows.slice(0, 70), rows.slice(70)]))
+    assert got["doc_id"].to_pylist() == list(range(len(texts)))
+    for t, n, x in zip(texts, got["n_tokens"].to_pylist(), got["ids"].to_pylist(), strict=True):
+        want = ids_of(tokenizer, t)
+        assert n == len(want) and x == want.astype("<u2").tobytes(), t
+
+
+def test_token_files_take_one_python_step(spark, scratch, monkeypatch):
+    plans, kept = {}, TF.materialize
+    monkeypatch.setattr(TF, "materialize", lambda df, name: (plans.update({name: df._jdf.queryExecution().toString()}), kept(df, name))[1])
+    TF.write_token_files(docs(spark, rows()[:20]), scratch)
+    assert plans["token_manifest"].split("Physical Plan")[1].count("MapInArrow") == 1
