@@ -6,8 +6,10 @@ its idf and, as a weight, its chi-square with the label, at every size of the
 label set. Terms are words and their beginnings of 4 to 7 letters, so an
 inflected form that no example has still meets its stem.
 
-The term table and the examples are tables in the shared folder; each worker
-makes its index from them, and the calibration is taken in tasks, too.
+The term table and the examples are tables in the shared folder; one task makes
+the index of these at most MAX_EXAMPLES rows and writes its arrays as files. Tasks
+map them into memory, so the workers of a machine share one copy, whose pages the
+system can drop. The calibration is taken in tasks, too.
 
 Search: the examples are ordered so that alike ones are neighbours, and cut into
 blocks of equal size. For each frequent term and block the index holds the largest weight, so what the terms
@@ -28,17 +30,21 @@ from __future__ import annotations
 
 import functools
 import math
+import os
+import tempfile
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallow.llm.common import bounded_batches, drop_table, materialize, per_batch, read_shared, spread_key
+from tallow.llm.common import (bounded_batches, drop_table, filesystem, materialize, new_file, per_batch, read_shared,
+                               shared_folder, spread_key)
 
 # The examples: so many labelled rows at most, those with the lowest MD5 keys.
 MAX_EXAMPLES = 20_000
@@ -61,6 +67,8 @@ LOOK, MAX_NEAR = 24, 64
 SEEDS = 64
 # Words whose terms a task remembers.
 MAX_WORDS = 200_000
+# Arrays in files of fewer bytes are read, not mapped.
+MAPPED = 1 << 16
 # A vote of this weight goes to the base share, so that one faint neighbour
 # does not decide alone.
 PRIOR_WEIGHT = 0.05
@@ -102,7 +110,7 @@ class Terms:
     def _learn(self, words: list[bytes]) -> None:
         terms = [terms_of(w) for w in words]
         ends = np.cumsum([0, *map(len, terms)])
-        at = np.array([term_key(x) for t in terms for x in t], np.int64)
+        at = term_keys([x for t in terms for x in t])
         if self.keys is not None:
             keys, at = at, np.searchsorted(self.keys, at)
             hit = at < len(self.keys)
@@ -134,6 +142,10 @@ class Index:
     the largest weight of a frequent term in block b.
     """
 
+    # What an index is made of; :meth:`mapped` has these as files.
+    ARRAYS = ("keys", "idf", "ids", "toxic", "base", "log_tf", "df", "in_head", "column", "number", "row", "first", "terms",
+              "own_levels", "start", "norm", "postings", "slot", "peak", "matrix")
+
     def __init__(self, keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
                  sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray):
         """Examples whose ``sizes`` ascending terms and their counts lie one after another."""
@@ -206,6 +218,25 @@ class Index:
             # Rounded up, so that single precision stays a bound.
             self.peak[i, rows[begin] // BLOCK] = np.maximum.reduceat(w, begin) * (1 + 1e-6)
 
+    def write(self, folder: str) -> list[str]:
+        """Write the arrays to the shared folder; the names of their files, in the order of ARRAYS."""
+        names = []
+        for a in self.ARRAYS:
+            names.append(new_file(folder, a, ".npy"))
+            fs, p = filesystem(names[-1])
+            with fs.open_output_stream(p) as out:
+                np.save(out, np.asarray(getattr(self, a)))
+        return names
+
+    @classmethod
+    def mapped(cls, names: list[str]) -> Index:
+        """The index that :meth:`write` wrote, its arrays mapped into memory."""
+        index = cls.__new__(cls)
+        for a, name in zip(cls.ARRAYS, names, strict=True):
+            setattr(index, a, _mapped(name))
+        index.base = float(index.base)
+        return index
+
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         t = np.fromiter(sorted(counts), np.int64, len(counts))
         return self.unit(t, np.array([counts[i] for i in t.tolist()], np.int64))
@@ -320,7 +351,8 @@ class Index:
         asked[t], is_asked[t] = q, True
         runs = list(map(slice, self.first[rows].tolist(), self.first[rows + 1].tolist()))
         terms = np.concatenate([self.terms[r] for r in runs])
-        hit = np.flatnonzero(is_asked[terms])  # few bytes a term, so this look-up is the fast one
+        # Few bytes a term, so this look-up is the fast one; all terms are valid, so none is clipped.
+        hit = np.flatnonzero(np.take(is_asked, terms, mode="clip"))
         each = asked[terms[hit]] * self.log_tf[np.concatenate([self.own_levels[r] for r in runs])[hit]]
         is_asked[t] = False
         owner = np.repeat(np.arange(len(rows)), self.first[rows + 1] - self.first[rows])[hit]
@@ -359,10 +391,25 @@ class Index:
         return float((weight @ self.toxic[rows] + PRIOR_WEIGHT * self.base) / (weight.sum() + PRIOR_WEIGHT))
 
 
+def _mapped(name: str) -> np.ndarray:
+    fs, p = filesystem(name)
+    if not isinstance(fs, pafs.LocalFileSystem):  # a copy in the worker's temporary folder
+        with tempfile.TemporaryDirectory() as folder:
+            local = os.path.join(folder, "array.npy")
+            pafs.copy_files(p, local, source_filesystem=fs, destination_filesystem=pafs.LocalFileSystem())
+            return _opened(local)  # which stays readable while it is mapped
+    return _opened(p)
+
+
+def _opened(path: str) -> np.ndarray:
+    a = np.load(path, mmap_mode="r") if os.path.getsize(path) > MAPPED else np.load(path)
+    return np.asarray(a)
+
+
 def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]]) -> Index:
     """``examples``: id, label and term counts over the vocabulary, in order."""
     ordered = [sorted(e[2].items()) for e in examples]
-    return Index(np.array([term_key(t) for t in vocabulary], np.int64), idf, np.array([e[0] for e in examples], np.int64),
+    return Index(term_keys(list(vocabulary)), idf, np.array([e[0] for e in examples], np.int64),
                  np.array([e[1] for e in examples], float), np.array([len(o) for o in ordered], np.int64),
                  np.array([t for o in ordered for t, _ in o], np.int32), np.array([c for o in ordered for _, c in o], np.int64))
 
@@ -386,16 +433,14 @@ def isotonic(points: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass
 class Model:
-    """Where the fitted tables lie in the shared folder, and the calibration."""
-    terms: str
-    examples: str
+    """The files of the index in the shared folder, and the calibration."""
+    files: tuple[str, ...]
     n: int
-    n_toxic: int
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
 
     def index(self) -> Index:
-        """The index, made in each worker once, from the tables."""
-        return load_index(self.terms, self.examples, self.n, self.n_toxic)
+        """The index, mapped by each worker once."""
+        return _load_index(self.files)
 
     def calibrated(self, vote: float) -> float:
         return float(np.interp(vote, *self.steps))
@@ -411,11 +456,15 @@ def _term_table(path: str) -> tuple[np.ndarray, ...]:
 
 
 @functools.lru_cache(maxsize=1)
-def load_index(terms: str, examples: str, n: int, n_toxic: int) -> Index:
+def _load_index(files: tuple[str, ...]) -> Index:
+    return Index.mapped(list(files))
+
+
+def read_index(terms: str, examples: str, n: int, n_toxic: int) -> Index:
+    """The index of the tables at ``terms`` and ``examples``, of ``n`` examples."""
     keys, df, toxic = _term_table(terms)
     _term_table.cache_clear()
-    ids, y, sizes, numbers, counts = _example_table(examples)
-    return Index(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), ids, y, sizes, numbers, counts)
+    return Index(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), *_example_table(examples))
 
 
 def _example_table(path: str) -> tuple[np.ndarray, ...]:
@@ -430,7 +479,6 @@ def _example_table(path: str) -> tuple[np.ndarray, ...]:
         for i, size in zip(order, sizes.tolist(), strict=True):
             to[at:at + size] = np.frombuffer(column[i].as_buffer(), kind)
             at += size
-    # Workers hold an index each, so its making should take little more than itself.
     return ids, y.astype(float), sizes, numbers, counts.astype(np.uint16) if counts.max(initial=0) < 2 ** 16 else counts
 
 
@@ -475,7 +523,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
 
     found = materialize(vectors.mapInArrow(numbered, "doc_id bigint, y int, terms binary, counts binary"), "toxicity_examples")
     drop_table(vectors)
-    model = Model(terms_path, found._tallow_path, n, n_toxic)
+    vectors_path, folder = found._tallow_path, shared_folder(spark, "llm", "toxicity_index")
+    filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)
+
+    def made(batches):
+        for b in batches:
+            for _ in range(b.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array([read_index(terms_path, vectors_path, n, n_toxic).write(folder)])], names=["files"])
+
+    files = spark.range(0, 1, 1, 1).mapInArrow(made, "files array<string>").first()[0]
+    drop_table(per_term)
+    drop_table(found)
+    model = Model(tuple(files), n)
     model.steps = _calibration(spark, model)
     return model
 
@@ -503,6 +562,12 @@ def term_key(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term) - 2 ** 63
 
 
+def term_keys(terms: list[str]) -> np.ndarray:
+    """The :func:`term_key` of each term."""
+    # Less 2 ** 63, modulo 2 ** 64, is the top bit turned over.
+    return (np.array(list(map(xxhash.xxh3_64_intdigest, terms)), np.uint64) ^ np.uint64(2 ** 63)).view(np.int64)
+
+
 def term_weights(n: int, n_toxic: int, df: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Idf times the chi-square (Yates) of the 2x2 table term or not, toxic or not."""
     apart = np.maximum(np.abs(toxic * (n - n_toxic) - (df - toxic) * n_toxic) - n / 2, 0)

@@ -1,8 +1,11 @@
+import zlib
+
 import numpy as np
 from helpers import ODD_TEXTS, docs, prose
 from pyspark.sql import functions as F
 
 from tallow.llm import toxicity as X
+from tallow.llm.common import filesystem, qualified
 
 
 def test_nearest_equals_brute_force():
@@ -79,3 +82,34 @@ def test_every_term_counts_and_rare_stems_are_terms():
     w = X.term_weights(68, 10, np.array([1., 1., 4., 60.]), np.array([0., 1., 4., 9.]))
     assert (w > 0).all() and w[2] == w.max()
     assert "achlich~" in X.terms_of("achlichae".encode())
+
+
+def test_mapped_index_is_the_index_that_was_written(spark, scratch):
+    r = np.random.RandomState(1)
+    examples = [(i, int(r.rand() < .3), {int(t): int(r.randint(1, 4)) for t in r.choice(900, r.randint(0, 60))}) for i in range(1200)]
+    index = X.build_index({str(i): i for i in range(900)}, np.log(1 + 1200 / r.randint(3, 500, 900)), examples)
+    folder = qualified(spark, scratch)
+    filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)
+    names = index.write(folder)
+    mapped = X.Index.mapped(names)
+    for a in X.Index.ARRAYS:
+        kept, got = np.asarray(getattr(index, a)), np.asarray(getattr(mapped, a))
+        assert kept.dtype == got.dtype and np.array_equal(kept, got), a
+    # The large arrays, which every worker needs, are files in memory and not copies.
+    assert all(isinstance(getattr(mapped, a).base, np.memmap) for a in ("terms", "postings"))
+    some = [index.own(i) for i in range(0, 1200, 40)]
+    for (rows, sims), (rows2, sims2) in zip(index.neighbours(some), mapped.neighbours(some), strict=True):
+        assert np.array_equal(rows, rows2) and np.array_equal(sims, sims2)
+
+
+def test_index_is_made_once_for_all_workers(spark, monkeypatch):
+    d, labels, _ = corpus(spark)
+    model = X.fit(d, labels)
+    assert model.n == 600 - sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(600))
+    monkeypatch.setattr(X, "read_index", None)  # no worker needs it any more
+    assert model.index().neighbours(model.index().vectors(["grobianak"]))[0][0].size
+
+
+def test_keys_of_terms():
+    terms = ["", "a", "é", "sch~", *map(str, range(200))]
+    assert X.term_keys(terms).tolist() == [X.term_key(t) for t in terms] and X.term_keys([]).dtype == np.int64
