@@ -86,10 +86,21 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
     return qualified(spark, shared_dir(spark, *parts))
 
 
-def read_shared(path: str) -> pa.Table:
+def read_shared(path: str, columns: list[str] | None = None) -> pa.Table:
     """All rows of a table of :func:`materialize` whose size is bounded, read within a task."""
+    return pa.concat_tables(pq.read_table(p, filesystem=fs, columns=columns) for fs, p in _files(path))
+
+
+def shared_batches(path: str, columns: list[str], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows of :func:`read_shared`, in its order, at most so many at a time."""
+    for fs, p in _files(path):
+        with fs.open_input_file(p) as f:
+            yield from pq.ParquetFile(f).iter_batches(rows, columns=columns)
+
+
+def _files(path: str) -> list[tuple[pafs.FileSystem, str]]:
     fs, p = filesystem(path)
-    return pq.read_table(p, filesystem=fs)
+    return [(fs, f.path) for f in sorted(fs.get_file_info(pafs.FileSelector(p)), key=lambda f: f.path) if f.path.endswith(".parquet")]
 
 
 def new_file(folder: str, stem: str, suffix: str) -> str:

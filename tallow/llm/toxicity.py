@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallow.llm.common import (bounded_batches, drop_table, filesystem, materialize, new_file, per_batch, read_shared,
-                               shared_folder, spread_key)
+                               shared_batches, shared_folder, spread_key)
 
 # The examples: so many labelled rows at most, those with the lowest MD5 keys.
 MAX_EXAMPLES = 20_000
@@ -67,6 +67,7 @@ LOOK, MAX_NEAR = 24, 64
 SEEDS = 64
 # Words whose terms a task remembers.
 MAX_WORDS = 200_000
+EXAMPLE_ROWS = 1024
 # Arrays in files of fewer bytes are read, not mapped.
 MAPPED = 1 << 16
 # A vote of this weight goes to the base share, so that one faint neighbour
@@ -147,9 +148,15 @@ class Index:
               "own_levels", "start", "norm", "postings", "slot", "peak", "matrix")
 
     def __init__(self, keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
-                 sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray):
-        """Examples whose ``sizes`` ascending terms and their counts lie one after another."""
-        self.keys, self.idf, self.ids, self.toxic, n = keys, idf, ids, toxic, len(ids)
+                 sizes: np.ndarray, vectors: list[np.ndarray]):
+        """Examples whose ``sizes`` ascending terms and their counts lie one after another.
+
+        ``vectors`` are these terms and counts. The list is emptied, so that they
+        are not held beside the index that is made of them.
+        """
+        (terms, counts), n = vectors, len(ids)
+        vectors.clear()
+        self.keys, self.idf, self.ids, self.toxic = keys, idf, ids, toxic
         empty, most = sizes == 0, int(counts.max(initial=0))
         self.base = float(toxic[empty].mean()) if empty.any() else float(toxic.mean()) if n else 0.0
         self.log_tf = np.concatenate([[0.0], 1 + np.log(np.arange(1, most + 1))])
@@ -166,6 +173,7 @@ class Index:
         for r, (at, size) in enumerate(zip(begin[self.number].tolist(), sizes.tolist(), strict=True)):
             to = slice(self.first[r], self.first[r + 1])
             self.terms[to], self.own_levels[to] = terms[at:at + size], counts[at:at + size]
+        del terms, counts
         self._postings(n, sizes)
 
     def _order(self, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -225,7 +233,13 @@ class Index:
             names.append(new_file(folder, a, ".npy"))
             fs, p = filesystem(names[-1])
             with fs.open_output_stream(p) as out:
-                np.save(out, np.asarray(getattr(self, a)))
+                if a == "matrix":  # row by row: it is as large as all postings
+                    shape = (int(self.in_head.sum()), len(self.ids))
+                    np.lib.format.write_array_header_1_0(out, {"descr": "<f4", "fortran_order": False, "shape": shape})
+                    for row in self._matrix_rows():
+                        out.write(row.astype("<f4").tobytes())
+                else:
+                    np.save(out, np.asarray(getattr(self, a)))
         return names
 
     @classmethod
@@ -326,13 +340,18 @@ class Index:
     @functools.cached_property
     def matrix(self) -> np.ndarray:
         """The most frequent terms' weights in every example."""
-        m = np.zeros((int(self.in_head.sum()), len(self.ids)), np.float32)
-        for i, t in enumerate(np.flatnonzero(self.in_head).tolist()):
-            at = slice(self.start[t], self.start[t + 1])
-            rows = self.postings[at, 0]
-            m[i, rows] = self.log_tf[self.postings[at, 1]] * self.idf[t] / self.norm[rows]
+        m = np.empty((int(self.in_head.sum()), len(self.ids)), np.float32)
+        for i, row in enumerate(self._matrix_rows()):
+            m[i] = row
         return m
 
+    def _matrix_rows(self):
+        for t in np.flatnonzero(self.in_head).tolist():
+            at, row = slice(self.start[t], self.start[t + 1]), np.zeros(len(self.ids), np.float32)
+            rows = self.postings[at, 0]
+            row[rows] = self.log_tf[self.postings[at, 1]] * self.idf[t] / self.norm[rows]
+            yield row
+
     def _added(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
         """What the terms' postings add to each example, before its norm."""
         if not len(t):
@@ -411,7 +430,7 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tupl
     ordered = [sorted(e[2].items()) for e in examples]
     return Index(term_keys(list(vocabulary)), idf, np.array([e[0] for e in examples], np.int64),
                  np.array([e[1] for e in examples], float), np.array([len(o) for o in ordered], np.int64),
-                 np.array([t for o in ordered for t, _ in o], np.int32), np.array([c for o in ordered for _, c in o], np.int64))
+                 [np.array([t for o in ordered for t, _ in o], np.int32), np.array([c for o in ordered for _, c in o], np.int64)])
 
 
 def isotonic(points: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
@@ -467,19 +486,24 @@ def read_index(terms: str, examples: str, n: int, n_toxic: int) -> Index:
     return Index(keys, term_weights(n, n_toxic, df.astype(float), toxic.astype(float)), *_example_table(examples))
 
 
-def _example_table(path: str) -> tuple[np.ndarray, ...]:
-    """Ids and labels by id, and the sizes, terms and counts of their vectors."""
-    t = read_shared(path)
-    order = np.argsort(t.column("doc_id").to_numpy(), kind="stable").tolist()
-    ids, y = (t.column(c).to_numpy()[order] for c in ("doc_id", "y"))
-    sizes = pc.binary_length(t.column("counts")).to_numpy()[order].astype(np.int64) // 4
-    numbers, counts = np.empty(sizes.sum(), np.int32), np.empty(sizes.sum(), np.uint32)
-    for c, kind, to in (("terms", np.int32, numbers), ("counts", np.uint32, counts)):
-        column, at = t.column(c), 0
-        for i, size in zip(order, sizes.tolist(), strict=True):
-            to[at:at + size] = np.frombuffer(column[i].as_buffer(), kind)
-            at += size
-    return ids, y.astype(float), sizes, numbers, counts.astype(np.uint16) if counts.max(initial=0) < 2 ** 16 else counts
+def _example_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Ids and labels by id, and the sizes, and the terms and counts, of their vectors."""
+    t = read_shared(path, ["doc_id", "y", "size", "most"])
+    order = np.argsort(t.column("doc_id").to_numpy(), kind="stable")
+    sizes = t.column("size").to_numpy()
+    # Where the vector of each row of the table goes.
+    begin = np.empty(len(order), np.int64)
+    begin[order] = np.cumsum(sizes[order]) - sizes[order]
+    most = pc.max(t.column("most")).as_py() or 0
+    numbers, counts = np.empty(sizes.sum(), np.int32), np.empty(sizes.sum(), np.uint16 if most < 2 ** 16 else np.uint32)
+    row = 0
+    for b in shared_batches(path, ["terms", "counts"], EXAMPLE_ROWS):  # a few rows at a time beside the arrays
+        for x, c in zip(b.column(0), b.column(1), strict=True):
+            at = slice(begin[row], begin[row] + sizes[row])
+            numbers[at], counts[at] = np.frombuffer(x.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.uint32)
+            row += 1
+    pa.default_memory_pool().release_unused()  # what the reading took
+    return t.column("doc_id").to_numpy()[order], t.column("y").to_numpy()[order].astype(float), sizes[order], [numbers, counts]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
@@ -513,15 +537,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     def numbered(batches):
         keys = _term_table(terms_path)[0]
         for b in batches:
-            ts, cs = [], []
+            ts, cs, most = [], [], []
             for t, c in zip(b.column(2), b.column(3), strict=True):
                 # Terms are in ascending order of their keys, as are the numbers.
                 ts.append(np.searchsorted(keys, t.values.to_numpy()).astype(np.int32).tobytes())
                 cs.append(c.values.to_numpy().astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ts, pa.binary()), pa.array(cs, pa.binary())],
-                                             names=["doc_id", "y", "terms", "counts"])
+                most.append(int(c.values.to_numpy().max(initial=0)))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([len(t) // 4 for t in ts], pa.int64()), pa.array(most, pa.int64()),
+                 pa.array(ts, pa.binary()), pa.array(cs, pa.binary())], names=["doc_id", "y", "size", "most", "terms", "counts"])
 
-    found = materialize(vectors.mapInArrow(numbered, "doc_id bigint, y int, terms binary, counts binary"), "toxicity_examples")
+    found = materialize(vectors.mapInArrow(numbered, "doc_id bigint, y int, size bigint, most bigint, terms binary, counts binary"),
+                        "toxicity_examples")
     drop_table(vectors)
     vectors_path, folder = found._tallow_path, shared_folder(spark, "llm", "toxicity_index")
     filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)

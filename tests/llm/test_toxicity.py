@@ -5,7 +5,7 @@ from helpers import ODD_TEXTS, docs, prose
 from pyspark.sql import functions as F
 
 from tallow.llm import toxicity as X
-from tallow.llm.common import filesystem, qualified
+from tallow.llm.common import filesystem, materialize, qualified
 
 
 def test_nearest_equals_brute_force():
@@ -113,3 +113,23 @@ def test_index_is_made_once_for_all_workers(spark, monkeypatch):
 def test_keys_of_terms():
     terms = ["", "a", "é", "sch~", *map(str, range(200))]
     assert X.term_keys(terms).tolist() == [X.term_key(t) for t in terms] and X.term_keys([]).dtype == np.int64
+
+
+def test_examples_are_read_in_parts_and_not_held_twice(spark):
+    r = np.random.RandomState(2)
+    rows = [(int(i), int(i % 3 == 0), sorted(r.choice(500, r.randint(0, 9), replace=False).tolist())) for i in r.permutation(300)]
+    as_bytes = lambda x, kind: np.array(x, kind).tobytes()
+    table = materialize(spark.createDataFrame(
+        [(i, y, len(t), 70000 if i == 5 and t else 1, bytearray(as_bytes(t, "<i4")), bytearray(as_bytes([70000 if i == 5 else 1] * len(t), "<u4")))
+         for i, y, t in rows], "doc_id bigint, y int, size bigint, most bigint, terms binary, counts binary").repartition(4), "test")
+    monkey, X.EXAMPLE_ROWS = X.EXAMPLE_ROWS, 7
+    try:
+        ids, y, sizes, vectors = X._example_table(table._tallow_path)
+    finally:
+        X.EXAMPLE_ROWS = monkey
+    rows.sort()
+    assert ids.tolist() == [i for i, _, _ in rows] and y.tolist() == [y for _, y, _ in rows]
+    assert sizes.tolist() == [len(t) for _, _, t in rows] and vectors[0].tolist() == [x for _, _, t in rows for x in t]
+    assert vectors[1].max(initial=0) == (70000 if rows[5][2] else 1)
+    X.Index(np.arange(500), np.ones(500), ids, y, sizes, vectors)
+    assert vectors == []  # given up to the index, which has its own order
