@@ -386,12 +386,9 @@ class Index:
     def block(self) -> np.ndarray:
         return np.arange(len(self.ids)) // BLOCK
 
-    @functools.cached_property
-    def reader(self) -> Terms:
-        return Terms(self.keys)
-
-    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [self.unit(*c) for c in self.reader.counts(texts)]
+    def vectors(self, texts: list[str], reader: Terms | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The texts' unit vectors; ``reader``, made of ``keys``, remembers words."""
+        return [self.unit(*c) for c in (reader or Terms(self.keys)).counts(texts)]
 
     def neighbours(self, vectors: list, without=None) -> list:
         """The :data:`NEIGHBOURS` nearest of each vector."""
@@ -610,9 +607,13 @@ def score(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> D
     """``score, predicted`` and evidence of each row; ``keep`` are carried along."""
     bounded_batches(df.sparkSession)
 
+    readers: list[Terms] = []  # of a task, so that its words go with it: workers outlive tasks and stages
+
     def judge(texts: list[str]):
         index = model.index()
-        for rows, sims in index.neighbours(index.vectors(texts)):
+        if not readers:
+            readers.append(Terms(index.keys))
+        for rows, sims in index.neighbours(index.vectors(texts, readers[0])):
             p = model.calibrated(index.vote(rows, sims) if len(rows) else index.base)
             yield p, int(p >= 0.5), index.ids[rows].tolist(), sims.tolist()
 

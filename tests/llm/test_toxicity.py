@@ -133,3 +133,13 @@ def test_examples_are_read_in_parts_and_not_held_twice(spark):
     assert vectors[1].max(initial=0) == (70000 if rows[5][2] else 1)
     X.Index(np.arange(500), np.ones(500), ids, y, sizes, vectors)
     assert vectors == []  # given up to the index, which has its own order
+
+
+def test_words_of_a_task_are_not_kept_by_the_index(spark):
+    d, labels, rows = corpus(spark)
+    index = X.fit(d, labels).index()
+    reader = X.Terms(index.keys)
+    texts = [t for _, t in rows[:9]]
+    for (t, w), (t2, w2) in zip(index.vectors(texts), index.vectors(texts, reader), strict=True):
+        assert np.array_equal(t, t2) and np.array_equal(w, w2)
+    assert reader.known and not any(isinstance(x, X.Terms) for x in vars(index).values())
