@@ -32,7 +32,7 @@ import functools
 import math
 import os
 import tempfile
-from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -56,17 +56,21 @@ BLOCK = 256
 PLAIN_WEIGHT = 0.5
 # Terms of so many examples have block peaks; others are always scored.
 OFTEN = 64
-FIRST_TERMS, GROWTH = 64, 2
+FIRST_TERMS, GROWTH = 128, 8
 # Terms of this share of the examples are scored by a matrix product, so many
 # queries at a time.
-HEAD_SHARE, QUERIES, SLACK = 0.08, 128, 1e-5
-# So many examples, the best by the first terms, give the cosine to reach; and so
-# many others are at last compared by their whole vectors.
-LOOK, MAX_NEAR = 24, 64
+HEAD_SHARE, QUERIES, SLACK = 0.08, 128, 2e-5
+# So many examples at most are compared by their whole vectors before all terms are scored.
+MAX_NEAR = 24
+# Reading a posting takes as long as so many products of a query and an example, and
+# as writing so many values of a column. So many columns are held at a time.
+PRODUCT, COPIED, COLUMNS = 200, 50, 512
+# Postings read at a time.
+SCAN = 1 << 15
 # Alike examples share blocks: each goes to the nearest of so many of them.
 SEEDS = 64
-# Words whose terms a task remembers.
-MAX_WORDS = 200_000
+# Text whose terms are counted at a time.
+CHUNK_BYTES = 4 << 20
 EXAMPLE_ROWS = 1024
 # Arrays in files of fewer bytes are read, not mapped.
 MAPPED = 1 << 16
@@ -80,56 +84,115 @@ _TO_SPACE = bytes.maketrans(bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(
                             b" " * 32)
 
 
-def word_counts(text: str) -> Counter:
-    """Lower-case words without ASCII punctuation, counted."""
-    return Counter(text.lower().encode().translate(_TO_SPACE).split())
-
-
 def terms_of(word: bytes) -> list[str]:
+    """The word and its beginnings: what :class:`Terms` counts."""
     w = word.decode()
     return [w, *[w[:n] + "~" for n in STEMS if len(w) >= n]]
 
 
 class Terms:
-    """Counts the terms of texts; a word's terms are looked up once.
+    """Counts the terms of texts, those of some texts at once.
 
     A term is its position in the sorted ``keys``, terms not in it are left out;
-    without ``keys`` it is its :func:`term_key`.
+    without ``keys`` it is its :func:`term_key`. ``known`` are the words of the last
+    texts, as arrays: their keys, ascending, and where each word's terms begin and end
+    in a third.
     """
 
     def __init__(self, keys: np.ndarray | None = None):
-        self.keys, self.known = keys, {}
+        self.keys, self.known = keys, []
 
     def counts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its distinct terms, ascending, and their counts."""
-        counted = [word_counts(t) for t in texts]
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
-        self._learn(list({w for c in counted for w in c if w not in self.known}))
-        return [self._merged(c) for c in counted]
-
-    def _learn(self, words: list[bytes]) -> None:
-        terms = [terms_of(w) for w in words]
-        ends = np.cumsum([0, *map(len, terms)])
-        at = term_keys([x for t in terms for x in t])
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        some: list[bytes] = []
+        size = 0
+        for text in texts:
+            some.append(text.lower().encode().translate(_TO_SPACE))
+            size += len(some[-1])
+            if size >= CHUNK_BYTES:
+                out += self._counts(some)
+                some, size = [], 0
+        return out + self._counts(some) if some else out
+
+    def _counts(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded, n = parts.flatten().dictionary_encode(), np.diff(parts.offsets.to_numpy())
+        del parts
+        words = coded.dictionary
+        begin, end, terms = self._terms(words)
+        # Each text's distinct words, and how often it has them.
+        word, times = _counted(np.repeat(np.arange(len(texts)), n) * len(words) + coded.indices.to_numpy())
+        text, word = np.divmod(word, max(1, len(words)))
+        at, n = begin[word], end[word] - begin[word]
+        text, times, term = np.repeat(text, n), np.repeat(times, n), terms[_positions(at, n)]
+        if self.keys is None:
+            names, term = np.unique(term, return_inverse=True)
+        width = max(1, len(names) if self.keys is None else len(self.keys))
+        key = text * width + term
+        order = np.argsort(key)
+        key, times = key[order], times[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        counts = np.add.reduceat(times, first) if len(first) else times
+        text, term = np.divmod(key[first], width)
+        if self.keys is None:
+            term = names[term]
+        cuts = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+        return [(term[i:j], counts[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+
+    def _terms(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the terms of each of the distinct words begin and end in an array, and this."""
+        own = term_keys(words.to_numpy(zero_copy_only=False))
+        begin, end, terms = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), np.zeros(0, np.int64)
+        new = np.ones(len(own), bool)
+        if self.known:
+            keys, *where, terms = self.known
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            new = keys[at] != own
+            begin, end = (x[at] for x in where)
+        fresh = words.filter(pa.array(new))
+        length = pc.utf8_length(fresh).to_numpy()
+        owner, found = [np.flatnonzero(length)], [own[new][length > 0]]  # white space at a text's ends leaves an empty word
+        for n in STEMS:
+            long = length >= n
+            stems = pc.utf8_slice_codeunits(fresh.filter(pa.array(long)), 0, n).dictionary_encode()
+            keys = term_keys(stems.dictionary.to_numpy(zero_copy_only=False) + "~")
+            owner.append(np.flatnonzero(long))
+            found.append(keys[stems.indices.to_numpy()])
+        owner, found = np.concatenate(owner), np.concatenate(found)
         if self.keys is not None:
-            keys, at = at, np.searchsorted(self.keys, at)
+            order = np.argsort(found)  # neighbours are looked up one after another
+            owner, found = owner[order], found[order]
+            at = np.searchsorted(self.keys, found)
             hit = at < len(self.keys)
-            hit[hit] = self.keys[at[hit]] == keys[hit]
-            ends, at = np.concatenate([[0], np.cumsum(hit)])[ends], at[hit]
-        ends = ends.tolist()
-        self.known.update((w, at[ends[i]:ends[i + 1]]) for i, w in enumerate(words))
-
-    def _merged(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        parts = [self.known[w] for w in words]
-        terms = np.concatenate(parts)
-        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
-        order = np.argsort(terms)
-        terms = terms[order]
-        begin = np.flatnonzero(np.diff(terms, prepend=terms[:1] - 1))
-        return terms[begin], np.add.reduceat(counts[order], begin) if len(begin) else counts
+            hit[hit] = self.keys[at[hit]] == found[hit]
+            owner, found = owner[hit], at[hit]
+        order, n = np.argsort(owner, kind="stable"), np.bincount(owner, minlength=len(fresh))
+        end[new] = len(terms) + np.cumsum(n)
+        begin[new] = end[new] - n
+        terms = np.concatenate([terms, found[order]])
+        if len(own):  # keep this text's words alone
+            order, n = np.argsort(own), end - begin
+            begin, n = begin[order], n[order]
+            kept = np.cumsum(n)
+            self.known = [own[order], kept - n, kept, terms[_positions(begin, n)]]
+            back = np.empty(len(own), np.int64)
+            back[order] = np.arange(len(own))
+            begin, end, terms = self.known[1][back], self.known[2][back], self.known[3]
+        return begin, end, terms
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and how many there are of each."""
+    values = np.sort(values)
+    begin = np.flatnonzero(np.diff(values, prepend=-1))
+    return values[begin], np.diff(begin, append=len(values))
+
+
+def _positions(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of runs that begin at ``begin`` and have ``size`` values, end to end."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Index:
@@ -137,15 +200,16 @@ class Index:
 
     Examples are numbered as given; inside, ``number[r]`` is the number of the
     one in row r, rows being ordered so that alike examples share blocks. Term
-    t has the key ``keys[t]`` and its postings, a row and a level each, in
-    ``postings[start[t]:start[t + 1]]``; the example of row r is ``terms/own_levels[first[r]:first[r + 1]]``. A level
-    is a count c, of weight ``(1 + log(c)) * idf / norm``. ``peak[slot[t], b]`` is
-    the largest weight of a frequent term in block b.
+    t has the key ``keys[t]``, its rows in ``postings[start[t]:start[t + 1]]`` and its weight in each,
+    to single precision, beside them in ``weights``; the example of row r is
+    ``terms/own_levels[first[r]:first[r + 1]]``. A level is a count c, of weight
+    ``(1 + log(c)) * idf / norm``. ``peak[slot[t], b]`` is the largest weight of a
+    frequent term in block b.
     """
 
     # What an index is made of; :meth:`mapped` has these as files.
     ARRAYS = ("keys", "idf", "ids", "toxic", "base", "log_tf", "df", "in_head", "column", "number", "row", "first", "terms",
-              "own_levels", "start", "norm", "postings", "slot", "peak", "matrix")
+              "own_levels", "start", "norm", "postings", "weights", "slot", "peak", "matrix")
 
     def __init__(self, keys: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
                  sizes: np.ndarray, vectors: list[np.ndarray]):
@@ -201,30 +265,30 @@ class Index:
     def _postings(self, n: int, sizes: np.ndarray) -> None:
         self.start = np.concatenate([[0], np.cumsum(self.df)]).astype(np.int64)
         self.norm, fill = np.zeros(n), self.start[:-1].copy()
-        small = n < 2 ** 16 and self.own_levels.dtype == np.uint16
-        self.postings = np.empty((len(self.terms), 2), np.uint16 if small else np.int64)
+        self.postings = np.empty(len(self.terms), np.uint16 if n < 2 ** 16 else np.int64)
+        self.weights = np.empty(len(self.terms), np.float32)
         for r in range(0, n, BLOCK):  # some examples at a time: no second copy is held
             at = slice(self.first[r], self.first[min(n, r + BLOCK)])
             row, t = np.repeat(np.arange(r, min(n, r + BLOCK)), sizes[r:r + BLOCK]), self.terms[at]
             w = self.log_tf[self.own_levels[at]] * self.idf[t]
-            self.norm[r:r + BLOCK] = np.sqrt(np.bincount(row - r, w ** 2, min(n - r, BLOCK)))
+            norm = np.sqrt(np.bincount(row - r, w ** 2, min(n - r, BLOCK)))
+            norm[norm == 0] = 1
+            self.norm[r:r + BLOCK] = norm
             order = np.argsort(t, kind="stable")
             found, begin, runs = np.unique(t[order], return_index=True, return_counts=True)
             to = np.repeat(fill[found] - begin, runs) + np.arange(len(order))
-            self.postings[to, 0], self.postings[to, 1] = row[order], self.own_levels[at][order]
+            self.postings[to], self.weights[to] = row[order], (w / norm[row - r])[order]
             fill[found] += runs
-        self.norm[self.norm == 0] = 1
         often = np.flatnonzero((self.df >= OFTEN) & ~self.in_head)
         self.slot = np.full(len(self.idf), -1, np.int32)
         self.slot[often] = np.arange(len(often))
         self.peak = np.zeros((len(often), max(1, -(-n // BLOCK))), np.float32)
         for i, t in enumerate(often.tolist()):
             at = slice(self.start[t], self.start[t + 1])
-            rows = self.postings[at, 0].astype(np.int64)  # ascending, so a block's are together
-            w = self.log_tf[self.postings[at, 1]] * self.idf[t] / self.norm[rows]
+            rows = self.postings[at].astype(np.int64)  # ascending, so a block's are together
             begin = np.flatnonzero(np.diff(rows // BLOCK, prepend=-1))
             # Rounded up, so that single precision stays a bound.
-            self.peak[i, rows[begin] // BLOCK] = np.maximum.reduceat(w, begin) * (1 + 1e-6)
+            self.peak[i, rows[begin] // BLOCK] = np.maximum.reduceat(self.weights[at], begin) * (1 + 1e-6)
 
     def write(self, folder: str) -> list[str]:
         """Write the arrays to the shared folder; the names of their files, in the order of ARRAYS."""
@@ -267,48 +331,45 @@ class Index:
         return self.unit(self.terms[at].astype(np.int64), self.own_levels[at].astype(np.int64))
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1,
-                head: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+                head: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the exact k nearest examples with a cosine over 0.
 
         ``head`` is what :meth:`heads` gives for the query. Rare terms are
-        scored at once, the others in falling order of what they can add. What
-        is left can add no more to an example than its block's peaks; when few
-        examples can reach the k-th cosine found, their whole vectors decide.
+        scored at once, the others in falling order of what they can add. As no
+        weight is negative, the k-th best so far is a bound of the k-th cosine; what
+        is left can add no more to an example than its block's peaks. When few
+        examples can reach the k-th, their whole vectors decide.
         """
-        n, q = len(self.ids), w * self.idf[t]
+        n = len(self.ids)
         if not len(t) or not n:
             return np.zeros(0, np.int64), np.zeros(0)
-        if head is None:
-            head = self.heads([(t, w)])[0]
+        head, left = head or next(self.heads([(t, w)]))
         without = int(self.row[without]) if 0 <= without < n else -1
-        slot, tail = self.slot[t], ~self.in_head[t]
-        often = np.flatnonzero(slot >= 0)
+        slot = self.slot[t]
+        often = np.flatnonzero(left & (slot >= 0))
         adds = w[often, None].astype(np.float32) * self.peak[slot[often]]
         order = np.argsort(-adds.max(axis=1, initial=0), kind="stable")
         often, adds = often[order], adds[order]
-        now = np.concatenate([np.flatnonzero(tail & (slot < 0)), often[:FIRST_TERMS]])
-        scores, done = self._added(t[now], q[now]), FIRST_TERMS
-        part = head + scores / self.norm
+        now, done = np.concatenate([np.flatnonzero(left & (slot < 0)), often[:FIRST_TERMS]]), FIRST_TERMS
+        part, near = head + self._added(t[now], w[now]), None
         if without >= 0:
-            part[without] = -1
-        top = np.argpartition(-part, LOOK)[:LOOK] if n > LOOK else np.arange(n)
-        exact = self._whole(top, t, q)
-        exact[top == without] = 0
-        # A k-th cosine found is a lower bound of the k-th cosine; heads are
-        # single precision, so their last digits may differ.
-        least = max(np.partition(exact, len(top) - k)[len(top) - k], 0) - SLACK if len(top) > k else -SLACK
-        part[top] = -1  # done with
-        near = np.flatnonzero(part >= 0) if n > LOOK else top[:0]
-        while len(near):
-            near = near[part[near] + adds[done:].sum(axis=0)[self.block[near]] >= least]
+            part[without] = -np.inf
+        while True:
+            have = part if near is None else part[near]
+            # Sums in single precision may differ in their last digits.
+            least = np.partition(have, len(have) - k)[len(have) - k] - SLACK if len(have) > k else -SLACK
+            need = least - adds[done:].sum(axis=0)  # what an example of each block has to have by now
+            near = np.flatnonzero(part >= np.repeat(need, BLOCK)[:n]) if near is None else near[have >= need[self.block[near]]]
             if len(near) <= MAX_NEAR or done >= len(often):
                 break
             more = often[done:GROWTH * done]
-            scores += self._added(t[more], q[more])
+            part += self._added(t[more], w[more])
             done *= GROWTH
-            part[near] = head[near] + scores[near] / self.norm[near]
-        sims = np.round(np.concatenate([exact, self._whole(near, t, q)]), 9)
-        found = self.number[np.concatenate([top, near])]
+        if done >= len(often):  # all is scored: an example without a term of the query has nothing
+            near = near[part[near] > 0]
+        near = near[near != without]
+        sims = np.round(self._whole(near, t, w * self.idf[t]), 9)
+        found = self.number[near]
         found, sims = found[sims > 0], sims[sims > 0]
         if len(found) > k:  # the k-th value and all ties with it
             best = sims >= np.partition(sims, -k)[-k]
@@ -316,11 +377,42 @@ class Index:
         best = np.lexsort((found, -sims))[:k]
         return found[best], sims[best]
 
-    def heads(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the most frequent terms add to each cosine, a row for each vector."""
-        asked = self._asked_heads(vectors)
-        used = asked.any(axis=0)  # alike queries leave most terms out
-        return asked[:, used] @ self.matrix[used] if 10 * used.sum() < 7 * len(used) else asked @ self.matrix
+    def heads(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
+        """For each vector what some of its terms add to each cosine, and which terms are left.
+
+        These are the most frequent terms, and those that are in so many of the vectors
+        that a matrix product takes less than reading their postings for each.
+        """
+        n, asked = len(self.ids), self._asked_heads(vectors)
+        used = np.flatnonzero(asked.any(axis=0))  # alike queries leave most terms out
+        if 10 * len(used) < 7 * len(self.matrix):
+            out = np.zeros((len(vectors), n), np.float32)
+            for i in range(0, len(used), COLUMNS):
+                some = used[i:i + COLUMNS]
+                out += asked[:, some] @ self.matrix[some]
+        else:
+            out = asked @ self.matrix
+        terms = np.concatenate([t for t, _ in vectors])
+        often, times = _counted(terms[~self.in_head[terms]])
+        df = self.df[often]
+        often = often[(times - 1) * df > (len(vectors) / PRODUCT + 1 / COPIED) * n]
+        column, left = np.zeros(len(terms), np.int64), ~self.in_head[terms]
+        if len(often):
+            column = np.minimum(np.searchsorted(often, terms), len(often) - 1)
+            hit = np.flatnonzero(often[column] == terms)
+            left[hit] = False
+            asked = np.zeros((len(vectors), len(often)), np.float32)
+            owner = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+            asked[owner[hit], column[hit]] = np.concatenate([w for _, w in vectors])[hit]
+            for i in range(0, len(often), COLUMNS):
+                some = often[i:i + COLUMNS]
+                at, size = _positions(self.start[some], self.df[some]), self.df[some]
+                columns = np.zeros((len(some), n), np.float32)
+                columns.reshape(-1)[np.repeat(np.arange(len(some)) * n, size) + self.postings.take(at)] = self.weights.take(at)
+                out += asked[:, i:i + COLUMNS] @ columns
+        end = 0
+        for row, (t, _) in zip(out, vectors, strict=True):
+            yield row, left[end:(end := end + len(t))]
 
     def _asked_heads(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         asked = np.zeros((len(vectors), len(self.matrix)), np.float32)
@@ -348,19 +440,29 @@ class Index:
     def _matrix_rows(self):
         for t in np.flatnonzero(self.in_head).tolist():
             at, row = slice(self.start[t], self.start[t + 1]), np.zeros(len(self.ids), np.float32)
-            rows = self.postings[at, 0]
-            row[rows] = self.log_tf[self.postings[at, 1]] * self.idf[t] / self.norm[rows]
+            row[self.postings[at]] = self.weights[at]
             yield row
 
-    def _added(self, t: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """What the terms' postings add to each example, before its norm."""
+    def _added(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the terms' postings add to the cosine of each example, to single precision."""
         if not len(t):
             return np.zeros(len(self.ids))
         order = np.argsort(t)  # as they lie in memory
-        t, q = t[order], q[order]
-        runs = list(map(slice, self.start[t].tolist(), self.start[t + 1].tolist()))
-        found = np.concatenate([self.postings[r] for r in runs])
-        return np.bincount(found[:, 0], self.log_tf[found[:, 1]] * np.repeat(q, self.df[t]), len(self.ids))
+        t, w = t[order], w[order].astype(np.float32)
+        n = self.df[t]
+        ends = np.cumsum(n)
+        if not ends[-1]:
+            return np.zeros(len(self.ids))
+        rows, each = np.empty(ends[-1], np.intp), np.empty(ends[-1])
+        # Some terms at a time, so that what each step leaves is still in the cache at the next.
+        cuts = [0, *(np.flatnonzero(np.diff(ends // SCAN)) + 1).tolist(), len(t)]
+        at = 0
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            to = slice(at, at := int(ends[hi - 1]))
+            some = _positions(self.start[t[lo:hi]], n[lo:hi])  # all valid, so none is clipped
+            rows[to] = self.postings.take(some, mode="clip")
+            each[to] = self.weights.take(some, mode="clip") * np.repeat(w[lo:hi], n[lo:hi])
+        return np.bincount(rows, each, len(self.ids))
 
     def _whole(self, rows: np.ndarray, t: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Cosines of the examples ``rows``, by their whole vectors."""
@@ -372,10 +474,12 @@ class Index:
         terms = np.concatenate([self.terms[r] for r in runs])
         # Few bytes a term, so this look-up is the fast one; all terms are valid, so none is clipped.
         hit = np.flatnonzero(np.take(is_asked, terms, mode="clip"))
-        each = asked[terms[hit]] * self.log_tf[np.concatenate([self.own_levels[r] for r in runs])[hit]]
         is_asked[t] = False
-        owner = np.repeat(np.arange(len(rows)), self.first[rows + 1] - self.first[rows])[hit]
-        return np.bincount(owner, each, len(rows)) / self.norm[rows]
+        size = self.first[rows + 1] - self.first[rows]
+        ends = np.cumsum(size)
+        hits = np.diff(np.searchsorted(hit, ends), prepend=0)  # of each row, one after another
+        level = self.own_levels[hit + np.repeat(self.first[rows] - ends + size, hits)]
+        return np.bincount(np.repeat(np.arange(len(rows)), hits), asked[terms[hit]] * self.log_tf[level], len(rows)) / self.norm[rows]
 
     @functools.cached_property
     def asked(self) -> tuple[np.ndarray, np.ndarray]:
@@ -586,7 +690,7 @@ def term_key(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term) - 2 ** 63
 
 
-def term_keys(terms: list[str]) -> np.ndarray:
+def term_keys(terms: Iterable[str]) -> np.ndarray:
     """The :func:`term_key` of each term."""
     # Less 2 ** 63, modulo 2 ** 64, is the top bit turned over.
     return (np.array(list(map(xxhash.xxh3_64_intdigest, terms)), np.uint64) ^ np.uint64(2 ** 63)).view(np.int64)

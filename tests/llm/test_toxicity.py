@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 from helpers import ODD_TEXTS, docs, prose
@@ -143,3 +144,48 @@ def test_words_of_a_task_are_not_kept_by_the_index(spark):
     for (t, w), (t2, w2) in zip(index.vectors(texts), index.vectors(texts, reader), strict=True):
         assert np.array_equal(t, t2) and np.array_equal(w, w2)
     assert reader.known and not any(isinstance(x, X.Terms) for x in vars(index).values())
+
+
+def test_texts_read_together_have_the_terms_of_their_words(monkeypatch):
+    texts = [t or "" for t in ODD_TEXTS] + [prose(i, 30) for i in range(40)] + [
+        "ΑΣ'Α ΟΔΟΣ İstanbul", " Straße, straße! ", "a-b_c\x00d\x1ce\u2028f", "Überlänge überlängen", "x" * 3 + "\n" * 3, "kara karane karanen"] + [""]
+    want = []
+    for t in texts:
+        words = Counter(t.lower().encode().translate(X._TO_SPACE).split())
+        want.append(Counter())
+        for w, c in words.items():
+            want[-1].update({x: c for x in X.terms_of(w)})
+    keys = np.unique(X.term_keys([x for w in want[::2] for x in w]))  # some terms are unknown
+    for chunk in (1 << 20, 60):
+        monkeypatch.setattr(X, "CHUNK_BYTES", chunk)
+        free, known = X.Terms(), X.Terms(keys)
+        for got, at, w in zip(free.counts(texts), known.counts(texts), want, strict=True):
+            by_key = {X.term_key(x): c for x, c in w.items()}
+            assert got[0].tolist() == sorted(by_key) and got[1].tolist() == [by_key[x] for x in sorted(by_key)]
+            by_key = {x: c for x, c in by_key.items() if x in set(keys.tolist())}
+            assert keys[at[0]].tolist() == sorted(by_key) and at[1].tolist() == [by_key[x] for x in sorted(by_key)]
+        # No object for each word: those would lie about in a worker's memory after its task.
+        assert known.known and all(isinstance(a, np.ndarray) for a in known.known)
+
+
+def test_terms_that_queries_share_are_one_product(monkeypatch):
+    monkeypatch.setattr(X, "COLUMNS", 3)
+    r = np.random.RandomState(3)
+    v, n = 60, 3000
+    examples = [(i, int(r.rand() < .2), {int(t): int(r.randint(1, 4)) for t in r.choice(v, r.randint(0, 4))}) for i in range(n)]
+    index = X.build_index({str(i): i for i in range(v)}, np.log(1 + n / r.randint(3, 500, v)), examples)
+    asked = [index.vector({int(t): 1 for t in [0, 1, 2, 3, 4, *r.choice(v, 3)]}) for _ in range(100)] + [index.vector({7: 1}), index.vector({})]
+    assert not index.in_head.any()
+    left = [t[some].tolist() for (t, _), (_, some) in zip(asked, index.heads(asked), strict=True)]
+    assert all(not set(t) & {0, 1, 2, 3, 4} for t in left) and any(left)
+    dense = np.zeros((n, v))
+    for i, (_, _, counts) in enumerate(examples):
+        t, w = index.vector(counts)
+        dense[i, t] = w
+    without = [int(x) for x in r.randint(0, n, len(asked))]
+    for (t, w), x, (row, sim) in zip(asked, without, index.neighbours(asked, without), strict=True):
+        exact = np.round(dense[:, t] @ w, 9)
+        exact[x] = 0
+        want = np.lexsort((np.arange(n), -exact))[:X.NEIGHBOURS]
+        want = want[exact[want] > 0]
+        assert row.tolist() == want.tolist() and np.allclose(sim, exact[want])
