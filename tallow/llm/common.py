@@ -7,6 +7,7 @@ six ASCII white-space characters, so it is the tokenizer inside tasks.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -136,10 +137,24 @@ def per_batch(df: DataFrame, fn: Callable[[list[str]], Iterable[tuple]], schema:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],
                 names=[*b.schema.names[:-1], *names])
+        b = rows = cols = None
+        release_memory()
 
     return src.mapInArrow(run, f"{kept}, {schema}")
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system.
+
+    Called at a task's end: workers outlive tasks and stages, a machine has several,
+    and Arrow and the C library keep what they were given for later.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
 def spread_key(*parts: Column | str) -> Column:
     """A uniform 32-digit hex key that every engine computes alike (MD5)."""
     return F.md5(F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else

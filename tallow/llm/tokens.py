@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallow.llm.common import bounded_batches
+from tallow.llm.common import bounded_batches, release_memory
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -118,10 +118,9 @@ class WordTokenizer:
         del words  # a chunk's words are many, so none are held longer than needed
         codes = coded.indices.to_numpy()
         ids, begin, size = self._words(coded.dictionary)
-        before = np.concatenate([[0], np.cumsum(size[codes])])[ends - ends[0]]
-        sizes, ids = np.diff(before), _gathered(ids, begin, size, codes)
+        sizes, ids = _sums(size, codes, ends - ends[0]), _gathered(ids, begin, size, codes)
         if len(special):
-            each = np.split(ids, before[1:-1])
+            each = np.split(ids, np.cumsum(sizes)[:-1])
             for i in special.tolist():
                 each[i] = self._whole(texts[i].as_py())
                 sizes[i] = len(each[i])
@@ -133,9 +132,18 @@ class WordTokenizer:
         return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
 
 
+def _sums(size: np.ndarray, runs: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sums of ``size[run]`` over the runs from each of ``ends`` to the next."""
+    out = np.zeros(len(ends) - 1, np.int64)
+    for i in range(0, len(runs), RUNS):  # some at a time: all words' sizes are many times the texts'
+        before = np.concatenate([[0], np.cumsum(size[runs[i:i + RUNS]])])
+        out += np.diff(before[np.clip(ends - i, 0, len(before) - 1)])
+    return out
+
+
 def _gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray, runs: np.ndarray) -> np.ndarray:
     """The values of the runs, which begin at ``begin[run]`` and have ``size[run]`` values, end to end."""
-    out = np.empty(size[runs].sum(), values.dtype)
+    out = np.empty(sum(int(size[runs[i:i + RUNS]].sum()) for i in range(0, len(runs), RUNS)), values.dtype)
     at = 0
     for i in range(0, len(runs), RUNS):
         some = runs[i:i + RUNS]
@@ -216,6 +224,8 @@ def token_task(df: DataFrame, keep: list[str], path: str | None = None, text: st
                     now, some = np.insert(now, ends, end_id), some + 1
                 yield pa.RecordBatch.from_arrays([*[c.slice(lo, OUT_ROWS) for c in others], pa.array(some, pa.int64()),
                                                   _binary(now.astype(f"<u{width}"), some)], names=names)
+            ids = n = others = now = some = None
+            release_memory()
 
     return src, run, f"{kept}, n_tokens bigint, ids binary"
 

@@ -7,6 +7,7 @@ import pytest
 from helpers import ODD_TEXTS, docs, prose
 from tokenizers import Tokenizer
 
+from tallow.llm import common
 from tallow.llm import packing as P
 from tallow.llm import token_files as TF
 from tallow.llm import tokens as K
@@ -162,3 +163,32 @@ def test_token_files_take_one_python_step(spark, scratch, monkeypatch):
     monkeypatch.setattr(TF, "materialize", lambda df, name: (plans.update({name: df._jdf.queryExecution().toString()}), kept(df, name))[1])
     TF.write_token_files(docs(spark, rows()[:20]), scratch)
     assert plans["token_manifest"].split("Physical Plan")[1].count("MapInArrow") == 1
+
+
+def test_sums_of_runs():
+    r = random.Random(5)
+    size = np.array([r.randrange(5) for _ in range(50)])
+    runs = np.array([r.randrange(50) for _ in range(3000)])
+    ends = np.array([0, 0, *sorted(r.randrange(3001) for _ in range(40)), 3000, 3000])
+    old, K.RUNS = K.RUNS, 64
+    try:
+        got = K._sums(size, runs, ends)
+    finally:
+        K.RUNS = old
+    assert got.tolist() == [size[runs[a:b]].sum() for a, b in zip(ends[:-1], ends[1:])]
+    assert K._sums(size, runs[:0], np.array([0, 0])).tolist() == [0]
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    freed = []
+    monkeypatch.setattr(K, "release_memory", lambda: freed.append(1))
+    monkeypatch.setattr(K, "CHUNK_BYTES", 200)
+    _, run, _ = K.token_task(docs(spark, [(1, "a")]), ["doc_id"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array([prose(i, 30) for i in range(9)])], names=["doc_id", "t"])
+    assert sum(b.num_rows for b in run(iter([batch]))) == 9 and len(freed) > 2
+    resident = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("RssAnon")).split()[1])
+    # Objects are freed but for a few, so that little of the heap's top can go without help.
+    kept = [x for i, x in enumerate([bytes(600 + i % 7) for i in range(200_000)]) if i % 997 == 0]
+    before = resident()
+    common.release_memory()
+    assert kept and before - resident() > 60_000
