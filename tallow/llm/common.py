@@ -25,6 +25,8 @@ WHITE = " \t\n\x0b\x0c\r"
 # Rows of one Arrow batch: documents can be 100 KB and more, so a batch of
 # Spark's default 10,000 rows could be a gigabyte.
 BATCH_ROWS = "512"
+# Batches that are put together have so many bytes at most, if they are more than one.
+JOINED_BYTES = 16 << 20
 ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "binary": pa.binary()}
 ARROW |= {f"array<{k}>": pa.list_(t) for k, t in ARROW.items()}
@@ -124,25 +126,40 @@ def per_document(df: DataFrame, fn: Callable[[str], tuple], schema: str,
 
 
 def per_batch(df: DataFrame, fn: Callable[[list[str]], Iterable[tuple]], schema: str,
-              keep: list[str], text: str = "text") -> DataFrame:
-    """:func:`per_document` with a ``fn`` that takes the texts of a batch."""
+              keep: list[str], text: str = "text", rows: int = 0) -> DataFrame:
+    """:func:`per_document` with a ``fn`` that takes the texts of a batch.
+
+    With ``rows`` it takes those of several batches, see :func:`joined`.
+    """
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     names, types = zip(*[(n, ARROW[t]) for n, t in (f.split() for f in schema.split(", "))], strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = list(fn(b.column(b.num_columns - 1).to_pylist()))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+        for b in joined(batches, rows) if rows else batches:
+            found = list(fn(b.column(b.num_columns - 1).to_pylist()))
+            cols = list(zip(*found, strict=True)) if found else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],
                 names=[*b.schema.names[:-1], *names])
-        b = rows = cols = None
+        b = found = cols = None
         release_memory()
 
     return src.mapInArrow(run, f"{kept}, {schema}")
 
 
+def joined(batches: Iterable[pa.RecordBatch], rows: int, size: int = JOINED_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, put together as long as they have at most so many rows and bytes."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if held and (sum(h.num_rows for h in held) + b.num_rows > rows or sum(h.nbytes for h in held) + b.nbytes > size):
+            yield pa.concat_batches(held)
+            held = []
+        held.append(b)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def release_memory() -> None:
     """Give freed memory back to the system.
 

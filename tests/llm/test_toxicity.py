@@ -2,11 +2,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from helpers import ODD_TEXTS, docs, prose
 from pyspark.sql import functions as F
 
 from tallow.llm import toxicity as X
-from tallow.llm.common import filesystem, materialize, qualified
+from tallow.llm.common import filesystem, joined, materialize, qualified
 
 
 def test_nearest_equals_brute_force():
@@ -189,3 +190,42 @@ def test_terms_that_queries_share_are_one_product(monkeypatch):
         want = np.lexsort((np.arange(n), -exact))[:X.NEIGHBOURS]
         want = want[exact[want] > 0]
         assert row.tolist() == want.tolist() and np.allclose(sim, exact[want])
+
+
+def test_a_group_of_queries_reads_few_postings_and_finds_the_exact_nearest(monkeypatch):
+    monkeypatch.setattr(X, "PART", 128)
+    monkeypatch.setattr(X, "SCAN", 50)
+    r = np.random.RandomState(4)
+    n, words, read = 1500, 300, []
+
+    def text(i):  # of one of two languages; each word comes with its twin, a beginning no other word has
+        low = 0 if i % 3 else words // 2
+        some = low + np.minimum(r.geometric(.03, 40), words // 2) - 1
+        return {int(t) + twin: int(c) for t, c in Counter(some.tolist()).items() for twin in (0, words)}
+
+    idf = np.tile(np.log(1 + n / r.randint(3, 500, words)), 2)
+    examples = [(i, int(r.rand() < .2), text(i)) for i in range(n)]
+    examples[7] = (7, 0, {**examples[7][2], words: 9})  # this word's twin differs in one example
+    index = X.build_index({str(i): i for i in range(2 * words)}, idf, examples)
+    assert index.same[words] != index.same[0] and (index.same[1:words] == index.same[words + 1:]).all()
+    monkeypatch.setattr(index, "_read", lambda b, s, w: (read.append(int(s.sum())), X.Index._read(index, b, s, w))[1])
+    asked = [index.vector(text(i)) for i in range(400)] + [index.vector({})]
+    found = index.neighbours(asked)
+    assert sum(read) < 0.2 * sum(int(index.df[t].sum()) for t, _ in asked)
+    dense = np.zeros((n, 2 * words))
+    for i, (_, _, counts) in enumerate(examples):
+        t, w = index.vector(counts)
+        dense[i, t] = w
+    for (t, w), (row, sim) in zip(asked, found, strict=True):
+        exact = np.round(dense[:, t] @ w, 9)
+        want = np.lexsort((np.arange(n), -exact))[:X.NEIGHBOURS]
+        want = want[exact[want] > 0]
+        assert np.allclose(sim, exact[want], atol=2e-9) and np.allclose(exact[row], exact[want], atol=2e-9)
+
+
+def test_batches_are_joined_up_to_a_size():
+    batches = [pa.RecordBatch.from_arrays([pa.array([i] * k, pa.int64())], names=["x"]) for i, k in enumerate((3, 0, 4, 9, 1, 1))]
+    sizes = lambda *a: [b.num_rows for b in joined(iter(batches), *a)]
+    assert sizes(8) == [7, 9, 2] and sizes(100) == [18] and sizes(100, 60) == [7, 9, 2] and sizes(1) == [3, 0, 4, 9, 1, 1]
+    assert [x for b in joined(iter(batches), 5) for x in b.column(0).to_pylist()] == [0] * 3 + [2] * 4 + [3] * 9 + [4, 5]
+    assert list(joined(iter([]), 5)) == []
