@@ -12,8 +12,10 @@ map them into memory, so the workers of a machine share one copy, whose pages th
 system can drop. The calibration is taken in tasks, too.
 
 Search: the examples are ordered so that alike ones are neighbours, and cut into
-blocks of equal size. For each frequent term and block the index holds the largest weight, so what the terms
-not yet scored can add is known beforehand; only examples that can reach the
+blocks of equal size. Alike texts meet some blocks at a time in a matrix product of
+the terms that enough of both have; the postings of other terms are read. When texts are few, bounds spare
+some of that: for each frequent term and block the index holds the largest weight, so what the terms
+not yet scored can add is known beforehand. Only examples that can reach the
 k best are compared by their whole vectors. The result is the exact k nearest,
 ties to the lower example number.
 
